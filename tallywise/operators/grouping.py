@@ -38,10 +38,11 @@ def flag_first_in_group(df: DataFrame, key: str, order: str, flag: str = "is_fir
     the join is hashed on both columns and a hot key spreads over partitions.
     Null keys form one group, as in pandas ``duplicated``.
     """
-    firsts = (df.groupBy(key).agg(F.min(order).alias("__first"))
-              .select(F.col(key).alias("__k"), F.col("__first"), F.lit(True).alias(flag)))
-    joined = df.join(firsts, df[key].eqNullSafe(firsts["__k"]) & (df[order] == firsts["__first"]), "left")
-    return joined.drop("__k", "__first").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    firsts = (df.groupBy(key).agg(F.min(order).alias("__min_order"))
+              .select(F.col(key).alias("__k"), F.col("__min_order"), F.lit(True).alias("__hit")))
+    joined = df.join(firsts, df[key].eqNullSafe(firsts["__k"]) & (df[order] == firsts["__min_order"]), "left")
+    return (joined.withColumn(flag, F.coalesce(F.col("__hit"), F.lit(False)))
+            .drop("__k", "__min_order", "__hit"))
 
 
 def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no") -> DataFrame:

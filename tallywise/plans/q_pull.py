@@ -1 +1,39 @@
-"""Registered queries."""
+"""Registered pull-sheet queries."""
+
+from __future__ import annotations
+
+from tallywise.plans import pull as P
+from tallywise.plans.registry import query
+from tallywise.sources.fixtures import fixtures, with_clause
+
+
+@query("pullsheet", with_clause("picking") + r"""
+select split_part(order_text, '/', 1) as ord,
+       trim(regexp_replace(cast(item as varchar), '\[.*?\]', '', 'g')) as item,
+       replace(cast(location as varchar), 'F/Stock/', '') as location,
+       quantity as qty, on_hand
+from picking where quantity > 0""")
+def q_pullsheet(spark, sf_dir):
+    return P.pullsheet(fixtures(spark, sf_dir).picking)
+
+
+@query("order_targets", with_clause("picking") + """
+, order_items AS (select split_part(order_text, '/', 1) as ord, item from picking where quantity > 0),
+skus_per_order AS (select ord, cast(count(*) as bigint) as skus from order_items group by ord),
+plants_per_order AS (select split_part(order_text, '/', 1) as ord, sum(quantity) as plants
+                     from picking where quantity > 0 group by 1)
+select s.ord, s.skus, p.plants from skus_per_order s join plants_per_order p on s.ord = p.ord""")
+def q_order_targets(spark, sf_dir):
+    return P.order_targets(fixtures(spark, sf_dir).picking)
+
+
+@query("alt_stock", with_clause("quants", "picking") + """
+, stock_levels AS (select product_label as product_id, location_label as location_id,
+                          coalesce(quantity, 0) as quantity
+                   from quants where location_label like 'F%')
+select distinct product_id, location_id, stock_levels.quantity
+from stock_levels join picking
+  on stock_levels.product_id = picking.item and stock_levels.location_id <> picking.location""")
+def q_alt_stock(spark, sf_dir):
+    fx = fixtures(spark, sf_dir)
+    return P.alternative_stock(P.stock_levels(fx.quants), fx.picking)
