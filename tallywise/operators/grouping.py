@@ -45,8 +45,55 @@ def flag_first_in_group(df: DataFrame, key: str, order: str, flag: str = "is_fir
             .drop("__k", "__min_order", "__hit"))
 
 
-def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no") -> DataFrame:
-    """Sequential number from 1 per group in the given order (a window)."""
+HOT_GROUP_ROWS = 1_000_000
+
+
+def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",
+                        hot_threshold: int | None = HOT_GROUP_ROWS, partitions: int | None = None) -> DataFrame:
+    """Sequential number from 1 per group, in the given (total) order.
+
+    Groups up to ``hot_threshold`` rows are numbered with a window. Larger
+    (hot) groups would put a whole group into one task, so their rows are
+    range-partitioned on (keys, order) across many tasks and numbered by
+    position: partition offsets (one row per partition) plus the position
+    within the partition, minus the group's first position. Both helper
+    tables are bounded (partitions; hot keys <= rows / threshold) and are
+    broadcast.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     w = Window.partitionBy(*keys).orderBy(*order_cols)
-    return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    if hot_threshold is None:
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    hot_keys = sizes.filter(F.col("__n") > hot_threshold).select(*keys)
+    cols = df.columns
+    key_match = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
+    cond = key_match[0]
+    for c in key_match[1:]:
+        cond = cond & c
+    hk = F.broadcast(hot_keys).alias("h")
+    normal = df.alias("d").join(hk, cond, "left_anti")
+    hot = df.alias("d").join(hk, cond, "left_semi")
+
+    numbered = normal.withColumn(out, F.row_number().over(w).cast("bigint"))
+
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (hot.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
+               .sortWithinPartitions(*[F.col(k) for k in keys], *order_cols)
+               .withColumn("__pid", F.spark_partition_id())
+               .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
+    per_part = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    offsets = per_part.select(
+        "__pid", (F.sum("__cnt").over(Window.orderBy("__pid")) - F.col("__cnt")).alias("__off"))
+    placed = ordered.join(F.broadcast(offsets), "__pid").withColumn("__g", F.col("__off") + F.col("__pos"))
+    starts = placed.groupBy(*keys).agg(F.min("__g").alias("__start"))
+    skeys = [F.col(f"p.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    scond = skeys[0]
+    for c in skeys[1:]:
+        scond = scond & c
+    hot_numbered = (placed.alias("p").join(F.broadcast(starts).alias("s"), scond)
+                    .select(*[F.col(f"p.{c}") for c in cols],
+                            (F.col("p.__g") - F.col("s.__start") + 1).cast("bigint").alias(out)))
+    return numbered.unionByName(hot_numbered)

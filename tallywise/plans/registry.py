@@ -25,4 +25,4 @@ def query(key: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from tallywise.plans import q_orders, q_stock, q_pull, q_imports, q_inventory, q_io  # noqa: F401
+    from tallywise.plans import q_orders, q_stock, q_pull, q_imports, q_inventory, q_flatten, q_io  # noqa: F401

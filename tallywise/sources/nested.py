@@ -102,3 +102,96 @@ def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue API pages ``(page_no, body)`` with nested product edges."""
     fixtures(spark, sf_dir)
     return spark.sql(CATALOG_PAGES_SQL)
+
+# Storefront order documents: one nested record per order, lines sorted by
+# position; orders without lines carry a null line array.
+ORDER_DOCS_SQL = """
+with li as (
+  select b.l_orderkey,
+         array_sort(collect_list(named_struct(
+             'line_no', b.line_no, 'sku', b.sku, 'name', p.p_name || ' - ' || b.size_code,
+             'quantity', b.l_quantity, 'price', cast(b.l_extendedprice as string)))) as line_items
+  from base_lines b join part p on p.p_partkey = b.l_partkey
+  group by b.l_orderkey)
+select o.o_orderkey as id,
+       '#' || cast(o.o_orderkey as string) as name,
+       case when o.o_orderkey % 4 = 0 then null
+            else lower(replace(c.c_name, '#', '.')) || '@example.com' end as email,
+       case o.o_orderstatus when 'F' then 'paid' when 'O' then 'pending' else 'partially_paid' end as financial_status,
+       cast(cast(o.o_orderdate as date) as string) as processed_at,
+       case when o.o_orderstatus = 'F' then 'fulfilled' end as fulfillment_status,
+       o.o_orderkey % 2 = 0 as buyer_accepts_marketing,
+       case when o.o_orderkey % 5 = 0 then null
+            else named_struct('first_name', c.c_name, 'last_name', c.c_mktsegment) end as billing_address,
+       li.line_items
+from orders o join customer c on c.c_custkey = o.o_custkey
+left join li on li.l_orderkey = o.o_orderkey
+"""
+
+# Line-level nested arrays (taxes, discounts, refunds) on each base line.
+LINE_ARRAYS_SQL = """
+select l_orderkey, line_no,
+       case when m % 3 = 0 then array()
+            when m % 3 = 1 then array(named_struct('code', 'SAVE' || cast(m as string)))
+            else array(named_struct('code', 'A'), named_struct('code', cast(null as string))) end as discount_codes,
+       case when m % 2 = 0
+            then array(named_struct('title', 'VAT', 'price', l_extendedprice * cast(0.1 as double)),
+                       named_struct('title', 'Levy', 'price', cast(1.5 as double)))
+            else array(named_struct('title', 'VAT', 'price', l_extendedprice * cast(0.1 as double))) end as tax_lines,
+       case when m % 5 = 0 then null
+            else array(named_struct('amount', l_quantity * cast(0.25 as double)),
+                       named_struct('amount', cast(0.5 as double))) end as discount_allocations,
+       array(named_struct('kind', case when m % 4 = 0 then 'refund' else 'void' end,
+                          'transactions', array(named_struct('kind', 'refund', 'amount', cast(2 as double)),
+                                                named_struct('kind', 'sale', 'amount', cast(5 as double)))),
+             named_struct('kind', 'refund',
+                          'transactions', array(named_struct('kind', case when m % 2 = 0 then 'refund' else 'sale' end,
+                                                             'amount', l_quantity)))) as refunds
+from base_lines
+"""
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixtures(spark, sf_dir)
+    return spark.sql(ORDER_DOCS_SQL)
+
+
+def line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixtures(spark, sf_dir)
+    return spark.sql(LINE_ARRAYS_SQL)
+
+
+# ERP landing tables: order headers, order lines, products, partners,
+# states and countries, as the ERP's read calls return them.
+ERP_SQL = {
+    "erp_orders": """
+select o_orderkey as id, 'SO' || cast(o_orderkey as string) as name, o_custkey as partner_id,
+       cast(o_orderdate as string) as date_order,
+       case o_orderstatus when 'F' then 'sale' when 'O' then 'draft' else 'sent' end as state,
+       case when o_orderkey % 10 = 0 then null else '#' || cast(o_orderkey as string) end as client_order_ref,
+       o_totalprice as amount_total, o_orderpriority as invoice_status,
+       o_custkey as partner_invoice_id,
+       case when o_orderkey % 4 = 0 then null else o_custkey + o_orderkey % 3 end as partner_shipping_id
+from orders""",
+    "erp_order_lines": """
+select l_orderkey * 100 + line_no as id, l_orderkey as order_id,
+       case when m = 9 then null else l_partkey end as product_id,
+       l_quantity as product_uom_qty, l_extendedprice as price_unit, line_no as sequence
+from base_lines""",
+    "erp_products": """
+select p_partkey as id, p_name as name, 'FAM-' || cast(cast(floor(p_partkey / 4) as bigint) as string) || '-' ||
+       case p_partkey % 4 when 0 then '01G' when 1 then '03G' when 2 then '07G' else '15G' end as default_code,
+       p_type as description_sale
+from part""",
+    "erp_partners": """
+select c_custkey as id, c_name as name, c_mktsegment as street, c_nationkey as country_id,
+       n.n_regionkey as state_id
+from customer join nation n on n.n_nationkey = c_nationkey""",
+    "erp_states": "select r_regionkey as id, r_name as name from region",
+    "erp_countries": "select n_nationkey as id, n_name as name from nation",
+}
+
+
+def erp_landing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    fixtures(spark, sf_dir)
+    return {k: spark.sql(v) for k, v in ERP_SQL.items()}
