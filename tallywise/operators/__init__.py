@@ -3,14 +3,14 @@
 from tallywise.operators.sizing import broadcast_if_small, estimated_bytes
 from tallywise.operators.compare import null_safe_full_outer
 from tallywise.operators.grouping import (
-    first_non_null, first_row_per_group, flag_first_in_group, last_wins, number_within_group,
+    dense_index, first_non_null, first_row_per_group, flag_first_in_group, last_wins, number_within_group,
 )
 from tallywise.operators.prefix import prefix_equi_join, hyphen_prefixes
 from tallywise.operators.semi import exists_other_value
 from tallywise.operators.frames import reindex, rename_require, keep_available, drop_quietly
 
 __all__ = [
-    "broadcast_if_small", "estimated_bytes", "null_safe_full_outer", "first_non_null",
+    "broadcast_if_small", "estimated_bytes", "null_safe_full_outer", "first_non_null", "dense_index",
     "first_row_per_group", "flag_first_in_group", "last_wins", "number_within_group",
     "prefix_equi_join", "hyphen_prefixes", "exists_other_value", "reindex", "rename_require",
     "keep_available", "drop_quietly",

@@ -48,6 +48,18 @@ def flag_first_in_group(df: DataFrame, key: str, order: str, flag: str = "is_fir
 HOT_GROUP_ROWS = 1_000_000
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder.
+
+    Positions derived from partition ids must be computed once: a second
+    evaluation could see a different partition layout. The checkpoint also
+    cuts the lineage, so a lost executor does not recompute the sort.
+    """
+    from tallywise.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",
                         hot_threshold: int | None = HOT_GROUP_ROWS, partitions: int | None = None) -> DataFrame:
     """Sequential number from 1 per group, in the given (total) order.
@@ -80,10 +92,11 @@ def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",
     numbered = normal.withColumn(out, F.row_number().over(w).cast("bigint"))
 
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (hot.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
-               .sortWithinPartitions(*[F.col(k) for k in keys], *order_cols)
-               .withColumn("__pid", F.spark_partition_id())
-               .withColumn("__pos", F.monotonically_increasing_id() - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
+    ordered = _materialize(hot.repartitionByRange(n, *[F.col(k) for k in keys], *order_cols)
+                           .sortWithinPartitions(*[F.col(k) for k in keys], *order_cols)
+                           .withColumn("__pid", F.spark_partition_id())
+                           .withColumn("__pos", F.monotonically_increasing_id()
+                                       - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
     per_part = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     offsets = per_part.select(
         "__pid", (F.sum("__cnt").over(Window.orderBy("__pid")) - F.col("__cnt")).alias("__off"))
@@ -97,3 +110,22 @@ def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",
                     .select(*[F.col(f"p.{c}") for c in cols],
                             (F.col("p.__g") - F.col("s.__start") + 1).cast("bigint").alias(out)))
     return numbered.unionByName(hot_numbered)
+
+
+def dense_index(df: DataFrame, order_cols, out: str = "id", start: int = 1) -> DataFrame:
+    """Dense sequential key in a total order, without a single-task window.
+
+    Rows are range-partitioned and sorted; each row's key is its partition's
+    offset (a cumulative count over one row per partition, broadcast) plus
+    its position within the partition.
+    """
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
+    cols = df.columns
+    ordered = _materialize(df.orderBy(*order_cols)
+                           .withColumn("__pid", F.spark_partition_id())
+                           .withColumn("__pos", F.monotonically_increasing_id()
+                                       - F.shiftleft(F.col("__pid").cast("bigint"), 33)))
+    per_part = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    offsets = per_part.select("__pid", (F.sum("__cnt").over(Window.orderBy("__pid")) - F.col("__cnt")).alias("__off"))
+    return (ordered.join(F.broadcast(offsets), "__pid")
+            .select((F.col("__off") + F.col("__pos") + F.lit(start)).cast("bigint").alias(out), *cols))

@@ -1 +1,122 @@
-"""Registered queries."""
+"""Registered source/sink queries. They write under the shared scratch
+folder (``spark.checkpoint.dir``) and read the written data back."""
+
+from __future__ import annotations
+
+import time
+import uuid
+
+from pyspark.sql import functions as F
+
+from tallywise.plans import stock as S
+from tallywise.plans.q_stock import _ODOOSTOCK
+from tallywise.plans.registry import query
+from tallywise.session import scratch_path
+from tallywise.sources import sinks
+from tallywise.sources.files import list_files, read_csv, set_mtime
+from tallywise.sources.fixtures import fixtures, with_clause
+
+AS_OF = "2026-01-01T00:00:00"
+INVENTORY_CSV_SCHEMA = ("sku string, title string, option_value string, available string, on_hand string, "
+                        "committed string, unavailable string, incoming string, row_idx bigint")
+
+
+def _run_dir(spark, tag: str) -> str:
+    return scratch_path(spark, f"tallywise/{tag}/{uuid.uuid4().hex}")
+
+
+def newest_export_dir(spark, pattern: str) -> str | None:
+    """Folder of the most recently modified export file matching ``pattern``."""
+    files = list_files(spark, pattern)
+    if not files:
+        return None
+    newest = max(files, key=lambda f: (f[1], f[0]))[0]
+    return newest.rsplit("/", 1)[0]
+
+
+@query("latest_file", with_clause("inventory_csv") + "select * from inventory_csv where row_idx % 3 = 1")
+def q_latest_file(spark, sf_dir):
+    inv = fixtures(spark, sf_dir).inventory_csv
+    base = _run_dir(spark, "latest_file")
+    now = int(time.time() * 1000)
+    # Three exports; the one holding row_idx % 3 = 1 is made the newest.
+    for k, age in ((0, 3), (1, 1), (2, 2)):
+        d = f"{base}/inventory_export_{k}"
+        inv.filter(F.col("row_idx") % 3 == k).write.option("header", True).csv(d)
+        for path, _ in list_files(spark, f"{d}/part-*"):
+            set_mtime(spark, path, now - age * 60_000)
+    newest = newest_export_dir(spark, f"{base}/inventory_export*/part-*")
+    return read_csv(spark, newest, INVENTORY_CSV_SCHEMA)
+
+
+_TEXT_COLS = ["order_name", "sku", "product_name", "quantity", "price", "financial_status", "paid_at",
+              "billing_name", "line_no", "l_orderkey"]
+
+
+@query("table_replace", with_clause("storefront_lines") + "select "
+       + ", ".join(f"cast({c} as varchar) as {c}" for c in _TEXT_COLS)
+       + ", cast(row_number() over (order by l_orderkey, line_no) as bigint) as id from storefront_lines")
+def q_table_replace(spark, sf_dir):
+    lines = fixtures(spark, sf_dir).storefront_lines
+    path = _run_dir(spark, "table_replace")
+    sinks.replace_table(sinks.insert_by_name(lines, _TEXT_COLS), path, ["l_orderkey", "line_no"])
+    return spark.read.parquet(path)
+
+
+LEGACY_VERSION = "v1"
+
+
+@query("table_guard", with_clause("legacy_lookup") + "select * from legacy_lookup")
+def q_table_guard(spark, sf_dir):
+    tag = sf_dir.rstrip("/").rsplit("/", 1)[-1]
+    path = scratch_path(spark, f"tallywise/legacy_lookup/{LEGACY_VERSION}/{tag}")
+    legacy = fixtures(spark, sf_dir).legacy_lookup
+    if not sinks.table_exists(spark, path):
+        sinks.write_once(legacy, path)
+    return spark.read.parquet(path)
+
+
+XREF_SCHEMA = ("product_id string, location_id string, loc_count bigint, odoo_onhand_qty double, "
+               "odoo_available_qty double, shopify_onhand_qty double, shopify_available_qty double, "
+               "shopify_committed_qty double, shopify_unavailable_qty double, diff_onhand double, "
+               "diff_available double, title string, status string, potential_correct_sku string, "
+               "potential_correct_size string, size_mismatch_note string")
+
+
+@query("report_write", with_clause("quants", "sizes", "storefront_products", "storefront_inventory").rstrip()
+       + ",\n" + _ODOOSTOCK + """
+select a.product_id, a.location_id, c.loc_count, a.odoo_qty as odoo_onhand_qty, a.odoo_available_qty,
+       cs.on_hand as shopify_onhand_qty, cs.available as shopify_available_qty,
+       cs.committed as shopify_committed_qty, cs.unavailable as shopify_unavailable_qty,
+       a.odoo_qty - cs.on_hand as diff_onhand, a.odoo_available_qty - cs.available as diff_available,
+       cs.title as title, cs.status as status, psm.correct_shopify_sku as potential_correct_sku,
+       psm.correct_size as potential_correct_size, psm.mismatch_note as size_mismatch_note
+from odoo_total_stock a
+left join combined_shopify cs on a.default_code = cs.sku
+left join loc_count c on a.product_id = c.product_id
+left join potential_size_mismatches psm on a.default_code = psm.odoo_sku
+where (cs.status = 'active' or cs.status is null) and a.odoo_qty <> 0""")
+def q_report_write(spark, sf_dir):
+    from tallywise.plans.q_stock import q_stock_xref
+    path = _run_dir(spark, "report_write")
+    sinks.write_report(q_stock_xref(spark, sf_dir), path, order=S.XREF_ORDER)
+    return read_csv(spark, path, XREF_SCHEMA)
+
+
+@query("load_stamp", with_clause("storefront_inventory") + f"""
+select 'shopify_inventory' as table_name, cast(count(*) as bigint) as n_rows, '{AS_OF}' as import_date
+from storefront_inventory
+union all
+select 'last_update', cast(1 as bigint), '{AS_OF}'""")
+def q_load_stamp(spark, sf_dir):
+    base = _run_dir(spark, "load_stamp")
+    inv = sinks.stamp(fixtures(spark, sf_dir).storefront_inventory, AS_OF)
+    inv.write.mode("overwrite").parquet(f"{base}/shopify_inventory")
+    sinks.last_update_table(spark, AS_OF).write.mode("overwrite").parquet(f"{base}/last_update")
+    a = (spark.read.parquet(f"{base}/shopify_inventory").groupBy("import_date")
+         .agg(F.count(F.lit(1)).alias("n_rows"))
+         .select(F.lit("shopify_inventory").alias("table_name"), "n_rows", "import_date"))
+    b = (spark.read.parquet(f"{base}/last_update").groupBy(F.col("last_updated").alias("import_date"))
+         .agg(F.count(F.lit(1)).alias("n_rows"))
+         .select(F.lit("last_update").alias("table_name"), "n_rows", "import_date"))
+    return a.unionByName(b)
