@@ -148,7 +148,9 @@ def order_flow_report(mapped: DataFrame, erp: DataFrame) -> DataFrame:
         "delivery_status")
 
 
-REPORT_ORDER = [F.col("name").desc_nulls_last()]
+def report_order():
+    """Order name descending, compared as text."""
+    return [F.col("name").desc_nulls_last()]
 
 
 def latest_order(lines: DataFrame) -> DataFrame:

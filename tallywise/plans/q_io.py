@@ -99,7 +99,7 @@ where (cs.status = 'active' or cs.status is null) and a.odoo_qty <> 0""")
 def q_report_write(spark, sf_dir):
     from tallywise.plans.q_stock import q_stock_xref
     path = _run_dir(spark, "report_write")
-    sinks.write_report(q_stock_xref(spark, sf_dir), path, order=S.XREF_ORDER)
+    sinks.write_report(q_stock_xref(spark, sf_dir), path, order=S.xref_order())
     return read_csv(spark, path, XREF_SCHEMA)
 
 

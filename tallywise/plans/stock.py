@@ -141,15 +141,17 @@ def stock_cross_reference(totals: DataFrame, combined: DataFrame, loc_count: Dat
     )
 
 
-XREF_ORDER = [
-    F.when(F.col("size_mismatch_note").isNotNull(), 0).otherwise(1),
-    F.col("location_id"),
-    F.when(F.col("shopify_onhand_qty") != 0, F.abs(F.col("odoo_onhand_qty") - F.col("shopify_onhand_qty")))
-     .otherwise(F.col("odoo_onhand_qty")).desc(),
-    F.when(F.col("shopify_available_qty") != 0,
-           F.abs(F.col("odoo_available_qty") - F.col("shopify_available_qty")))
-     .otherwise(F.col("odoo_available_qty")).desc(),
-]
+def xref_order():
+    """Report sort: noted mismatches first, location, then the two differences descending."""
+    return [
+        F.when(F.col("size_mismatch_note").isNotNull(), 0).otherwise(1),
+        F.col("location_id"),
+        F.when(F.col("shopify_onhand_qty") != 0, F.abs(F.col("odoo_onhand_qty") - F.col("shopify_onhand_qty")))
+         .otherwise(F.col("odoo_onhand_qty")).desc(),
+        F.when(F.col("shopify_available_qty") != 0,
+               F.abs(F.col("odoo_available_qty") - F.col("shopify_available_qty")))
+         .otherwise(F.col("odoo_available_qty")).desc(),
+    ]
 
 
 def cross_reference_extended(stock: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -174,9 +176,10 @@ def cross_reference_extended(stock: DataFrame, inventory: DataFrame) -> DataFram
     )
 
 
-EXTENDED_ORDER = [F.when(F.col("shopify_on_hand").isNotNull(),
-                         F.abs(F.col("odoo_quantity") - F.col("shopify_on_hand")))
-                  .otherwise(F.col("odoo_quantity")).desc()]
+def extended_order():
+    return [F.when(F.col("shopify_on_hand").isNotNull(),
+                   F.abs(F.col("odoo_quantity") - F.col("shopify_on_hand")))
+            .otherwise(F.col("odoo_quantity")).desc()]
 
 MISMATCH_THRESHOLD = 5.0
 
