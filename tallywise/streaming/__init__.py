@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The reconciled workflows re-pull a time window and replace their tables on
+every run; there is no watermark, window, state or late-data logic to carry
+over, so nothing is built here.
+"""
