@@ -79,8 +79,14 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
     pr = products.select(F.col("id").alias("__prod"), F.col("default_code").alias("product_default_code"),
                          F.col("name").alias("product_name"),
                          F.col("description_sale").alias("product_description"))
-    ln = ln.join(pr, ln["product_id"] == pr["__prod"], "left")
-    j = h.join(ln, h["id"] == ln["order_id"], "left").drop("line_id")
+    ln = ln.join(pr, ln["product_id"] == pr["__prod"], "left").drop("__prod")
+    # orders LEFT JOIN lines, written so that a huge order stays splittable:
+    # lines x headers is an inner join (AQE may split either side), and the
+    # lineless headers come from an anti join against distinct order ids.
+    with_lines = ln.join(h, ln["order_id"] == h["id"]).drop("line_id")
+    has_lines = ln.select(F.col("order_id").alias("__oid")).distinct()
+    lineless = h.join(has_lines, h["id"] == has_lines["__oid"], "left_anti")
+    j = with_lines.unionByName(lineless, allowMissingColumns=True)
 
     day = F.try_to_date(F.substring_index(F.col("date_order"), " ", 1), "yyyy-MM-dd")
     return j.select(

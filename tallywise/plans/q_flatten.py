@@ -29,7 +29,11 @@ select od.name, od.email, od.financial_status, od.paid_at, od.fulfillment_status
             when li.lname like '% - %' then trim(split_part(li.lname, ' - ', 1)) else li.lname end as plantname
 from od left join li on li.l_orderkey = od.o_orderkey""")
 def q_flatten_orders(spark, sf_dir):
-    return FL.flatten_orders(order_documents(spark, sf_dir))
+    from pyspark.sql import functions as F
+    from tallywise.sources.schemas import parse_orders
+    # The documents travel as JSON text and are parsed with the declared schema.
+    docs = order_documents(spark, sf_dir)
+    return FL.flatten_orders(parse_orders(docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))))
 
 
 @query("line_numbers", """
