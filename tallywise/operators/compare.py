@@ -8,32 +8,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _cond(a: DataFrame, b: DataFrame, ak, bk):
+    return reduce(lambda x, y: x & y, [a[i].eqNullSafe(b[j]) for i, j in zip(ak, bk)])
+
+
 def null_safe_full_outer(left: DataFrame, right: DataFrame, left_keys, right_keys,
-                         split_key: int | None = 0) -> DataFrame:
+                         skew_safe: bool = True) -> DataFrame:
     """Full outer join on ``left_keys[i] <=> right_keys[i]`` for all i.
 
-    Key expressions are Columns already bound to each side. With
-    ``split_key`` set, rows whose key number ``split_key`` is null are joined
-    apart on the remaining keys and unioned back. A null key only ever matches
-    a null key, so the result is the same, but the null rows no longer land in
-    one shuffle partition (AQE does not split skew in full outer joins).
+    Key expressions are Columns bound to each side; the two sides must have
+    disjoint column names. With ``skew_safe`` (default) the join is written as
+
+        (left JOIN right)                                   -- inner
+        UNION ALL left  ANTI JOIN distinct(right keys)      -- left only
+        UNION ALL right ANTI JOIN distinct(left keys)       -- right only
+
+    which returns the same rows. A sort-merge full outer join cannot be split
+    by AQE when one key is hot; inner and left-anti joins can, and the
+    distinct key sets collapse a hot key to one row before they shuffle.
     """
     lk = [f"__lk{i}" for i in range(len(left_keys))]
     rk = [f"__rk{i}" for i in range(len(right_keys))]
     l2 = left.select("*", *[k.alias(n) for k, n in zip(left_keys, lk)])
     r2 = right.select("*", *[k.alias(n) for k, n in zip(right_keys, rk)])
-
-    def join(a: DataFrame, b: DataFrame, idx) -> DataFrame:
-        cond = reduce(lambda x, y: x & y, [a[lk[i]].eqNullSafe(b[rk[i]]) for i in idx])
-        return a.join(b, cond, "full_outer")
-
-    if split_key is None:
-        out = join(l2, r2, range(len(lk)))
-    else:
-        s = split_key
-        rest = [i for i in range(len(lk)) if i != s]
-        keyed = join(l2.filter(F.col(lk[s]).isNotNull()), r2.filter(F.col(rk[s]).isNotNull()),
-                     range(len(lk)))
-        nulls = join(l2.filter(F.col(lk[s]).isNull()), r2.filter(F.col(rk[s]).isNull()), rest)
-        out = keyed.unionByName(nulls)
-    return out.drop(*lk, *rk)
+    if not skew_safe:
+        return l2.join(r2, _cond(l2, r2, lk, rk), "full_outer").drop(*lk, *rk)
+
+    inner = l2.join(r2, _cond(l2, r2, lk, rk), "inner")
+    r_keys = r2.select(*rk).distinct()
+    l_keys = l2.select(*lk).distinct()
+    l_only = l2.join(r_keys, _cond(l2, r_keys, lk, rk), "left_anti")
+    r_only = r2.join(l_keys, _cond(r2, l_keys, rk, lk), "left_anti")
+    out_cols = left.columns + right.columns
+    parts = [
+        inner.select(*[F.col(f"`{c}`") for c in out_cols]),
+        l_only.select(*[F.col(f"`{c}`") for c in left.columns],
+                      *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns]),
+        r_only.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns],
+                      *[F.col(f"`{c}`") for c in right.columns]),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

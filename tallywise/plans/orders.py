@@ -50,7 +50,8 @@ def compare_orders(storefront: DataFrame, erp: DataFrame) -> DataFrame:
     """Line-by-line comparison with a five-way sync status.
 
     Full outer join on lower-cased (order, SKU) where null matches null; a
-    row is 'in' a side when that side's order number is present.
+    row is 'in' a side when that side's order number is present. The join is
+    the skew-safe form of ``null_safe_full_outer``.
     """
     s = storefront_side(storefront)
     e = erp_side(erp)
@@ -58,7 +59,6 @@ def compare_orders(storefront: DataFrame, erp: DataFrame) -> DataFrame:
         s, e,
         [F.lower(s["shopify_order_number"]), F.lower(s["shopify_sku"])],
         [F.lower(e["odoo_shopify_order_number"]), F.lower(e["odoo_sku"])],
-        split_key=0,
     )
     in_s = F.col("shopify_order_number").isNotNull()
     in_o = F.col("odoo_shopify_order_number").isNotNull()

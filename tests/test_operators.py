@@ -17,8 +17,8 @@ def test_null_safe_full_outer_matches_unsplit(spark):
                               "o string, s string, v int")
     b = spark.createDataFrame([(None, "x", 10), (None, "x", 11), ("o1", None, 12), ("o2", "x", 13)],
                               "o2 string, s2 string, w int")
-    split = null_safe_full_outer(a, b, [a.o, a.s], [b.o2, b.s2], split_key=0)
-    whole = null_safe_full_outer(a, b, [a.o, a.s], [b.o2, b.s2], split_key=None)
+    split = null_safe_full_outer(a, b, [a.o, a.s], [b.o2, b.s2], skew_safe=True)
+    whole = null_safe_full_outer(a, b, [a.o, a.s], [b.o2, b.s2], skew_safe=False)
     assert rows(split) == rows(whole)
     # null order keys match each other on the SKU
     assert (None, "x", 1, None, "x", 10) in rows(split)
