@@ -64,3 +64,16 @@ def test_exists_other_value_equals_semi_join(spark):
     got = rows(exists_other_value(lv, "product_id", "location_id", pk, "item", "location"))
     brute = rows(lv.join(pk, (lv.product_id == pk.item) & (lv.location_id != pk.location), "left_semi"))
     assert got == brute == [("i1", "L2", 2.0)]
+
+
+def test_overrides_only_if_zero(spark):
+    from tallywise.plans.inventory import apply_overrides, overrides_frame
+    inv = spark.createDataFrame([("A", "t", 0.0, 5.0, 2.0, 1.0, 0.0), ("B", "t", 3.0, 3.0, 1.0, 0.0, 0.0),
+                                 ("C", "t", 1.0, 1.0, 1.0, 1.0, 1.0)],
+                                "sku string, title string, on_hand double, available double, committed double, "
+                                "unavailable double, incoming double")
+    ov = overrides_frame(spark, [("A", 41.0, 41.0, 0.0, 0.0, 0.0), ("B", 9.0, 9.0, 9.0, 9.0, 9.0)])
+    always = {r["sku"]: r["on_hand"] for r in apply_overrides(inv, ov).collect()}
+    zero = {r["sku"]: r["on_hand"] for r in apply_overrides(inv, ov, only_if_zero=True).collect()}
+    assert always == {"A": 41.0, "B": 9.0, "C": 1.0}
+    assert zero == {"A": 41.0, "B": 3.0, "C": 1.0}
