@@ -64,7 +64,8 @@ def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",
                         hot_threshold: int | None = HOT_GROUP_ROWS, partitions: int | None = None) -> DataFrame:
     """Sequential number from 1 per group, in the given (total) order.
 
-    Groups up to ``hot_threshold`` rows are numbered with a window. Larger
+    A first aggregate job counts rows per group (map-side combined). Groups
+    up to ``hot_threshold`` rows are numbered with a window. Larger
     (hot) groups would put a whole group into one task, so their rows are
     range-partitioned on (keys, order) across many tasks and numbered by
     position: partition offsets (one row per partition) plus the position
@@ -80,6 +81,8 @@ def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",
 
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hot_keys = sizes.filter(F.col("__n") > hot_threshold).select(*keys)
+    if hot_keys.isEmpty():  # the usual case: every group fits one task
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     cols = df.columns
     key_match = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
     cond = key_match[0]
