@@ -49,15 +49,10 @@ HOT_GROUP_ROWS = 1_000_000
 
 
 def _materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Positions derived from partition ids must be computed once: a second
-    evaluation could see a different partition layout. The checkpoint also
-    cuts the lineage, so a lost executor does not recompute the sort.
-    """
-    from tallywise.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Positions derived from partition ids must be computed once: a second
+    evaluation could see a different partition layout."""
+    from tallywise.session import reliable_checkpoint
+    return reliable_checkpoint(df)
 
 
 def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",

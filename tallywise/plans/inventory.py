@@ -95,10 +95,18 @@ def classify_records(lines: DataFrame) -> DataFrame:
     ).filter(F.col("kind").isNotNull())
 
 
-def split_records(classified: DataFrame):
+def split_records(classified: DataFrame, materialize: bool = True):
     """(products, variants, levels). Products and variants: the last record
     per id wins; a variant keeps the line of its first appearance as its
-    position (dict insertion order). Levels are all kept."""
+    position (dict insertion order). Levels are all kept.
+
+    The parsed records feed three branches; with ``materialize`` they are
+    checkpointed once (columnar, in the shared folder) instead of parsing the
+    JSON three times.
+    """
+    if materialize:
+        from tallywise.session import reliable_checkpoint
+        classified = reliable_checkpoint(classified)
     prod = last_wins(classified.filter(F.col("kind") == "product"), "record_id", "line_no",
                      cols=["title", "handle", "status", "line_no"])
     var_rows = classified.filter(F.col("kind") == "variant")

@@ -69,3 +69,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def reliable_checkpoint(df):
+    """Eager, reliable checkpoint into the shared checkpoint folder.
+
+    Used where a result is read several times and recomputing it is costly
+    (parsed JSON) or must not change between reads (positions derived from
+    partition ids). It also cuts the lineage, so a lost executor does not
+    trigger a long recomputation.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
