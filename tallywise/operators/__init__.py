@@ -7,11 +7,11 @@ from tallywise.operators.grouping import (
 )
 from tallywise.operators.prefix import prefix_equi_join, hyphen_prefixes
 from tallywise.operators.semi import exists_other_value
-from tallywise.operators.frames import reindex, rename_require, keep_available, drop_quietly
+from tallywise.operators.frames import reindex, rename_require, keep_available, drop_quietly, duplicate_keys
 
 __all__ = [
     "broadcast_if_small", "estimated_bytes", "null_safe_full_outer", "first_non_null", "dense_index",
     "first_row_per_group", "flag_first_in_group", "last_wins", "number_within_group",
     "prefix_equi_join", "hyphen_prefixes", "exists_other_value", "reindex", "rename_require",
-    "keep_available", "drop_quietly",
+    "keep_available", "drop_quietly", "duplicate_keys",
 ]

@@ -30,3 +30,10 @@ def keep_available(df: DataFrame, wanted) -> DataFrame:
 
 def drop_quietly(df: DataFrame, *cols) -> DataFrame:
     return df.drop(*cols)
+
+
+def duplicate_keys(df: DataFrame, keys) -> DataFrame:
+    """Keys that occur more than once (with their count): a check for
+    dimensions whose duplicates would fan out joins or double sums."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

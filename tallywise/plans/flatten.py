@@ -12,6 +12,7 @@ from tallywise.functions import (
 from tallywise.operators import broadcast_if_small, number_within_group
 
 DEFAULT_FULFILLMENT = "unfulfilled"
+DEFAULT_RISK = "Unknown"
 
 
 def flatten_orders(docs: DataFrame) -> DataFrame:
@@ -25,6 +26,8 @@ def flatten_orders(docs: DataFrame) -> DataFrame:
         first_text("fulfillment_status", default=DEFAULT_FULFILLMENT).alias("fulfillment_status"),
         yes_no("buyer_accepts_marketing").alias("accepts_marketing"),
         full_name(F.col("billing_address.first_name"), F.col("billing_address.last_name")).alias("billing_name"),
+        F.when(F.col("order_risk").isNotNull(), F.col("order_risk.level"))
+         .otherwise(F.lit(DEFAULT_RISK)).alias("risk_level"),
         li.getField("quantity").alias("lineitem_quantity"),
         li.getField("name").alias("lineitem_name"),
         li.getField("price").alias("lineitem_price"),

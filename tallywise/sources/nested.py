@@ -123,6 +123,7 @@ select o.o_orderkey as id,
        o.o_orderkey % 2 = 0 as buyer_accepts_marketing,
        case when o.o_orderkey % 5 = 0 then null
             else named_struct('first_name', c.c_name, 'last_name', c.c_mktsegment) end as billing_address,
+       case when o.o_orderkey % 3 = 0 then named_struct('level', lower(o.o_orderpriority)) end as order_risk,
        li.line_items
 from orders o join customer c on c.c_custkey = o.o_custkey
 left join li on li.l_orderkey = o.o_orderkey

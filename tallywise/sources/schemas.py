@@ -32,6 +32,7 @@ ORDER = T.StructType([
     T.StructField("currency", T.StringType()), T.StructField("total_price", T.StringType()),
     T.StructField("billing_address", _ADDRESS), T.StructField("shipping_address", _ADDRESS),
     T.StructField("tags", T.StringType()),
+    T.StructField("order_risk", T.StructType([T.StructField("level", T.StringType())])),
     T.StructField("line_items", T.ArrayType(LINE_ITEM)),
 ])
 

@@ -77,3 +77,9 @@ def test_overrides_only_if_zero(spark):
     zero = {r["sku"]: r["on_hand"] for r in apply_overrides(inv, ov, only_if_zero=True).collect()}
     assert always == {"A": 41.0, "B": 9.0, "C": 1.0}
     assert zero == {"A": 41.0, "B": 3.0, "C": 1.0}
+
+
+def test_duplicate_keys(spark):
+    from tallywise.operators import duplicate_keys
+    dim = spark.createDataFrame([("01G", 1.0), ("01G", 2.0), ("03G", 3.0)], "name string, c double")
+    assert rows(duplicate_keys(dim, "name")) == [("01G", 2)]
