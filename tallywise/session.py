@@ -22,7 +22,7 @@ BASE_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "tallywise") -> SparkSession:
+                app_name: str = "tallywise", extra_conf: dict | None = None) -> SparkSession:
     """Return the active session or build one with the library's settings.
 
     On a cluster the submitter supplies master and sizing; locally (tests,
@@ -36,7 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     elif "SPARK_MASTER" not in os.environ and "spark.master" not in os.environ.get("SPARK_CONF", ""):
         builder = builder.master("local[*]")
-    for k, v in BASE_CONF.items():
+    for k, v in {**BASE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
