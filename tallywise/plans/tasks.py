@@ -47,7 +47,8 @@ class StockInputs:
 
 
 def stock_cross_reference(inp: StockInputs, out_dir: str) -> dict[str, bool]:
-    stock = S.clean_odoo_stock(inp.quants)
+    from tallywise.session import reliable_checkpoint
+    stock = reliable_checkpoint(S.clean_odoo_stock(inp.quants))  # read by five reports
     totals = S.total_by_location(stock, inp.sizes)
     xref = S.stock_cross_reference(totals, S.combined_storefront(inp.products, inp.inventory),
                                    S.location_counts(totals), S.size_mismatches(stock, inp.products))
