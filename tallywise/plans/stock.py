@@ -70,18 +70,35 @@ def location_counts(totals: DataFrame) -> DataFrame:
 
 
 def combined_storefront(products: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Per product SKU: inventory figures, falling back to product figures."""
-    sp = products.alias("sp")
-    si = inventory.alias("si")
-    j = sp.join(si, F.col("sp.sku") == F.col("si.sku"), "left")
-    return j.groupBy(F.col("sp.sku").alias("sku")).agg(
-        F.max("sp.title").alias("title"),
-        F.max("sp.status").alias("status"),
-        F.max(F.coalesce(F.col("si.on_hand"), F.col("sp.old_inventory_quantity"), F.lit(0.0))).alias("on_hand"),
-        F.max(F.coalesce(F.col("si.available"), F.col("sp.inventory_quantity"), F.lit(0.0))).alias("available"),
-        F.max(F.coalesce(F.col("si.committed"), F.lit(0.0))).alias("committed"),
-        F.max(F.coalesce(F.col("si.unavailable"), F.lit(0.0))).alias("unavailable"),
-    )
+    """Per product SKU: inventory figures, falling back to product figures.
+
+    Same result as ``products LEFT JOIN inventory ON sku`` followed by
+    ``max(coalesce(inventory value, product value, 0))`` per SKU, but both
+    sides are aggregated per SKU first (map-side combined), so a SKU with
+    many rows never meets the other side row by row, and the join is 1:1.
+    For each figure the maximum over the joined pairs is the larger of the
+    inventory maximum and, when some inventory row lacks the value (or there
+    is no inventory row), the product fallback maximum.
+    """
+    sp = products.groupBy("sku").agg(
+        F.max("title").alias("title"), F.max("status").alias("status"),
+        F.max(F.coalesce(F.col("old_inventory_quantity"), F.lit(0.0))).alias("__sp_on_hand"),
+        F.max(F.coalesce(F.col("inventory_quantity"), F.lit(0.0))).alias("__sp_available"))
+    figures = ["on_hand", "available", "committed", "unavailable"]
+    si = inventory.filter(F.col("sku").isNotNull()).groupBy(F.col("sku").alias("__si_sku")).agg(
+        *[F.max(c).alias(f"__si_{c}") for c in figures],
+        *[F.max(F.col(c).isNull().cast("int")).alias(f"__si_{c}_gap") for c in figures])
+    j = sp.join(si, sp["sku"] == si["__si_sku"], "left")
+    no_inv = F.col("__si_sku").isNull()
+
+    def figure(c: str, fallback):
+        gap = no_inv | (F.col(f"__si_{c}_gap") == 1)
+        return F.greatest(F.col(f"__si_{c}"), F.when(gap, fallback)).alias(c)
+
+    return j.select(
+        "sku", "title", "status",
+        figure("on_hand", F.col("__sp_on_hand")), figure("available", F.col("__sp_available")),
+        figure("committed", F.lit(0.0)), figure("unavailable", F.lit(0.0)))
 
 
 SIZE_BAND = 5.0

@@ -74,3 +74,26 @@ def test_exists_other_value_equals_semi(spark, rows, other):
     got = _rows(exists_other_value(r, "k", "v", o, "k2", "v2"))
     brute = _rows(r.join(o, (r.k == o.k2) & (r.v != o.v2), "left_semi"))
     assert got == brute
+
+
+_val = st.one_of(st.none(), st.sampled_from([0.0, 1.0, 5.0]))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), _val, _val), min_size=1, max_size=6),
+       st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), _val, _val, _val, _val), max_size=6))
+def test_combined_storefront_equals_join_then_max(spark, prods, invs):
+    from tallywise.plans.stock import combined_storefront
+    sp = spark.createDataFrame([(k, f"t{i}", "active", q, o) for i, (k, q, o) in enumerate(prods)],
+                               "sku string, title string, status string, inventory_quantity double, "
+                               "old_inventory_quantity double")
+    si = spark.createDataFrame(list(invs), "sku string, on_hand double, available double, committed double, "
+                                           "unavailable double")
+    got = _rows(combined_storefront(sp, si))
+    j = sp.alias("sp").join(si.alias("si"), F.col("sp.sku") == F.col("si.sku"), "left")
+    brute = _rows(j.groupBy(F.col("sp.sku").alias("sku")).agg(
+        F.max("sp.title"), F.max("sp.status"),
+        F.max(F.coalesce("si.on_hand", "sp.old_inventory_quantity", F.lit(0.0))),
+        F.max(F.coalesce("si.available", "sp.inventory_quantity", F.lit(0.0))),
+        F.max(F.coalesce("si.committed", F.lit(0.0))), F.max(F.coalesce("si.unavailable", F.lit(0.0)))))
+    assert got == brute
