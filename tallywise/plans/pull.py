@@ -67,5 +67,7 @@ def alternative_stock(levels: DataFrame, picking: DataFrame) -> DataFrame:
     """Stock of items being picked held at other locations than a pick
     location, distinct. The inequality semi join runs as an equi-join to a
     per-item (min, max) location summary."""
-    kept = exists_other_value(levels, "product_id", "location_id", picking, "item", "location")
-    return kept.select("product_id", "location_id", "quantity").distinct()
+    # DISTINCT first (map-side combined); the semi join keeps or drops whole
+    # rows, so its output stays distinct and its skew can be split by AQE.
+    distinct_levels = levels.select("product_id", "location_id", "quantity").distinct()
+    return exists_other_value(distinct_levels, "product_id", "location_id", picking, "item", "location")
