@@ -80,3 +80,24 @@ def test_parquet_pushdown_and_pruning(spark):
     plan = _plan(df)
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp" in plan
+
+
+def test_anti_and_semi_partition_the_export(spark):
+    from pyspark.sql import functions as F
+    from tallywise.sources.fixtures import fixtures
+    fx = fixtures(spark, SMALL)
+    exp = fx.order_export.filter(F.col("sku").isNotNull())
+    known = fx.existing_orders
+    anti = exp.join(known, "name", "left_anti").count()
+    semi = exp.join(known, "name", "left_semi").count()
+    assert anti + semi == exp.count()
+    assert E.queries()["import_orders_new"](spark, SMALL).count() == anti
+
+
+def test_line_numbers_are_one_to_n(spark):
+    from pyspark.sql import functions as F
+    df = E.queries()["line_numbers"](spark, SMALL)
+    agg = df.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("line_no").alias("lo"),
+                                       F.max("line_no").alias("hi"),
+                                       F.count_distinct("line_no").alias("d"))
+    assert agg.filter("lo != 1 or hi != n or d != n").count() == 0
