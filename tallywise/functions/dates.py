@@ -32,7 +32,7 @@ def date_parts(ts, null_year: str = "0", prefix: str = "", suffix: str = "paid")
     ]
 
 
-def drop_offsets(c, offsets=(" -0500", " -0400")) -> Column:
+def drop_offsets(c, offsets) -> Column:
     """Remove offset texts without shifting the time."""
     out = col_(c)
     for o in offsets:

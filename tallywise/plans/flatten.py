@@ -11,8 +11,7 @@ from tallywise.functions import (
 )
 from tallywise.operators import broadcast_if_small, number_within_group
 
-DEFAULT_FULFILLMENT = "unfulfilled"
-DEFAULT_RISK = "Unknown"
+from tallywise.constants import DEFAULT_FULFILLMENT, DEFAULT_RISK
 
 
 def flatten_orders(docs: DataFrame) -> DataFrame:

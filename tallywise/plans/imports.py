@@ -13,24 +13,17 @@ from pyspark.sql import functions as F
 from tallywise.functions import drop_offsets
 from tallywise.operators import first_row_per_group, flag_first_in_group, reindex
 
-# Order export headers used by the import candidates.
+from tallywise.constants import (  # noqa: E402
+    CONTACT_ADDRESS_TYPE, CONTACT_IS_COMPANY, CONTACT_KEEP, CONTACT_RENAME, CONTACT_UPLOAD, EXPORT_OFFSETS,
+    IMPORT_CUSTOMER, ORDER_KEEP, ORDER_UPLOAD,
+)
+
+# Canonical landing names of the fixture views -> the export's headers.
 EXPORT_RENAME = {
     "name": "Name", "billing_name": "Billing Name", "paid_at": "Paid at",
     "quantity": "Lineitem quantity", "price": "Lineitem price", "sku": "Lineitem sku",
     "billing_country": "Billing Country", "email": "Email",
 }
-ORDER_KEEP = ["Name", "Billing Name", "Paid at", "Lineitem quantity", "Lineitem price", "Lineitem sku"]
-CONTACT_KEEP = ["Email", "Billing Name", "Billing Street", "Billing City", "Billing Zip",
-                "Billing Province", "Billing Country", "Billing Phone"]
-CONTACT_RENAME = {"Billing Name": "Name", "Billing Street": "Street", "Billing City": "City",
-                  "Billing Zip": "Zip", "Billing Province": "State", "Billing Country": "Country",
-                  "Billing Phone": "Phone"}
-# Output headers of the two upload files.
-ORDER_UPLOAD = ["Order Reference", "Delivery Address", "Customer", "Order Date",
-                "OrderLines/Quantity", "OrderLines/Price_unit", "Order Lines/Product"]
-CONTACT_UPLOAD = ["Email", "Name", "Street", "City", "Zip", "State", "Country", "Phone",
-                  "Is a company", "Address type"]
-IMPORT_CUSTOMER = "Shopify"
 ROW_ORDER = "__row"
 
 
@@ -61,7 +54,7 @@ def import_orders(export: DataFrame, existing_orders: DataFrame) -> DataFrame:
         F.when(first, F.col("Name")).otherwise(blank).alias("Order Reference"),
         F.when(first, F.col("`Billing Name`")).otherwise(blank).alias("Delivery Address"),
         F.when(first, F.lit(IMPORT_CUSTOMER)).otherwise(blank).alias("Customer"),
-        F.when(first, drop_offsets(F.col("`Paid at`"))).otherwise(blank).alias("Order Date"),
+        F.when(first, drop_offsets(F.col("`Paid at`"), EXPORT_OFFSETS)).otherwise(blank).alias("Order Date"),
         F.col("`Lineitem quantity`").alias("OrderLines/Quantity"),
         F.col("`Lineitem price`").alias("OrderLines/Price_unit"),
         F.col("`Lineitem sku`").alias("Order Lines/Product"),
@@ -74,7 +67,8 @@ def import_contacts(export: DataFrame, existing_contacts: DataFrame) -> DataFram
     df = df.filter(F.col("`Billing Name`") != "").withColumnsRenamed(CONTACT_RENAME)
     df = first_row_per_group(df, "Name", ROW_ORDER,
                              cols=[c for c in CONTACT_UPLOAD if c in df.columns] + [ROW_ORDER])
-    df = df.withColumn("Is a company", F.lit("0")).withColumn("Address type", F.lit("Contact"))
+    df = (df.withColumn("Is a company", F.lit(CONTACT_IS_COMPANY))
+          .withColumn("Address type", F.lit(CONTACT_ADDRESS_TYPE)))
     known = existing_contacts.select(F.col("name").alias("__known")).filter(F.col("__known").isNotNull())
     df = df.join(known, df["Name"] == known["__known"], "left_anti")
     return df.select(*[F.col(f"`{c}`") for c in CONTACT_UPLOAD])

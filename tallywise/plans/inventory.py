@@ -12,12 +12,7 @@ from tallywise.operators import broadcast_if_small, first_non_null, last_wins
 
 QTY_COLS = ["incoming", "unavailable", "committed", "available", "on_hand"]
 INVENTORY_COLS = ["sku", "title", "handle", "option_value"] + QTY_COLS
-NOT_STOCKED = "not stocked"
-
-# Inventory CSV export headers and the table's names for them.
-CSV_RENAME = {"SKU": "sku", "Title": "title", "Handle": "handle", "Option1 Value": "option_value",
-              "Incoming": "incoming", "Unavailable": "unavailable", "Committed": "committed",
-              "Available": "available", "On hand": "on_hand"}
+from tallywise.constants import CSV_RENAME, DEFAULT_PRODUCT_STATUS, LEVEL_NAMES, NOT_STOCKED  # noqa: F401
 
 
 def inventory_by_sku(csv_rows: DataFrame, order: str = "row_idx") -> DataFrame:
@@ -69,7 +64,6 @@ BULK_SCHEMA = T.StructType([
     T.StructField("quantities", T.ArrayType(T.StructType([
         T.StructField("name", T.StringType()), T.StructField("quantity", T.DoubleType())]))),
 ])
-LEVEL_NAMES = ["available", "on_hand", "committed", "incoming"]
 
 
 def classify_records(lines: DataFrame) -> DataFrame:
@@ -89,7 +83,7 @@ def classify_records(lines: DataFrame) -> DataFrame:
         "line_no", kind.alias("kind"),
         F.col("r.id").alias("record_id"), parent.alias("parent_id"),
         F.col("r.sku").alias("sku"), F.col("r.title").alias("title"), F.col("r.handle").alias("handle"),
-        F.when(has("status"), F.col("r.status")).otherwise(F.lit("active")).alias("status"),
+        F.when(has("status"), F.col("r.status")).otherwise(F.lit(DEFAULT_PRODUCT_STATUS)).alias("status"),
         F.coalesce(F.col("r.inventoryQuantity"), F.lit(0.0)).alias("inventory_quantity"),
         F.col("r.location.name").alias("location"), F.col("r.quantities").alias("quantities"),
     ).filter(F.col("kind").isNotNull())
@@ -176,7 +170,8 @@ def bulk_inventory(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
         *[F.sum(c).alias(c) for c in QTY_COLS]).select(*INVENTORY_COLS)
     products = inv.select("sku", "title", "handle", F.col("option_value").alias("option1"),
                           F.col("on_hand").alias("inventory_quantity"),
-                          F.col("on_hand").alias("old_inventory_quantity"), F.lit("active").alias("status"))
+                          F.col("on_hand").alias("old_inventory_quantity"),
+                          F.lit(DEFAULT_PRODUCT_STATUS).alias("status"))
     return inv, products
 
 

@@ -18,9 +18,7 @@ from tallywise.functions import (
 )
 from tallywise.operators import broadcast_if_small, null_safe_full_outer
 
-SYNC_STATUSES = ("Missing in Shopify", "Missing in Odoo", "Quantity mismatch",
-                 "Price mismatch", "Synced")
-PRICE_TOLERANCE = 0.01
+from tallywise.constants import LEGACY_SKU_SUFFIX, PAID_STATUS, PRICE_TOLERANCE, SYNC_ACTIONS, SYNC_STATUSES
 
 
 def storefront_side(lines: DataFrame) -> DataFrame:
@@ -83,7 +81,7 @@ def sync_status_counts(comparison: DataFrame) -> DataFrame:
     return comparison.groupBy("sync_status").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
-ACTIONS = {"import": ("Missing in Odoo",), "update": ("Quantity mismatch", "Price mismatch")}
+ACTIONS = SYNC_ACTIONS
 
 
 def sync_actions(comparison: DataFrame) -> DataFrame:
@@ -123,10 +121,10 @@ def sync_report_samples(comparison: DataFrame, n: int = 5) -> DataFrame:
 
 
 def paid_orders(lines: DataFrame) -> DataFrame:
-    return lines.filter(F.col("financial_status") == F.lit("paid"))
+    return lines.filter(F.col("financial_status") == F.lit(PAID_STATUS))
 
 
-def map_legacy_skus(lines: DataFrame, legacy: DataFrame, suffix: str = "-01G") -> DataFrame:
+def map_legacy_skus(lines: DataFrame, legacy: DataFrame, suffix: str = LEGACY_SKU_SUFFIX) -> DataFrame:
     """Replace a line's SKU by ``base_sku || suffix`` when the legacy table
     maps it to a non-null base; duplicates in the lookup fan out."""
     lk = broadcast_if_small(legacy.select("legacy_sku", "base_sku"))

@@ -13,17 +13,9 @@ from pyspark.sql import functions as F
 from tallywise.functions import order_before_slash, pair_label, strip_brackets, strip_text, to_number_or_zero
 from tallywise.operators import exists_other_value, rename_require
 
-# Transfer-sheet export headers and the names they map to.
-PICKING_RENAME = {
-    "Stock Moves": "order_text",
-    "Stock Moves/Product": "item",
-    "Stock Moves/Move Line/From": "location",
-    "Stock Moves/Quantity": "quantity",
-    "Stock Moves/Product/Quantity On Hand": "on_hand",
-}
-PICKING_REQUIRED = ["order_text", "item", "location", "quantity", "on_hand"]
-STOCK_PREFIX = "F/Stock/"
-PULL_LOCATION_PATTERN = "F%"
+from tallywise.constants import PICKING_RENAME, PULL_LOCATION_PATTERN, STOCK_PREFIX
+
+PICKING_REQUIRED = list(PICKING_RENAME.values())
 
 
 def rename_picking(raw: DataFrame) -> DataFrame:

@@ -116,7 +116,7 @@ def q_order_flow_report(spark, sf_dir):
 
 
 LOOKBACK_AS_OF = "1998-08-02 00:00:00"
-LOOKBACK_DAYS = 90
+LOOKBACK_DAYS = 90  # the default look-back (constants.DEFAULT_LOOKBACK_DAYS)
 
 
 @query("lookback_filter", f"""

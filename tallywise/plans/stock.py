@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from tallywise.functions import bracket_code, pair_label, sku_prefix, sku_suffix
 from tallywise.operators import broadcast_if_small, prefix_equi_join
 
-# The stock domain of the cross-reference.
-STOCK_LOCATION_PATTERN = "F%"
-STOCK_TRACKING = "none"
-STOCK_CATEGORY = "Plant"
+from tallywise.constants import (
+    ACTIVE_STATUS, MISMATCH_THRESHOLD, SIZE_BAND, SIZE_MISMATCH_NOTE, STOCK_CATEGORY, STOCK_LOCATION_PATTERN,
+    STOCK_TRACKING,
+)
 
 
 def clean_odoo_stock(quants: DataFrame, location_pattern: str = STOCK_LOCATION_PATTERN,
@@ -101,9 +101,6 @@ def combined_storefront(products: DataFrame, inventory: DataFrame) -> DataFrame:
         figure("committed", F.lit(0.0)), figure("unavailable", F.lit(0.0)))
 
 
-SIZE_BAND = 5.0
-
-
 def size_mismatches(stock: DataFrame, products: DataFrame, band: float = SIZE_BAND) -> DataFrame:
     """ERP stock held under one size while the storefront shows stock for a
     sibling size of the same plant with a quantity within ``band``.
@@ -122,8 +119,8 @@ def size_mismatches(stock: DataFrame, products: DataFrame, band: float = SIZE_BA
     j = prefix_equi_join(s2, "correct_shopify_sku", o, "plant_prefix")
     j = j.filter((F.col("correct_shopify_sku") != F.col("default_code"))
                  & (F.abs(F.col("quantity") - F.col("shopify_qty")) <= F.lit(band)))
-    note = F.concat(F.lit("Size mismatch: Odoo has "), F.col("size_suffix"), F.lit(" but Shopify has "),
-                    F.col("correct_size"), F.lit(" with matching quantity"))
+    note = F.concat(F.lit(SIZE_MISMATCH_NOTE[0]), F.col("size_suffix"), F.lit(SIZE_MISMATCH_NOTE[1]),
+                    F.col("correct_size"), F.lit(SIZE_MISMATCH_NOTE[2]))
     return j.select(
         F.col("default_code").alias("odoo_sku"), F.col("size_suffix").alias("odoo_size"),
         F.col("quantity").alias("odoo_qty"), "correct_shopify_sku", "correct_size", "shopify_qty",
@@ -139,7 +136,7 @@ def stock_cross_reference(totals: DataFrame, combined: DataFrame, loc_count: Dat
     c = loc_count.alias("c")
     psm = mismatches.alias("psm")
     j = (a.join(cs, F.col("a.default_code") == F.col("cs.sku"), "left")
-         .filter((F.col("cs.status") == "active") | F.col("cs.status").isNull())
+         .filter((F.col("cs.status") == ACTIVE_STATUS) | F.col("cs.status").isNull())
          .join(psm, F.col("a.default_code") == F.col("psm.odoo_sku"), "left")
          .join(c, F.col("a.product_id") == F.col("c.product_id"), "left"))
     return j.select(
@@ -198,9 +195,6 @@ def extended_order():
                    F.abs(F.col("odoo_quantity") - F.col("shopify_on_hand")))
             .otherwise(F.col("odoo_quantity")).desc()]
 
-MISMATCH_THRESHOLD = 5.0
-
-
 def significant_mismatches(extended: DataFrame, threshold: float = MISMATCH_THRESHOLD) -> DataFrame:
     return extended.filter(F.col("shopify_sku").isNotNull() & (F.col("odoo_quantity") > 0)
                            & (F.col("shopify_on_hand") != F.col("odoo_quantity"))
