@@ -8,7 +8,7 @@ from tallywise.plans.registry import query
 from tallywise.sources.fixtures import fixtures, with_clause
 
 
-@query("import_orders_new", with_clause("order_export", "existing_orders") + """
+_IMPORT_ORDERS_SQL = with_clause("order_export", "existing_orders") + """
 , f AS (select coalesce(name, '') as name, coalesce(billing_name, '') as billing_name,
                coalesce(paid_at, '') as paid_at, quantity, price, coalesce(sku, '') as sku,
                l_orderkey, line_no from order_export),
@@ -20,7 +20,10 @@ select case when rn = 1 then name else '' end as "Order Reference",
        case when rn = 1 then 'Shopify' else '' end as "Customer",
        case when rn = 1 then replace(replace(paid_at, ' -0500', ''), ' -0400', '') else '' end as "Order Date",
        quantity as "OrderLines/Quantity", price as "OrderLines/Price_unit", sku as "Order Lines/Product"
-from r""")
+from r"""
+
+
+@query("import_orders_new", _IMPORT_ORDERS_SQL)
 def q_import_orders_new(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     return I.import_orders(I.export_frame(fx.order_export), fx.existing_orders)
@@ -50,3 +53,26 @@ def q_reindex_columns(spark, sf_dir):
     df = rename_require(df, I.REINDEX_RENAME, ["Name", "Lineitem sku"])
     offered = keep_available(df, [c for c in I.REINDEX_WANTED if c in df.columns])
     return reindex(offered, I.REINDEX_WANTED)
+
+
+# Export file layout: the export's own headers plus the landing row order.
+ORDER_CSV_SCHEMA = ("`Name` string, `Billing Name` string, `Paid at` string, `Lineitem quantity` double, "
+                    "`Lineitem price` double, `Lineitem sku` string, `Billing Country` string, "
+                    "l_orderkey bigint, line_no bigint")
+
+
+@query("import_orders_csv", _IMPORT_ORDERS_SQL)
+def q_import_orders_csv(spark, sf_dir):
+    """Same candidates, read from a header CSV export landed in the shared
+    folder with a declared schema (never inferred)."""
+    import uuid
+
+    from tallywise.session import scratch_path
+    from tallywise.sources.files import read_csv
+    fx = fixtures(spark, sf_dir)
+    path = scratch_path(spark, f"tallywise/orders_export/{uuid.uuid4().hex}")
+    export = fx.order_export.withColumnsRenamed({k: v for k, v in I.EXPORT_RENAME.items()
+                                                 if k in fx.order_export.columns})
+    export.write.option("header", True).csv(path)
+    landed = read_csv(spark, path, ORDER_CSV_SCHEMA)
+    return I.import_orders(I.export_frame(landed), fx.existing_orders)
