@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from tallywise.plans import orders as O
 from tallywise.plans.registry import query

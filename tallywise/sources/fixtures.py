@@ -9,7 +9,6 @@ in Spark from the flat views by the functions at the end of this module.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallywise.sources.tables import register_tables
 
