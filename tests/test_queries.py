@@ -101,3 +101,16 @@ def test_line_numbers_are_one_to_n(spark):
                                        F.max("line_no").alias("hi"),
                                        F.count_distinct("line_no").alias("d"))
     assert agg.filter("lo != 1 or hi != n or d != n").count() == 0
+
+
+def test_no_cartesian_or_nested_loop_when_broadcast_is_off(spark):
+    """At scale nothing is small enough to broadcast; no plan may then fall
+    back to a cartesian product or a nested-loop join."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key, fn in E.queries().items():
+            plan = _plan(fn(spark, SMALL))
+            assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
