@@ -123,6 +123,21 @@ from r)
 """
 
 
+@query("bulk_inventory_file", _BULK_EXPECTED + "select * from inv")
+def q_bulk_inventory_file(spark, sf_dir):
+    """The bulk export landed as a JSON-lines file set and read back."""
+    import uuid
+
+    from pyspark.sql import functions as F
+    from tallywise.session import scratch_path
+    from tallywise.sources.files import read_json_lines
+    path = scratch_path(spark, f"tallywise/bulk_export/{uuid.uuid4().hex}")
+    # File order = record order: range-partition by line number, so part
+    # files (named by partition) follow each other in order.
+    bulk_export_lines(spark, sf_dir).orderBy("line_no").select("value").write.text(path)
+    return V.bulk_inventory(V.classify_records(read_json_lines(spark, path)))[0]
+
+
 @query("bulk_inventory", _BULK_EXPECTED + "select * from inv")
 def q_bulk_inventory(spark, sf_dir):
     return V.bulk_inventory(_classified(spark, sf_dir))[0]

@@ -14,16 +14,19 @@ def read_csv(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") ->
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines as text ``(value, file, line_no)``.
+    """JSON lines as text ``(value, line_no)`` where ``line_no`` sorts in
+    file order: (file path, start of the split, position in the split).
 
-    ``line_no`` follows file order inside each file split; a reader that
-    needs strict whole-file order should write one file per export (the
-    bulk export is one file) and keep ``spark.sql.files.maxPartitionBytes``
-    above its size, or carry an explicit sequence field.
+    Rows of one split arrive in file order and the generated id grows within
+    a task, so the triple is a total order over all files without reading
+    any file in one task. Files are ordered by path (part files of one
+    export sort by name).
     """
-    return (spark.read.text(path)
-            .select("value", F.col("_metadata.file_path").alias("file"),
-                    F.monotonically_increasing_id().alias("line_no")))
+    return spark.read.text(path).select(
+        "value",
+        F.struct(F.col("_metadata.file_path").alias("file"),
+                 F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("pos")).alias("line_no"))
 
 
 def _fs(spark: SparkSession, path: str):
