@@ -9,7 +9,7 @@ from tallywise.sources.fixtures import fixtures, with_clause
 from tallywise.sources.nested import ERP_SQL, erp_landing, line_arrays, order_documents
 
 
-@query("flatten_orders", with_clause("base_lines") + """
+_FLATTEN_SQL = with_clause("base_lines") + """
 , li AS (select b.l_orderkey, b.line_no, b.sku, p.p_name || ' - ' || b.size_code as lname, b.l_quantity,
                 cast(b.l_extendedprice as string) as price
          from base_lines b join part p on p.p_partkey = b.l_partkey),
@@ -28,7 +28,10 @@ select od.name, od.email, od.financial_status, od.paid_at, od.fulfillment_status
        li.sku as lineitem_sku, cast(coalesce(li.line_no, 1) as bigint) as lineitem_number,
        case when li.l_orderkey is null then null
             when li.lname like '% - %' then trim(split_part(li.lname, ' - ', 1)) else li.lname end as plantname
-from od left join li on li.l_orderkey = od.o_orderkey""")
+from od left join li on li.l_orderkey = od.o_orderkey"""
+
+
+@query("flatten_orders", _FLATTEN_SQL)
 def q_flatten_orders(spark, sf_dir):
     from pyspark.sql import functions as F
     from tallywise.sources.schemas import parse_orders
@@ -37,6 +40,19 @@ def q_flatten_orders(spark, sf_dir):
     return FL.flatten_orders(parse_orders(docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))))
 
 
+@query("flatten_orders_file", _FLATTEN_SQL)
+def q_flatten_orders_file(spark, sf_dir):
+    """Order pages landed as JSON files (one document per line) and read
+    with the declared order schema."""
+    import uuid
+
+    from tallywise.session import scratch_path
+    from tallywise.sources.schemas import read_orders_json
+    path = scratch_path(spark, f"tallywise/order_pages/{uuid.uuid4().hex}")
+    order_documents(spark, sf_dir).write.json(path)
+    return FL.flatten_orders(read_orders_json(spark, path))
+
+
 @query("line_numbers", """
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
        cast(row_number() over (partition by l_orderkey
