@@ -158,7 +158,6 @@ select case when b.line_no = 2 then 'SO' || cast(b.l_orderkey as string)
        case when b.line_no = 3 then cast(0 as double) else b.l_quantity end as quantity,
        cast(p.p_size as double) as on_hand
 from base_lines b join part p on p.p_partkey = b.l_partkey
-where b.l_orderkey % 40 = 0
 """)
 
 _view("order_export", ("base_lines",), """
