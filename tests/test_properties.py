@@ -97,3 +97,29 @@ def test_combined_storefront_equals_join_then_max(spark, prods, invs):
         F.max(F.coalesce("si.available", "sp.inventory_quantity", F.lit(0.0))),
         F.max(F.coalesce("si.committed", F.lit(0.0))), F.max(F.coalesce("si.unavailable", F.lit(0.0)))))
     assert got == brute
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 5)), min_size=1, max_size=15))
+def test_first_per_group_matches_pandas(spark, data):
+    import pandas as pd
+    from tallywise.operators import first_row_per_group, flag_first_in_group
+    rows_ = [(k, i, v) for i, (k, v) in enumerate(data)]  # i = file order
+    df = spark.createDataFrame(rows_, "k string, i long, v long")
+    pdf = pd.DataFrame(rows_, columns=["k", "i", "v"])
+    want_flags = sorted(zip(pdf.k, pdf.i, ~pdf.duplicated(subset=["k"], keep="first")))
+    got_flags = sorted((r.k, r.i, r.f) for r in flag_first_in_group(df, "k", "i", "f").collect())
+    assert got_flags == [(k, i, bool(f)) for k, i, f in want_flags]
+    want_first = sorted(map(tuple, pdf.drop_duplicates(subset=["k"], keep="first").values.tolist()))
+    assert sorted(tuple(r) for r in first_row_per_group(df, "k", "i").select("k", "i", "v").collect()) == want_first
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 50)), min_size=1, max_size=40),
+       st.integers(1, 10))
+def test_line_numbers_any_threshold(spark, data, threshold):
+    from tallywise.operators import number_within_group
+    df = spark.createDataFrame([(k, o, i) for i, (k, o) in enumerate(data)], "k string, o long, i long")
+    plain = number_within_group(df, "k", ["o", "i"], hot_threshold=None)
+    split = number_within_group(df, "k", ["o", "i"], hot_threshold=threshold, partitions=3)
+    assert _rows(plain) == _rows(split)
