@@ -95,3 +95,46 @@ def import_candidates(inp: ImportInputs, out_dir: str) -> dict[str, bool]:
         "contacts": write_report(I.import_contacts(export, inp.existing_contacts), f"{out_dir}/01_contacts_upload"),
         "orders": write_report(I.import_orders(export, inp.existing_orders), f"{out_dir}/02_orders_upload"),
     }
+
+
+def refresh_storefront_orders(docs: DataFrame, out_path: str, as_of: str, days: int | None = 90) -> bool:
+    """Storefront order refresh: orders of the look-back window (``days=None``
+    keeps all) flattened to lines, paid lines only, paid date parts added,
+    then a full replace of the table with a surrogate key in source order."""
+    from tallywise.constants import PAID_STATUS
+    from tallywise.functions import date_parts, iso_utc, lookback
+    from tallywise.plans.flatten import flatten_orders
+    from tallywise.sources.sinks import replace_table
+
+    recent = docs.filter(lookback(F.try_to_timestamp(F.col("processed_at")), as_of, days))
+    lines = flatten_orders(recent)
+    ts = F.try_to_timestamp(F.col("paid_at"))
+    out = lines.filter(F.col("financial_status") == PAID_STATUS).select(
+        "*", F.when(ts.isNotNull(), iso_utc(ts)).alias("paid_at_utc"), *date_parts(ts, null_year="0"))
+    replace_table(out, out_path, ["name", "lineitem_number"])
+    return True
+
+
+def refresh_erp_orders(erp: dict, out_path: str) -> bool:
+    """ERP order refresh: headers, lines, products and partners assembled to
+    line rows and fully replaced (the ERP side always reads everything)."""
+    from tallywise.plans.flatten import erp_order_lines
+    from tallywise.sources.sinks import replace_table
+
+    rows = erp_order_lines(erp["erp_orders"], erp["erp_order_lines"], erp["erp_products"],
+                           erp["erp_partners"], erp["erp_states"], erp["erp_countries"])
+    replace_table(rows, out_path, ["odoo_id", "line_number"], key="row_id", as_text=False)
+    return True
+
+
+def import_bulk_inventory(lines: DataFrame, out_dir: str, as_of: str) -> dict[str, bool]:
+    """Bulk-export import: inventory and product tables replaced, load
+    stamp written."""
+    from tallywise.plans.inventory import bulk_inventory, classify_records
+    from tallywise.sources.sinks import last_update_table, stamp
+
+    inventory, products = bulk_inventory(classify_records(lines))
+    stamp(inventory, as_of).write.mode("overwrite").parquet(f"{out_dir}/shopify_inventory")
+    products.write.mode("overwrite").parquet(f"{out_dir}/shopifyproducts")
+    last_update_table(lines.sparkSession, as_of).write.mode("overwrite").parquet(f"{out_dir}/last_update")
+    return {"shopify_inventory": True, "shopifyproducts": True, "last_update": True}

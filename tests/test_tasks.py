@@ -21,3 +21,25 @@ def test_tasks_write_reports(spark):
     back = spark.read.option("header", True).csv(f"{out}/pull/03_pullsheet")
     assert back.count() == fx.picking.filter("quantity > 0").count()
     assert back.columns == ["ord", "item", "location", "qty", "on_hand"]
+
+
+def test_refresh_and_import_tasks(spark):
+    from pyspark.sql import functions as F
+    from tallywise.sources.nested import bulk_export_lines, erp_landing, order_documents
+    out = scratch_path(spark, f"tallywise-tests/{uuid.uuid4().hex}")
+    docs = order_documents(spark, SMALL)
+    assert T.refresh_storefront_orders(docs, f"{out}/shopify_orders", "1998-08-02 00:00:00", days=None)
+    t = spark.read.parquet(f"{out}/shopify_orders")
+    paid_lines = docs.filter("financial_status = 'paid'").select(
+        F.greatest(F.coalesce(F.size("line_items"), F.lit(0)), F.lit(1)).alias("n"))
+    assert t.count() == paid_lines.agg(F.sum("n")).first()[0]
+    assert sorted(r.id for r in t.select("id").collect()) == list(range(1, t.count() + 1))
+    assert set(t.columns) >= {"paid_at_utc", "day_paid", "month_paid", "year_paid"}
+    recent = T.refresh_storefront_orders(docs, f"{out}/shopify_orders_90d", "1998-08-02 00:00:00", days=90)
+    assert recent and spark.read.parquet(f"{out}/shopify_orders_90d").count() < t.count()
+
+    assert T.refresh_erp_orders(erp_landing(spark, SMALL), f"{out}/odoo_orders")
+    assert spark.read.parquet(f"{out}/odoo_orders").count() > 0
+
+    assert all(T.import_bulk_inventory(bulk_export_lines(spark, SMALL), f"{out}/inv", "2026-01-01").values())
+    assert spark.read.parquet(f"{out}/inv/last_update").count() == 1
