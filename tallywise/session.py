@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings every job in this library relies on. AQE re-plans joins at runtime
@@ -34,10 +35,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if active is not None:
         return active
     builder = SparkSession.builder.appName(app_name)
+    if master is None and not SparkConf().contains("spark.master"):
+        master = "local[*]"  # plain `python` run; spark-submit sets the master itself
     if master is not None:
         builder = builder.master(master)
-    elif "SPARK_MASTER" not in os.environ and "spark.master" not in os.environ.get("SPARK_CONF", ""):
-        builder = builder.master("local[*]")
     for k, v in {**BASE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
