@@ -31,17 +31,22 @@ def insert_by_name(df: DataFrame, target_columns) -> DataFrame:
 
 
 def write_once(df: DataFrame, path: str) -> bool:
-    """Load a table only if it is not there yet; True when written."""
+    """Load a table only if no committed copy is there yet; True when written.
+
+    A folder without the job-commit marker is a load that died half-way
+    (for example when executors were lost); it is overwritten, not trusted.
+    """
     spark = df.sparkSession
-    if path_exists(spark, path):
+    if table_exists(spark, path):
         return False
-    df.write.mode("ignore").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return True
 
 
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
+    """A catalog table, or a path holding a committed write (``_SUCCESS``)."""
     if "/" in name_or_path:
-        return path_exists(spark, name_or_path)
+        return path_exists(spark, f"{name_or_path.rstrip('/')}/_SUCCESS")
     return spark.catalog.tableExists(name_or_path)
 
 

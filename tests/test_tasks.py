@@ -43,3 +43,17 @@ def test_refresh_and_import_tasks(spark):
 
     assert all(T.import_bulk_inventory(bulk_export_lines(spark, SMALL), f"{out}/inv", "2026-01-01").values())
     assert spark.read.parquet(f"{out}/inv/last_update").count() == 1
+
+
+def test_write_once_ignores_unfinished_folder(spark):
+    from tallywise.sources import sinks
+    path = scratch_path(spark, f"tallywise-tests/{uuid.uuid4().hex}/legacy")
+    df = spark.range(5).toDF("x")
+    # a crashed load: folder with data files but no commit marker
+    df.limit(2).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    assert not sinks.table_exists(spark, path)
+    assert sinks.write_once(df, path)
+    assert spark.read.parquet(path).count() == 5
+    assert sinks.table_exists(spark, path)
+    assert not sinks.write_once(spark.range(9).toDF("x"), path)
+    assert spark.read.parquet(path).count() == 5
