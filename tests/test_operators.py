@@ -83,3 +83,16 @@ def test_duplicate_keys(spark):
     from tallywise.operators import duplicate_keys
     dim = spark.createDataFrame([("01G", 1.0), ("01G", 2.0), ("03G", 3.0)], "name string, c double")
     assert rows(duplicate_keys(dim, "name")) == [("01G", 2)]
+
+
+def test_rename_picking_maps_export_headers(spark):
+    import pytest as _pytest
+    from tallywise.plans.pull import pullsheet, rename_picking
+    raw = spark.createDataFrame(
+        [("SO7/1", "[FAM-1-01G] Rose", "F/Stock/S1", 3.0, 9.0, "x")],
+        "`Stock Moves` string, `Stock Moves/Product` string, `Stock Moves/Move Line/From` string, "
+        "`Stock Moves/Quantity` double, `Stock Moves/Product/Quantity On Hand` double, extra string")
+    got = pullsheet(rename_picking(raw)).collect()
+    assert [tuple(r) for r in got] == [("SO7", "Rose", "S1", 3.0, 9.0)]
+    with _pytest.raises(ValueError):
+        rename_picking(raw.drop("Stock Moves/Quantity"))
