@@ -198,8 +198,13 @@ def catalog_flatten(pages: DataFrame, body: str = "body") -> DataFrame:
     Quantity: the stock level's if present, else the variant's, else 0.
     Status is lower-cased at ingest so later filters on 'active' work.
     """
-    prods = pages.select(F.explode(F.from_json(F.col(body), PAGE_SCHEMA)
-                                   .getField("data").getField("products").getField("edges")).alias("e"))
+    return catalog_flatten_parsed(pages.select(F.from_json(F.col(body), PAGE_SCHEMA).getField("data").alias("data")))
+
+
+def catalog_flatten_parsed(pages: DataFrame) -> DataFrame:
+    """Same as ``catalog_flatten`` for pages already parsed with PAGE_SCHEMA
+    (for example ``spark.read.schema(PAGE_SCHEMA).json(folder)``)."""
+    prods = pages.select(F.explode(F.col("data.products.edges")).alias("e"))
     prods = prods.select(F.col("e.node").alias("p"))
     vars_ = prods.select("p", F.explode(F.col("p.variants.edges")).alias("ve")).select("p", F.col("ve.node").alias("v"))
     q = F.coalesce(F.col("v.inventoryItem.inventoryLevel.quantity"), F.col("v.inventoryQuantity"), F.lit(0.0))

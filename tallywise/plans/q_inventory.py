@@ -150,7 +150,7 @@ def q_bulk_products(spark, sf_dir):
     return V.bulk_inventory(_classified(spark, sf_dir))[1]
 
 
-@query("catalog_flatten", f"""
+_CATALOG_SQL = f"""
 with f as (select cast(floor(p_partkey / 4) as bigint) as fam, min(p_name) as title from part group by 1)
 select cast(f.fam as string) as product_id, {_SKU} as sku, f.title, 'fam-' || cast(f.fam as string) as handle,
        {_SIZE} as option_value, case when f.fam % 11 = 0 then 'archived' else 'active' end as status,
@@ -159,11 +159,25 @@ select cast(f.fam as string) as product_id, {_SKU} as sku, f.title, 'fam-' || ca
        {_IQ} + case when p_partkey % 6 = 0 then 1 else 0 end as available,
        cast(0 as double) as committed, cast(0 as double) as unavailable, cast(0 as double) as incoming
 from part join f on f.fam = cast(floor(p_partkey / 4) as bigint)
-where p_partkey % 19 <> 0""")
+where p_partkey % 19 <> 0"""
+
+
+@query("catalog_flatten", _CATALOG_SQL)
 def q_catalog_flatten(spark, sf_dir):
     return V.catalog_flatten(catalog_pages(spark, sf_dir))
 
 
+@query("catalog_flatten_file", _CATALOG_SQL)
+def q_catalog_flatten_file(spark, sf_dir):
+    """Catalogue pages landed as JSON files, read with the declared schema."""
+    import uuid
+
+    from tallywise.session import scratch_path
+    path = scratch_path(spark, f"tallywise/catalog_pages/{uuid.uuid4().hex}")
+    catalog_pages(spark, sf_dir).select("body").write.text(path)
+    return V.catalog_flatten_parsed(spark.read.schema(V.PAGE_SCHEMA).json(path))
+
+
 @query("json_path", """
 select event_id, try_cast(json_extract_string(props, '$.k') as bigint) as k from events""")
 def q_json_path(spark, sf_dir):
