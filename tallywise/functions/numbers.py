@@ -9,9 +9,10 @@ from tallywise.functions.text import col_
 
 __all__ = ["to_number", "to_number_or_zero", "within", "same_or_both_null", "non_negative"]
 
-# Plain decimal or scientific notation. Spark's cast also accepts suffixes such
-# as ``1d``; the guard keeps those (and ``NaN``) out so they become null.
-_NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# Plain decimal or scientific notation, or a signed infinity. Spark's cast also
+# accepts suffixes such as ``1d``; the guard keeps those (and ``NaN``) out so
+# they become null.
+_NUMERIC = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 
 def to_number(c) -> Column:

@@ -37,6 +37,11 @@ def test_to_number_guards_suffix_and_nan(spark):
     assert one(spark, TF.to_number_or_zero("x"), data, "x string")[1] == 0.0
 
 
+def test_to_number_infinity(spark):
+    data = [("inf",), ("-Infinity",), ("+INF",), ("infx",)]
+    assert one(spark, TF.to_number("x"), data, "x string") == [float("inf"), float("-inf"), float("inf"), None]
+
+
 def test_price_tolerance_is_double_strict(spark):
     df = spark.createDataFrame([(10.01, 10.00), (10.0, 10.009), (None, 1.0)], "a double, b double")
     got = [r[0] for r in df.select(TF.within("a", "b", 0.01)).collect()]

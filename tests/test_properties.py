@@ -12,7 +12,7 @@ from tallywise.operators import exists_other_value, null_safe_full_outer, prefix
 
 SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 
-_NUM = re.compile(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$")
+_NUM = re.compile(r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$")
 
 
 def _key(t):
