@@ -106,7 +106,9 @@ def size_mismatches(stock: DataFrame, products: DataFrame, band: float = SIZE_BA
     sibling size of the same plant with a quantity within ``band``.
 
     ``sibling.sku LIKE prefix || '-%'`` (case-blind) runs as an equi-join on
-    exploded hyphen prefixes; inequality and band are residual filters.
+    exploded hyphen prefixes plus a quantity bucket (band width ``band``), so
+    only rows with near quantities are paired; inequality and the exact band
+    remain residual filters.
     """
     o = stock.filter((F.col("quantity") > 0) & (F.col("plant_prefix") != ""))
     own = products.select(F.col("sku").alias("__own_sku"), F.col("inventory_quantity").alias("__own_q"))
@@ -116,7 +118,15 @@ def size_mismatches(stock: DataFrame, products: DataFrame, band: float = SIZE_BA
     s2 = products.filter(F.col("inventory_quantity") > 0).select(
         F.col("sku").alias("correct_shopify_sku"), F.col("option1").alias("correct_size"),
         F.col("inventory_quantity").alias("shopify_qty"))
-    j = prefix_equi_join(s2, "correct_shopify_sku", o, "plant_prefix")
+    # Band join: a stock row sits in bucket floor(q / band); a storefront row
+    # can only be within the band of rows in its own or a neighbouring bucket.
+    if band > 0:
+        bucket = lambda q: F.floor(q / F.lit(band)).cast("bigint")
+        near = F.array(*[bucket(F.col("shopify_qty")) + d for d in (-1, 0, 1)])
+        j = prefix_equi_join(s2, "correct_shopify_sku", o, "plant_prefix",
+                             text_keys=near, prefix_key=bucket(F.col("quantity")))
+    else:
+        j = prefix_equi_join(s2, "correct_shopify_sku", o, "plant_prefix")
     j = j.filter((F.col("correct_shopify_sku") != F.col("default_code"))
                  & (F.abs(F.col("quantity") - F.col("shopify_qty")) <= F.lit(band)))
     note = F.concat(F.lit(SIZE_MISMATCH_NOTE[0]), F.col("size_suffix"), F.lit(SIZE_MISMATCH_NOTE[1]),

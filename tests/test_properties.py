@@ -123,3 +123,15 @@ def test_line_numbers_any_threshold(spark, data, threshold):
     plain = number_within_group(df, "k", ["o", "i"], hot_threshold=None)
     split = number_within_group(df, "k", ["o", "i"], hot_threshold=threshold, partitions=3)
     assert _rows(plain) == _rows(split)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(_sku, st.integers(0, 6)), min_size=1, max_size=10),
+       st.lists(st.tuples(_sku, st.integers(0, 6)), min_size=1, max_size=6))
+def test_keyed_prefix_join_matches_like(spark, texts, prefixes):
+    t = spark.createDataFrame([(x, q) for x, q in texts], "t string, q int")
+    p = spark.createDataFrame([(x, q, i) for i, (x, q) in enumerate(prefixes)], "p string, r int, i int")
+    near = F.array(F.col("q") - 1, F.col("q"), F.col("q") + 1)
+    got = _rows(prefix_equi_join(t, "t", p, "p", text_keys=near, prefix_key=F.col("r")).select("t", "q", "i"))
+    brute = _rows(t.crossJoin(p).filter(F.expr("t ilike p || '-%' and abs(q - r) <= 1")).select("t", "q", "i"))
+    assert got == brute
