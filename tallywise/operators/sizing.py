@@ -22,6 +22,13 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
+# File-based estimates are compressed sizes; rows in memory are larger. The
+# estimate is scaled by this factor before it is compared with the bound.
+IN_MEMORY_FACTOR = 4
+
+
 def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """``broadcast(df)`` when its estimated size is under ``max_bytes``."""
-    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
+    """``broadcast(df)`` when its estimated in-memory size is under
+    ``max_bytes``; otherwise the plain frame (a shuffle join, which AQE may
+    still turn into a broadcast from the real runtime size)."""
+    return F.broadcast(df) if estimated_bytes(df) * IN_MEMORY_FACTOR <= max_bytes else df
