@@ -13,7 +13,7 @@ from pyspark.sql.column import Column as _Col
 __all__ = [
     "col_", "order_before_slash", "bracket_code", "strip_brackets", "strip_text",
     "sku_prefix", "sku_suffix", "pair_label", "first_text", "yes_no", "full_name",
-    "plant_name", "last_path_part", "order_number", "null_concat", "nonempty",
+    "plant_name", "last_path_part", "order_number", "null_concat", "nonempty", "like_pattern",
 ]
 
 
@@ -104,3 +104,25 @@ def null_concat(*cols) -> Column:
 def nonempty(c) -> Column:
     """Predicate: a key that is neither null nor empty."""
     return F.coalesce(col_(c), F.lit("")) != F.lit("")
+
+
+def like_pattern(c, pattern: str, case_blind: bool = False) -> Column:
+    """SQL LIKE, written so that simple patterns reach the parquet scan.
+
+    A pattern that is a literal prefix followed by ``%`` becomes
+    ``startswith`` (pushed down as StringStartsWith). Case-blind, a prefix of
+    one character becomes two ``startswith`` tests (upper and lower case),
+    which still push down; anything else stays ``ilike``/``like``.
+    """
+    c = col_(c)
+    head = pattern[:-1]
+    simple = pattern.endswith("%") and not any(ch in head for ch in "%_\\")
+    if simple and not case_blind:
+        return c.startswith(head)
+    if simple and len(head) == 1:
+        variants = sorted({head.upper(), head.lower()})
+        cond = c.startswith(variants[0])
+        for v in variants[1:]:
+            cond = cond | c.startswith(v)
+        return cond
+    return F.ilike(c, F.lit(pattern)) if case_blind else F.like(c, F.lit(pattern))

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.functions import order_before_slash, pair_label, strip_brackets, strip_text, to_number_or_zero
+from tallywise.functions import (
+    like_pattern, order_before_slash, pair_label, strip_brackets, strip_text, to_number_or_zero,
+)
 from tallywise.operators import exists_other_value, rename_require
 
 from tallywise.constants import PICKING_RENAME, PULL_LOCATION_PATTERN, STOCK_PREFIX
@@ -49,7 +51,7 @@ def order_targets(picking: DataFrame) -> DataFrame:
 def stock_levels(quants: DataFrame, location_pattern: str = PULL_LOCATION_PATTERN) -> DataFrame:
     """ERP stock for the pull sheet: case-sensitive location test only."""
     product = F.struct(F.col("l_partkey").alias("id"), F.col("product_label").alias("label"))
-    return quants.filter(F.col("location_label").like(location_pattern)).select(
+    return quants.filter(like_pattern("location_label", location_pattern)).select(
         pair_label(product).alias("product_id"),
         F.col("location_label").cast("string").alias("location_id"),
         to_number_or_zero("quantity").alias("quantity"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.functions import bracket_code, pair_label, sku_prefix, sku_suffix
+from tallywise.functions import bracket_code, like_pattern, pair_label, sku_prefix, sku_suffix
 from tallywise.operators import broadcast_if_small, prefix_equi_join
 
 from tallywise.constants import (
@@ -27,8 +27,7 @@ def clean_odoo_stock(quants: DataFrame, location_pattern: str = STOCK_LOCATION_P
                      case_blind: bool = True) -> DataFrame:
     """Domain filter on the raw columns (so it reaches the scan), then the
     pair labels and the SKU parts derived from the product label."""
-    loc = F.col("location_label")
-    cond = loc.ilike(location_pattern) if case_blind else loc.like(location_pattern)
+    cond = like_pattern("location_label", location_pattern, case_blind=case_blind)
     if tracking is not None:
         cond = cond & (F.col("tracking") == F.lit(tracking))
     if category is not None:

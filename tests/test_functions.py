@@ -79,3 +79,16 @@ def test_array_helpers(spark):
                      TF.sum_nested_where("refunds", "transactions", "amount", "kind", "refund", "outer")).collect()
     assert tuple(rows[0]) == ("A, ", None, 1.0, 2.0, 0.0)
     assert tuple(rows[1]) == ("", None, 0.0, 0.0, 0.0)
+
+
+def test_like_pattern_matches_like_and_pushes_down(spark, tmp_path):
+    data = [("F/Stock/S1",), ("f/x",), ("W/Other",), ("F",), (None,), ("_F",)]
+    df = spark.createDataFrame(data, "x string")
+    for pat, blind in (("F%", True), ("F%", False), ("F/St%", True), ("_F%", False), ("%S1", True)):
+        got = [r[0] for r in df.select(TF.like_pattern("x", pat, blind)).collect()]
+        want = [r[0] for r in df.select(F.ilike("x", F.lit(pat)) if blind else F.like("x", F.lit(pat))).collect()]
+        assert got == want, pat
+    path = str(tmp_path / "t")
+    df.write.parquet(path)
+    plan = spark.read.parquet(path).filter(TF.like_pattern("x", "F%", True))._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(x,F)" in plan and "StringStartsWith(x,f)" in plan
