@@ -102,8 +102,10 @@ def null_concat(*cols) -> Column:
 
 
 def nonempty(c) -> Column:
-    """Predicate: a key that is neither null nor empty."""
-    return F.coalesce(col_(c), F.lit("")) != F.lit("")
+    """Predicate: a key that is neither null nor empty (written as two simple
+    predicates so that it can reach the parquet scan)."""
+    c = col_(c)
+    return c.isNotNull() & (c != F.lit(""))
 
 
 def like_pattern(c, pattern: str, case_blind: bool = False) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.functions import drop_offsets
+from tallywise.functions import drop_offsets, nonempty
 from tallywise.operators import first_row_per_group, flag_first_in_group, reindex
 
 from tallywise.constants import (  # noqa: E402
@@ -43,8 +43,8 @@ def _fill_text(df: DataFrame) -> DataFrame:
 def import_orders(export: DataFrame, existing_orders: DataFrame) -> DataFrame:
     """Order lines not yet in the ERP; header fields only on each order's
     first remaining line."""
-    df = _fill_text(reindex(export, ORDER_KEEP + [ROW_ORDER]))
-    df = df.filter(F.col("`Lineitem sku`") != "")
+    df = reindex(export, ORDER_KEEP + [ROW_ORDER]).filter(nonempty(F.col("`Lineitem sku`")))
+    df = _fill_text(df)
     known = existing_orders.select(F.col("name").alias("__known")).filter(F.col("__known").isNotNull())
     df = df.join(known, df["Name"] == known["__known"], "left_anti")
     df = flag_first_in_group(df, "Name", ROW_ORDER, "__first")
@@ -63,8 +63,8 @@ def import_orders(export: DataFrame, existing_orders: DataFrame) -> DataFrame:
 
 def import_contacts(export: DataFrame, existing_contacts: DataFrame) -> DataFrame:
     """Billing contacts not yet in the ERP, first occurrence per name."""
-    df = _fill_text(reindex(export, CONTACT_KEEP + [ROW_ORDER]))
-    df = df.filter(F.col("`Billing Name`") != "").withColumnsRenamed(CONTACT_RENAME)
+    df = reindex(export, CONTACT_KEEP + [ROW_ORDER]).filter(nonempty(F.col("`Billing Name`")))
+    df = _fill_text(df).withColumnsRenamed(CONTACT_RENAME)
     df = first_row_per_group(df, "Name", ROW_ORDER,
                              cols=[c for c in CONTACT_UPLOAD if c in df.columns] + [ROW_ORDER])
     df = (df.withColumn("Is a company", F.lit(CONTACT_IS_COMPANY))
