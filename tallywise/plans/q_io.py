@@ -68,7 +68,9 @@ LEGACY_VERSION = "v1"
 
 @query("table_guard", with_clause("legacy_lookup") + "select * from legacy_lookup")
 def q_table_guard(spark, sf_dir):
-    tag = sf_dir.rstrip("/").rsplit("/", 1)[-1]
+    import hashlib
+    folder = sf_dir.rstrip("/")
+    tag = f"{folder.rsplit('/', 1)[-1]}-{hashlib.sha1(folder.encode()).hexdigest()[:10]}"
     path = scratch_path(spark, f"tallywise/legacy_lookup/{LEGACY_VERSION}/{tag}")
     legacy = fixtures(spark, sf_dir).legacy_lookup
     if not sinks.table_exists(spark, path):
