@@ -114,3 +114,9 @@ def test_no_cartesian_or_nested_loop_when_broadcast_is_off(spark):
             assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_comparison_has_no_full_outer_join(spark):
+    """The comparison is the skew-splittable form: inner + anti joins."""
+    plan = _plan(E.queries()["order_compare"](spark, SMALL))
+    assert "FullOuter" not in plan and "LeftAnti" in plan
