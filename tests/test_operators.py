@@ -96,3 +96,13 @@ def test_rename_picking_maps_export_headers(spark):
     assert [tuple(r) for r in got] == [("SO7", "Rose", "S1", 3.0, 9.0)]
     with _pytest.raises(ValueError):
         rename_picking(raw.drop("Stock Moves/Quantity"))
+
+
+def test_broadcast_if_small_respects_the_bound(spark):
+    from tallywise.operators import broadcast_if_small, estimated_bytes
+    big = spark.range(10 ** 10)
+    small = spark.range(10)
+    assert estimated_bytes(big) > 64 * 1024 * 1024
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    assert not hinted(broadcast_if_small(big))
+    assert hinted(broadcast_if_small(small))
