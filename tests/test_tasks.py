@@ -57,3 +57,14 @@ def test_write_once_ignores_unfinished_folder(spark):
     assert sinks.table_exists(spark, path)
     assert not sinks.write_once(spark.range(9).toDF("x"), path)
     assert spark.read.parquet(path).count() == 5
+
+
+def test_json_lines_keep_file_order_across_part_files(spark):
+    from pyspark.sql import functions as F
+    from tallywise.sources.files import read_json_lines
+    path = scratch_path(spark, f"tallywise-tests/{uuid.uuid4().hex}/lines")
+    lines = spark.range(0, 5000).select(F.to_json(F.struct(F.col("id").alias("n"))).alias("value"), "id")
+    lines.repartitionByRange(7, "id").sortWithinPartitions("id").select("value").write.text(path)
+    back = read_json_lines(spark, path).select(F.get_json_object("value", "$.n").cast("long").alias("n"), "line_no")
+    ordered = [r.n for r in back.orderBy("line_no").collect()]
+    assert ordered == list(range(5000))
