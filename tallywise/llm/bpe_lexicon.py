@@ -29,18 +29,19 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.llm.common import fresh, stage, with_text_columns
+from tallywise.llm.common import fresh, pipeline_stage, stage, with_arrow_columns
 
 LEXICON = 65_536       # words in the automaton, at most
 WORD_BYTES = 64        # longer words are always merged
 FLUSH = 400_000        # distinct words that a counting task holds
-MEMO = 200_000         # merged words that a worker remembers
-SLICE = 1 << 21        # characters of texts encoded together
+MEMO = 300_000         # units whose ids a worker remembers
+SLICE = 1 << 23        # bytes of texts encoded together
 
 # Fixed value: the byte-level pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -77,6 +78,15 @@ class Vocabulary:
         names = sorted(self.special, key=len, reverse=True)
         self.special_split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
 
+    def units(self, text: str) -> list[str]:
+        """Units of a text that may hold special tokens; these are units of their own."""
+        if self.special_split is None or not any(s in text for s in self.special):
+            return units(text) if text else []
+        out = []
+        for k, part in enumerate(self.special_split.split(text)):
+            out += [part] if k % 2 else units(part) if part else []
+        return out
+
     def merge(self, word: bytes) -> list[int]:
         """The ids of one pre-token: always the pair of lowest rank, the leftmost of equals."""
         ids = [self.byte_id[b] for b in word]
@@ -211,25 +221,79 @@ def units(text: str) -> list[str]:
     return [first, *(" " + r for r in rest)] if first else [" " + r for r in rest]
 
 
+class Cut:
+    """Texts cut into units: the distinct ones, and for each text their places.
+
+    Arrow splits at every blank; texts in which a blank is followed by white space
+    or by nothing, or which hold a special token, are cut again one by one."""
+
+    def __init__(self, texts: pa.Array, vocab):
+        pieces = pc.split_pattern(texts, " ")
+        offsets = pieces.offsets.to_numpy().astype(np.int64)
+        coded = pieces.values.dictionary_encode()
+        codes, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+        codes, offsets = codes[offsets[0]:offsets[-1]], offsets - offsets[0]
+        first = offsets[:-1]
+        odd = np.fromiter((not p or p[0].isspace() for p in names), bool, len(names))[codes]
+        odd[first] = False
+        total = np.concatenate([[0], np.cumsum(odd)])
+        again = total[offsets[1:]] > total[offsets[:-1]]
+        for word in vocab.special:
+            again |= pc.match_substring(texts, word).to_numpy(zero_copy_only=False)
+        begins, place = np.unique(codes[first], return_inverse=True)
+        self.units = [" " + p for p in names] + [names[k] for k in begins]
+        codes[first] = len(names) + place
+        if again.any():
+            index = {u: k for k, u in enumerate(self.units)}
+            parts, sizes = [], np.diff(offsets)
+            for k in range(len(again)):
+                if again[k]:
+                    own = np.array([index.setdefault(u, len(index)) for u in vocab.units(texts[k].as_py())], np.int64)
+                    sizes[k] = len(own)
+                    parts.append(own)
+                else:
+                    parts.append(codes[offsets[k]:offsets[k + 1]])
+            self.units = list(index)
+            codes, offsets = np.concatenate(parts), np.concatenate([[0], np.cumsum(sizes)])
+        self.codes, self.offsets = codes, offsets
+
+
+def slices(texts: pa.Array):
+    """The texts in runs of about SLICE bytes."""
+    sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+    at, room = 0, 0
+    for k, n in enumerate(sizes.tolist()):
+        if k > at and room + n > SLICE:
+            yield texts.slice(at, k - at)
+            at, room = k, 0
+        room += n
+    if at < len(sizes):
+        yield texts.slice(at)
+
+
 def count_words(docs: DataFrame, text: str, vocabulary) -> DataFrame:
     """Every pre-token of the corpus with its number, summed in each task before it moves."""
     def run(batches):
-        vocab, words = vocabulary(), Counter()
+        vocab, seen = vocabulary(), Counter()
 
         def out():
             own = Counter()
-            for unit, n in words.items():
-                for w in vocab.split(unit):
-                    own[w] += n
-            words.clear()
+            for unit, n in seen.items():
+                if unit not in vocab.special:
+                    for w in vocab.split(unit):
+                        own[w] += n
+            seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(own.keys(), pa.string()), pa.array(own.values(), pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                if t:
-                    words.update(units(t))
-                    if len(words) > FLUSH:
-                        yield out()
+            for part in slices(batch.column(0).fill_null("")):
+                cut = Cut(part, vocab)
+                often = np.bincount(cut.codes, minlength=len(cut.units)).tolist()
+                for u, n in zip(cut.units, often):
+                    if n:
+                        seen[u] += n
+                if len(seen) > FLUSH:
+                    yield out()
         yield out()
 
     made = docs.select(F.col(text).alias("text")).mapInArrow(run, "word string, n long")
@@ -269,59 +333,46 @@ class Encoder:
         starts, ids = self.lexicon.starts, self.lexicon.ids
         known = np.flatnonzero(places >= 0)
         bounds = dict(zip(known.tolist(), zip(starts[places[known]].tolist(), starts[places[known] + 1].tolist())))
-        flat = ids
-        memo, merge = self.memo, self.vocab.merge
-        for k, w in enumerate(words):
+        merge = self.vocab.merge
+        for k, raw_word in enumerate(raw):
             if (b := bounds.get(k)) is not None:
-                out.append(flat[b[0]:b[1]].tolist())
-                continue
-            got = memo.get(w)
-            if got is None:
-                got = merge(raw[k])
-                if len(w) <= WORD_BYTES:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[w] = got
-            out.append(got)
+                out.append(ids[b[0]:b[1]].tolist())
+            else:
+                out.append(merge(raw_word))
         return out
 
-    def encode(self, texts: list[str]) -> list[list[list[int]]]:
-        """For each text the ids of its units, in order (units of equal text share a list)."""
-        index: dict[str, int] = {}
-        cut = [self._units(t) for t in texts]
-        codes = [[index.setdefault(u, len(index)) for u in own] for own in cut]
+    def encode(self, texts: pa.Array) -> tuple[Cut, list[list[int]]]:
+        """The texts' units and the ids of each distinct unit."""
+        cut, known = Cut(texts, self.vocab), self.memo
+        if len(known) > MEMO:
+            known.clear()
         split, special = self.vocab.split, self.vocab.special
         words: dict[str, int] = {}
-        parts = []
-        for unit in index:
-            parts.append(None if unit in special else [words.setdefault(w, len(words)) for w in split(unit)])
+        parts = [(u, None if u in special else [words.setdefault(w, len(words)) for w in split(u)])
+                 for u in cut.units if u not in known]
         ids = self.words(list(words))
-        whole = [[special[u]] if p is None else [i for w in p for i in ids[w]] if len(p) != 1 else ids[p[0]]
-                 for u, p in zip(index, parts)]
-        return [[whole[c] for c in own] for own in codes]
+        for u, p in parts:
+            known[u] = [special[u]] if p is None else ids[p[0]] if len(p) == 1 else [i for w in p for i in ids[w]]
+        return cut, [known[u] for u in cut.units]
 
-    def _units(self, text: str) -> list[str]:
-        if self.vocab.special_split is None or not any(s in text for s in self.vocab.special):
-            return units(text) if text else []
+    def ids(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text."""
         out = []
-        for k, part in enumerate(self.vocab.special_split.split(text)):
-            out += [part] if k % 2 else units(part) if part else []
-        return out
-
-    def slices(self, texts: list[str]):
-        """The texts in runs of about SLICE characters, encoded."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= SLICE):
-                size += len(texts[end])
-                end += 1
-            yield self.encode(texts[at:end])
-            at = end
+        for part in slices(texts):
+            cut, ids = self.encode(part)
+            made = pa.array(ids, pa.list_(pa.int32())).take(pa.array(cut.codes))
+            ends = made.offsets.to_numpy()[cut.offsets]
+            out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made.values))
+        return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
+
+    def decoded(self, ids: list[list[int]]) -> list[bytes]:
+        """The bytes of each unit's ids."""
+        known = self.vocab.decoded
+        return [b"".join([known[i] for i in u]) for u in ids]
 
     def decode(self, ids) -> str:
-        decoded = self.vocab.decoded
-        return b"".join([decoded[i] for i in ids]).decode("utf-8", "replace")
+        known = self.vocab.decoded
+        return b"".join([known[i] for i in ids]).decode("utf-8", "replace")
 
 
 _LOADED: dict = {}
@@ -358,11 +409,14 @@ def _encoder_of(spark: SparkSession, docs: DataFrame, text: str, path: str):
 def with_ids(df: DataFrame, text: str, path: str, name: str = "ids") -> DataFrame:
     """``df`` with the ids of its text."""
     encoder = _encoder_of(df.sparkSession, df, text, path)
+    return with_arrow_columns(df, text, [(fresh(df, name), T.ArrayType(T.IntegerType()))], lambda texts: [encoder().ids(texts)])
 
-    def run(texts):
-        return [[[i for u in own for i in u] for got in encoder().slices(texts) for own in got]]
 
-    return with_text_columns(df, text, [(fresh(df, name), T.ArrayType(T.IntegerType()))], run)
+def _joined(parts: list[bytes], cut: Cut) -> tuple[memoryview, np.ndarray]:
+    """All texts' units' bytes in a row, and where each text's begin and end."""
+    made = pa.array(parts, pa.large_binary()).take(pa.array(cut.codes))
+    offsets = np.frombuffer(made.buffers()[1], np.int64)[made.offset:made.offset + len(made) + 1]
+    return memoryview(made.buffers()[2] or b""), offsets[cut.offsets]
 
 
 def with_round_trip(df: DataFrame, text: str, path: str) -> DataFrame:
@@ -371,23 +425,18 @@ def with_round_trip(df: DataFrame, text: str, path: str) -> DataFrame:
 
     def run(texts):
         enc = encoder()
-        decoded = enc.vocab.decoded
         counts, ids_sha, text_sha = [], [], []
-        for got in enc.slices(texts):
-            shown: dict[int, tuple[int, str, bytes]] = {}  # equal units share one list of ids
-            for own in got:
-                for u in own:
-                    if id(u) not in shown:
-                        shown[id(u)] = (len(u), ",".join(map(str, u)), b"".join([decoded[i] for i in u]))
-            for own in got:
-                rows = [shown[id(u)] for u in own if u]
-                counts.append(sum(r[0] for r in rows))
-                ids_sha.append(hashlib.sha256(",".join([r[1] for r in rows]).encode()).hexdigest())
-                back = b"".join([r[2] for r in rows]).decode("utf-8", "replace")
-                text_sha.append(hashlib.sha256(back.encode()).hexdigest())
+        for part in slices(texts):
+            cut, ids = enc.encode(part)
+            total = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))[cut.codes])])[cut.offsets]
+            counts += np.diff(total).tolist()
+            shown, at = _joined([("".join([f"{i}," for i in u])).encode() for u in ids], cut)
+            ids_sha += [hashlib.sha256(shown[a:max(a, b - 1)]).hexdigest() for a, b in zip(at, at[1:])]
+            raw, at = _joined(enc.decoded(ids), cut)
+            text_sha += [hashlib.sha256(bytes(raw[a:b]).decode("utf-8", "replace").encode()).hexdigest() for a, b in zip(at, at[1:])]
         return [counts, ids_sha, text_sha]
 
-    return with_text_columns(df, text, [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()),
+    return with_arrow_columns(df, text, [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()),
                                         ("decoded_sha256", T.StringType())], run)
 
 
@@ -396,6 +445,7 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@pipeline_stage
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents with their token ids and the round trip's result."""
     path = vocabulary_path()
@@ -403,11 +453,8 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     encoder = _encoder_of(spark, docs, "text", path)
 
     def run(texts):
-        enc, made, same = encoder(), [], []
-        for got in enc.slices(texts):
-            made += [[i for u in own for i in u] for own in got]
-        for t, own in zip(texts, made):
-            same.append(enc.decode(own) == t)
-        return [made, same]
-
-    return with_text_columns(docs, "text", [(ids, T.ArrayType(T.IntegerType())), (ok, T.BooleanType())], run)
+        enc = encoder()
+        made = enc.ids(texts)
+        return [made, [enc.decode(i.values.to_numpy()) == t.as_py() for i, t in zip(made, texts)]]
+
+    return with_arrow_columns(docs, "text", [(ids, T.ArrayType(T.IntegerType())), (ok, T.BooleanType())], run)

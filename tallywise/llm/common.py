@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,28 @@ def arrow_type(kind: T.DataType) -> pa.DataType:
     return _ARROW[kind]
 
 
+#: Folders written by the pipeline stage that runs now, and by the one before it.
+_OWN: list[str] | None = None
+_PAST: list[str] = []
+
+
+def pipeline_stage(fn):
+    """A stage of the pipeline. What it stages goes when the next stage begins: by
+    then its result has been written and read again."""
+    @wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        global _OWN, _PAST
+        for path in _PAST:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _OWN = []
+        try:
+            return fn(spark, docs, sf_dir)
+        finally:
+            _PAST, _OWN = _OWN, None
+    return run
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -42,14 +65,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    if _OWN is not None:
+        _OWN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def with_text_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]], fn) -> DataFrame:
+def with_arrow_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]], fn) -> DataFrame:
     """Append columns computed from one text column, an Arrow batch at a time.
 
-    ``fn`` takes the batch's texts (null: empty) and returns one list per
-    field. All columns of ``df`` pass through unchanged.
+    ``fn`` takes the batch's texts as an Arrow array (null: empty) and returns
+    a list or Arrow array per field. All columns of ``df`` pass through unchanged.
     """
     at = df.columns.index(text)
     names = df.columns + [n for n, _ in fields]
@@ -58,13 +83,18 @@ def with_text_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataTy
 
     def run(batches):
         for batch in batches:
-            made = fn([t or "" for t in batch.column(at).to_pylist()])
+            made = fn(batch.column(at).fill_null(""))
             yield pa.RecordBatch.from_arrays(
-                batch.columns + [pa.array(c, k) for c, k in zip(made, kinds)], names)
+                batch.columns + [c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(made, kinds)], names)
 
     return df.mapInArrow(run, schema)
 
 
+def with_text_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]], fn) -> DataFrame:
+    """As ``with_arrow_columns``, with the texts as a list."""
+    return with_arrow_columns(df, text, fields, lambda texts: fn(texts.to_pylist()))
+
+
 def hex16(col):
     """A long's 64 bits as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(col), 16, "0"))

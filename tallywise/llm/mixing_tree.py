@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.llm.common import fresh, stage
+from tallywise.llm.common import fresh, pipeline_stage, stage
 
 WEIGHTS = (3, 1, 2)    # by rank of the source, repeating
 SHARE = 1.5            # words of the mix over words of all sources
@@ -88,68 +88,79 @@ def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray
     return out
 
 
-def mix(rows: DataFrame, doc_id: str, source: str, size: str, key: str, shards: int = SHARDS, seed: int = SEED,
-        share: float = SHARE) -> tuple[DataFrame, DataFrame]:
-    """Which rows the mix takes, and the sources.
-
-    ``rows`` must be staged (read twice, equal both times), ``key`` unique.
-    Returns taken rows (key, pass, shard, place) and the sources table
-    (source, source_size, target, rank)."""
+def plan_mix(rows: DataFrame, doc_id: str, source: str, size: str, shards: int = SHARDS, seed: int = SEED,
+             share: float = SHARE) -> tuple[DataFrame, DataFrame]:
+    """The sources (source, rank, source_size, target, n_blocks) and the plan: one row per source
+    and pass with its last block, what is left for it, and where its blocks go."""
     spark = rows.sparkSession
-    rows = rows.select(F.col(key).alias("key"), F.col(doc_id).alias("id"), F.col(source).alias("source"),
-                       F.col(size).alias("size"))
     # one row per source, the mix's control data
-    totals = sorted(rows.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("docs")).collect(),
+    totals = sorted(rows.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("n"), F.count(F.lit(1)).alias("docs")).collect(),
                     key=lambda r: (r["source"] is None, (r["source"] or "").encode()))
     wants = targets([r["n"] for r in totals], share)
-    kind = rows.schema["source"].dataType
-    sources = spark.createDataFrame(
-        [(r["source"], k, int(r["n"]), float(w), max(1, -(-int(r["docs"]) // BLOCK)))
-         for k, (r, w) in enumerate(zip(totals, wants))],
-        T.StructType([T.StructField("source", kind), T.StructField("rank", T.IntegerType()),
+    sources = stage(spark.createDataFrame(
+        [(r["source"], k, int(r["n"]), float(w), max(1, -(-int(r["docs"]) // BLOCK))) for k, (r, w) in enumerate(zip(totals, wants))],
+        T.StructType([T.StructField("s_source", rows.schema[source].dataType), T.StructField("rank", T.IntegerType()),
                       T.StructField("source_size", T.LongType()), T.StructField("target", T.DoubleType()),
-                      T.StructField("n_blocks", T.IntegerType())]))
-    sources = stage(sources, "sources")
-    s = sources.withColumnRenamed("source", "s_source")
-    ranked = rows.join(s, rows["source"].eqNullSafe(s["s_source"])).select("key", "id", "size", "rank", "source_size", "target", "n_blocks")
-    passes = ranked.withColumn("pass", F.explode(F.array(*[F.lit(p) for p in range(PASSES)])))
+                      T.StructField("n_blocks", T.IntegerType())])), "sources")
     want = F.greatest(F.lit(0.0), F.least(F.col("source_size").cast("double"), F.col("target") - F.col("pass") * F.col("source_size")))
-    dealt = (passes.withColumn("want", want).where("want > 0")
-             .withColumn("draw", F.xxhash64(F.lit(seed), F.col("rank"), F.col("pass"), F.col("id"), F.col("size")))
-             .withColumn("block", F.pmod(F.xxhash64("draw", F.lit(seed)), F.col("n_blocks")).cast("int"))
-             .select("key", "size", "rank", "pass", "want", "block", "draw"))
-    dealt = stage(dealt, "dealt")
-    blocks = dealt.groupBy("rank", "pass", "block").agg(F.sum("size").alias("words"), F.first("want").alias("want"))
-    # blocks are numbered by hash, so their order is the permutation; 1 row for BLOCK documents
+    passes = (sources.withColumn("pass", F.explode(F.array(*[F.lit(p) for p in range(PASSES)])))
+              .withColumn("want", want).where("want > 0"))
+    dealt = deal(rows.select(doc_id, source, size), passes, doc_id, source, size, seed)
+    blocks = dealt.groupBy("rank", "pass", "block").agg(F.sum(size).alias("words"), F.first("want").alias("want"))
+    # 1 row for BLOCK documents; blocks are drawn by hash, so their order is the permutation
     order = W.partitionBy("rank", "pass").orderBy("block")
-    blocks = (blocks.withColumn("before", F.sum("words").over(order) - F.col("words"))
-              .where(F.col("before") < F.col("want"))
-              .withColumn("left", F.col("want") - F.col("before")))
-    listed = W.partitionBy("rank").orderBy("pass", "block")
-    blocks = stage(blocks.withColumn("place", F.row_number().over(listed) - 1)
-                   .select("rank", "pass", "block", "words", "left", "place"), "blocks")
-    quotas = {r["rank"]: r["n"] for r in blocks.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).collect()}
+    last = (blocks.withColumn("left", F.col("want") - F.sum("words").over(order) + F.col("words")).where("left > 0")
+            .groupBy("rank", "pass").agg(F.max_by(F.struct("block", "left", "words"), "block").alias("x"))
+            .select("rank", "pass", "x.*"))
+    ends = sorted((r["rank"], r["pass"], r["block"]) for r in last.select("rank", "pass", "block").collect())  # a row per source and pass
+    quotas, offset = {}, {}
+    for rank, turn, block in ends:
+        offset[rank, turn] = quotas.get(rank, 0)
+        quotas[rank] = quotas.get(rank, 0) + block + 1
     ranks = sorted(quotas)
     table = split_quotas([quotas[k] for k in ranks], shards, seed)
-    ends = spark.createDataFrame([(k, [int(v) for v in np.cumsum(table[:, j])]) for j, k in enumerate(ranks)],
-                                 "q_rank int, ends array<bigint>")
-    blocks = (blocks.join(stage(ends, "ends"), F.col("rank") == F.col("q_rank"))
-              .withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("place"))))
-              .select("rank", "pass", "block", "shard", "left", (F.col("words") <= F.col("left")).alias("whole")))
-    b = blocks.toDF("b_rank", "b_pass", "b_block", "shard", "left", "whole")
-    chosen = dealt.join(b, (F.col("rank") == F.col("b_rank")) & (F.col("pass") == F.col("b_pass"))
-                        & (F.col("block") == F.col("b_block"))).select("key", "size", "rank", "pass", "draw", "shard", "left", "whole")
-    whole = chosen.where("whole").select("key", "pass", "shard", "draw")
-    # one block per source at most; its documents stream past a running count
-    part = (chosen.where("not whole").repartition("rank").sortWithinPartitions("rank", "draw", "key")
-            .select("rank", "key", "pass", "shard", "draw", "size", "left").mapInArrow(_fit, "key long, pass int, shard int, draw long"))
-    return whole.unionByName(part).withColumnRenamed("draw", "place"), sources
+    place = {k: [int(v) for v in np.cumsum(table[:, j])] for j, k in enumerate(ranks)}
+    where = stage(spark.createDataFrame([(r, t, offset[r, t], place[r]) for r, t, _ in ends],
+                                        "rank int, pass int, offset long, ends array<bigint>"), "ends")
+    plan = passes.join(last, ["rank", "pass"]).join(where, ["rank", "pass"])
+    return sources, stage(plan.select("s_source", "rank", "n_blocks", "pass", F.col("block").alias("last"), "left",
+                                      (F.col("words") <= F.col("left")).alias("all"), "offset", "ends"), "plan")
+
+
+def deal(rows: DataFrame, passes: DataFrame, doc_id: str, source: str, size: str, seed: int = SEED) -> DataFrame:
+    """``rows`` once for each of its source's passes, with draw and block. A row's draws follow from its id and size."""
+    draw = F.xxhash64(F.lit(seed), F.col("rank"), F.col("pass"), F.col(doc_id), F.col(size))
+    return (rows.join(passes, rows[source].eqNullSafe(passes["s_source"])).withColumn("draw", draw)
+            .withColumn("block", F.pmod(F.xxhash64("draw", F.lit(seed)), F.col("n_blocks")).cast("int")))
+
+
+def mix(rows: DataFrame, doc_id: str, source: str, size: str, key: str, shards: int = SHARDS,
+        seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """The rows that the mix takes, once for each time, and the sources.
+
+    ``rows`` must be staged (it is read several times, equal each time), ``key``
+    unique. Returned rows have the new columns mix_shard and mix_place."""
+    sources, plan = plan_mix(rows, doc_id, source, size, shards, seed)
+    clash = {c: f"mix__{c}" for c in rows.columns}  # rows may have columns named like the plan's
+    back = {v: k for k, v in clash.items()}
+    own = rows.withColumnsRenamed(clash)
+    c_id, c_source, c_size, c_key = (clash[c] for c in (doc_id, source, size, key))
+    shard = F.size(F.filter("ends", lambda e: e <= F.col("offset") + F.col("block")))
+    taken = (deal(own, plan, c_id, c_source, c_size, seed).where(F.col("block") <= F.col("last"))
+             .withColumn("mix_shard", shard).withColumn("mix_place", F.col("draw")))
+    whole = F.col("all") | (F.col("block") < F.col("last"))
+    # one block per source and pass at most; its documents stream past a running count
+    fits = (taken.where(~whole).select("rank", F.col(c_key).alias("key"), "pass", "draw", F.col(c_size).alias("size"), "left")
+            .repartition("rank").sortWithinPartitions("rank", "draw", "key")
+            .mapInArrow(_fit, "fit_key long, fit_pass int"))
+    part = taken.where(~whole).join(fits, (F.col(c_key) == F.col("fit_key")) & (F.col("pass") == F.col("fit_pass")))
+    cols = [*back, "mix_shard", "mix_place"]
+    return taken.where(whole).select(*cols).unionByName(part.select(*cols)).withColumnsRenamed(back), sources
 
 
 def _fit(batches):
     """Of each source's last block, the documents that fit into what is left, in permuted order;
     then the smallest that did not, if the mix is nearer its target with it."""
-    names = ["key", "pass", "shard", "draw"]
     rank, left, spare = None, 0.0, None
 
     def close():
@@ -157,11 +168,11 @@ def _fit(batches):
 
     def out(rows):
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names)
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32())], ["fit_key", "fit_pass"])
 
     for batch in batches:
         keep = []
-        for r, size, room, *row in zip(*(batch.column(c).to_pylist() for c in ("rank", "size", "left", *names))):
+        for r, size, room, *row in zip(*(batch.column(c).to_pylist() for c in ("rank", "size", "left", "key", "pass"))):
             if r != rank:
                 keep += close()
                 rank, left, spare = r, room, None
@@ -185,19 +196,16 @@ def mix_sizes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, source_size, target and taken for every document."""
     rows, size, key = keyed_sizes(docs, ["doc_id", "source"])
     taken, sources = mix(rows, "doc_id", "source", size, key, shards)
-    often = taken.groupBy("key").agg(F.count(F.lit(1)).alias("often"))
-    s = sources.withColumnRenamed("source", "s_source")
-    return (rows.join(often, rows[key] == often["key"], "left")
-            .join(s, rows["source"].eqNullSafe(s["s_source"]))
+    often = taken.groupBy(F.col(key).alias("often_key")).agg(F.count(F.lit(1)).alias("often"))
+    return (rows.join(often, rows[key] == often["often_key"], "left")
+            .join(sources, rows["source"].eqNullSafe(sources["s_source"]))
             .select("doc_id", F.col(size).alias("size"), "source_size", "target",
                     (F.col(size) * F.coalesce("often", F.lit(0))).cast("long").alias("taken")))
 
 
+@pipeline_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the mix itself, a row for each time a document is taken, shard by shard."""
     rows, size, key = keyed_sizes(docs, docs.columns)
     taken, _ = mix(rows, "doc_id", "source", size, key)
-    c = [fresh(rows, n) for n in ("taken_key", "taken_pass", "taken_shard", "taken_place")]
-    taken = taken.toDF(*c)
-    mixed = rows.join(taken, rows[key] == taken[c[0]])
-    return (mixed.repartition(SHARDS, c[2]).sortWithinPartitions(c[2], c[3], key).select(*docs.columns))
+    return (taken.repartition(SHARDS, "mix_shard").sortWithinPartitions("mix_shard", "mix_place", key).select(*docs.columns))

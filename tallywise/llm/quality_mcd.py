@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.llm.common import fresh, stage, with_text_columns
+from tallywise.llm.common import fresh, pipeline_stage, stage, with_text_columns
 
 # Fixed values.
 WINDOW = 8
@@ -162,15 +162,14 @@ def _moments(y: list[Column]) -> list[Column]:
     return [F.count(F.lit(1)).cast("double"), *[F.sum(v) for v in y], *[F.sum(y[i] * y[j]) for i, j in PAIRS]]
 
 
-def mcd_estimates(rows: DataFrame, lang: str, source: str, vector: str) -> DataFrame:
+def mcd_estimates(rows: DataFrame) -> DataFrame:
     """Centre and inverse scatter per (lang, source) as columns g_lang, g_source, mean, inverse.
 
     Starts from the coordinate medians with the floor as scatter, which
     a third of outliers cannot move far, then concentrates ``STEPS`` times.
     The moments are taken about the current centre, so they lose no digits.
     """
-    rows = rows.select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source"),
-                       *[F.col(vector)[i].alias(f"x{i}") for i in range(DIMS)])
+    rows = rows.select("g_lang", "g_source", *[F.col("vector")[i].alias(f"x{i}") for i in range(DIMS)])
     groups = [rows.schema["g_lang"], rows.schema["g_source"]]
     x = [F.col(f"x{i}") for i in range(DIMS)]
     inverse = np.linalg.inv(np.diag(np.square(FLOOR)))
@@ -207,25 +206,28 @@ def judge(df: DataFrame, lang: str = "lang", source: str = "source", text: str =
           base: str = "base_failed", kept: str = "kept", names: dict[str, str] | None = None) -> DataFrame:
     """``df`` with the base statistics, ``base`` and ``kept``.
 
-    The statistics are computed once and staged with the rows; base failures
+    The statistics are computed twice, for the estimates and for the verdicts:
+    that costs less than writing all texts to carry them along. Base failures
     are part of the estimates too (they are what the estimate must resist).
     """
     names = {n: (names or {}).get(n, n) for n, _ in STATS}
+    plain = with_stats(df.select(F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), F.col(text).alias("g_text")), "g_text")
+    vectors = stage(plain.select("g_lang", "g_source", F.array(*statistic_vector(F.col)).alias("vector")), "quality")
+    est = mcd_estimates(vectors)
     rows = with_stats(df, text, names)
-    vector, dist = fresh(rows, "vector"), fresh(rows, "distance")
-    rows = stage(rows.withColumn(vector, F.array(*statistic_vector(lambda n: F.col(names[n])))), "quality")
-    est = mcd_estimates(rows, lang, source, vector)
     e = [fresh(rows, n) for n in ("g_lang", "g_source", "mean", "inverse")]
     est = est.toDF(*e)
     judged = rows.join(est, rows[lang].eqNullSafe(est[e[0]]) & rows[source].eqNullSafe(est[e[1]]), "left")
-    x = [F.col(vector)[i] for i in range(DIMS)]
+    x = statistic_vector(lambda n: F.col(names[n]))
     failed = base_failed(F.col(names["n_words"]), F.col(names["n_repeat_words"]))
+    dist = fresh(judged, "distance")
     return (judged.withColumn(dist, F.coalesce(distance(x, F.col(e[2]), F.col(e[3])), F.lit(0.0)))
             .withColumn(base, failed)
             .withColumn(kept, ~failed & (F.col(dist) <= CUTOFF))
-            .drop(vector, *e).withColumnRenamed(dist, fresh(df, "mahalanobis")))
+            .drop(*e).withColumnRenamed(dist, fresh(df, "mahalanobis")))
 
 
+@pipeline_stage
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules keep, with their own columns."""
     base, kept = fresh(docs, "base_failed"), fresh(docs, "kept")

@@ -37,7 +37,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.llm.common import fresh, with_text_columns
+from tallywise.llm.common import fresh, pipeline_stage, with_text_columns
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -449,6 +449,7 @@ def redact(text: str | None, flat: list[int]) -> str | None:
     return "".join(out) + text[at:]
 
 
+@pipeline_stage
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: all documents, every secret in their texts replaced; n_chars follows the text."""
     sent = spark.sparkContext.broadcast(train(docs))

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywise.llm.common import fresh, stage, with_text_columns
+from tallywise.llm.common import fresh, pipeline_stage, stage, with_text_columns
 
 SHINGLE = 3
 RADIUS = 3
@@ -234,6 +234,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
             .withColumn(rep, F.col(row) == F.col("_least")).drop("_node", "_least"))
 
 
+@pipeline_stage
 def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: one document of each group of near copies."""
     rep = fresh(docs, "representative")
