@@ -11,24 +11,36 @@ __all__ = ["parse_offset_ts", "iso_utc", "date_parts", "drop_offsets", "lookback
 
 
 def parse_offset_ts(c, fmt: str = "yyyy-MM-dd HH:mm:ss xx") -> Column:
-    """Text with a numeric offset to an instant; bad text gives null."""
-    return F.try_to_timestamp(col_(c), F.lit(fmt))
+    """Text with a numeric offset, ISO text of the API, or text without offset
+    (which is UTC) to an instant; bad text gives null."""
+    c = col_(c)
+    plain = F.concat(F.replace(F.substring(c, 1, 19), F.lit("T"), F.lit(" ")), F.lit(" +0000"))
+    return F.coalesce(F.try_to_timestamp(c, F.lit(fmt)), F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
+                      F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssxx")),
+                      F.when(F.length(c) == 19, F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss xx"))))
+
+
+def utc_wall(ts) -> Column:
+    """The instant's UTC date and time, without a zone (no gap or overlap of the session's zone touches it)."""
+    seconds = (F.unix_micros(col_(ts)).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
 def iso_utc(ts) -> Column:
     """Instant printed as UTC ``yyyy-MM-ddTHH:mm:ss+0000`` whatever the session zone."""
-    wall = F.to_utc_timestamp(col_(ts), F.current_timezone())
-    return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+0000"))
+    wall = F.substring(utc_wall(ts).cast("string"), 1, 19)
+    return F.concat(F.replace(wall, F.lit(" "), F.lit("T")), F.lit("+0000"))
 
 
 def date_parts(ts, null_year: str = "0", prefix: str = "", suffix: str = "paid") -> list[Column]:
     """Day, month (two digits) and year of an instant in UTC; null gives
     ``00``, ``00`` and ``null_year``."""
-    wall = F.to_utc_timestamp(col_(ts), F.current_timezone())
+    wall = utc_wall(ts)
+    text = wall.cast("string")
     return [
-        F.coalesce(F.date_format(wall, "dd"), F.lit("00")).alias(f"{prefix}day_{suffix}"),
-        F.coalesce(F.date_format(wall, "MM"), F.lit("00")).alias(f"{prefix}month_{suffix}"),
-        F.coalesce(F.year(wall).cast("string"), F.lit(null_year)).alias(f"{prefix}year_{suffix}"),
+        F.coalesce(F.substring(text, 9, 2), F.lit("00")).alias(f"{prefix}day_{suffix}"),
+        F.coalesce(F.substring(text, 6, 2), F.lit("00")).alias(f"{prefix}month_{suffix}"),
+        F.coalesce(F.year(wall.cast("date")).cast("string"), F.lit(null_year)).alias(f"{prefix}year_{suffix}"),
     ]
 
 

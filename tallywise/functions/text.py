@@ -17,6 +17,15 @@ __all__ = [
 ]
 
 
+#: What the sources' own trimming takes off: all ASCII and Unicode white space.
+WHITE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def strip(c) -> Column:
+    """White space of any kind off both ends."""
+    return F.btrim(c, F.lit(WHITE))
+
+
 def col_(c) -> Column:
     return c if isinstance(c, _Col) else F.col(c)
 
@@ -28,12 +37,12 @@ def order_before_slash(c) -> Column:
 
 def bracket_code(c) -> Column:
     """Code inside the first ``[...]``, trimmed; ``''`` when there is none."""
-    return F.coalesce(F.trim(F.regexp_extract(col_(c), r"\[(.*?)\]", 1)), F.lit(""))
+    return F.coalesce(strip(F.regexp_extract(col_(c), r"\[(.*?)\]", 1)), F.lit(""))
 
 
 def strip_brackets(c) -> Column:
     """Remove every bracketed part, then trim."""
-    return F.trim(F.regexp_replace(col_(c), r"\[.*?\]", ""))
+    return strip(F.regexp_replace(col_(c), r"\[.*?\]", ""))
 
 
 def strip_text(c, text: str) -> Column:
@@ -75,14 +84,14 @@ def yes_no(c) -> Column:
 
 def full_name(first, last) -> Column:
     """``first + ' ' + last`` trimmed; a missing part counts as empty."""
-    return F.trim(F.concat_ws(" ", F.coalesce(col_(first), F.lit("")),
+    return strip(F.concat_ws(" ", F.coalesce(col_(first), F.lit("")),
                               F.coalesce(col_(last), F.lit(""))))
 
 
 def plant_name(c) -> Column:
     """Part before the first `` - `` (trimmed), else the whole; null gives ``''``."""
     c = F.coalesce(col_(c), F.lit(""))
-    return F.when(c.contains(" - "), F.trim(F.substring_index(c, " - ", 1))).otherwise(c)
+    return F.when(c.contains(" - "), strip(F.substring_index(c, " - ", 1))).otherwise(c)
 
 
 def last_path_part(c) -> Column:

@@ -37,21 +37,31 @@ def inventory_totals(inventory: DataFrame) -> DataFrame:
 def apply_overrides(inventory: DataFrame, overrides: DataFrame, only_if_zero: bool = False) -> DataFrame:
     """Keyed quantity overrides for listed SKUs (a small broadcast dimension).
 
-    ``only_if_zero`` applies an override only where on-hand or committed is 0.
+    ``only_if_zero`` applies an override only where on-hand or committed is 0,
+    and then to these two quantities alone.
     """
+    changed = ("on_hand", "committed") if only_if_zero else QTY_COLS
     ov = broadcast_if_small(overrides.select("sku", *[F.col(c).alias(f"__ov_{c}") for c in QTY_COLS]))
     j = inventory.join(ov, "sku", "left")
     hit = F.col("__ov_on_hand").isNotNull()
     if only_if_zero:
         hit = hit & ((F.col("on_hand") == 0) | (F.col("committed") == 0))
-    cols = [F.when(hit, F.col(f"__ov_{c}")).otherwise(F.col(c)).alias(c) if c in QTY_COLS else F.col(c)
+    cols = [F.when(hit, F.col(f"__ov_{c}")).otherwise(F.col(c)).alias(c) if c in changed else F.col(c)
             for c in inventory.columns]
     return j.select(*cols)
 
 
 def overrides_frame(spark: SparkSession, rows) -> DataFrame:
-    schema = "sku string, on_hand double, committed double, available double, unavailable double, incoming double"
-    return spark.createDataFrame(rows, schema)
+    names = "sku, on_hand, committed, available, unavailable, incoming"
+    if not rows:
+        return spark.createDataFrame([], "sku string, " + ", ".join(f"{c} double" for c in names.split(", ")[1:]))
+    # literal rows have true statistics, so the small side is known to be small
+    args, values = {}, []
+    for n, (sku, *qty) in enumerate(rows):
+        args[f"s{n}"] = sku
+        args.update({f"q{n}_{k}": float(q) for k, q in enumerate(qty)})
+        values.append(f"(:s{n}, " + ", ".join(f":q{n}_{k}" for k in range(len(qty))) + ")")
+    return spark.sql(f"select * from values {', '.join(values)} as t({names})", args)
 
 
 # ---------------------------------------------------------------- bulk export
@@ -69,10 +79,13 @@ BULK_SCHEMA = T.StructType([
 def classify_records(lines: DataFrame) -> DataFrame:
     """Parse JSON lines ``(value, line_no)`` and tell record kinds apart by
     key presence, first rule wins: product, variant, inventory level.
-    Unclassified lines are dropped. A key present with a null value counts
+    Well-formed lines of no known kind are dropped; a line that is no JSON object
+    fails the load, as in the source. A key present with a null value counts
     as present, as in the source."""
     parsed = lines.select("line_no", F.from_json("value", BULK_SCHEMA).alias("r"),
-                          F.json_object_keys("value").alias("k"))
+                          F.when(F.json_object_keys("value").isNull() & (F.trim("value") != ""),
+                                 F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200))).cast("array<string>"))
+                          .otherwise(F.json_object_keys("value")).alias("k"))
     has = lambda key: F.coalesce(F.array_contains(F.col("k"), key), F.lit(False))
     parent = F.col("r.__parentId")
     truthy_parent = F.coalesce(parent != "", F.lit(False))

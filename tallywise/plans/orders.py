@@ -11,6 +11,7 @@ ERP lines         order_ref (storefront reference), erp_name, sku, quantity, pri
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallywise.functions import (
@@ -108,16 +109,12 @@ SAMPLE_ORDER = ["shopify_order_number", "shopify_sku", "shopify_product_name", "
 def sync_report_samples(comparison: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` lines per action in a total order (a top-k per action).
 
-    Each action is its own ``orderBy().limit()``, which plans as a
-    distributed TakeOrderedAndProject rather than a window over all rows.
+    A row number per action with a bound: each task keeps its first ``n`` rows of
+    an action before anything moves, and the comparison is read once.
     """
     acts = sync_actions(comparison).select("action", *SAMPLE_ORDER)
-    keys = [F.col(c).asc_nulls_first() for c in SAMPLE_ORDER]
-    parts = [acts.filter(F.col("action") == a).orderBy(*keys).limit(n) for a in ACTIONS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    first = Window.partitionBy("action").orderBy(*[F.col(c).asc_nulls_first() for c in SAMPLE_ORDER])
+    return acts.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") <= n).drop("__k")
 
 
 def paid_orders(lines: DataFrame) -> DataFrame:

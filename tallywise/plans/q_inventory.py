@@ -95,7 +95,7 @@ union all
 select p_partkey * 10 + 3, {_VGID}, 'Annex', cast(1 as double), cast(3 as double), cast(0 as double), cast(0 as double)
 from part where p_partkey % 7 <> 0 and p_partkey % 3 = 0""")
 def q_quantities_pivot(spark, sf_dir):
-    _, _, levels = V.split_records(_classified(spark, sf_dir))
+    _, _, levels = V.split_records(_classified(spark, sf_dir), materialize=False)
     return V.quantities_pivot(levels)
 
 

@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallywise.plans import stock as S
-from tallywise.plans.q_stock import _ODOOSTOCK
+from tallywise.plans.q_stock import XREF_SQL
 from tallywise.plans.registry import query
 from tallywise.session import scratch_path
 from tallywise.sources import sinks
@@ -42,7 +42,7 @@ def q_latest_file(spark, sf_dir):
     # Three exports; the one holding row_idx % 3 = 1 is made the newest.
     for k, age in ((0, 3), (1, 1), (2, 2)):
         d = f"{base}/inventory_export_{k}"
-        inv.filter(F.col("row_idx") % 3 == k).write.option("header", True).csv(d)
+        inv.filter(F.col("row_idx") % 3 == k).write.option("header", True).option("escape", '"').csv(d)
         for path, _ in list_files(spark, f"{d}/part-*"):
             set_mtime(spark, path, now - age * 60_000)
     newest = newest_export_dir(spark, f"{base}/inventory_export*/part-*")
@@ -63,18 +63,13 @@ def q_table_replace(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-LEGACY_VERSION = "v1"
-
-
 @query("table_guard", with_clause("legacy_lookup") + "select * from legacy_lookup")
 def q_table_guard(spark, sf_dir):
-    import hashlib
-    folder = sf_dir.rstrip("/")
-    tag = f"{folder.rsplit('/', 1)[-1]}-{hashlib.sha1(folder.encode()).hexdigest()[:10]}"
-    path = scratch_path(spark, f"tallywise/legacy_lookup/{LEGACY_VERSION}/{tag}")
+    """Loads the lookup twice into a folder of this run; the second load must be skipped."""
+    path = _run_dir(spark, "legacy_lookup")
     legacy = fixtures(spark, sf_dir).legacy_lookup
-    if not sinks.table_exists(spark, path):
-        sinks.write_once(legacy, path)
+    if not sinks.write_once(legacy, path) or sinks.write_once(legacy.limit(0), path):
+        raise RuntimeError("the table guard did not hold")
     return spark.read.parquet(path)
 
 
@@ -85,19 +80,7 @@ XREF_SCHEMA = ("product_id string, location_id string, loc_count bigint, odoo_on
                "potential_correct_size string, size_mismatch_note string")
 
 
-@query("report_write", with_clause("quants", "sizes", "storefront_products", "storefront_inventory").rstrip()
-       + ",\n" + _ODOOSTOCK + """
-select a.product_id, a.location_id, c.loc_count, a.odoo_qty as odoo_onhand_qty, a.odoo_available_qty,
-       cs.on_hand as shopify_onhand_qty, cs.available as shopify_available_qty,
-       cs.committed as shopify_committed_qty, cs.unavailable as shopify_unavailable_qty,
-       a.odoo_qty - cs.on_hand as diff_onhand, a.odoo_available_qty - cs.available as diff_available,
-       cs.title as title, cs.status as status, psm.correct_shopify_sku as potential_correct_sku,
-       psm.correct_size as potential_correct_size, psm.mismatch_note as size_mismatch_note
-from odoo_total_stock a
-left join combined_shopify cs on a.default_code = cs.sku
-left join loc_count c on a.product_id = c.product_id
-left join potential_size_mismatches psm on a.default_code = psm.odoo_sku
-where (cs.status = 'active' or cs.status is null) and a.odoo_qty <> 0""")
+@query("report_write", XREF_SQL)
 def q_report_write(spark, sf_dir):
     from tallywise.plans.q_stock import q_stock_xref
     path = _run_dir(spark, "report_write")

@@ -89,26 +89,27 @@ def q_paid_orders(spark, sf_dir):
     return O.paid_orders(fixtures(spark, sf_dir).storefront_lines)
 
 
-_LEGACY_SQL = """
-mapped AS (
-select a.order_name, case when b.base_sku is null then a.sku else b.base_sku || '-01G' end as sku,
-       a.product_name, a.quantity, a.price, a.financial_status, a.paid_at, a.billing_name
-from storefront_lines a left join legacy_lookup b on a.sku = b.legacy_sku)
+_RENAMED = """
+renamed AS (
+select order_name, coalesce(concat_ws('-', base_sku, case when base_sku is not null then '01G' end), '') as fresh, sku as old_sku,
+       base_sku is not null as known, product_name, quantity, price, financial_status, paid_at, billing_name
+from legacy_lookup right join storefront_lines on legacy_sku = sku),
+current_lines AS (select * exclude (fresh, old_sku, known), if(known, fresh, old_sku) as sku from renamed)
 """
 
 
-@query("legacy_sku_map", with_clause("storefront_lines", "legacy_lookup").rstrip() + ",\n" + _LEGACY_SQL +
-       "select * from mapped")
+@query("legacy_sku_map", with_clause("storefront_lines", "legacy_lookup").rstrip() + ",\n" + _RENAMED +
+       "select * from current_lines")
 def q_legacy_sku_map(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     return O.map_legacy_skus(fx.storefront_lines, fx.legacy_lookup)
 
 
 @query("order_flow_report", with_clause("storefront_lines", "legacy_lookup", "erp_lines").rstrip() + ",\n"
-       + _LEGACY_SQL + """
-select a.order_name as name, a.billing_name as customer, a.sku, a.product_name as item,
-       a.paid_at as paid_date, a.quantity as qty, a.financial_status as payment, b.delivery_status
-from mapped a left join erp_lines b on a.order_name = b.erp_name and a.sku = b.sku""")
+       + _RENAMED + """
+select l.financial_status as payment, e.delivery_status, l.quantity as qty, l.paid_at as paid_date,
+       l.product_name as item, l.sku, l.billing_name as customer, l.order_name as name
+from erp_lines e right join current_lines l on (e.erp_name, e.sku) = (l.order_name, l.sku)""")
 def q_order_flow_report(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     return O.order_flow_report(O.map_legacy_skus(fx.storefront_lines, fx.legacy_lookup), fx.erp_lines)

@@ -18,22 +18,17 @@ def q_pullsheet(spark, sf_dir):
 
 
 @query("order_targets", with_clause("picking") + """
-, order_items AS (select split_part(order_text, '/', 1) as ord, item from picking where quantity > 0),
-skus_per_order AS (select ord, cast(count(*) as bigint) as skus from order_items group by ord),
-plants_per_order AS (select split_part(order_text, '/', 1) as ord, sum(quantity) as plants
-                     from picking where quantity > 0 group by 1)
-select s.ord, s.skus, p.plants from skus_per_order s join plants_per_order p on s.ord = p.ord""")
+select regexp_extract(order_text, '^[^/]*') as ord, count(*)::bigint as skus, sum(quantity) as plants
+from picking where quantity > 0 and order_text is not null group by 1""")
 def q_order_targets(spark, sf_dir):
     return P.order_targets(fixtures(spark, sf_dir).picking)
 
 
 @query("alt_stock", with_clause("quants", "picking") + """
-, stock_levels AS (select product_label as product_id, location_label as location_id,
-                          coalesce(quantity, 0) as quantity
-                   from quants where location_label like 'F%')
-select distinct product_id, location_id, stock_levels.quantity
-from stock_levels join picking
-  on stock_levels.product_id = picking.item and stock_levels.location_id <> picking.location""")
+select distinct q.product_label as product_id, q.location_label as location_id, ifnull(q.quantity, 0) as quantity
+from quants q
+where starts_with(q.location_label, 'F')
+  and exists (from picking where picking.item = q.product_label and picking.location <> q.location_label)""")
 def q_alt_stock(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     return P.alternative_stock(P.stock_levels(fx.quants), fx.picking)

@@ -30,7 +30,7 @@ def order_flow(inp: OrderFlowInputs, out_dir: str, paid_only: bool = True) -> di
     """Legacy SKU map -> report; comparison -> table and status counts."""
     lines = O.paid_orders(inp.storefront_lines) if paid_only else inp.storefront_lines
     report = O.order_flow_report(O.map_legacy_skus(lines, inp.legacy_lookup), inp.erp_lines)
-    comparison = O.compare_orders(inp.storefront_lines, inp.erp_lines)
+    comparison = O.compare_orders(lines, inp.erp_lines)
     return {
         "excel_report": write_report(report, f"{out_dir}/excel_report", order=O.report_order()),
         "order_comparison": write_report(comparison, f"{out_dir}/order_comparison", fmt="parquet"),

@@ -2,29 +2,40 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
-    """CSV export with a header row, read with a declared schema (never
-    inferred). Add a row-order column upstream when file order matters."""
-    return (spark.read.option("header", True).option("encoding", encoding)
-            .option("mode", "PERMISSIVE").schema(schema).csv(path))
+    """CSV export read by its header: columns are taken by name, whatever their
+    order, and cast to the declared schema; absent ones are null, further ones
+    are left out. Doubled quotes and quoted line breaks are understood, which takes a
+    whole file per task: land a large export as many files. A malformed
+    row or number fails the read. Add a row-order column upstream when file order matters."""
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    raw = (spark.read.option("header", True).option("encoding", encoding).option("multiLine", True)
+           .option("escape", '"').option("mode", "FAILFAST").csv(path))
+    return raw.select(*[(F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                        for f in wanted.fields])
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """JSON lines as text ``(value, line_no)`` where ``line_no`` sorts in
-    file order: (file path, start of the split, position in the split).
+    file order: (folder, part number, file path, start of the split, position in the split).
 
     Rows of one split arrive in file order and the generated id grows within
     a task, so the triple is a total order over all files without reading
-    any file in one task. Files are ordered by path (part files of one
-    export sort by name).
+    any file in one task. Part files of one export are ordered by their number.
     """
+    file = F.col("_metadata.file_path")
     return spark.read.text(path).select(
         "value",
-        F.struct(F.col("_metadata.file_path").alias("file"),
+        F.struct(F.regexp_replace(file, "[^/]*$", "").alias("folder"),
+                 F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(file, r"part-(\d{1,18})[^/]*$", 1), F.lit("")),
+                                            F.lit("9" * 18)).cast("bigint"), F.lit(-1)).alias("part"),
+                 file.alias("file"),
                  F.col("_metadata.file_block_start").alias("block"),
                  F.monotonically_increasing_id().alias("pos")).alias("line_no"))
 
@@ -60,14 +71,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+#: What a source that is not there, or lacks the wanted columns, raises.
+ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
+
+
 def first_usable(*readers):
     """Return the first reader result that is usable (a DataFrame with rows
-    and the wanted columns); readers are tried in order, errors skipped."""
+    and the wanted columns); readers are tried in order. Only a missing table or
+    path, or missing columns, falls through to the next; any other error is raised."""
     for read in readers:
         try:
             df = read()
-        except Exception:  # noqa: BLE001 - a failing source falls through to the next
-            continue
-        if df is not None and not df.isEmpty():
-            return df
+            if df is not None and not df.isEmpty():
+                return df
+        except AnalysisException as e:
+            kind = e.getCondition() or ""
+            if kind not in ABSENT and not kind.startswith("UNRESOLVED_COLUMN"):
+                raise
     return None

@@ -58,7 +58,7 @@ def write_report(df: DataFrame, path: str, order=None, skip_empty: bool = False,
     out = df.orderBy(*order) if order else df
     w = out.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     else:
         w.parquet(path)
     return True

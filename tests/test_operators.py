@@ -77,6 +77,60 @@ def test_overrides_only_if_zero(spark):
     zero = {r["sku"]: r["on_hand"] for r in apply_overrides(inv, ov, only_if_zero=True).collect()}
     assert always == {"A": 41.0, "B": 9.0, "C": 1.0}
     assert zero == {"A": 41.0, "B": 3.0, "C": 1.0}
+    hit = apply_overrides(inv, ov, only_if_zero=True).where("sku = 'A'").first()  # two quantities change, no other
+    assert (hit["committed"], hit["available"], hit["unavailable"], hit["incoming"]) == (41.0, 5.0, 1.0, 0.0)
+
+
+def test_failing_source_raises_and_missing_source_falls_through(spark):
+    import pytest
+    from tallywise.sources.files import first_usable
+    some = spark.range(3)
+    broken = lambda: some.where(F.raise_error(F.lit("lost")).cast("boolean"))
+    with pytest.raises(Exception, match="lost"):
+        first_usable(broken, lambda: some)
+    assert first_usable(lambda: spark.read.parquet("/tmp/there/is/nothing"), lambda: some.select("nope"), lambda: some).count() == 3
+    assert first_usable(lambda: some.limit(0)) is None
+
+
+def test_broken_json_line_fails_the_load(spark):
+    import pytest
+    from tallywise.plans.inventory import classify_records
+    lines = spark.createDataFrame([('{"id": "a"', 1)], "value string, line_no int")
+    with pytest.raises(Exception, match="not a JSON object"):
+        classify_records(lines).collect()
+    fine = spark.createDataFrame([('{"other": 1}', 1), ("", 2), (None, 3)], "value string, line_no int")
+    assert classify_records(fine).count() == 0
+
+
+def test_csv_round_trip_by_header(spark, tmp_path):
+    from tallywise.sources.files import read_csv
+    from tallywise.sources.sinks import write_report
+    data = [('Rose 3" pot, red', "a\nb", 1.5), ("plain", 'q"', None)]
+    write_report(spark.createDataFrame(data, "name string, note string, price double"), str(tmp_path / "out"))
+    got = read_csv(spark, str(tmp_path / "out"), "price double, absent string, name string, note string")
+    assert {(r["name"], r["note"], r["price"], r["absent"]) for r in got.collect()} == {(*d, None) for d in data}
+
+
+def test_times_outside_utc(spark):
+    from tallywise.functions import date_parts, iso_utc
+    from tallywise.functions.dates import parse_offset_ts
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = spark.createDataFrame([("2024-03-10 02:30:00 +0000",), ("2024-03-10T02:30:00Z",), ("2024-03-09T21:30:00-05:00",),
+                                      ("2024-03-10 02:30:00",)], "t string")
+        ts = parse_offset_ts("t")
+        got = rows.select(iso_utc(ts).alias("iso"), *date_parts(ts)).collect()
+        assert {tuple(r) for r in got} == {("2024-03-10T02:30:00+0000", "10", "03", "2024")}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_part_files_order_by_number(spark, tmp_path):
+    from tallywise.sources.files import read_json_lines
+    for n in (9, 10, 99999, 100000):
+        (tmp_path / f"part-{n:05d}.json").write_text(f"{n}\n")
+    assert [r["value"] for r in read_json_lines(spark, str(tmp_path)).orderBy("line_no").collect()] == ["9", "10", "99999", "100000"]
 
 
 def test_duplicate_keys(spark):
