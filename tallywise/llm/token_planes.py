@@ -13,7 +13,7 @@ compressed chunk index (ids and four plane lengths per chunk), and the planes.
 
 The library's normalizers and pre-tokenizer never join what ASCII white space
 parts, so texts are cut there and the library encodes each distinct piece
-once; a worker remembers pieces up to ``MEMO``.
+once; a worker remembers the pieces it has used last, up to two generations of ``MEMO``.
 
 Files are written under the shared folder under a name of their own and then
 renamed, and only files listed in the written manifest are read, so a task
@@ -45,7 +45,7 @@ BLOCK = 1 << 16
 FILE_IDS = 1 << 21     # a file is closed once it has so many ids
 END_ID = 1
 LEVEL = 3
-MEMO = 400_000
+MEMO = 500_000        # pieces to a generation; a worker holds two
 PIECES = 20_000        # pieces encoded in one library call
 
 _LOADED: dict = {}
@@ -58,17 +58,21 @@ def tokenizer(path: str):
         made = Tokenizer.from_file(path)
         made.no_truncation()
         made.no_padding()
-        _LOADED[path] = (made, {})
+        _LOADED[path] = [made, {}, {}]
     return _LOADED[path]
 
 
 def encode(texts: list[str], path: str) -> list[bytes]:
     """Each text's ids as little-endian unsigned 32-bit integers, without an end id."""
-    made, memo = tokenizer(path)
+    held = tokenizer(path)
+    made, memo, past = held
     cut = [t.encode().split() for t in texts]
-    if len(memo) > MEMO:
-        memo.clear()
+    if len(memo) > MEMO:  # pieces in use come back from the generation before, the rest go
+        past, memo = memo, {}
+        held[1:] = memo, past
     new = list(set().union(*cut) - memo.keys()) if cut else []
+    memo.update((p, past[p]) for p in new if p in past)
+    new = [p for p in new if p not in past]
     for at in range(0, len(new), PIECES):
         part = new[at:at + PIECES]
         got = made.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
