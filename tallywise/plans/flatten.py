@@ -21,7 +21,7 @@ def flatten_orders(docs: DataFrame) -> DataFrame:
     li = F.col("__li")
     has_line = li.isNotNull()
     return x.select(
-        "name", "email", "financial_status", F.col("processed_at").alias("paid_at"),
+        "name", "email", "financial_status", "created_at", F.col("processed_at").alias("paid_at"),
         first_text("fulfillment_status", default=DEFAULT_FULFILLMENT).alias("fulfillment_status"),
         yes_no("buyer_accepts_marketing").alias("accepts_marketing"),
         full_name(F.col("billing_address.first_name"), F.col("billing_address.last_name")).alias("billing_name"),

@@ -18,12 +18,13 @@ od AS (select o.o_orderkey, '#' || cast(o.o_orderkey as string) as name,
                    else lower(replace(c.c_name, '#', '.')) || '@example.com' end as email,
               case o.o_orderstatus when 'F' then 'paid' when 'O' then 'pending' else 'partially_paid' end as financial_status,
               cast(cast(o.o_orderdate as date) as string) as paid_at,
+              cast(cast(o.o_orderdate as date) as string) || 'T08:00:00-04:00' as created_at,
               case when o.o_orderstatus = 'F' then 'fulfilled' else 'unfulfilled' end as fulfillment_status,
               case when o.o_orderkey % 2 = 0 then 'yes' else 'no' end as accepts_marketing,
               case when o.o_orderkey % 5 = 0 then '' else trim(c.c_name || ' ' || c.c_mktsegment) end as billing_name,
               case when o.o_orderkey % 3 = 0 then lower(o.o_orderpriority) else 'Unknown' end as risk_level
        from orders o join customer c on c.c_custkey = o.o_custkey)
-select od.name, od.email, od.financial_status, od.paid_at, od.fulfillment_status, od.accepts_marketing,
+select od.name, od.email, od.financial_status, od.created_at, od.paid_at, od.fulfillment_status, od.accepts_marketing,
        od.billing_name, od.risk_level, li.l_quantity as lineitem_quantity, li.lname as lineitem_name, li.price as lineitem_price,
        li.sku as lineitem_sku, cast(coalesce(li.line_no, 1) as bigint) as lineitem_number,
        case when li.l_orderkey is null then null

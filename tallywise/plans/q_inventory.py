@@ -64,6 +64,20 @@ def q_inventory_override(spark, sf_dir):
     return V.apply_overrides(fx.storefront_inventory, V.overrides_frame(spark, OVERRIDES))
 
 
+@query("inventory_override_zero", with_clause("storefront_inventory") + f"""
+, ov AS (select * from (values {_OV_VALUES}) as t(sku, on_hand, committed, available, unavailable, incoming)),
+m AS (
+select s.*, ov.on_hand as ov_on_hand, ov.committed as ov_committed,
+       ov.sku is not null and (s.on_hand = 0 or s.committed = 0) as hit
+from storefront_inventory s left join ov on s.sku = ov.sku)
+select sku, title, option_value, case when hit then ov_on_hand else on_hand end as on_hand, available,
+       case when hit then ov_committed else committed end as committed, unavailable, incoming
+from m""")
+def q_inventory_override_zero(spark, sf_dir):
+    fx = fixtures(spark, sf_dir)
+    return V.apply_overrides(fx.storefront_inventory, V.overrides_frame(spark, OVERRIDES), only_if_zero=True)
+
+
 def _classified(spark, sf_dir):
     return V.classify_records(bulk_export_lines(spark, sf_dir))
 

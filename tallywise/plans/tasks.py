@@ -98,20 +98,22 @@ def import_candidates(inp: ImportInputs, out_dir: str) -> dict[str, bool]:
 
 
 def refresh_storefront_orders(docs: DataFrame, out_path: str, as_of: str, days: int | None = 90) -> bool:
-    """Storefront order refresh: orders of the look-back window (``days=None``
-    keeps all) flattened to lines, paid lines only, paid date parts added,
-    then a full replace of the table with a surrogate key in source order."""
+    """Storefront order refresh: orders created in the look-back window
+    (``days=None`` keeps all) flattened to lines, paid lines only, paid date
+    parts added, then a full replace of the table with a surrogate key in order
+    of creation (orders of one instant by name, then their lines)."""
     from tallywise.constants import PAID_STATUS
     from tallywise.functions import date_parts, iso_utc, lookback
     from tallywise.plans.flatten import flatten_orders
     from tallywise.sources.sinks import replace_table
 
-    recent = docs.filter(lookback(F.try_to_timestamp(F.col("processed_at")), as_of, days))
+    recent = docs.filter(lookback(F.try_to_timestamp(F.col("created_at")), as_of, days))
     lines = flatten_orders(recent)
     ts = F.try_to_timestamp(F.col("paid_at"))
     out = lines.filter(F.col("financial_status") == PAID_STATUS).select(
         "*", F.when(ts.isNotNull(), iso_utc(ts)).alias("paid_at_utc"), *date_parts(ts, null_year="0"))
-    replace_table(out, out_path, ["name", "lineitem_number"])
+    created = F.try_to_timestamp(F.col("created_at"))
+    replace_table(out, out_path, [created, F.length("name"), "name", "lineitem_number"])
     return True
 
 

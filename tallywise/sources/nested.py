@@ -119,6 +119,7 @@ select o.o_orderkey as id,
             else lower(replace(c.c_name, '#', '.')) || '@example.com' end as email,
        case o.o_orderstatus when 'F' then 'paid' when 'O' then 'pending' else 'partially_paid' end as financial_status,
        cast(cast(o.o_orderdate as date) as string) as processed_at,
+       cast(cast(o.o_orderdate as date) as string) || 'T08:00:00-04:00' as created_at,
        case when o.o_orderstatus = 'F' then 'fulfilled' end as fulfillment_status,
        o.o_orderkey % 2 = 0 as buyer_accepts_marketing,
        case when o.o_orderkey % 5 = 0 then null

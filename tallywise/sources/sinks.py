@@ -18,7 +18,7 @@ def replace_table(df: DataFrame, path: str, order_cols, key: str = "id", as_text
     """Full replace: text columns (as the landing tables are declared), a
     dense surrogate key in source order, overwrite in one commit."""
     cols = df.columns
-    keyed = dense_index(df.withColumn("__o", F.struct(*[F.col(c) for c in order_cols])), ["__o"], key)
+    keyed = dense_index(df.withColumn("__o", F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols])), ["__o"], key)
     text = [F.col(f"`{c}`").cast("string").alias(c) for c in cols] if as_text else [F.col(f"`{c}`") for c in cols]
     keyed.select(*text, key).write.mode("overwrite").parquet(path)
 
@@ -52,10 +52,13 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
 
 def write_report(df: DataFrame, path: str, order=None, skip_empty: bool = False, fmt: str = "csv") -> bool:
     """Write a report (header CSV or parquet), globally sorted if asked.
-    With ``skip_empty`` an empty result writes nothing. True when written."""
+    With ``skip_empty`` an empty result writes nothing. True when written.
+
+    All columns follow the asked order as tie-breaks: reruns write the same order, and
+    range partitioning can split rows that share the asked values."""
     if skip_empty and df.isEmpty():
         return False
-    out = df.orderBy(*order) if order else df
+    out = df.orderBy(*order, *[F.col(f"`{c}`") for c in df.columns]) if order else df
     w = out.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).option("escape", '"').csv(path)

@@ -21,6 +21,12 @@ def test_tasks_write_reports(spark):
     back = spark.read.option("header", True).csv(f"{out}/pull/03_pullsheet")
     assert back.count() == fx.picking.filter("quantity > 0").count()
     assert back.columns == ["ord", "item", "location", "qty", "on_hand"]
+    from pyspark.sql import functions as F
+    counts = (spark.read.option("header", True).csv(f"{out}/sx/loc_count")
+              .select("loc_count", "product_id", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("at")))
+    rows = sorted(counts.collect(), key=lambda r: (r.f.rsplit("/", 1)[1], r["at"]))
+    assert [-int(r.loc_count) for r in rows] == sorted(-int(r.loc_count) for r in rows)
+    assert len({r.product_id for r in rows}) == len(rows)
 
 
 def test_refresh_and_import_tasks(spark):
@@ -35,6 +41,9 @@ def test_refresh_and_import_tasks(spark):
     assert t.count() == paid_lines.agg(F.sum("n")).first()[0]
     assert sorted(r.id for r in t.select("id").collect()) == list(range(1, t.count() + 1))
     assert set(t.columns) >= {"paid_at_utc", "day_paid", "month_paid", "year_paid"}
+    rows = sorted(t.select("id", "created_at", "name", "lineitem_number").collect())
+    keys = [(r.created_at, int(r.name[1:]), int(r.lineitem_number)) for r in rows]
+    assert keys == sorted(keys)  # by creation; #9 before #10
     recent = T.refresh_storefront_orders(docs, f"{out}/shopify_orders_90d", "1998-08-02 00:00:00", days=90)
     assert recent and spark.read.parquet(f"{out}/shopify_orders_90d").count() < t.count()
 
