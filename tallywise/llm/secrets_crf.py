@@ -48,6 +48,7 @@ KINDS = ("assign", "access", "hex", "crf")
 STEMS = ("passw", "secret", "token", "api")  # one of them is in every assign match, lower-cased
 
 SAMPLE = 300          # windows of each sort that the field is fitted on, at most
+GROUPS = 64           # of tasks, whose windows meet before all do
 VARIANTS = 4          # rewordings of each positive window
 REACH = 60            # characters to each side of a window's centre
 ROUNDS = 80
@@ -297,11 +298,15 @@ def training_windows(docs: DataFrame, doc_id: str, text: str, sample: int = SAMP
                 [pa.array([w[0] for w in made], pa.string()), pa.array([w[1] for w in made], pa.string()),
                  pa.array([w[2] for w in made], pa.list_(pa.int32()))], ["sort", "part", "spans"])
 
-    made = rows.mapInArrow(run, "sort string, part string, spans array<int>")
-    order = W.partitionBy("sort").orderBy(F.xxhash64("part"), "part")
-    # each task keeps its first rows of a sort before anything moves
-    return (made.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
-            .orderBy("sort", "k").collect())
+    made = rows.mapInArrow(run, "sort string, part string, spans array<int>").withColumn("group", F.spark_partition_id() % GROUPS)
+
+    def first(frame: DataFrame, *keys: str) -> DataFrame:
+        order = W.partitionBy(*keys).orderBy(F.xxhash64("part"), "part")
+        return frame.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
+
+    # each task keeps its first rows of a sort before anything moves; tasks meet by groups,
+    # so the last step has GROUPS x sample rows of a sort at most, however many tasks there are
+    return first(first(made, "sort", "group"), "sort").orderBy("sort", "k").collect()
 
 
 _SIGNS = (" = \"{}\"", ": {}", "={}", ": \"{}\"", " is {}", " {}")
