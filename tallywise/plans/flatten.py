@@ -14,23 +14,71 @@ from tallywise.operators import broadcast_if_small, number_within_group
 from tallywise.constants import DEFAULT_FULFILLMENT, DEFAULT_RISK
 
 
+# Parts of an address and the output names they get.
+ADDRESS_PARTS = {"street": "address1", "address1": "address1", "address2": "address2", "company": "company",
+                 "city": "city", "zip": "zip", "province": "province_code", "country": "country_code", "phone": "phone"}
+# Fields of the output that the source always leaves empty.
+ALWAYS_EMPTY = ["tax3_name", "tax3_value", "tax4_name", "tax4_value", "tax5_name", "tax5_value",
+                "receipt_number", "payment_references"]
+NO_PROVINCE, NO_GATEWAY, NO_SOURCE = "Unknown", "Unknown", "web"
+
+
+def _address(role: str) -> list:
+    """Output columns of the billing or shipping address; an order without it has a blank name."""
+    a = F.col(f"{role}_address")
+    return [full_name(a.getField("first_name"), a.getField("last_name")).alias(f"{role}_name"),
+            *[a.getField(f).alias(f"{role}_{n}") for n, f in ADDRESS_PARTS.items()],
+            F.coalesce(a.getField("province"), F.lit(NO_PROVINCE)).alias(f"{role}_province_name")]
+
+
+def _order_fields() -> list:
+    return [
+        "name", "email", "financial_status", F.col("processed_at").alias("paid_at"),
+        first_text("fulfillment_status", default=DEFAULT_FULFILLMENT).alias("fulfillment_status"),
+        nth_field("fulfillments", 0, "created_at").alias("fulfilled_at"),
+        yes_no("buyer_accepts_marketing").alias("accepts_marketing"), "currency",
+        F.col("subtotal_price").alias("subtotal"),
+        F.col("total_shipping_price_set.shop_money.amount").alias("shipping"),
+        F.col("total_tax").alias("taxes"), F.col("total_price").alias("total"),
+        join_field("discount_codes", "code").alias("discount_code"),
+        F.col("total_discounts").alias("discount_amount"),
+        nth_field("shipping_lines", 0, "title").alias("shipping_method"), "created_at",
+        *_address("billing"), *_address("shipping"),
+        F.col("note").alias("notes"), array_text("note_attributes").alias("note_attributes"), "cancelled_at",
+        F.coalesce(F.try_element_at("payment_gateway_names", F.lit(1)), F.lit(NO_GATEWAY)).alias("payment_method"),
+        F.coalesce(F.nullif(F.col("checkout_token"), F.lit("")), F.col("cart_token")).alias("payment_reference"),
+        # the source asks the refund for its kind, not the transaction
+        sum_nested_where("refunds", "transactions", "amount", "kind", "refund", kind_level="outer").alias("refunded_amount"),
+        "tags",
+        F.when(F.col("order_risk").isNotNull(), F.col("order_risk.level"))
+         .otherwise(F.lit(DEFAULT_RISK)).alias("risk_level"),
+        F.col("id").alias("shopify_id"), F.coalesce("source_name", F.lit(NO_SOURCE)).alias("source"),
+        F.coalesce("phone", F.lit("")).alias("phone"), F.col("total_duties").alias("duties"),
+        F.col("checkout_id").alias("payment_id"), F.col("payment_terms.payment_terms_name"),
+        F.col("payment_terms.next_payment_due_at"),
+        *[F.lit(None).cast("string").alias(n) for n in ALWAYS_EMPTY],
+    ]
+
+
 def flatten_orders(docs: DataFrame) -> DataFrame:
     """One row per order line; an order without lines keeps one row with
-    line number 1 and empty line fields."""
+    line number 1 and empty line fields.
+
+    All fields of the source's order lines, but for its always empty ``Id``
+    (the table's surrogate key has that name) and the paid date's parts,
+    which the refresh task adds."""
     x = docs.select("*", F.posexplode_outer("line_items").alias("__pos", "__li"))
     li = F.col("__li")
     has_line = li.isNotNull()
     return x.select(
-        "name", "email", "financial_status", "created_at", F.col("processed_at").alias("paid_at"),
-        first_text("fulfillment_status", default=DEFAULT_FULFILLMENT).alias("fulfillment_status"),
-        yes_no("buyer_accepts_marketing").alias("accepts_marketing"),
-        full_name(F.col("billing_address.first_name"), F.col("billing_address.last_name")).alias("billing_name"),
-        F.when(F.col("order_risk").isNotNull(), F.col("order_risk.level"))
-         .otherwise(F.lit(DEFAULT_RISK)).alias("risk_level"),
-        li.getField("quantity").alias("lineitem_quantity"),
-        li.getField("name").alias("lineitem_name"),
-        li.getField("price").alias("lineitem_price"),
-        li.getField("sku").alias("lineitem_sku"),
+        *_order_fields(),
+        *[li.getField(f).alias(f"lineitem_{f}") for f in
+          ("quantity", "name", "price", "sku", "requires_shipping", "taxable", "fulfillment_status")],
+        li.getField("variant").getField("compare_at_price").alias("lineitem_compare_at_price"),
+        li.getField("vendor").alias("vendor"),
+        F.when(has_line, sum_field(li.getField("discount_allocations"), "amount")).alias("lineitem_discount"),
+        *[nth_field(li.getField("tax_lines"), n - 1, f).alias(f"tax{n}_{out}")
+          for n in (1, 2) for f, out in (("title", "name"), ("price", "value"))],
         (F.coalesce(F.col("__pos"), F.lit(0)) + 1).cast("bigint").alias("lineitem_number"),
         F.when(has_line, plant_name(li.getField("name"))).alias("plantname"),
     )

@@ -10,26 +10,54 @@ from tallywise.sources.nested import ERP_SQL, erp_landing, line_arrays, order_do
 
 
 _FLATTEN_SQL = with_clause("base_lines") + """
-, li AS (select b.l_orderkey, b.line_no, b.sku, p.p_name || ' - ' || b.size_code as lname, b.l_quantity,
-                cast(b.l_extendedprice as string) as price
-         from base_lines b join part p on p.p_partkey = b.l_partkey),
-od AS (select o.o_orderkey, '#' || cast(o.o_orderkey as string) as name,
-              case when o.o_orderkey % 4 = 0 then null
-                   else lower(replace(c.c_name, '#', '.')) || '@example.com' end as email,
-              case o.o_orderstatus when 'F' then 'paid' when 'O' then 'pending' else 'partially_paid' end as financial_status,
-              cast(cast(o.o_orderdate as date) as string) as paid_at,
-              cast(cast(o.o_orderdate as date) as string) || 'T08:00:00-04:00' as created_at,
-              case when o.o_orderstatus = 'F' then 'fulfilled' else 'unfulfilled' end as fulfillment_status,
-              case when o.o_orderkey % 2 = 0 then 'yes' else 'no' end as accepts_marketing,
-              case when o.o_orderkey % 5 = 0 then '' else trim(c.c_name || ' ' || c.c_mktsegment) end as billing_name,
-              case when o.o_orderkey % 3 = 0 then lower(o.o_orderpriority) else 'Unknown' end as risk_level
-       from orders o join customer c on c.c_custkey = o.o_custkey)
-select od.name, od.email, od.financial_status, od.created_at, od.paid_at, od.fulfillment_status, od.accepts_marketing,
-       od.billing_name, od.risk_level, li.l_quantity as lineitem_quantity, li.lname as lineitem_name, li.price as lineitem_price,
-       li.sku as lineitem_sku, cast(coalesce(li.line_no, 1) as bigint) as lineitem_number,
-       case when li.l_orderkey is null then null
-            when li.lname like '% - %' then trim(split_part(li.lname, ' - ', 1)) else li.lname end as plantname
-from od left join li on li.l_orderkey = od.o_orderkey"""
+, sold AS (
+  select b.l_orderkey as k, b.l_quantity as lineitem_quantity, p.p_name || ' - ' || b.size_code as lineitem_name,
+         cast(b.l_extendedprice as string) as lineitem_price, b.sku as lineitem_sku, b.m % 2 = 0 as lineitem_requires_shipping,
+         b.m % 3 > 0 as lineitem_taxable, if(b.m % 2 = 0, 'fulfilled', null) as lineitem_fulfillment_status,
+         if(b.m % 3 > 0, b.m || '.25', null) as lineitem_compare_at_price, if(b.m % 4 > 0, 'V' || b.m, null) as vendor,
+         if(b.m % 5 < 2, cast(0 as double), 1.75 + cast(b.m as double)) as lineitem_discount,
+         if(b.m % 3 > 0, 'VAT', null) as tax1_name,
+         if(b.m % 3 = 1, b.m || '.75', if(b.m % 3 = 2, '0.75', null)) as tax1_value,
+         if(b.m % 3 = 2, 'Levy', null) as tax2_name, if(b.m % 3 = 2, '1.50', null) as tax2_value,
+         b.line_no as lineitem_number, p.p_name as before_size
+  from base_lines b join part p on p.p_partkey = b.l_partkey),
+bought AS (
+  select o.o_orderkey as k, cast(cast(o.o_orderdate as date) as string) as day, o.o_orderstatus as st,
+         lower(o.o_orderpriority) as risk, c.c_name as who, c.c_mktsegment as segment,
+         o.o_orderkey % 5 > 0 as bills, o.o_orderkey % 7 > 0 as ships
+  from orders o join customer c on c.c_custkey = o.o_custkey)
+select '#' || k as name, if(k % 4 = 0, null, lower(replace(who, '#', '.')) || '@example.com') as email,
+       case st when 'F' then 'paid' when 'O' then 'pending' else 'partially_paid' end as financial_status,
+       day as paid_at, if(st = 'F', 'fulfilled', 'unfulfilled') as fulfillment_status,
+       if(k % 4 > 1, day || 'T10:00:00Z', null) as fulfilled_at, if(k % 2 = 0, 'yes', 'no') as accepts_marketing,
+       if(k % 3 = 0, 'CAD', 'USD') as currency, (k % 97) || '.50' as subtotal,
+       if(k % 4 = 1, null, (k % 11) || '.00') as shipping, (k % 13) || '.10' as taxes, (k % 997) || '.99' as total,
+       if(k % 3 = 0, '', if(k % 3 = 1, 'SAVE' || k, 'A, ')) as discount_code, (k % 7) || '.00' as discount_amount,
+       if(k % 5 = 0, null, if(k % 2 = 0, 'Ground', 'Air')) as shipping_method, day || 'T08:00:00-04:00' as created_at,
+       if(bills, trim(who || ' ' || segment), '') as billing_name,
+       if(bills, k || ' Main', null) as billing_street, if(bills, k || ' Main', null) as billing_address1,
+       if(bills and k % 2 = 0, 'Unit 2', null) as billing_address2, if(bills, segment, null) as billing_company,
+       if(bills, 'City ' || (k % 10), null) as billing_city, if(bills, cast(10000 + k % 100 as varchar), null) as billing_zip,
+       if(bills, 'ON', null) as billing_province, if(bills, 'CA', null) as billing_country,
+       if(bills, '1-' || k, null) as billing_phone, if(bills and k % 4 > 0, 'Ontario', 'Unknown') as billing_province_name,
+       if(ships, trim(who), '') as shipping_name,
+       if(ships, k || ' Dock', null) as shipping_street, if(ships, k || ' Dock', null) as shipping_address1,
+       cast(null as varchar) as shipping_address2, cast(null as varchar) as shipping_company,
+       if(ships, 'Port ' || (k % 10), null) as shipping_city, if(ships, cast(20000 + k % 100 as varchar), null) as shipping_zip,
+       if(ships, 'OH', null) as shipping_province, if(ships, 'US', null) as shipping_country,
+       cast(null as varchar) as shipping_phone, if(ships, 'Ohio', 'Unknown') as shipping_province_name,
+       if(k % 6 = 0, null, 'note ' || k) as notes,
+       if(k % 3 = 0, '[]', '[{"name":"gift","value":"' || (k % 2) || '"}]') as note_attributes,
+       if(k % 9 = 0, day || 'T20:00:00Z', null) as cancelled_at, if(k % 5 < 2, 'Unknown', 'card') as payment_method,
+       if(k % 3 = 2, 'ck' || k, if(k % 2 = 0, 'ct' || k, null)) as payment_reference,
+       cast(if(k % 5 in (1, 2), 7, 0) as double) as refunded_amount, if(k % 3 = 0, '', 'a, b') as tags,
+       if(k % 3 = 0, risk, 'Unknown') as risk_level, k as shopify_id, if(k % 4 = 0, 'web', 'pos') as source,
+       if(k % 2 = 1, '555-' || k, '') as phone, if(k % 8 = 0, '1.00', null) as duties, k + 1000 as payment_id,
+       if(k % 7 = 0, 'Net 30', null) as payment_terms_name, if(k % 7 = 0, day, null) as next_payment_due_at,
+       """ + ", ".join(f"cast(null as varchar) as {n}" for n in FL.ALWAYS_EMPTY) + """,
+       sold.* exclude (k, lineitem_number, before_size), cast(coalesce(lineitem_number, 1) as bigint) as lineitem_number,
+       if(lineitem_name is null, null, trim(split_part(before_size, ' - ', 1))) as plantname
+from bought left join sold using (k)"""
 
 
 @query("flatten_orders", _FLATTEN_SQL)

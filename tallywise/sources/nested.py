@@ -110,7 +110,17 @@ with li as (
   select b.l_orderkey,
          array_sort(collect_list(named_struct(
              'line_no', b.line_no, 'sku', b.sku, 'name', p.p_name || ' - ' || b.size_code,
-             'quantity', b.l_quantity, 'price', cast(b.l_extendedprice as string)))) as line_items
+             'quantity', b.l_quantity, 'price', cast(b.l_extendedprice as string),
+             'vendor', case when b.m % 4 <> 0 then 'V' || cast(b.m as string) end,
+             'requires_shipping', b.m % 2 = 0, 'taxable', b.m % 3 <> 0,
+             'fulfillment_status', case when b.m % 2 = 0 then 'fulfilled' end,
+             'variant', case when b.m % 3 <> 0 then named_struct('compare_at_price', cast(b.m as string) || '.25') end,
+             'discount_allocations', case b.m % 5 when 0 then null when 1 then array()
+                 else array(named_struct('amount', '1.25'), named_struct('amount', cast(b.m as string) || '.5')) end,
+             'tax_lines', case b.m % 3 when 0 then null
+                 when 1 then array(named_struct('title', 'VAT', 'price', cast(b.m as string) || '.75'))
+                 else array(named_struct('title', 'VAT', 'price', '0.75'), named_struct('title', 'Levy', 'price', '1.50')) end
+             ))) as line_items
   from base_lines b join part p on p.p_partkey = b.l_partkey
   group by b.l_orderkey)
 select o.o_orderkey as id,
@@ -122,8 +132,59 @@ select o.o_orderkey as id,
        cast(cast(o.o_orderdate as date) as string) || 'T08:00:00-04:00' as created_at,
        case when o.o_orderstatus = 'F' then 'fulfilled' end as fulfillment_status,
        o.o_orderkey % 2 = 0 as buyer_accepts_marketing,
+       case when o.o_orderkey % 2 = 1 then '555-' || cast(o.o_orderkey as string) end as phone,
+       case when o.o_orderkey % 9 = 0 then cast(cast(o.o_orderdate as date) as string) || 'T20:00:00Z' end as cancelled_at,
+       case when o.o_orderkey % 3 = 0 then 'CAD' else 'USD' end as currency,
+       cast(o.o_orderkey % 97 as string) || '.50' as subtotal_price,
+       cast(o.o_orderkey % 13 as string) || '.10' as total_tax,
+       cast(o.o_orderkey % 997 as string) || '.99' as total_price,
+       cast(o.o_orderkey % 7 as string) || '.00' as total_discounts,
+       case when o.o_orderkey % 8 = 0 then '1.00' end as total_duties,
+       case when o.o_orderkey % 6 <> 0 then 'note ' || cast(o.o_orderkey as string) end as note,
+       case when o.o_orderkey % 3 = 0 then '' else 'a, b' end as tags,
+       case when o.o_orderkey % 4 <> 0 then 'pos' end as source_name,
+       case o.o_orderkey % 3 when 0 then null when 1 then '' else 'ck' || cast(o.o_orderkey as string) end as checkout_token,
+       case when o.o_orderkey % 2 = 0 then 'ct' || cast(o.o_orderkey as string) end as cart_token,
+       o.o_orderkey + 1000 as checkout_id,
+       case when o.o_orderkey % 4 <> 1
+            then named_struct('shop_money', named_struct('amount', cast(o.o_orderkey % 11 as string) || '.00'))
+            end as total_shipping_price_set,
+       case o.o_orderkey % 3 when 0 then array()
+            when 1 then array(named_struct('code', 'SAVE' || cast(o.o_orderkey as string)))
+            else array(named_struct('code', 'A'), named_struct('code', cast(null as string))) end as discount_codes,
+       case when o.o_orderkey % 5 <> 0
+            then array(named_struct('title', case when o.o_orderkey % 2 = 0 then 'Ground' else 'Air' end),
+                       named_struct('title', 'Spare')) end as shipping_lines,
+       case o.o_orderkey % 4 when 0 then array() when 1 then null
+            else array(named_struct('created_at', cast(cast(o.o_orderdate as date) as string) || 'T10:00:00Z')) end as fulfillments,
+       case when o.o_orderkey % 3 = 0 then array()
+            else array(named_struct('name', 'gift', 'value', cast(o.o_orderkey % 2 as string))) end as note_attributes,
+       case o.o_orderkey % 5 when 0 then null when 1 then array() else array('card', 'gift') end as payment_gateway_names,
+       case when o.o_orderkey % 7 = 0
+            then named_struct('payment_terms_name', 'Net 30',
+                              'next_payment_due_at', cast(cast(o.o_orderdate as date) as string)) end as payment_terms,
        case when o.o_orderkey % 5 = 0 then null
-            else named_struct('first_name', c.c_name, 'last_name', c.c_mktsegment) end as billing_address,
+            else array(named_struct('kind', case when o.o_orderkey % 5 < 3 then 'refund' end,
+                                    'transactions', array(named_struct('kind', 'refund', 'amount', cast(2 as double)),
+                                                          named_struct('kind', 'sale', 'amount', cast(5 as double)))),
+                       named_struct('kind', 'void',
+                                    'transactions', array(named_struct('kind', 'refund', 'amount', cast(9 as double)))))
+            end as refunds,
+       case when o.o_orderkey % 5 <> 0
+            then named_struct('first_name', c.c_name, 'last_name', c.c_mktsegment,
+                              'address1', cast(o.o_orderkey as string) || ' Main',
+                              'address2', case when o.o_orderkey % 2 = 0 then 'Unit 2' end,
+                              'company', c.c_mktsegment, 'city', 'City ' || cast(o.o_orderkey % 10 as string),
+                              'zip', cast(10000 + o.o_orderkey % 100 as string),
+                              'province', case when o.o_orderkey % 4 <> 0 then 'Ontario' end, 'province_code', 'ON',
+                              'country_code', 'CA', 'phone', '1-' || cast(o.o_orderkey as string)) end as billing_address,
+       case when o.o_orderkey % 7 <> 0
+            then named_struct('first_name', c.c_name, 'last_name', cast(null as string),
+                              'address1', cast(o.o_orderkey as string) || ' Dock', 'address2', cast(null as string),
+                              'company', cast(null as string), 'city', 'Port ' || cast(o.o_orderkey % 10 as string),
+                              'zip', cast(20000 + o.o_orderkey % 100 as string), 'province', 'Ohio',
+                              'province_code', 'OH', 'country_code', 'US',
+                              'phone', cast(null as string)) end as shipping_address,
        case when o.o_orderkey % 3 = 0 then named_struct('level', lower(o.o_orderpriority)) end as order_risk,
        li.line_items
 from orders o join customer c on c.c_custkey = o.o_custkey

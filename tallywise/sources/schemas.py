@@ -22,17 +22,34 @@ LINE_ITEM = T.StructType([
         T.StructField("title", T.StringType()), T.StructField("price", T.StringType())]))),
 ])
 
-# Storefront order document (the subset of fields the flatten reads).
+def _texts(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.StringType()) for n in names]
+
+
+def _array(*fields: T.StructField) -> T.ArrayType:
+    return T.ArrayType(T.StructType(list(fields)))
+
+
+# Storefront order document: the fields that the flatten reads.
 ORDER = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
-    T.StructField("email", T.StringType()), T.StructField("financial_status", T.StringType()),
-    T.StructField("processed_at", T.StringType()), T.StructField("created_at", T.StringType()),
-    T.StructField("fulfillment_status", T.StringType()),
+    T.StructField("id", T.LongType()),
+    *_texts("name", "email", "phone", "financial_status", "fulfillment_status", "processed_at", "created_at",
+            "cancelled_at", "currency", "subtotal_price", "total_tax", "total_price", "total_discounts",
+            "total_duties", "note", "tags", "source_name", "checkout_token", "cart_token"),
+    T.StructField("checkout_id", T.LongType()),
     T.StructField("buyer_accepts_marketing", T.BooleanType()),
-    T.StructField("currency", T.StringType()), T.StructField("total_price", T.StringType()),
+    T.StructField("total_shipping_price_set", T.StructType([
+        T.StructField("shop_money", T.StructType(_texts("amount")))])),
+    T.StructField("discount_codes", _array(*_texts("code"))),
+    T.StructField("shipping_lines", _array(*_texts("title"))),
+    T.StructField("fulfillments", _array(*_texts("created_at"))),
+    T.StructField("note_attributes", _array(*_texts("name", "value"))),
+    T.StructField("payment_gateway_names", T.ArrayType(T.StringType())),
+    T.StructField("payment_terms", T.StructType(_texts("payment_terms_name", "next_payment_due_at"))),
+    T.StructField("refunds", _array(*_texts("kind"), T.StructField("transactions", _array(
+        *_texts("kind"), T.StructField("amount", T.DoubleType()))))),
     T.StructField("billing_address", _ADDRESS), T.StructField("shipping_address", _ADDRESS),
-    T.StructField("tags", T.StringType()),
-    T.StructField("order_risk", T.StructType([T.StructField("level", T.StringType())])),
+    T.StructField("order_risk", T.StructType(_texts("level"))),
     T.StructField("line_items", T.ArrayType(LINE_ITEM)),
 ])
 
