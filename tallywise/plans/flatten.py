@@ -101,6 +101,11 @@ def line_array_fields(lines: DataFrame, refund_kind_level: str = "inner") -> Dat
     )
 
 
+# Parts of a partner's address in the ERP order lines.
+PARTNER_PARTS = {"name": "name", "street": "street", "street2": "street2", "city": "city", "state": "state_name",
+                 "zip": "zip", "country": "country_name", "phone": "phone"}
+
+
 def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, partners: DataFrame,
                     states: DataFrame, countries: DataFrame) -> DataFrame:
     """ERP sale orders flattened to line rows.
@@ -109,23 +114,26 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
     (the tiny state/country tables are broadcast), then joined to the order
     headers in three roles before the (larger) lines are attached. Lines are
     numbered per order by (sequence, id); orders without lines keep one row.
+    The source never fills the shipping and discount amounts; its load stamps
+    (created and updated) are added by the refresh task.
     """
     st = broadcast_if_small(states.select(F.col("id").alias("__sid"), F.col("name").alias("state_name")))
     co = broadcast_if_small(countries.select(F.col("id").alias("__cid"), F.col("name").alias("country_name")))
     pdim = (partners.join(st, partners["state_id"] == st["__sid"], "left")
             .join(co, partners["country_id"] == co["__cid"], "left")
-            .select("id", "name", "state_name", "country_name"))
+            .select("id", "name", "email", "phone", "street", "street2", "city", "zip", "state_name", "country_name"))
 
-    def role(prefix: str) -> DataFrame:
+    def partner_role(prefix: str) -> DataFrame:
         return pdim.select(*[F.col(c).alias(f"{prefix}_{c}") for c in pdim.columns])
 
     h = orders
     for pfx, key in (("cust", "partner_id"), ("inv", "partner_invoice_id"), ("ship", "partner_shipping_id")):
-        r = role(pfx)
+        r = partner_role(pfx)
         h = h.join(r, h[key] == r[f"{pfx}_id"], "left")
 
     ln = number_within_group(lines, "order_id", ["sequence", "id"], out="line_number").select(
-        F.col("id").alias("line_id"), "order_id", "product_id", "product_uom_qty", "price_unit", "line_number")
+        F.col("id").alias("line_id"), "order_id", "product_id", "product_uom_qty", "product_uom", "price_unit", "price_subtotal",
+        "price_tax", "price_total", "line_number")
     pr = products.select(F.col("id").alias("__prod"), F.col("default_code").alias("product_default_code"),
                          F.col("name").alias("product_name"),
                          F.col("description_sale").alias("product_description"))
@@ -142,15 +150,20 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
     return j.select(
         F.col("id").alias("odoo_id"), F.col("name").alias("odoo_name"),
         F.col("client_order_ref").alias("shopify_order_number"),
-        F.col("cust_name").alias("customer_name"), F.col("date_order").alias("order_date"),
-        F.col("state").alias("order_status"), F.col("amount_total").alias("total_amount"),
+        F.col("cust_name").alias("customer_name"), F.col("cust_email").alias("customer_email"),
+        F.col("date_order").alias("order_date"), F.col("state").alias("order_status"),
+        F.col("invoice_status").alias("payment_status"), "delivery_status", "currency",
+        F.col("amount_untaxed").alias("subtotal"), F.col("amount_tax").alias("tax_amount"),
+        F.lit(None).cast("double").alias("shipping_amount"), F.lit(None).cast("double").alias("discount_amount"),
+        F.col("amount_total").alias("total_amount"),
         F.coalesce(F.col("line_number"), F.lit(1).cast("bigint")).alias("line_number"),
         F.col("product_id"), "product_default_code", "product_name", "product_description",
-        F.col("product_uom_qty").alias("product_quantity"), F.col("price_unit").alias("product_unit_price"),
-        F.col("ship_name").alias("shipping_name"), F.col("ship_state_name").alias("shipping_state"),
-        F.col("ship_country_name").alias("shipping_country"),
-        F.col("inv_name").alias("billing_name"), F.col("inv_state_name").alias("billing_state"),
-        F.col("inv_country_name").alias("billing_country"),
+        F.col("product_uom_qty").alias("product_quantity"), "product_uom",
+        F.col("price_unit").alias("product_unit_price"), F.col("price_subtotal").alias("product_subtotal"),
+        F.col("price_tax").alias("product_tax"), F.col("price_total").alias("product_total"),
+        *[F.col(f"{p}_{f}").alias(f"{role}_{n}") for p, role in (("ship", "shipping"), ("inv", "billing"))
+          for n, f in PARTNER_PARTS.items()],
+        F.col("note").alias("notes"),
         F.coalesce(F.date_format(day, "dd"), F.lit("00")).alias("day_ordered"),
         F.coalesce(F.date_format(day, "MM"), F.lit("00")).alias("month_ordered"),
         F.coalesce(F.year(day).cast("string"), F.lit("0000")).alias("year_ordered"),

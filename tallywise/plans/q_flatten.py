@@ -115,20 +115,25 @@ _ERP_WITH = with_clause("base_lines").rstrip() + ",\n" + ",\n".join(
 
 
 @query("erp_orders_assemble", _ERP_WITH + """
-, pdim AS (select p.id, p.name, s.name as state_name, c.name as country_name
+, pdim AS (select p.*, s.name as state_name, c.name as country_name
            from erp_partners p left join erp_states s on p.state_id = s.id
            left join erp_countries c on p.country_id = c.id),
 ln AS (select l.*, row_number() over (partition by order_id order by sequence, id) as line_number
        from erp_order_lines l),
 d AS (select id, try_strptime(split_part(date_order, ' ', 1), '%Y-%m-%d') as day from erp_orders)
 select h.id as odoo_id, h.name as odoo_name, h.client_order_ref as shopify_order_number,
-       cu.name as customer_name, h.date_order as order_date, h.state as order_status,
+       cu.name as customer_name, cu.email as customer_email, h.date_order as order_date, h.state as order_status,
+       h.invoice_status as payment_status, h.delivery_status, h.currency, h.amount_untaxed as subtotal,
+       h.amount_tax as tax_amount, cast(null as double) as shipping_amount, cast(null as double) as discount_amount,
        h.amount_total as total_amount, cast(coalesce(ln.line_number, 1) as bigint) as line_number,
        ln.product_id, pr.default_code as product_default_code, pr.name as product_name,
-       pr.description_sale as product_description, ln.product_uom_qty as product_quantity,
-       ln.price_unit as product_unit_price,
-       sh.name as shipping_name, sh.state_name as shipping_state, sh.country_name as shipping_country,
-       iv.name as billing_name, iv.state_name as billing_state, iv.country_name as billing_country,
+       pr.description_sale as product_description, ln.product_uom_qty as product_quantity, ln.product_uom,
+       ln.price_unit as product_unit_price, ln.price_subtotal as product_subtotal, ln.price_tax as product_tax,
+       ln.price_total as product_total, h.note as notes,
+       sh.name as shipping_name, sh.street as shipping_street, sh.street2 as shipping_street2, sh.city as shipping_city,
+       sh.state_name as shipping_state, sh.zip as shipping_zip, sh.country_name as shipping_country, sh.phone as shipping_phone,
+       iv.name as billing_name, iv.street as billing_street, iv.street2 as billing_street2, iv.city as billing_city,
+       iv.state_name as billing_state, iv.zip as billing_zip, iv.country_name as billing_country, iv.phone as billing_phone,
        coalesce(strftime(d.day, '%d'), '00') as day_ordered,
        coalesce(strftime(d.day, '%m'), '00') as month_ordered,
        coalesce(cast(year(d.day) as varchar), '0000') as year_ordered

@@ -119,12 +119,15 @@ def refresh_storefront_orders(docs: DataFrame, out_path: str, as_of: str, days:
 
 def refresh_erp_orders(erp: dict, out_path: str) -> bool:
     """ERP order refresh: headers, lines, products and partners assembled to
-    line rows and fully replaced (the ERP side always reads everything)."""
+    line rows, stamped with the load's time and fully replaced (the ERP side
+    always reads everything)."""
     from tallywise.plans.flatten import erp_order_lines
     from tallywise.sources.sinks import replace_table
 
     rows = erp_order_lines(erp["erp_orders"], erp["erp_order_lines"], erp["erp_products"],
                            erp["erp_partners"], erp["erp_states"], erp["erp_countries"])
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    rows = rows.withColumns({"created_at": now, "updated_at": now})
     replace_table(rows, out_path, ["odoo_id", "line_number"], key="row_id", as_text=False)
     return True
 

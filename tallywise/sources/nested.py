@@ -232,14 +232,21 @@ select o_orderkey as id, 'SO' || cast(o_orderkey as string) as name, o_custkey a
        cast(o_orderdate as string) as date_order,
        case o_orderstatus when 'F' then 'sale' when 'O' then 'draft' else 'sent' end as state,
        case when o_orderkey % 10 = 0 then null else '#' || cast(o_orderkey as string) end as client_order_ref,
+       case o_orderkey % 3 when 1 then 'pending' when 2 then 'full' end as delivery_status,
+       case when o_orderkey % 3 = 0 then 'CAD' else 'USD' end as currency,
+       o_totalprice * cast(0.75 as double) as amount_untaxed, o_totalprice * cast(0.25 as double) as amount_tax,
        o_totalprice as amount_total, o_orderpriority as invoice_status,
+       case when o_orderkey % 6 <> 0 then 'note ' || cast(o_orderkey as string) end as note,
        o_custkey as partner_invoice_id,
        case when o_orderkey % 4 = 0 then null else o_custkey + o_orderkey % 3 end as partner_shipping_id
 from orders""",
     "erp_order_lines": """
 select l_orderkey * 100 + line_no as id, l_orderkey as order_id,
        case when m = 9 then null else l_partkey end as product_id,
-       l_quantity as product_uom_qty, l_extendedprice as price_unit, line_no as sequence
+       l_quantity as product_uom_qty, case when m % 4 = 0 then 'Dozen' else 'Units' end as product_uom,
+       l_extendedprice as price_unit, l_quantity * l_extendedprice as price_subtotal,
+       l_extendedprice * cast(0.125 as double) as price_tax, l_extendedprice * cast(1.125 as double) as price_total,
+       line_no as sequence
 from base_lines""",
     "erp_products": """
 select p_partkey as id, p_name as name, 'FAM-' || cast(cast(floor(p_partkey / 4) as bigint) as string) || '-' ||
@@ -247,7 +254,12 @@ select p_partkey as id, p_name as name, 'FAM-' || cast(cast(floor(p_partkey / 4)
        p_type as description_sale
 from part""",
     "erp_partners": """
-select c_custkey as id, c_name as name, c_mktsegment as street, c_nationkey as country_id,
+select c_custkey as id, c_name as name,
+       case when c_custkey % 4 <> 0 then 'p' || cast(c_custkey as string) || '@example.com' end as email,
+       case when c_custkey % 3 <> 0 then '555-' || cast(c_custkey as string) end as phone,
+       c_mktsegment as street, case when c_custkey % 2 = 0 then 'Unit ' || cast(c_custkey as string) end as street2,
+       'City ' || cast(c_custkey % 10 as string) as city, cast(10000 + c_custkey % 100 as string) as zip,
+       c_nationkey as country_id,
        n.n_regionkey as state_id
 from customer join nation n on n.n_nationkey = c_nationkey""",
     "erp_states": "select r_regionkey as id, r_name as name from region",
