@@ -18,6 +18,9 @@ def test_tasks_write_reports(spark):
     assert all(T.pull_sheet(T.PullInputs(fx.picking, fx.quants), f"{out}/pull").values())
     assert all(T.import_candidates(T.ImportInputs(fx.order_export, fx.existing_orders, fx.existing_contacts),
                                    f"{out}/imp").values())
+    compared = spark.read.parquet(f"{out}/of/order_comparison")
+    assert compared.count() > 0 and compared.filter("comparison_date is null").isEmpty()
+    assert compared.select("comparison_date").distinct().count() == 1
     back = spark.read.option("header", True).csv(f"{out}/pull/03_pullsheet")
     assert back.count() == fx.picking.filter("quantity > 0").count()
     assert back.columns == ["ord", "item", "location", "qty", "on_hand"]
@@ -48,6 +51,9 @@ def test_refresh_and_import_tasks(spark):
     assert recent and spark.read.parquet(f"{out}/shopify_orders_90d").count() < t.count()
 
     assert T.refresh_erp_orders(erp_landing(spark, SMALL), f"{out}/odoo_orders")
+    erp = spark.read.parquet(f"{out}/odoo_orders")
+    assert {"customer_email", "shipping_phone", "billing_zip", "notes", "created_at", "updated_at"} <= set(erp.columns)
+    assert erp.filter("created_at is null or updated_at is null").isEmpty()
     assert spark.read.parquet(f"{out}/odoo_orders").count() > 0
 
     assert all(T.import_bulk_inventory(bulk_export_lines(spark, SMALL), f"{out}/inv", "2026-01-01").values())
