@@ -38,9 +38,9 @@ MAX_REPEAT_PERCENT = 30
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 
-H = 0.75                  # fraction of a group that its estimate rests on
+H = 0.5                   # fraction of a group that its estimate rests on; up to 1 - H of it may be bad
 STEPS = 6                 # concentration steps
-CONSISTENCY = 1.413       # makes the H-subset's scatter fit a normal sample, 5 dimensions
+CONSISTENCY = 1.912       # makes the H-subset's scatter fit a normal sample, 5 dimensions: H / P(chi2_7 <= H-quantile of chi2_5)
 CUTOFF = 30.86            # chi-squared quantile 0.99999, 5 dimensions
 # Least standard deviation by dimension. Most clean texts have no symbols and
 # no repeats at all, so the plain scatter of a group may vanish there.
@@ -165,8 +165,9 @@ def _moments(y: list[Column]) -> list[Column]:
 def mcd_estimates(rows: DataFrame) -> DataFrame:
     """Centre and inverse scatter per (lang, source) as columns g_lang, g_source, mean, inverse.
 
-    Starts from the coordinate medians with the floor as scatter, which
-    a third of outliers cannot move far, then concentrates ``STEPS`` times.
+    Starts from the coordinate medians with the floor as scatter, then
+    concentrates ``STEPS`` times. Medians and subset both rest on half of a
+    group, so outliers of somewhat less than half of it enter neither.
     The moments are taken about the current centre, so they lose no digits.
     """
     rows = rows.select("g_lang", "g_source", *[F.col("vector")[i].alias(f"x{i}") for i in range(DIMS)])

@@ -402,6 +402,23 @@ def test_quality_follows_the_labels(spark):
     assert sum(bad) <= 0.25 * len(bad)
 
 
+@pytest.mark.parametrize("share", [0.34, 0.45])
+def test_quality_rejects_a_large_bad_part(spark, share):
+    """One source with a third or more of junk: copies of a bad document, and labelled bad documents."""
+    from pyspark.sql import functions as F
+    sf = "/root/testdata/sf0.01"
+    judged = quality_mcd.with_stats(spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id"))
+    clean = judged.where(~quality_mcd.base_failed(F.col("n_words"), F.col("n_repeat_words"))).orderBy("doc_id").collect()
+    good, bad = ([r["text"] for r in clean if r["quality"] == q] for q in (1, 0))
+    n = int(share * len(good) / (1 - share))
+    for junk in ([bad[0]] * n, [bad[k % len(bad)] for k in range(n)]):
+        frame = spark.createDataFrame([(t, "en", "one", ok) for ok, part in ((True, good), (False, junk)) for t in part],
+                                      "text string, lang string, source string, good boolean")
+        got = quality_mcd.judge(frame).groupBy("good").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+        kept = {r["good"]: r["kept"] for r in got}
+        assert kept[True] >= 0.995 and kept[False] <= 0.15, kept
+
+
 def test_quality_edge(spark, edge, empty):
     got = quality_mcd.judge(edge, kept="verdict").collect()
     assert Counter((r["doc_id"], r["base_failed"]) for r in got) == Counter({(1, True): 1, (2, True): 1, (None, True): 1, (4, True): 2, (6, True): 1, (7, True): 1, (8, True): 1, (9, True): 1})
