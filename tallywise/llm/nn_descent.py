@@ -6,18 +6,22 @@ codes), and is improved by rounds of NN-descent: each node's pool holds itself,
 neighbours and the nodes that have it as a neighbour, gathered by Spark joins;
 within a pool everything is compared with everything (neighbours of
 neighbours), and what beats a member's worst neighbour is sent to that member.
+Rounds go on until less than ``CHANGED`` of all neighbours are new.
 Pools and blocks are compared in pieces of ``PIECE`` members, and those of hubs
 are dealt to several tasks, so a hot vector's pool is no unit of work.
 
 A query (a row of the table, or any vector) searches greedily: a beam of the
-``BEAM`` nearest nodes found; all nodes of the beam not yet expanded are
-expanded (their neighbours, either way), until none is left. Queries go in
-blocks of ``QUERIES``; what is broadcast is bounded by ``QUERIES`` x ``BEAM``.
+nearest nodes found; all nodes of the beam not yet expanded are
+expanded (their neighbours, either way), until none is left. The beam has
+``BEAM`` nodes at first. ``PROBES`` queries are also compared with every node, and
+while they find less than ``RECALL`` of their true neighbours, the beam is doubled.
+Queries go in blocks of ``QUERIES``, fewer as the beam grows; what is broadcast is
+bounded by ``QUERIES`` x ``BEAM``, and ``PROBES`` x the beam.
 The ``RERANK`` best of each beam are scored again in double precision on the original
 vectors, copies are put back, and the nearest are returned.
 
 Vectors travel as 8-bit integers with a scale; only the last step needs more.
-The index is fitted on every row. Recall is measured in tests/llm and in the README.
+The index is fitted on every row.
 
 Defined cases: vectors that are null, of another length than most, zero, or hold null or
 non-finite components take no part, as queries or candidates; fewer candidates
@@ -39,9 +43,11 @@ NEIGHBOURS = 24
 TABLES = 2
 BLOCK = 512           # vectors that share a code, about
 PIECE = 1024
-ROUNDS = 3
+CHANGED = 0.05        # share of new neighbours below which the graph counts as settled
 SENT = 16             # candidates that a pool sends to a member
-BEAM = 256
+BEAM = 256            # to begin with
+PROBES = 128
+RECALL = 0.95         # of the probes' true neighbours that must be found
 EXPANSIONS = 14       # rounds of a search, at most
 QUERIES = 4096
 RERANK = 24
@@ -172,12 +178,12 @@ def _compare(batches, keep: int):
 
 
 def merge(graph: DataFrame, sent: DataFrame) -> DataFrame:
-    """The graph (id, packed, nbrs, sims) with each node's best of old and sent neighbours."""
+    """The graph (id, packed, nbrs, sims) with each node's best of old and sent neighbours, and how many are new."""
     none = F.lit(None).cast("binary")
     rows = (graph.select("id", "packed", "nbrs", "sims")
             .unionByName(sent.select("id", none.alias("packed"), F.col("cands").alias("nbrs"), "sims"))
             .repartition("id").sortWithinPartitions("id"))
-    return rows.mapInArrow(_merge, "id long, packed binary, nbrs array<long>, sims array<float>")
+    return rows.mapInArrow(_merge, "id long, packed binary, nbrs array<long>, sims array<float>, changed int")
 
 
 def _best(nbrs: list, sims: list) -> tuple[np.ndarray, np.ndarray]:
@@ -190,13 +196,18 @@ def _best(nbrs: list, sims: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merge(batches):
-    node, packed, nbrs, sims, held = None, None, [], [], 0
+    node, packed, nbrs, sims, held, old = None, None, [], [], 0, ()
+
+    def whole():
+        n, s = _best(nbrs, sims)
+        return node, packed, n, s, len(n) - len(np.intersect1d(n, old, assume_unique=True))
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-             pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.float32()))],
-            ["id", "packed", "nbrs", "sims"])
+             pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.float32())),
+             pa.array([r[4] for r in rows], pa.int32())],
+            ["id", "packed", "nbrs", "sims", "changed"])
 
     for b in batches:
         out = []
@@ -206,9 +217,10 @@ def _merge(batches):
         for k, i in enumerate(ids):
             if i != node:
                 if node is not None:
-                    out.append((node, packed, *_best(nbrs, sims)))
-                node, packed, nbrs, sims, held = i, None, [], [], 0
-            packed = packed or packs[k]
+                    out.append(whole())
+                node, packed, nbrs, sims, held, old = i, None, [], [], 0, ()
+            if packs[k]:
+                packed, old = packs[k], n_all[n_at[k]:n_at[k + 1]]
             nbrs.append(n_all[n_at[k]:n_at[k + 1]])
             sims.append(s_all[n_at[k]:n_at[k + 1]])
             held += len(nbrs[-1])
@@ -217,7 +229,7 @@ def _merge(batches):
                 held = len(nbrs[0])
         yield batch_of(out)
     if node is not None:
-        yield batch_of([(node, packed, *_best(nbrs, sims))])
+        yield batch_of([whole()])
 
 
 def descend(graph: DataFrame) -> DataFrame:
@@ -237,15 +249,19 @@ def build_graph(nodes: DataFrame) -> DataFrame:
     bits = max(0, int(np.floor(np.log2(max(1, packed.count() / BLOCK)))))
     empty = packed.select("id", "packed", F.array().cast("array<bigint>").alias("nbrs"), F.array().cast("array<float>").alias("sims"))
     graph = stage(merge(empty, compare_pools(codes(packed, bits), NEIGHBOURS)), "graph")
-    for _ in range(ROUNDS):
+    while True:  # ends: each node's neighbours only ever become nearer
         graph = descend(graph)
-    return graph
+        changed, held = graph.agg(F.sum("changed"), F.sum(F.size("nbrs"))).first()
+        # lets Spark's cleaner remove the shuffle files of rounds that are written
+        graph.sparkSession.sparkContext._jvm.System.gc()
+        if not held or changed < CHANGED * held:
+            return graph
 
 
 # ---------------------------------------------------------------- search
 
-def _beam(batches):
-    """Per query: the BEAM nearest of its beam and the newly scored, and which are expanded."""
+def _beam(batches, beam: int):
+    """Per query: the ``beam`` nearest of its beam and the newly scored, and which are expanded."""
     names = ["query", "ids", "sims", "done"]
     now, parts = None, []
 
@@ -257,7 +273,7 @@ def _beam(batches):
         first = np.r_[True, np.diff(ids) != 0] if len(ids) else np.zeros(0, bool)
         flags = np.logical_or.reduceat(done, np.flatnonzero(first)) if len(ids) else done
         ids, sims = ids[first], sims[first]
-        top = np.lexsort((ids, -sims))[:BEAM]
+        top = np.lexsort((ids, -sims))[:beam]
         return ids[top], sims[top], flags[top]
 
     def batch_of(rows):
@@ -294,15 +310,15 @@ def _score(batches):
                                           pa.array(sims[good].astype(np.float32))], ["query", "cand", "sim"])
 
 
-def search(graph: DataFrame, edges: DataFrame, vectors: DataFrame, block: DataFrame) -> DataFrame:
+def search(graph: DataFrame, edges: DataFrame, vectors: DataFrame, block: DataFrame, beam: int = BEAM) -> DataFrame:
     """Beams (query, ids, sims) for a block of queries (query, node, q_packed): ``node`` is where each starts."""
     block = stage(block, "queries")
     near = F.broadcast(block.select(F.col("query").alias("b_query"), "q_packed"))  # at most QUERIES rows
     beams = stage(block.select("query", F.array("node").alias("ids"), F.array(F.lit(1.0).cast("float")).alias("sims"),
                                F.array(F.lit(False)).alias("done")), "beam")
     for _ in range(EXPANSIONS):
-        least = F.when(F.size("sims") >= BEAM, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
-        # at most QUERIES x BEAM rows of three numbers
+        least = F.when(F.size("sims") >= beam, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
+        # at most QUERIES x BEAM (or PROBES x beam) rows of three numbers
         front = (beams.select("query", least.alias("least"), F.explode(F.arrays_zip("ids", "done")).alias("x"))
                  .where("not x.done").select("query", "least", F.col("x.ids").alias("at")))
         front = stage(front, "front")
@@ -316,10 +332,66 @@ def search(graph: DataFrame, edges: DataFrame, vectors: DataFrame, block: DataFr
         new = new.select("query", F.array("cand").alias("ids"), F.array("sim").alias("sims"), F.array(F.lit(False)).alias("done"))
         old = beams.select("query", "ids", "sims", F.transform("ids", lambda i: F.lit(True)).alias("done"))
         beams = stage(old.unionByName(new).repartition("query").sortWithinPartitions("query")
-                      .mapInArrow(_beam, "query long, ids array<long>, sims array<float>, done array<boolean>"), "beam")
+                      .mapInArrow(lambda b: _beam(b, beam), "query long, ids array<long>, sims array<float>, done array<boolean>"), "beam")
     return beams
 
 
+def true_neighbours(nodes: DataFrame, probes: DataFrame, k: int) -> dict[int, set[int]]:
+    """The k nearest other nodes of each probe (query, node, q_vec), by comparison with all nodes."""
+    rows = probes.collect()  # PROBES at most
+    ids, own = np.array([r["query"] for r in rows], np.int64), np.array([r["node"] for r in rows], np.int64)
+
+    def unit(m):
+        m = m / np.abs(m).max(axis=1, keepdims=True)
+        return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+    asked = unit(np.array([r["q_vec"] for r in rows], np.float64).reshape(len(rows), -1)) if rows else None
+
+    def run(batches):
+        best_n, best_s = np.full((len(ids), 0), 0, np.int64), np.zeros((len(ids), 0))
+        for b in batches:
+            if not len(b) or asked is None:
+                continue
+            at = b.column("id").to_numpy()
+            s = asked @ unit(_matrix(b.column("vec"))).T
+            s[own[:, None] == at[None, :]] = -9.0
+            best_n, best_s = np.hstack([best_n, np.broadcast_to(at, s.shape)]), np.hstack([best_s, s])
+            if best_s.shape[1] > k:
+                top = np.argpartition(-best_s, k - 1, axis=1)[:, :k]
+                best_n, best_s = np.take_along_axis(best_n, top, 1), np.take_along_axis(best_s, top, 1)
+        q = np.repeat(ids, best_n.shape[1])
+        fine = best_s.ravel() > -2.0
+        yield pa.RecordBatch.from_arrays([pa.array(q[fine]), pa.array(best_n.ravel()[fine]), pa.array(best_s.ravel()[fine])], ["query", "node", "sim"])
+
+    # PROBES x k rows a task
+    order = W.partitionBy("query").orderBy(F.desc("sim"), "node")
+    top = (nodes.select("id", "vec").mapInArrow(run, "query long, node long, sim double")
+           .withColumn("place", F.row_number().over(order)).where(F.col("place") <= k))
+    out: dict[int, set[int]] = {}
+    for r in top.collect():
+        out.setdefault(r["query"], set()).add(r["node"])
+    return out
+
+
+def probe_recall(beams: DataFrame, truth: dict[int, set[int]]) -> float:
+    """The share of the probes' true neighbours among the RERANK best of their beams."""
+    got = beams.where(F.col("query").isin([int(q) for q in truth])).select("query", F.slice("ids", 1, RERANK).alias("ids")).collect()
+    hit = sum(len(truth[r["query"]] & set(r["ids"])) for r in got)
+    return hit / max(1, sum(map(len, truth.values())))
+
+
+def fitted_beam(nodes: int, recall: float, probe) -> int:
+    """The smallest doubling of BEAM at which the probes find RECALL of their true neighbours.
+
+    ``recall`` is what they find with BEAM, ``probe`` gives it for a larger beam.
+    A beam of all nodes is as far as it goes."""
+    beam = BEAM
+    while recall < RECALL and beam < nodes:
+        beam *= 2
+        recall = probe(beam)
+    return beam
+
+
 def cosine(batches):
     """The exact cosine in double precision, row by row, so equal vectors score equally."""
     for b in batches:
@@ -347,11 +419,21 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     asked = (asked.join(nodes.withColumnRenamed("vec", "n_vec"), F.col("vec") == F.col("n_vec"))
              .select("query", F.col("id").alias("node")))
     asked = stage(asked.join(packed, F.col("node") == F.col("id")).select("query", "node", F.col("packed").alias("q_packed")), "asked")
-    blocks = max(1, -(-asked.count() // (QUERIES // 2)))  # hashed, so a block stays below QUERIES
-    found = None
-    for n in range(blocks):
-        part = search(graph, edges, packed, asked.where(F.pmod(F.xxhash64("query", F.lit(SEED)), F.lit(blocks)) == n))
-        found = part if found is None else found.unionByName(part)
+    number = asked.count()
+
+    def part(n: int, blocks: int) -> DataFrame:
+        return asked.where(F.pmod(F.xxhash64("query", F.lit(SEED)), F.lit(blocks)) == n)
+
+    blocks = max(1, -(-number // (QUERIES // 2)))  # hashed, so a block stays below QUERIES
+    probes = stage(part(0, blocks).orderBy(F.xxhash64("query", F.lit(SEED + 1)), "query").limit(PROBES), "probes")
+    truth = true_neighbours(nodes, probes.join(nodes.withColumnRenamed("vec", "q_vec"), F.col("node") == F.col("id")), k)
+    found = search(graph, edges, packed, part(0, blocks), BEAM)  # holds the probes
+    beam = fitted_beam(graph.count(), probe_recall(found, truth), lambda size: probe_recall(search(graph, edges, packed, probes, size), truth))
+    if beam > BEAM:
+        blocks, found = max(1, -(-number * beam // (QUERIES // 2 * BEAM))), None
+    for n in range(0 if found is None else 1, blocks):
+        more = search(graph, edges, packed, part(n, blocks), beam)
+        found = more if found is None else found.unionByName(more)
     top = found.select("query", F.explode(F.slice("ids", 1, RERANK)).alias("node"))
     q = rows.select(F.col("vec_id").alias("query"), F.col("vec").alias("q_vec"))
     pairs = (top.join(q, "query").join(nodes, F.col("node") == F.col("id"))

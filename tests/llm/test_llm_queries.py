@@ -610,6 +610,33 @@ def test_nearest_recall(spark):
     assert hit >= 0.95 * total, hit / total
 
 
+def test_nearest_follows_measured_recall(spark, monkeypatch):
+    """Rounds go on until the graph settles, and a beam that finds too little is doubled."""
+    shares, beams, descend, search = [], [], nn_descent.descend, nn_descent.search
+
+    def counted(graph):
+        made = descend(graph)
+        shares.append(made.selectExpr("sum(changed) / sum(size(nbrs))").first()[0])
+        return made
+
+    def sized(*args):
+        beams.append(args[4])
+        return search(*args)
+
+    monkeypatch.setattr(nn_descent, "descend", counted)
+    monkeypatch.setattr(nn_descent, "search", sized)
+    monkeypatch.setattr(nn_descent, "BEAM", 8)
+    x = np.random.default_rng(4).standard_normal((6000, 64))
+    frame = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = nn_descent.nearest(frame, every=100).collect()
+    assert shares[-1] < nn_descent.CHANGED <= min(shares[:-1]) and len(shares) > 3
+    assert beams[0] == 8 and max(beams) > 8
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = {q: set(np.argsort(-(unit @ unit[q]))[1:6].tolist()) for q in range(0, 6000, 100)}
+    hit = sum(r["vec_id"] in near[r["query_id"]] for r in got)
+    assert hit >= 0.95 * 300, hit / 300
+
+
 def test_nearest_edge(spark):
     nan, inf = float("nan"), float("inf")
     data = [(0, [1.0, 0.0]), (50, [2.0, 0.0]), (1, [1.0, 1.0]), (2, None), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (100, [1.0, None]),
