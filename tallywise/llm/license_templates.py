@@ -30,24 +30,60 @@ from tallywise.llm.common import with_text_columns
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
 # Public license wording with markup.
+_FSF = ("redistribute it and or modify it under the terms of the gnu general public license as published by the free software "
+        "foundation <<beginOptional>>either<<endOptional>> version {} <<beginOptional>>of the license<<endOptional>> "
+        "<<beginOptional>>or at your option any later version<<endOptional>> <<beginOptional>><<var;max=6>> distributed in the hope that "
+        "it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular "
+        "purpose see the gnu general public license for more details<<endOptional>> <<beginOptional>>you should have received a copy of "
+        "the gnu general public license along with <<var;max=4>> <<beginOptional>>if not <<var;max=20>><<endOptional>><<endOptional>>")
+_BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+        "conditions are met <<beginOptional>>1<<endOptional>> redistributions of source code must retain the above copyright notice this "
+        "list of conditions and the following disclaimer <<beginOptional>>2<<endOptional>> redistributions in binary form must reproduce "
+        "the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials "
+        "provided with the distribution {}this software is provided by <<var;max=12>> as is and any express or implied warranties "
+        "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed in "
+        "no event shall <<var;max=12>> be liable for any direct indirect incidental special exemplary or consequential damages including "
+        "but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however "
+        "caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising "
+        "in any way out of the use of this software even if advised of the possibility of such damage")
+_ENDORSE = ("<<beginOptional>>3<<endOptional>> neither the name of <<var;max=12>> nor the names of <<var;max=3>> contributors may be used to "
+            "endorse or promote products derived from this software without specific prior written permission ")
+_CC = " ".join(f"<<beginOptional>>{v} <<var;max=3>><<endOptional>>" for v in ("4 0", "3 0", "2 5", "2 1", "2 0", "1 0"))
 TEMPLATES = {
     "mit-notice": "<<beginOptional>>this software is<<endOptional>> released under the <<beginOptional>>terms of the<<endOptional>> MIT license",
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
                 "documentation files <<beginOptional>>the software<<endOptional>> to deal in the software without restriction "
                 "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
-                "copies of the software",
+                "copies of the software and to permit persons to whom the software is furnished to do so subject to the following "
+                "conditions the above copyright notice and this permission notice <<beginOptional>>including the next "
+                "paragraph<<endOptional>> shall be included in all copies or substantial portions of the software the software is "
+                "provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+                "merchantability fitness for a particular purpose and noninfringement in no event shall <<var;max=12>> be liable for "
+                "any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in "
+                "connection with the software or the use or other dealings in the software",
     "apache-2.0-notice": "licensed under the apache license version 2 <<beginOptional>>0<<endOptional>> "
-                         "<<beginOptional>>the license you may not use <<var;max=4>> except in compliance with the license<<endOptional>>",
+                         "<<beginOptional>>the license you may not use <<var;max=4>> except in compliance with the license<<endOptional>> "
+                         "<<beginOptional>>you may obtain a copy of the license at <<var;max=10>> unless required by applicable law or "
+                         "agreed to in writing software distributed under the license is distributed on an as is basis without "
+                         "warranties or conditions of any kind either express or implied see the license for the specific language "
+                         "governing permissions and limitations under the license<<endOptional>>",
     "gpl-3.0-notice": "licensed under the <<beginOptional>>terms of the<<endOptional>> gnu general public license "
                       "<<beginOptional>>as published by the free software foundation either<<endOptional>> version 3",
     "gpl-2.0-notice": "licensed under the <<beginOptional>>terms of the<<endOptional>> gnu general public license "
                       "<<beginOptional>>as published by the free software foundation either<<endOptional>> version 2",
-    "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted provided that "
-                "the following conditions are met",
+    "gpl-3.0-fsf-notice": _FSF.format(3),
+    "gpl-2.0-fsf-notice": _FSF.format(2),
+    "bsd-2-clause-text": _BSD.format(""),
+    "bsd-3-clause-text": _BSD.format(_ENDORSE),
     "isc-text": "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose "
                 "with or without fee is hereby granted provided that the above copyright notice and this permission notice "
-                "appear in all copies",
-    "cc-by-notice": "licensed under a creative commons attribution <<var;max=2>> license",
+                "appear in all copies the software is provided as is and <<var;max=8>> disclaims all warranties with regard to this "
+                "software including all implied warranties of merchantability and fitness in no event shall <<var;max=8>> be liable "
+                "for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or "
+                "profits whether in an action of contract negligence or other tortious action arising out of or in connection with the "
+                "use or performance of this software",
+    "cc-by-notice": "licensed under <<beginOptional>>a<<endOptional>> <<beginOptional>>the<<endOptional>> creative commons attribution "
+                    + _CC + " license",
     "mpl-2.0-notice": "subject to the terms of the mozilla public license v 2 0",
 }
 
