@@ -12,7 +12,9 @@ into itself (law ``key``).
 Everything is DataFrame expressions. Rows that are equal in all placed columns
 are counted before they are numbered, so a hot id costs one row; slots are
 numbered within fine hash buckets and offset by bucket counts, of which there
-are ``BUCKETS`` for a shard.
+are ``BUCKETS`` for a shard; buckets are drawn from id and text, so the texts of
+a hot id spread. Counted rows come back in pieces of ``PIECE`` copies, dealt to
+all tasks.
 
 Defined cases: a null id draws as the value its hash has; null texts have size
 16 and the checksum of no bytes; repeated rows share a shard and get slots of
@@ -29,6 +31,7 @@ SHARDS = 40
 RACK = 5          # shards in a rack
 REGION = 4        # racks in a region
 BUCKETS = 512
+PIECE = 4096      # copies of a row that one array brings back
 OVERHEAD = 16     # bytes of a document besides its text
 SEED = 97
 
@@ -88,7 +91,7 @@ def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.select(F.col(doc_id).alias("doc_id"), (F.octet_length(content) + OVERHEAD).cast("long").alias("size"),
                        F.crc32(content).alias("text_crc32"))
     rows = (rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
-            .withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(BUCKETS)).cast("int"))
+            .withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", F.lit(SEED + 1)), F.lit(BUCKETS)).cast("int"))
             .withColumn("shard", place(tree, key))
             .withColumn("grown_shard", place(with_new_region(tree), key)))
     order = W.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
@@ -99,6 +102,10 @@ def shard_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sizes = sizes.select(F.col("shard").alias("b_shard"), F.col("bucket").alias("b_bucket"),
                          (F.sum("n").over(upto) - F.col("n")).alias("offset"))
     placed = rows.join(F.broadcast(sizes), (F.col("shard") == F.col("b_shard")) & (F.col("bucket") == F.col("b_bucket")))
-    return (placed.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    last = F.floor((F.col("copies") - 1) / PIECE).cast("long")
+    pieces = (placed.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+              .repartition("shard", "bucket", "before", "piece"))
+    own = F.sequence(F.col("piece") * PIECE, F.least(F.col("copies"), (F.col("piece") + 1) * PIECE) - 1)
+    return (pieces.withColumn("copy", F.explode(own))
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
                     (F.col("offset") + F.col("before") + F.col("copy")).cast("long").alias("slot"), "grown_shard"))

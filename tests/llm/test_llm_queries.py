@@ -480,6 +480,24 @@ def test_sharding_moves_stay_in_changed_subtrees(spark):
                     assert r["b"] == 33                     # and within that, only the heavier shard
 
 
+def test_sharding_spreads_equal_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(shard_tree, "PIECE", 10, raising=False)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        frame = spark.createDataFrame([(None, None)] * 1005 + [(7, f"text {k}") for k in range(50)] + [(8, "x")], "doc_id long, text string")
+        got = shard_tree.shard_documents(frame).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(key, before)
+    slots, tasks = defaultdict(list), Counter(r["task"] for r in got if r["doc_id"] is None)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert len(got) == 1056 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(tasks) > 3 and max(tasks.values()) < 700, tasks
+
+
 def test_sharding_edge(spark, edge, empty):
     got = shard_tree.shard_documents(edge).collect()
     assert len(got) == len(EDGE) and Counter(r["doc_id"] for r in got) == Counter(r[0] for r in EDGE)
