@@ -70,6 +70,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stage``, with the folder, which the caller gives to ``drop_folder``
+    once nothing reads it any more."""
+    path = scratch_path(df.sparkSession, f"llm/{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def with_arrow_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]], fn) -> DataFrame:
     """Append columns computed from one text column, an Arrow batch at a time.
 
