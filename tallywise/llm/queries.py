@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywise.llm import (bpe_lexicon, chat_format, filter_audit, license_templates, mixing_tree, nn_descent, quality_mcd, secrets_crf,
+from tallywise.llm import (bpe_lexicon, chat_format, filter_audit, html_region, license_templates, mixing_tree, nn_descent, quality_mcd, secrets_crf,
                            shard_tree, simhash_tiles, token_planes)
 from tallywise.llm.common import hex16, table
 
@@ -98,6 +98,11 @@ def op10(spark, sf_dir):
     return nn_descent.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+@query("op11_html_region")
+def op11(spark, sf_dir):
+    return html_region.with_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+
+
 @query("op12_filter_audit", filter_audit.AUDIT_SQL)
 def op12(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
