@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallywise.llm import (bpe_lexicon, chat_format, filter_audit, html_region, license_templates, mixing_tree, nn_descent, quality_mcd, secrets_crf,
-                           shard_tree, simhash_tiles, token_planes)
+from tallywise.llm import (bpe_lexicon, chat_format, filter_audit, html_region, license_templates, mixing_tree, nn_descent, quality_mcd,
+                           rmq_search, secrets_crf, shard_tree, simhash_tiles, token_planes)
 from tallywise.llm.common import hex16, table
 
 QUERIES: dict = {}
@@ -106,3 +106,8 @@ def op11(spark, sf_dir):
 @query("op12_filter_audit", filter_audit.AUDIT_SQL)
 def op12(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_rmq_search", rmq_search.RANK_SQL)
+def op13(spark, sf_dir):
+    return rmq_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
