@@ -15,3 +15,4 @@ __all__ = [
     "prefix_equi_join", "hyphen_prefixes", "exists_other_value", "reindex", "rename_require",
     "keep_available", "drop_quietly", "duplicate_keys",
 ]
+from tallywise.operators.skew import HEAVY_ROWS, heavy_keys, skew_join  # noqa: F401

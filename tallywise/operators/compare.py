@@ -5,53 +5,26 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-
-def _cond(a: DataFrame, b: DataFrame, ak, bk):
-    return reduce(lambda x, y: x & y, [a[i].eqNullSafe(b[j]) for i, j in zip(ak, bk)])
+from tallywise.operators.skew import HEAVY_ROWS, skew_join
 
 
 def null_safe_full_outer(left: DataFrame, right: DataFrame, left_keys, right_keys,
-                         skew_safe: bool = True) -> DataFrame:
+                         skew_safe: bool = True, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Full outer join on ``left_keys[i] <=> right_keys[i]`` for all i.
 
     Key expressions are Columns bound to each side; the two sides must have
-    disjoint column names. Rows whose keys are all present go through one plain full
-    outer join. Rows with a null key match only rows with a null key, and with
-    ``skew_safe`` (default) these, which may be very many for one key, are joined as
-
-        (left JOIN right)                                   -- inner
-        UNION ALL left  ANTI JOIN distinct(right keys)      -- left only
-        UNION ALL right ANTI JOIN distinct(left keys)       -- right only
-
-    which returns the same rows: a sort-merge full outer join cannot be split
-    by AQE when one key is hot; inner and left-anti joins can, and the
-    distinct key sets collapse a hot key to one row before they shuffle.
+    disjoint column names. With ``skew_safe`` (default) a key with very many
+    rows, whole or null (all lines without an order number, say), is dealt
+    into slices (see ``skew_join``): a sort-merge full outer join cannot be split
+    by AQE when one key is hot.
     """
     lk = [f"__lk{i}" for i in range(len(left_keys))]
     rk = [f"__rk{i}" for i in range(len(right_keys))]
     l2 = left.select("*", *[k.alias(n) for k, n in zip(left_keys, lk)])
     r2 = right.select("*", *[k.alias(n) for k, n in zip(right_keys, rk)])
-    if not skew_safe:
-        return l2.join(r2, _cond(l2, r2, lk, rk), "full_outer").drop(*lk, *rk)
-
-    whole = lambda names: reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in names])
-    keyed_l, keyed_r = l2.where(whole(lk)), r2.where(whole(rk))
-    keyed = keyed_l.join(keyed_r, reduce(lambda x, y: x & y, [F.col(a) == F.col(b) for a, b in zip(lk, rk)]), "full_outer")
-    l2, r2 = l2.where(~whole(lk)), r2.where(~whole(rk))
-    inner = l2.join(r2, _cond(l2, r2, lk, rk), "inner")
-    r_keys = r2.select(*rk).distinct()
-    l_keys = l2.select(*lk).distinct()
-    l_only = l2.join(r_keys, _cond(l2, r_keys, lk, rk), "left_anti")
-    r_only = r2.join(l_keys, _cond(r2, l_keys, rk, lk), "left_anti")
-    out_cols = left.columns + right.columns
-    parts = [
-        keyed.select(*[F.col(f"`{c}`") for c in out_cols]),
-        inner.select(*[F.col(f"`{c}`") for c in out_cols]),
-        l_only.select(*[F.col(f"`{c}`") for c in left.columns],
-                      *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns]),
-        r_only.select(*[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in left.columns],
-                      *[F.col(f"`{c}`") for c in right.columns]),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    if skew_safe:
+        joined = skew_join(l2, r2, lk, rk, "full_outer", null_safe=True, heavy_rows=heavy_rows)
+    else:
+        joined = l2.join(r2, reduce(lambda x, y: x & y, [l2[a].eqNullSafe(r2[b]) for a, b in zip(lk, rk)]), "full_outer")
+    return joined.drop(*lk, *rk)

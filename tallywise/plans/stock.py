@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.functions import bracket_code, like_pattern, pair_label, sku_prefix, sku_suffix
-from tallywise.operators import broadcast_if_small, prefix_equi_join
+from tallywise.operators import HEAVY_ROWS, broadcast_if_small, prefix_equi_join, skew_join
 
 from tallywise.constants import (
     ACTIVE_STATUS, MISMATCH_THRESHOLD, SIZE_BAND, SIZE_MISMATCH_NOTE, STOCK_CATEGORY, STOCK_LOCATION_PATTERN,
@@ -210,7 +210,7 @@ def significant_mismatches(extended: DataFrame, threshold: float = MISMATCH_THRE
                            & (F.abs(F.col("shopify_on_hand") - F.col("odoo_quantity")) > threshold))
 
 
-def sku_size_swaps(stock: DataFrame, inventory: DataFrame) -> DataFrame:
+def sku_size_swaps(stock: DataFrame, inventory: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Same plant, two sizes: the ERP holds one size the storefront shows as
     empty, while the storefront holds the other size the ERP shows as empty.
 
@@ -230,7 +230,9 @@ def sku_size_swaps(stock: DataFrame, inventory: DataFrame) -> DataFrame:
                       F.col("o2.size_suffix").alias("odoo_size2"), F.col("o2.plant_prefix").alias("__p2"),
                       F.col("si2.sku").alias("shopify_sku2"), F.col("si2.on_hand").alias("shopify_qty2"),
                       F.col("si2.option_value").alias("shopify_size2"))
-    j = l2.join(r2, (l2["__p1"] == r2["__p2"]) & (l2["odoo_size1"] != r2["odoo_size2"]))
+    # A plant that holds much of the stock is dealt into slices on both sides.
+    j = (skew_join(l2, r2, ["__p1"], ["__p2"], heavy_rows=heavy_rows)
+         .filter(F.col("odoo_size1") != F.col("odoo_size2")))
     return j.select("odoo_sku1", "odoo_qty1", "odoo_size1", "odoo_sku2", "odoo_qty2", "odoo_size2",
                     "shopify_sku1", "shopify_qty1", "shopify_size1", "shopify_sku2", "shopify_qty2",
                     "shopify_size2", "title")
