@@ -15,6 +15,7 @@ from tallywise.session import scratch_path
 from tallywise.sources import sinks
 from tallywise.sources.files import list_files, read_csv, set_mtime
 from tallywise.sources.fixtures import fixtures, with_clause
+from tallywise.sources.versions import read_table
 
 AS_OF = "2026-01-01T00:00:00"
 INVENTORY_CSV_SCHEMA = ("sku string, title string, option_value string, available string, on_hand string, "
@@ -60,7 +61,7 @@ def q_table_replace(spark, sf_dir):
     lines = fixtures(spark, sf_dir).storefront_lines
     path = _run_dir(spark, "table_replace")
     sinks.replace_table(sinks.insert_by_name(lines, _TEXT_COLS), path, ["l_orderkey", "line_no"])
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 @query("table_guard", with_clause("legacy_lookup") + "select * from legacy_lookup")
@@ -73,6 +74,25 @@ def q_table_guard(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("table_guard_catalog", with_clause("legacy_lookup") + "select * from legacy_lookup")
+def q_table_guard_catalog(spark, sf_dir):
+    """The same guard on a table of the catalogue, read by its name."""
+    table = f"tallywise_legacy_{uuid.uuid4().hex}"
+    legacy, path = fixtures(spark, sf_dir).legacy_lookup, _run_dir(spark, "legacy_table")
+    if not sinks.load_table_once(legacy, table, path) or sinks.load_table_once(legacy.limit(0), table, path):
+        raise RuntimeError("the table guard did not hold")
+    return spark.table(table)
+
+
+@query("table_replace_catalog", with_clause("storefront_inventory") + "select * from storefront_inventory where available > 0")
+def q_table_replace_catalog(spark, sf_dir):
+    """Two full replaces of a table of the catalogue; the second one's rows count."""
+    table = f"tallywise_inventory_{uuid.uuid4().hex}"
+    inventory, store = fixtures(spark, sf_dir).storefront_inventory, _run_dir(spark, "inventory_table")
+    sinks.replace_catalog_table(inventory, table, store)
+    return sinks.replace_catalog_table(inventory.filter("available > 0"), table, store)
+
+
 XREF_SCHEMA = ("product_id string, location_id string, loc_count bigint, odoo_onhand_qty double, "
                "odoo_available_qty double, shopify_onhand_qty double, shopify_available_qty double, "
                "shopify_committed_qty double, shopify_unavailable_qty double, diff_onhand double, "

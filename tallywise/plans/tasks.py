@@ -134,13 +134,13 @@ def refresh_erp_orders(erp: dict, out_path: str) -> bool:
 
 
 def import_bulk_inventory(lines: DataFrame, out_dir: str, as_of: str) -> dict[str, bool]:
-    """Bulk-export import: inventory and product tables replaced, load
-    stamp written."""
+    """Bulk-export import: inventory and product tables and the load stamp, replaced
+    together in one step (``versions.read_table(spark, out_dir, table)`` reads them)."""
     from tallywise.plans.inventory import bulk_inventory, classify_records
     from tallywise.sources.sinks import last_update_table, stamp
+    from tallywise.sources.versions import replace_tables
 
     inventory, products = bulk_inventory(classify_records(lines))
-    stamp(inventory, as_of).write.mode("overwrite").parquet(f"{out_dir}/shopify_inventory")
-    products.write.mode("overwrite").parquet(f"{out_dir}/shopifyproducts")
-    last_update_table(lines.sparkSession, as_of).write.mode("overwrite").parquet(f"{out_dir}/last_update")
+    replace_tables({"shopify_inventory": stamp(inventory, as_of), "shopifyproducts": products,
+                    "last_update": last_update_table(lines.sparkSession, as_of)}, out_dir)
     return {"shopify_inventory": True, "shopifyproducts": True, "last_update": True}

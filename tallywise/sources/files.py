@@ -40,7 +40,7 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
                  F.monotonically_increasing_id().alias("pos")).alias("line_no"))
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -48,26 +48,18 @@ def _fs(spark: SparkSession, path: str):
 
 def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     """(path, modification time ms) of files matching a glob (metadata only)."""
-    p, fs = _fs(spark, pattern)
+    p, fs = file_system(spark, pattern)
     found = fs.globStatus(p) or []
     return [(str(s.getPath().toString()), int(s.getModificationTime())) for s in found if s.isFile()]
 
 
-def newest_file(spark: SparkSession, pattern: str) -> str | None:
-    """Path of the most recently modified file matching ``pattern``."""
-    files = list_files(spark, pattern)
-    if not files:
-        return None
-    return max(files, key=lambda f: (f[1], f[0]))[0]
-
-
 def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     fs.setTimes(p, int(millis), -1)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs(spark, path)
+    p, fs = file_system(spark, path)
     return bool(fs.exists(p))
 
 
