@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywise.functions import last_path_part, non_negative, nonempty, to_number_or_zero
-from tallywise.operators import broadcast_if_small, first_non_null, last_wins
+from tallywise.operators import broadcast_if_small, first_non_null, last_wins, rename_require
 
 QTY_COLS = ["incoming", "unavailable", "committed", "available", "on_hand"]
 INVENTORY_COLS = ["sku", "title", "handle", "option_value"] + QTY_COLS
-from tallywise.constants import CSV_RENAME, DEFAULT_PRODUCT_STATUS, LEVEL_NAMES, NOT_STOCKED  # noqa: F401
+from tallywise.constants import CSV_RENAME, DEFAULT_PRODUCT_STATUS, LEVEL_NAMES, NOT_STOCKED
 
 
 def inventory_by_sku(csv_rows: DataFrame, order: str = "row_idx") -> DataFrame:
@@ -29,6 +29,11 @@ def inventory_by_sku(csv_rows: DataFrame, order: str = "row_idx") -> DataFrame:
         *[F.sum(to_number_or_zero(c)).alias(c) for c in QTY_COLS]).select(*INVENTORY_COLS)
 
 
+def inventory_from_csv(export: DataFrame, position: str) -> DataFrame:
+    """Per SKU inventory of an export with the storefront's own headers (see ``inventory_by_sku``)."""
+    return inventory_by_sku(rename_require(export, CSV_RENAME, ["sku", *QTY_COLS]), position)
+
+
 def inventory_totals(inventory: DataFrame) -> DataFrame:
     return inventory.agg(*[F.sum(c).alias(f"total_{c}") for c in
                            ("available", "committed", "incoming", "unavailable")])
@@ -208,15 +213,24 @@ PAGE_SCHEMA = T.StructType([T.StructField("data", T.StructType([T.StructField("p
 def catalog_flatten(pages: DataFrame, body: str = "body") -> DataFrame:
     """Catalogue pages -> one row per variant with a SKU (two-level explode).
 
-    Quantity: the stock level's if present, else the variant's, else 0.
+    A page that is no JSON of the schema fails the load (``rejects.split_documents`` keeps
+    it apart instead). Quantity: the stock level's if present, else the variant's, else 0.
     Status is lower-cased at ingest so later filters on 'active' work.
     """
-    return catalog_flatten_parsed(pages.select(F.from_json(F.col(body), PAGE_SCHEMA).getField("data").alias("data")))
+    return catalog_flatten_parsed(pages.select(F.from_json(F.col(body), PAGE_SCHEMA, {"mode": "FAILFAST"}).getField("data").alias("data")))
+
+
+def catalog_tables(flat: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(inventory table, product table) of flattened catalogue pages."""
+    inventory = flat.select(*INVENTORY_COLS)
+    products = flat.select("sku", "title", "handle", F.col("option_value").alias("option1"), "inventory_quantity",
+                           F.col("inventory_quantity").alias("old_inventory_quantity"), "status")
+    return inventory, products
 
 
 def catalog_flatten_parsed(pages: DataFrame) -> DataFrame:
     """Same as ``catalog_flatten`` for pages already parsed with PAGE_SCHEMA
-    (for example ``spark.read.schema(PAGE_SCHEMA).json(folder)``)."""
+    (for example ``rejects.read_documents(spark, folder, PAGE_SCHEMA).rows``)."""
     prods = pages.select(F.explode(F.col("data.products.edges")).alias("e"))
     prods = prods.select(F.col("e.node").alias("p"))
     vars_ = prods.select("p", F.explode(F.col("p.variants.edges")).alias("ve")).select("p", F.col("ve.node").alias("v"))

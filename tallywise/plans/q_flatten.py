@@ -82,6 +82,29 @@ def q_flatten_orders_file(spark, sf_dir):
     return FL.flatten_orders(read_orders_json(spark, path))
 
 
+@query("flatten_orders_rejects", """
+select case when o_orderkey % 50 = 7 then 'reject' else 'order' end as kind, '#' || o_orderkey as name,
+       case when o_orderkey % 50 = 7 then null else greatest(count(l_orderkey), 1) end as n_lines
+from orders left join lineitem on l_orderkey = o_orderkey group by o_orderkey""")
+def q_flatten_orders_rejects(spark, sf_dir):
+    """Order documents of which every fiftieth lands cut off: the lines of the others per order, and the cut ones by name."""
+    import uuid
+
+    from pyspark.sql import functions as F
+    from tallywise.session import scratch_path
+    from tallywise.sources.rejects import read_documents
+    from tallywise.sources.schemas import ORDER
+    path = scratch_path(spark, f"tallywise/order_pages/{uuid.uuid4().hex}")
+    docs = order_documents(spark, sf_dir)
+    text = F.to_json(F.struct("name", *[c for c in docs.columns if c != "name"]))
+    docs.select(F.when(F.col("id") % 50 == 7, F.substring(text, 1, 60)).otherwise(text).alias("value")).write.text(path)
+    found = read_documents(spark, path, ORDER, keep_broken=True)
+    lines = FL.flatten_orders(found.rows).groupBy("name").agg(F.count("*").alias("n_lines"))
+    cut = found.rejects.select(F.lit("reject").alias("kind"), F.regexp_extract("value", '"name":"([^"]*)"', 1).alias("name"),
+                               F.lit(None).cast("bigint").alias("n_lines"))
+    return lines.select(F.lit("order").alias("kind"), "name", "n_lines").unionByName(cut)
+
+
 @query("line_numbers", """
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate,
        cast(row_number() over (partition by l_orderkey

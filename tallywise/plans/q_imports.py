@@ -55,10 +55,9 @@ def q_reindex_columns(spark, sf_dir):
     return reindex(offered, I.REINDEX_WANTED)
 
 
-# Export file layout: the export's own headers plus the landing row order.
+# Export file layout: the export's own headers; the rows' order is that of the file.
 ORDER_CSV_SCHEMA = ("`Name` string, `Billing Name` string, `Paid at` string, `Lineitem quantity` double, "
-                    "`Lineitem price` double, `Lineitem sku` string, `Billing Country` string, "
-                    "l_orderkey bigint, line_no bigint")
+                    "`Lineitem price` double, `Lineitem sku` string, `Billing Country` string")
 
 
 @query("import_orders_csv", _IMPORT_ORDERS_SQL)
@@ -68,11 +67,11 @@ def q_import_orders_csv(spark, sf_dir):
     import uuid
 
     from tallywise.session import scratch_path
-    from tallywise.sources.files import read_csv
+    from tallywise.sources.files import read_csv, write_csv
     fx = fixtures(spark, sf_dir)
     path = scratch_path(spark, f"tallywise/orders_export/{uuid.uuid4().hex}")
     export = fx.order_export.withColumnsRenamed({k: v for k, v in I.EXPORT_RENAME.items()
                                                  if k in fx.order_export.columns})
-    export.write.option("header", True).csv(path)
-    landed = read_csv(spark, path, ORDER_CSV_SCHEMA)
-    return I.import_orders(I.export_frame(landed), fx.existing_orders)
+    write_csv(export.orderBy("l_orderkey", "line_no").drop("l_orderkey", "line_no"), path)
+    landed = read_csv(spark, path, ORDER_CSV_SCHEMA, position="line_no")
+    return I.import_orders(I.export_frame(landed, ["line_no"]), fx.existing_orders)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tallywise.constants import CSV_RENAME
 from tallywise.plans import inventory as V
 from tallywise.plans.registry import query
 from tallywise.sources.fixtures import FAMILY, SIZE_CASE, fixtures, with_clause
 from tallywise.sources.nested import bulk_export_lines, catalog_pages
+from tallywise.sources.rejects import read_documents
 
 _SKU = f"{FAMILY.format(k='p_partkey')} || '-' || {SIZE_CASE.format(k='p_partkey')}"
 _SIZE = SIZE_CASE.format(k="p_partkey")
@@ -40,6 +42,32 @@ def q_inventory_csv_by_sku(spark, sf_dir):
     return V.inventory_by_sku(fixtures(spark, sf_dir).inventory_csv)
 
 
+_CSV_COLUMNS = {v: k for k, v in CSV_RENAME.items() if v != "handle"}
+
+
+@query("inventory_csv_import", with_clause("inventory_csv") + """
+select sku, arg_min(title, row_idx) filter (where title is not null) as title, cast(null as varchar) as handle,
+       arg_min(option_value, row_idx) filter (where option_value is not null) as option_value,
+       sum(coalesce(try_cast(incoming as double), 0)) as incoming, sum(coalesce(try_cast(unavailable as double), 0)) as unavailable,
+       sum(coalesce(try_cast(committed as double), 0)) as committed, sum(coalesce(try_cast(available as double), 0)) as available,
+       sum(coalesce(try_cast(on_hand as double), 0)) as on_hand
+from inventory_csv where (available is null or available <> 'not stocked') and sku is not null group by sku""")
+def q_inventory_csv_import(spark, sf_dir):
+    """The inventory export as a CSV file set with the storefront's headers and quoted line breaks; the
+    first title and option of a SKU follow from the rows' places in the files."""
+    import uuid
+
+    from pyspark.sql import functions as F
+    from tallywise.session import scratch_path
+    from tallywise.sources.files import read_csv, write_csv
+    path = scratch_path(spark, f"tallywise/inventory_export/{uuid.uuid4().hex}")
+    rows = fixtures(spark, sf_dir).inventory_csv.orderBy("row_idx", "sku")
+    write_csv(rows.select(F.concat(F.lit('Note "'), "row_idx", F.lit('",\nsecond line')).alias("Note"),
+                          *[F.col(c).alias(h) for c, h in _CSV_COLUMNS.items()]), path)
+    schema = ", ".join(f"`{h}` string" for h in CSV_RENAME)
+    return V.inventory_from_csv(read_csv(spark, path, schema, position="line_no"), "line_no")
+
+
 @query("inventory_totals", with_clause("storefront_inventory") + """
 select sum(available) as total_available, sum(committed) as total_committed,
        sum(incoming) as total_incoming, sum(unavailable) as total_unavailable
@@ -189,7 +217,29 @@ def q_catalog_flatten_file(spark, sf_dir):
     from tallywise.session import scratch_path
     path = scratch_path(spark, f"tallywise/catalog_pages/{uuid.uuid4().hex}")
     catalog_pages(spark, sf_dir).select("body").write.text(path)
-    return V.catalog_flatten_parsed(spark.read.schema(V.PAGE_SCHEMA).json(path))
+    return V.catalog_flatten_parsed(read_documents(spark, path, V.PAGE_SCHEMA).rows)
+
+
+@query("catalog_flatten_rejects", _CATALOG_SQL.replace("select cast(f.fam", "select 'row' as kind, cast(f.fam", 1)
+       + """ and f.fam // 50 % 4 <> 1
+union all
+select distinct 'reject', cast(cast(floor(p_partkey / 4) as bigint) // 50 as varchar), null, null, null, null, null, null, null, null, null, null, null
+from part where cast(floor(p_partkey / 4) as bigint) // 50 % 4 = 1""")
+def q_catalog_flatten_rejects(spark, sf_dir):
+    """Every fourth catalogue page lands cut off: the rows of the others, and one reject a page."""
+    import uuid
+
+    from pyspark.sql import functions as F
+    from tallywise.session import scratch_path
+    path = scratch_path(spark, f"tallywise/catalog_pages/{uuid.uuid4().hex}")
+    body = F.when(F.col("page_no") % 4 == 1, F.expr("substring(body, 1, length(body) - 9)")).otherwise(F.col("body"))
+    catalog_pages(spark, sf_dir).select(F.concat(F.lit('{"page":'), F.col("page_no"), F.lit(","), F.substr(body, F.lit(2))).alias("value")).write.text(path)
+    found = read_documents(spark, path, V.PAGE_SCHEMA, keep_broken=True)
+    rows = V.catalog_flatten_parsed(found.rows)
+    gone = found.rejects.select(F.regexp_extract("value", r'"page":(\d+)', 1).alias("product_id"))
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields if f.name != "product_id"]
+    return (rows.withColumn("kind", F.lit("row"))
+            .unionByName(gone.select(F.lit("reject").alias("kind"), "product_id", *empty)))
 
 
 @query("json_path", """

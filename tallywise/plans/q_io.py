@@ -3,7 +3,6 @@ folder (``spark.checkpoint.dir``) and read the written data back."""
 
 from __future__ import annotations
 
-import time
 import uuid
 
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from tallywise.plans.q_stock import XREF_SQL
 from tallywise.plans.registry import query
 from tallywise.session import scratch_path
 from tallywise.sources import sinks
-from tallywise.sources.files import list_files, read_csv, set_mtime
+from tallywise.sources.files import newest_file, read_csv, write_csv
 from tallywise.sources.fixtures import fixtures, with_clause
 from tallywise.sources.versions import read_table
 
@@ -26,28 +25,15 @@ def _run_dir(spark, tag: str) -> str:
     return scratch_path(spark, f"tallywise/{tag}/{uuid.uuid4().hex}")
 
 
-def newest_export_dir(spark, pattern: str) -> str | None:
-    """Folder of the most recently modified export file matching ``pattern``."""
-    files = list_files(spark, pattern)
-    if not files:
-        return None
-    newest = max(files, key=lambda f: (f[1], f[0]))[0]
-    return newest.rsplit("/", 1)[0]
-
-
 @query("latest_file", with_clause("inventory_csv") + "select * from inventory_csv where row_idx % 3 = 1")
 def q_latest_file(spark, sf_dir):
+    """Three exports land one after the other; the last one, which holds row_idx % 3 = 1, is read."""
     inv = fixtures(spark, sf_dir).inventory_csv
     base = _run_dir(spark, "latest_file")
-    now = int(time.time() * 1000)
-    # Three exports; the one holding row_idx % 3 = 1 is made the newest.
-    for k, age in ((0, 3), (1, 1), (2, 2)):
-        d = f"{base}/inventory_export_{k}"
-        inv.filter(F.col("row_idx") % 3 == k).write.option("header", True).option("escape", '"').csv(d)
-        for path, _ in list_files(spark, f"{d}/part-*"):
-            set_mtime(spark, path, now - age * 60_000)
-    newest = newest_export_dir(spark, f"{base}/inventory_export*/part-*")
-    return read_csv(spark, newest, INVENTORY_CSV_SCHEMA)
+    for k in (0, 2, 1):
+        write_csv(inv.filter(F.col("row_idx") % 3 == k), f"{base}/inventory_export_{k}")
+    newest = newest_file(spark, f"{base}/inventory_export*/part-*")
+    return read_csv(spark, newest.rsplit("/", 1)[0], INVENTORY_CSV_SCHEMA)
 
 
 _TEXT_COLS = ["order_name", "sku", "product_name", "quantity", "price", "financial_status", "paid_at",

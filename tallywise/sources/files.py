@@ -3,41 +3,58 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def read_csv(spark: SparkSession, path: str, schema, encoding: str = "UTF-8") -> DataFrame:
+def file_position() -> Column:
+    """Where a row of a file source stands, as a value that sorts in file order:
+    (folder, part number, file path, start of the split, position in the split).
+
+    Rows of one split arrive in file order and the generated id grows within
+    a task, so this is a total order over all files without reading
+    any two files in one task. Part files of one export are ordered by their number.
+    """
+    file = F.col("_metadata.file_path")
+    return F.struct(F.regexp_replace(file, "[^/]*$", "").alias("folder"),
+                    F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(file, r"part-(\d{1,18})[^/]*$", 1), F.lit("")),
+                                               F.lit("9" * 18)).cast("bigint"), F.lit(-1)).alias("part"),
+                    file.alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("pos"))
+
+
+def read_csv(spark: SparkSession, path: str, schema, encoding: str = "UTF-8", position: str | None = None) -> DataFrame:
     """CSV export read by its header: columns are taken by name, whatever their
     order, and cast to the declared schema; absent ones are null, further ones
     are left out. Doubled quotes and quoted line breaks are understood, which takes a
     whole file per task: land a large export as many files. A malformed
-    row or number fails the read. Add a row-order column upstream when file order matters."""
+    row or number fails the read. ``position`` names a further column that sorts in
+    file order (see ``file_position``)."""
     wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     raw = (spark.read.option("header", True).option("encoding", encoding).option("multiLine", True)
            .option("escape", '"').option("mode", "FAILFAST").csv(path))
-    return raw.select(*[(F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                        for f in wanted.fields])
+    columns = [(F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+               for f in wanted.fields]
+    return raw.select(*columns, *([file_position().alias(position)] if position else []))
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A header CSV that ``read_csv`` understands."""
+    df.write.option("header", True).option("escape", '"').csv(path)
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """JSON lines as text ``(value, line_no)`` where ``line_no`` sorts in
-    file order: (folder, part number, file path, start of the split, position in the split).
+    """JSON lines as text ``(value, line_no)``; ``line_no`` sorts in file order (``file_position``)."""
+    return spark.read.text(path).select("value", file_position().alias("line_no"))
 
-    Rows of one split arrive in file order and the generated id grows within
-    a task, so the triple is a total order over all files without reading
-    any file in one task. Part files of one export are ordered by their number.
-    """
-    file = F.col("_metadata.file_path")
-    return spark.read.text(path).select(
-        "value",
-        F.struct(F.regexp_replace(file, "[^/]*$", "").alias("folder"),
-                 F.coalesce(F.try_to_number(F.nullif(F.regexp_extract(file, r"part-(\d{1,18})[^/]*$", 1), F.lit("")),
-                                            F.lit("9" * 18)).cast("bigint"), F.lit(-1)).alias("part"),
-                 file.alias("file"),
-                 F.col("_metadata.file_block_start").alias("block"),
-                 F.monotonically_increasing_id().alias("pos")).alias("line_no"))
+
+def newest_file(spark: SparkSession, pattern: str) -> str | None:
+    """Path of the most recently modified file matching ``pattern`` (of equal times the
+    greatest path), as an aggregate over the files' metadata; no content is read."""
+    files = spark.read.format("binaryFile").load(pattern).select("path", "modificationTime")
+    return files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
 
 
 def file_system(spark: SparkSession, path: str):
@@ -46,18 +63,6 @@ def file_system(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
-    """(path, modification time ms) of files matching a glob (metadata only)."""
-    p, fs = file_system(spark, pattern)
-    found = fs.globStatus(p) or []
-    return [(str(s.getPath().toString()), int(s.getModificationTime())) for s in found if s.isFile()]
-
-
-def set_mtime(spark: SparkSession, path: str, millis: int) -> None:
-    p, fs = file_system(spark, path)
-    fs.setTimes(p, int(millis), -1)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     p, fs = file_system(spark, path)
     return bool(fs.exists(p))
