@@ -2,10 +2,10 @@
 
 Library functions take landing DataFrames with these canonical columns:
 
-storefront lines  order_name, sku, product_name, quantity, price, financial_status,
-                  paid_at, billing_name, line_no, l_orderkey (numbers as text)
-ERP lines         order_ref (storefront reference), erp_name, sku, quantity, price,
-                  delivery_status (numbers as text)
+storefront lines  order_name, sku, product_name, quantity, price, financial_status, fulfillment_status,
+                  created_at, paid_at, fulfilled_at, total, email, tags, billing_name (numbers as text)
+ERP lines         order_ref (storefront reference), erp_name, odoo_id, sku, product_name, quantity, price,
+                  payment_status, delivery_status, order_date, total (numbers as text)
 """
 
 from __future__ import annotations
@@ -22,31 +22,37 @@ from tallywise.operators import broadcast_if_small, null_safe_full_outer
 from tallywise.constants import LEGACY_SKU_SUFFIX, PAID_STATUS, PRICE_TOLERANCE, SYNC_ACTIONS, SYNC_STATUSES
 
 
+# Columns of the comparison on either side, and the landing columns they come from.
+STOREFRONT_COLUMNS = {
+    "shopify_order_number": "order_name", "shopify_sku": "sku", "shopify_product_name": "product_name",
+    "shopify_quantity": "quantity", "shopify_price": "price", "shopify_financial_status": "financial_status",
+    "shopify_fulfillment_status": "fulfillment_status", "shopify_created_at": "created_at",
+    "shopify_paid_at": "paid_at", "shopify_fulfilled_at": "fulfilled_at", "shopify_total": "total",
+}
+ERP_COLUMNS = {
+    "odoo_shopify_order_number": "order_ref", "odoo_sku": "sku", "odoo_product_name": "product_name",
+    "odoo_quantity": "quantity", "odoo_price": "price", "odoo_payment_status": "payment_status",
+    "odoo_delivery_status": "delivery_status", "odoo_order_date": "order_date", "odoo_total": "total",
+    "odoo_order_name": "erp_name", "odoo_order_id": "odoo_id",
+}
+_NUMBERS = ("quantity", "price")
+
+
+def _side(lines: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """One side's columns under their names in the comparison; numbers coerced (bad text -> null)."""
+    return lines.select(*[(to_number(c) if c in _NUMBERS else F.col(c)).alias(name) for name, c in columns.items()])
+
+
 def storefront_side(lines: DataFrame) -> DataFrame:
-    """Prefix the storefront columns and coerce numbers (bad text -> null)."""
-    return lines.select(
-        F.col("order_name").alias("shopify_order_number"),
-        F.col("sku").alias("shopify_sku"),
-        F.col("product_name").alias("shopify_product_name"),
-        to_number("quantity").alias("shopify_quantity"),
-        to_number("price").alias("shopify_price"),
-        F.col("financial_status").alias("shopify_financial_status"),
-    )
+    return _side(lines, STOREFRONT_COLUMNS)
 
 
 def erp_side(lines: DataFrame) -> DataFrame:
-    return lines.select(
-        F.col("order_ref").alias("odoo_shopify_order_number"),
-        F.col("erp_name").alias("odoo_order_name"),
-        F.col("sku").alias("odoo_sku"),
-        to_number("quantity").alias("odoo_quantity"),
-        to_number("price").alias("odoo_price"),
-        F.col("delivery_status").alias("odoo_delivery_status"),
-    )
+    return _side(lines, ERP_COLUMNS)
 
 
-def compare_orders(storefront: DataFrame, erp: DataFrame) -> DataFrame:
-    """Line-by-line comparison with a five-way sync status.
+def compare_orders(storefront: DataFrame, erp: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Line-by-line comparison with a five-way sync status, and the time ``as_of`` as ``comparison_date`` if given.
 
     Full outer join on lower-cased (order, SKU) where null matches null; a
     row is 'in' a side when that side's order number is present. The join is
@@ -70,11 +76,10 @@ def compare_orders(storefront: DataFrame, erp: DataFrame) -> DataFrame:
               .when(~price_ok, F.lit(SYNC_STATUSES[3]))
               .otherwise(F.lit(SYNC_STATUSES[4])))
     return joined.select(
-        "shopify_order_number", "shopify_sku", "shopify_product_name", "shopify_quantity",
-        "shopify_price", "shopify_financial_status", "odoo_shopify_order_number",
-        "odoo_order_name", "odoo_sku", "odoo_quantity", "odoo_price", "odoo_delivery_status",
+        *STOREFRONT_COLUMNS, *ERP_COLUMNS,
         in_s.alias("in_shopify"), in_o.alias("in_odoo"), qty_ok.alias("quantity_match"),
         price_ok.alias("price_match"), status.alias("sync_status"),
+        *([F.lit(as_of).alias("comparison_date")] if as_of is not None else []),
     )
 
 
@@ -121,14 +126,22 @@ def paid_orders(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("financial_status") == F.lit(PAID_STATUS))
 
 
+def _instant(lines: DataFrame, column: str):
+    """The column's instant: text with or without offset is parsed."""
+    if lines.schema[column].dataType.simpleString() == "string":
+        return parse_offset_ts(column)
+    return F.col(column).cast("timestamp")
+
+
 def map_legacy_skus(lines: DataFrame, legacy: DataFrame, suffix: str = LEGACY_SKU_SUFFIX) -> DataFrame:
     """Replace a line's SKU by ``base_sku || suffix`` when the legacy table
-    maps it to a non-null base; duplicates in the lookup fan out."""
+    maps it to a non-null base; duplicates in the lookup fan out. Adds the paid date's parts and the plant's name."""
     lk = broadcast_if_small(legacy.select("legacy_sku", "base_sku"))
     j = lines.join(lk, lines["sku"] == lk["legacy_sku"], "left")
     sku = F.when(F.col("base_sku").isNull(), F.col("sku")).otherwise(F.concat(F.col("base_sku"), F.lit(suffix)))
-    return j.select("order_name", sku.alias("sku"), "product_name", "quantity", "price",
-                    "financial_status", "paid_at", "billing_name")
+    return j.select("order_name", sku.alias("sku"), "email", "financial_status", "fulfillment_status", "paid_at", "quantity",
+                    "product_name", "price", "billing_name", "tags",
+                    *date_parts(_instant(lines, "paid_at"), null_year="0"), plant_name("product_name").alias("plantname"))
 
 
 def order_flow_report(mapped: DataFrame, erp: DataFrame) -> DataFrame:
@@ -140,7 +153,7 @@ def order_flow_report(mapped: DataFrame, erp: DataFrame) -> DataFrame:
         F.col("order_name").alias("name"), F.col("billing_name").alias("customer"), "sku",
         F.col("product_name").alias("item"), F.col("paid_at").alias("paid_date"),
         F.col("quantity").alias("qty"), F.col("financial_status").alias("payment"),
-        "delivery_status")
+        F.col("fulfillment_status").alias("shipment"), "delivery_status", "tags")
 
 
 def report_order():
@@ -149,22 +162,21 @@ def report_order():
 
 
 def latest_order(lines: DataFrame) -> DataFrame:
-    """Row of the highest numbered order name (``#<n>``), as a top-1."""
+    """Creation time of the highest numbered order name (``#<n>``), as a top-1."""
     named = lines.filter(F.col("order_name").startswith("#"))
-    return (named.select(F.col("paid_at").alias("created_at"),
+    return (named.select("created_at",
                          order_number("order_name").alias("order_num"))
             .orderBy(F.col("order_num").desc(), F.col("created_at").asc_nulls_first()).limit(1))
 
 
-def paid_date_parts(export: DataFrame, ts_col: str = "paid_at") -> DataFrame:
-    """Paid time parsed with its offset, printed in UTC, with date parts."""
+def paid_date_parts(export: DataFrame, ts_col: str = "paid_at", keep=("name",)) -> DataFrame:
+    """Paid time parsed with its offset, printed in UTC, with date parts, beside the columns ``keep``."""
     ts = parse_offset_ts(ts_col)
     return export.select(
-        "name", "l_orderkey", "line_no",
+        *keep,
         F.when(ts.isNotNull(), iso_utc(ts)).alias("paid_at"),
         *date_parts(ts, null_year="0", suffix="paid"))
 
 
-def with_plant_name(lines: DataFrame) -> DataFrame:
-    return lines.select("order_name", "sku", "line_no", "l_orderkey", "product_name",
-                        plant_name("product_name").alias("plantname"))
+def with_plant_name(lines: DataFrame, keep=("order_name", "sku", "product_name")) -> DataFrame:
+    return lines.select(*keep, plant_name("product_name").alias("plantname"))

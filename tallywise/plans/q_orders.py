@@ -7,36 +7,34 @@ from tallywise.plans import orders as O
 from tallywise.plans.registry import query
 from tallywise.sources.fixtures import fixtures, with_clause
 
+COMPARED_AS_OF = "2026-01-01T00:00:00"
+
 _CMP_SQL = """
-s AS (select order_name as shopify_order_number, sku as shopify_sku,
-             product_name as shopify_product_name,
-             try_cast(quantity as double) as shopify_quantity,
-             try_cast(price as double) as shopify_price,
-             financial_status as shopify_financial_status
-      from storefront_lines),
-e AS (select order_ref as odoo_shopify_order_number, erp_name as odoo_order_name, sku as odoo_sku,
-             try_cast(quantity as double) as odoo_quantity, try_cast(price as double) as odoo_price,
-             delivery_status as odoo_delivery_status
-      from erp_lines),
-j AS (select * from s full outer join e
-        on lower(s.shopify_order_number) is not distinct from lower(e.odoo_shopify_order_number)
-       and lower(s.shopify_sku) is not distinct from lower(e.odoo_sku)),
+shop AS (
+select order_name as shopify_order_number, sku as shopify_sku, product_name as shopify_product_name,
+       try_cast(quantity as double) as shopify_quantity, try_cast(price as double) as shopify_price,
+       financial_status as shopify_financial_status, fulfillment_status as shopify_fulfillment_status,
+       created_at as shopify_created_at, paid_at as shopify_paid_at, fulfilled_at as shopify_fulfilled_at, total as shopify_total
+from storefront_lines),
+erp AS (
+select order_ref as odoo_shopify_order_number, sku as odoo_sku, product_name as odoo_product_name,
+       try_cast(quantity as double) as odoo_quantity, try_cast(price as double) as odoo_price,
+       payment_status as odoo_payment_status, delivery_status as odoo_delivery_status, order_date as odoo_order_date,
+       total as odoo_total, erp_name as odoo_order_name, odoo_id as odoo_order_id
+from erp_lines),
+both_sides AS (
+select *, shopify_quantity is not distinct from odoo_quantity as quantity_match,
+       coalesce(abs(shopify_price - odoo_price) < 0.01, shopify_price is null and odoo_price is null) as price_match
+from shop full join erp
+  on lower(shopify_order_number) is not distinct from lower(odoo_shopify_order_number)
+ and lower(shopify_sku) is not distinct from lower(odoo_sku)),
 cmp AS (
-select shopify_order_number, shopify_sku, shopify_product_name, shopify_quantity, shopify_price,
-       shopify_financial_status, odoo_shopify_order_number, odoo_order_name, odoo_sku,
-       odoo_quantity, odoo_price, odoo_delivery_status,
-       shopify_order_number is not null as in_shopify,
-       odoo_shopify_order_number is not null as in_odoo,
-       shopify_quantity is not distinct from odoo_quantity as quantity_match,
-       (coalesce(abs(shopify_price - odoo_price) < 0.01, false)
-        or (shopify_price is null and odoo_price is null)) as price_match,
+select *, shopify_order_number is not null as in_shopify, odoo_shopify_order_number is not null as in_odoo,
        case when shopify_order_number is null then 'Missing in Shopify'
             when odoo_shopify_order_number is null then 'Missing in Odoo'
-            when not (shopify_quantity is not distinct from odoo_quantity) then 'Quantity mismatch'
-            when not (coalesce(abs(shopify_price - odoo_price) < 0.01, false)
-                      or (shopify_price is null and odoo_price is null)) then 'Price mismatch'
-            else 'Synced' end as sync_status
-from j)
+            when not quantity_match then 'Quantity mismatch'
+            when not price_match then 'Price mismatch' else 'Synced' end as sync_status
+from both_sides)
 """
 
 
@@ -49,9 +47,10 @@ def comparison(spark, sf_dir):
     return O.compare_orders(fx.storefront_lines, fx.erp_lines)
 
 
-@query("order_compare", _cmp_with() + "select * from cmp")
+@query("order_compare", _cmp_with() + f"select *, '{COMPARED_AS_OF}' as comparison_date from cmp")
 def q_order_compare(spark, sf_dir):
-    return comparison(spark, sf_dir)
+    fx = fixtures(spark, sf_dir)
+    return O.compare_orders(fx.storefront_lines, fx.erp_lines, COMPARED_AS_OF)
 
 
 @query("sync_status_counts", _cmp_with() +
@@ -89,32 +88,49 @@ def q_paid_orders(spark, sf_dir):
     return O.paid_orders(fixtures(spark, sf_dir).storefront_lines)
 
 
-_RENAMED = """
-renamed AS (
-select order_name, coalesce(concat_ws('-', base_sku, case when base_sku is not null then '01G' end), '') as fresh, sku as old_sku,
-       base_sku is not null as known, product_name, quantity, price, financial_status, paid_at, billing_name
-from legacy_lookup right join storefront_lines on legacy_sku = sku),
-current_lines AS (select * exclude (fresh, old_sku, known), if(known, fresh, old_sku) as sku from renamed)
+# The rule: a line whose SKU the lookup maps to a base gets the base's SKU, any other keeps its own.
+_MAPPED = """
+with_entry AS (
+select l.* exclude (sku), coalesce(k.base_sku || '-01G', l.sku) as sku
+from storefront_lines l join legacy_lookup k on k.legacy_sku = l.sku),
+mapped AS (
+select * from with_entry
+union all by name
+select * from storefront_lines l where not exists (from legacy_lookup k where k.legacy_sku = l.sku))
 """
 
 
-@query("legacy_sku_map", with_clause("storefront_lines", "legacy_lookup").rstrip() + ",\n" + _RENAMED +
-       "select * from current_lines")
+@query("legacy_sku_map", with_clause("storefront_lines", "legacy_lookup").rstrip() + ",\n" + _MAPPED + """
+select order_name, sku, email, financial_status, fulfillment_status, paid_at, quantity, product_name, price, billing_name, tags,
+       strftime(paid_at, '%d') as day_paid, strftime(paid_at, '%m') as month_paid, strftime(paid_at, '%Y') as year_paid,
+       case when product_name like '% - %' then trim(split_part(product_name, ' - ', 1)) else product_name end as plantname
+from mapped""")
 def q_legacy_sku_map(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     return O.map_legacy_skus(fx.storefront_lines, fx.legacy_lookup)
 
 
-@query("order_flow_report", with_clause("storefront_lines", "legacy_lookup", "erp_lines").rstrip() + ",\n"
-       + _RENAMED + """
-select l.financial_status as payment, e.delivery_status, l.quantity as qty, l.paid_at as paid_date,
-       l.product_name as item, l.sku, l.billing_name as customer, l.order_name as name
-from erp_lines e right join current_lines l on (e.erp_name, e.sku) = (l.order_name, l.sku)""")
-def q_order_flow_report(spark, sf_dir):
+_REPORT = with_clause("storefront_lines", "legacy_lookup", "erp_lines").rstrip() + ",\n" + _MAPPED + """,
+sold AS (
+select order_name as name, billing_name as customer, sku, product_name as item, paid_at as paid_date, quantity as qty,
+       financial_status as payment, fulfillment_status as shipment, tags from mapped),
+report AS (
+select sold.*, e.delivery_status from sold join erp_lines e on e.erp_name = sold.name and e.sku = sold.sku
+union all
+select *, null from sold where not exists (from erp_lines e where e.erp_name = sold.name and e.sku = sold.sku))
+"""
+
+
+def _report(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
     return O.order_flow_report(O.map_legacy_skus(fx.storefront_lines, fx.legacy_lookup), fx.erp_lines)
 
 
+@query("order_flow_report", _REPORT + "select * from report")
+def q_order_flow_report(spark, sf_dir):
+    return _report(spark, sf_dir)
+
+
 LOOKBACK_AS_OF = "1998-08-02 00:00:00"
 LOOKBACK_DAYS = 90  # the default look-back (constants.DEFAULT_LOOKBACK_DAYS)
 
@@ -129,7 +145,7 @@ def q_lookback_filter(spark, sf_dir):
 
 
 @query("latest_order", with_clause("storefront_lines") + r"""
-select paid_at as created_at,
+select created_at,
        coalesce(try_cast(regexp_extract(substr(order_name, 2), '^\s*([+-]?\d+)', 1) as bigint), 0) as order_num
 from storefront_lines where order_name like '#%'
 order by order_num desc, created_at asc nulls first limit 1""")
@@ -150,7 +166,7 @@ select name, l_orderkey, line_no,
        coalesce(cast(year(utc) as varchar), '0') as year_paid
 from p""")
 def q_paid_date_parts(spark, sf_dir):
-    return O.paid_date_parts(fixtures(spark, sf_dir).order_export)
+    return O.paid_date_parts(fixtures(spark, sf_dir).order_export, keep=("name", "l_orderkey", "line_no"))
 
 
 @query("plant_name", with_clause("storefront_lines") + """
@@ -159,4 +175,5 @@ select order_name, sku, line_no, l_orderkey, product_name,
             else coalesce(product_name, '') end as plantname
 from storefront_lines""")
 def q_plant_name(spark, sf_dir):
-    return O.with_plant_name(fixtures(spark, sf_dir).storefront_lines)
+    return O.with_plant_name(fixtures(spark, sf_dir).storefront_lines,
+                             keep=("order_name", "sku", "line_no", "l_orderkey", "product_name"))

@@ -26,12 +26,16 @@ class OrderFlowInputs:
     legacy_lookup: DataFrame
 
 
-def order_flow(inp: OrderFlowInputs, out_dir: str, paid_only: bool = True) -> dict[str, bool]:
-    """Legacy SKU map -> report; comparison -> table (with its time) and status counts."""
+def run_time(spark) -> str:
+    """The cluster's time as ISO text: one value for a run."""
+    return spark.sql("select date_format(current_timestamp(), \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\")").first()[0]
+
+
+def order_flow(inp: OrderFlowInputs, out_dir: str, paid_only: bool = True, as_of: str | None = None) -> dict[str, bool]:
+    """Legacy SKU map -> report; comparison -> table (with its time, ``as_of`` or the run's) and status counts."""
     lines = O.paid_orders(inp.storefront_lines) if paid_only else inp.storefront_lines
     report = O.order_flow_report(O.map_legacy_skus(lines, inp.legacy_lookup), inp.erp_lines)
-    comparison = O.compare_orders(lines, inp.erp_lines).withColumn(
-        "comparison_date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    comparison = O.compare_orders(lines, inp.erp_lines, as_of or run_time(inp.erp_lines.sparkSession))
     return {
         "excel_report": write_report(report, f"{out_dir}/excel_report", order=O.report_order()),
         "order_comparison": write_report(comparison, f"{out_dir}/order_comparison", fmt="parquet"),

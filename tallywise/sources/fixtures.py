@@ -47,7 +47,13 @@ select case when b.m = 6 then null else '#' || cast(b.l_orderkey as string) end
        case when b.m = 7 then 'n/a' else cast(b.l_quantity as string) end as quantity,
        cast(b.l_extendedprice as string) as price,
        case o.o_orderstatus when 'F' then 'paid' when 'O' then 'pending' else 'partially_paid' end as financial_status,
-       o.o_orderdate as paid_at, c.c_name as billing_name, b.line_no, b.l_orderkey
+       o.o_orderdate as paid_at, c.c_name as billing_name, b.line_no, b.l_orderkey,
+       case when o.o_orderkey % 4 > 0 then 'buyer' || cast(o.o_custkey as string) || '@example.com' end as email,
+       case o.o_orderstatus when 'F' then 'fulfilled' when 'P' then 'partial' end as fulfillment_status,
+       o.o_orderdate - interval '1' day as created_at,
+       case when o.o_orderstatus = 'F' then o.o_orderdate + interval '2' day end as fulfilled_at,
+       o.o_totalprice as total,
+       case when o.o_orderkey % 3 > 0 then 'tag' || cast(o.o_orderkey % 5 as string) || ', web' else '' end as tags
 from base_lines b
 join orders o on o.o_orderkey = b.l_orderkey
 join customer c on c.c_custkey = o.o_custkey
@@ -63,7 +69,10 @@ select case when m = 6 then null else '#' || cast(l_orderkey as string) end as o
             else cast(l_quantity as string) end as quantity,
        cast(case when m = 3 then l_extendedprice + 0.05 when m = 4 then l_extendedprice + 0.001
             else l_extendedprice end as string) as price,
-       case l_linestatus when 'F' then 'full' else 'pending' end as delivery_status
+       case l_linestatus when 'F' then 'full' else 'pending' end as delivery_status,
+       'Plant ' || sku as product_name,
+       case l_returnflag when 'R' then 'no' when 'A' then 'to invoice' else 'invoiced' end as payment_status,
+       l_shipdate as order_date, l_extendedprice + 10 as total, l_orderkey + 100000 as odoo_id
 from base_lines
 where m <> 0
 """)
