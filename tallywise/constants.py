@@ -61,3 +61,4 @@ CONTACT_UPLOAD = ["Email", "Name", "Street", "City", "Zip", "State", "Country",
 IMPORT_CUSTOMER = "Shopify"
 CONTACT_IS_COMPANY = "0"
 CONTACT_ADDRESS_TYPE = "Contact"
+CONTACT_TYPE = "contact"

@@ -12,12 +12,14 @@ __all__ = ["parse_offset_ts", "iso_utc", "date_parts", "drop_offsets", "lookback
 
 def parse_offset_ts(c, fmt: str = "yyyy-MM-dd HH:mm:ss xx") -> Column:
     """Text with a numeric offset, ISO text of the API, or text without offset
-    (which is UTC) to an instant; bad text gives null."""
+    (which is UTC) to an instant; bad text gives null. One parse a row: the text's form tells which."""
     c = col_(c)
-    plain = F.concat(F.replace(F.substring(c, 1, 19), F.lit("T"), F.lit(" ")), F.lit(" +0000"))
-    return F.coalesce(F.try_to_timestamp(c, F.lit(fmt)), F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
-                      F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssxx")),
-                      F.when(F.length(c) == 19, F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss xx"))))
+    plain = F.concat(F.replace(c, F.lit("T"), F.lit(" ")), F.lit(" +0000"))
+    return (F.when(F.length(c) == 19, F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss xx")))
+            .when(F.substring(c, 11, 1) != "T", F.try_to_timestamp(c, F.lit(fmt)))
+            .when(F.substring(c, -3, 1) == ":", F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+            .when(c.endswith("Z"), F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+            .otherwise(F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ssxx"))))
 
 
 def utc_wall(ts) -> Column:
@@ -52,9 +54,13 @@ def drop_offsets(c, offsets) -> Column:
     return out
 
 
-def lookback(ts, as_of: str, days: int | None) -> Column:
+def lookback_start(as_of: str, days: int, zone: str | None = None) -> Column:
+    """``as_of - days``; ``as_of`` is read in ``zone`` (default: the session's)."""
+    return F.lit(f"{as_of} {zone}" if zone else as_of).cast("timestamp") - F.make_dt_interval(days=F.lit(int(days)))
+
+
+def lookback(ts, as_of: str, days: int | None, zone: str | None = None) -> Column:
     """Predicate ``ts >= as_of - days``; ``days=None`` keeps everything."""
     if days is None:
         return F.lit(True)
-    start = F.lit(as_of).cast("timestamp") - F.make_interval(days=F.lit(int(days)))
-    return col_(ts) >= start
+    return col_(ts) >= lookback_start(as_of, days, zone)

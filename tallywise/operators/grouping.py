@@ -51,8 +51,8 @@ HOT_GROUP_ROWS = 1_000_000
 def _materialize(df: DataFrame) -> DataFrame:
     """Positions derived from partition ids must be computed once: a second
     evaluation could see a different partition layout."""
-    from tallywise.session import reliable_checkpoint
-    return reliable_checkpoint(df)
+    from tallywise.session import stage_rows
+    return stage_rows(df, "positions")
 
 
 def number_within_group(df: DataFrame, keys, order_cols, out: str = "line_no",

@@ -12,6 +12,7 @@ from tallywise.functions import (
 from tallywise.operators import broadcast_if_small, number_within_group
 
 from tallywise.constants import DEFAULT_FULFILLMENT, DEFAULT_RISK
+from tallywise.session import stage_rows
 
 
 # Parts of an address and the output names they get.
@@ -112,7 +113,7 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
 
     Partners are resolved once into a dimension with state and country names
     (the tiny state/country tables are broadcast), then joined to the order
-    headers in three roles before the (larger) lines are attached. Lines are
+    headers in three roles and staged before the (larger) lines are attached. Lines are
     numbered per order by (sequence, id); orders without lines keep one row.
     The source never fills the shipping and discount amounts; its load stamps
     (created and updated) are added by the refresh task.
@@ -130,6 +131,7 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
     for pfx, key in (("cust", "partner_id"), ("inv", "partner_invoice_id"), ("ship", "partner_shipping_id")):
         r = partner_role(pfx)
         h = h.join(r, h[key] == r[f"{pfx}_id"], "left")
+    h = stage_rows(h, "erp-headers")  # read by both branches below
 
     ln = number_within_group(lines, "order_id", ["sequence", "id"], out="line_number").select(
         F.col("id").alias("line_id"), "order_id", "product_id", "product_uom_qty", "product_uom", "price_unit", "price_subtotal",
@@ -142,7 +144,7 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
     # lines x headers is an inner join (AQE may split either side), and the
     # lineless headers come from an anti join against distinct order ids.
     with_lines = ln.join(h, ln["order_id"] == h["id"]).drop("line_id")
-    has_lines = ln.select(F.col("order_id").alias("__oid")).distinct()
+    has_lines = lines.select(F.col("order_id").alias("__oid")).distinct()
     lineless = h.join(has_lines, h["id"] == has_lines["__oid"], "left_anti")
     j = with_lines.unionByName(lineless, allowMissingColumns=True)
 

@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywise.functions import drop_offsets, nonempty
+from tallywise.session import stage_rows
 from tallywise.operators import first_row_per_group, flag_first_in_group, reindex
 
 from tallywise.constants import (  # noqa: E402
-    CONTACT_ADDRESS_TYPE, CONTACT_IS_COMPANY, CONTACT_KEEP, CONTACT_RENAME, CONTACT_UPLOAD, EXPORT_OFFSETS,
+    CONTACT_ADDRESS_TYPE, CONTACT_IS_COMPANY, CONTACT_KEEP, CONTACT_RENAME, CONTACT_TYPE, CONTACT_UPLOAD, EXPORT_OFFSETS,
     IMPORT_CUSTOMER, ORDER_KEEP, ORDER_UPLOAD,
 )
 
@@ -27,7 +28,7 @@ EXPORT_RENAME = {
 ROW_ORDER = "__row"
 
 
-def export_frame(export: DataFrame, order_cols=("l_orderkey", "line_no")) -> DataFrame:
+def export_frame(export: DataFrame, order_cols) -> DataFrame:
     """Rename canonical landing names to the export headers and attach a
     row-order column (the file order), carried through every step."""
     renamed = export.withColumnsRenamed({k: v for k, v in EXPORT_RENAME.items() if k in export.columns})
@@ -47,6 +48,7 @@ def import_orders(export: DataFrame, existing_orders: DataFrame) -> DataFrame:
     df = _fill_text(df)
     known = existing_orders.select(F.col("name").alias("__known")).filter(F.col("__known").isNotNull())
     df = df.join(known, df["Name"] == known["__known"], "left_anti")
+    df = stage_rows(df, "import-lines")  # read twice below
     df = flag_first_in_group(df, "Name", ROW_ORDER, "__first")
     first = F.col("__first")
     blank = F.lit("")
@@ -62,13 +64,16 @@ def import_orders(export: DataFrame, existing_orders: DataFrame) -> DataFrame:
 
 
 def import_contacts(export: DataFrame, existing_contacts: DataFrame) -> DataFrame:
-    """Billing contacts not yet in the ERP, first occurrence per name."""
+    """Billing contacts not yet in the ERP, first occurrence per name. Of the ERP's partners only those of
+    type ``contact`` count as known (all, where the read has no ``type``)."""
     df = reindex(export, CONTACT_KEEP + [ROW_ORDER]).filter(nonempty(F.col("`Billing Name`")))
     df = _fill_text(df).withColumnsRenamed(CONTACT_RENAME)
     df = first_row_per_group(df, "Name", ROW_ORDER,
                              cols=[c for c in CONTACT_UPLOAD if c in df.columns] + [ROW_ORDER])
     df = (df.withColumn("Is a company", F.lit(CONTACT_IS_COMPANY))
           .withColumn("Address type", F.lit(CONTACT_ADDRESS_TYPE)))
+    if "type" in existing_contacts.columns:
+        existing_contacts = existing_contacts.filter(F.col("type") == CONTACT_TYPE)
     known = existing_contacts.select(F.col("name").alias("__known")).filter(F.col("__known").isNotNull())
     df = df.join(known, df["Name"] == known["__known"], "left_anti")
     return df.select(*[F.col(f"`{c}`") for c in CONTACT_UPLOAD])

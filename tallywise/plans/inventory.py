@@ -87,10 +87,10 @@ def classify_records(lines: DataFrame) -> DataFrame:
     Well-formed lines of no known kind are dropped; a line that is no JSON object
     fails the load, as in the source. A key present with a null value counts
     as present, as in the source."""
-    parsed = lines.select("line_no", F.from_json("value", BULK_SCHEMA).alias("r"),
-                          F.when(F.json_object_keys("value").isNull() & (F.trim("value") != ""),
-                                 F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200))).cast("array<string>"))
-                          .otherwise(F.json_object_keys("value")).alias("k"))
+    said = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200)))
+    parsed = lines.filter(F.trim("value") != "").select(
+        "line_no", F.from_json("value", BULK_SCHEMA).alias("r"),
+        F.coalesce(F.json_object_keys("value"), said.cast("array<string>")).alias("k"))
     has = lambda key: F.coalesce(F.array_contains(F.col("k"), key), F.lit(False))
     parent = F.col("r.__parentId")
     truthy_parent = F.coalesce(parent != "", F.lit(False))
@@ -113,12 +113,12 @@ def split_records(classified: DataFrame, materialize: bool = True):
     position (dict insertion order). Levels are all kept.
 
     The parsed records feed three branches; with ``materialize`` they are
-    checkpointed once (columnar, in the shared folder) instead of parsing the
+    staged once (Parquet, in the shared folder) instead of parsing the
     JSON three times.
     """
     if materialize:
-        from tallywise.session import reliable_checkpoint
-        classified = reliable_checkpoint(classified)
+        from tallywise.session import stage_rows
+        classified = stage_rows(classified, "bulk-records")
     prod = last_wins(classified.filter(F.col("kind") == "product"), "record_id", "line_no",
                      cols=["title", "handle", "status", "line_no"])
     var_rows = classified.filter(F.col("kind") == "variant")

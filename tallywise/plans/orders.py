@@ -127,10 +127,11 @@ def paid_orders(lines: DataFrame) -> DataFrame:
 
 
 def _instant(lines: DataFrame, column: str):
-    """The column's instant: text with or without offset is parsed."""
-    if lines.schema[column].dataType.simpleString() == "string":
-        return parse_offset_ts(column)
-    return F.col(column).cast("timestamp")
+    """The column's instant: text with or without offset is parsed, a time without zone is UTC."""
+    kind = lines.schema[column].dataType.simpleString()
+    if kind == "timestamp":
+        return F.col(column)
+    return parse_offset_ts(column if kind == "string" else F.substring(F.col(column).cast("timestamp_ntz").cast("string"), 1, 19))
 
 
 def map_legacy_skus(lines: DataFrame, legacy: DataFrame, suffix: str = LEGACY_SKU_SUFFIX) -> DataFrame:

@@ -8,6 +8,8 @@ from tallywise.plans.registry import query
 from tallywise.sources.fixtures import fixtures, with_clause
 
 
+LINE_ORDER = ("l_orderkey", "line_no")
+
 _IMPORT_ORDERS_SQL = with_clause("order_export", "existing_orders") + """
 , f AS (select coalesce(name, '') as name, coalesce(billing_name, '') as billing_name,
                coalesce(paid_at, '') as paid_at, quantity, price, coalesce(sku, '') as sku,
@@ -26,7 +28,7 @@ from r"""
 @query("import_orders_new", _IMPORT_ORDERS_SQL)
 def q_import_orders_new(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
-    return I.import_orders(I.export_frame(fx.order_export), fx.existing_orders)
+    return I.import_orders(I.export_frame(fx.order_export, LINE_ORDER), fx.existing_orders)
 
 
 @query("import_contacts_new", with_clause("order_export", "existing_contacts") + """
@@ -37,10 +39,10 @@ k AS (select *, row_number() over (partition by "Name" order by l_orderkey, line
       from f where "Name" != '')
 select "Email", "Name", "Street", "City", "Zip", "State", "Country", "Phone",
        '0' as "Is a company", 'Contact' as "Address type"
-from k where rn = 1 and not exists (select 1 from existing_contacts e where e.name = k."Name")""")
+from k where rn = 1 and not exists (select 1 from existing_contacts e where e.name = k."Name" and e.type = 'contact')""")
 def q_import_contacts_new(spark, sf_dir):
     fx = fixtures(spark, sf_dir)
-    return I.import_contacts(I.export_frame(fx.order_export), fx.existing_contacts)
+    return I.import_contacts(I.export_frame(fx.order_export, LINE_ORDER), fx.existing_contacts)
 
 
 @query("reindex_columns", with_clause("order_export") + """

@@ -52,8 +52,8 @@ class StockInputs:
 
 
 def stock_cross_reference(inp: StockInputs, out_dir: str) -> dict[str, bool]:
-    from tallywise.session import reliable_checkpoint
-    stock = reliable_checkpoint(S.clean_odoo_stock(inp.quants))  # read by five reports
+    from tallywise.session import stage_rows
+    stock = stage_rows(S.clean_odoo_stock(inp.quants), "stock")  # read by five reports
     totals = S.total_by_location(stock, inp.sizes)
     xref = S.stock_cross_reference(totals, S.combined_storefront(inp.products, inp.inventory),
                                    S.location_counts(totals), S.size_mismatches(stock, inp.products))
@@ -92,10 +92,11 @@ class ImportInputs:
     order_export: DataFrame      # canonical landing names, see imports.EXPORT_RENAME
     existing_orders: DataFrame
     existing_contacts: DataFrame
+    row_order: tuple = ("line_no",)  # columns that sort the export in file order (files.read_csv adds one)
 
 
 def import_candidates(inp: ImportInputs, out_dir: str) -> dict[str, bool]:
-    export = I.export_frame(inp.order_export)
+    export = I.export_frame(inp.order_export, inp.row_order)
     return {
         "contacts": write_report(I.import_contacts(export, inp.existing_contacts), f"{out_dir}/01_contacts_upload"),
         "orders": write_report(I.import_orders(export, inp.existing_orders), f"{out_dir}/02_orders_upload"),
@@ -112,7 +113,7 @@ def refresh_storefront_orders(docs: DataFrame, out_path: str, as_of: str, days:
     from tallywise.plans.flatten import flatten_orders
     from tallywise.sources.sinks import replace_table
 
-    recent = docs.filter(lookback(F.try_to_timestamp(F.col("created_at")), as_of, days))
+    recent = docs.filter(lookback(F.try_to_timestamp(F.col("created_at")), as_of, days, zone="UTC"))
     lines = flatten_orders(recent)
     ts = F.try_to_timestamp(F.col("paid_at"))
     out = lines.filter(F.col("financial_status") == PAID_STATUS).select(

@@ -189,7 +189,8 @@ select '#' || cast(o_orderkey as string) as name from orders where o_orderkey %
 """)
 
 _view("existing_contacts", (), """
-select c_name as name from customer where c_custkey % 4 = 0
+select c_name as name, case when c_custkey % 12 = 0 then 'invoice' else 'contact' end as type
+from customer where c_custkey % 4 = 0
 """)
 
 

@@ -17,7 +17,7 @@ def test_tasks_write_reports(spark):
     assert all(T.stock_cross_reference(T.StockInputs(fx.quants, fx.sizes, fx.storefront_products,
                                                      fx.storefront_inventory), f"{out}/sx").values())
     assert all(T.pull_sheet(T.PullInputs(fx.picking, fx.quants), f"{out}/pull").values())
-    assert all(T.import_candidates(T.ImportInputs(fx.order_export, fx.existing_orders, fx.existing_contacts),
+    assert all(T.import_candidates(T.ImportInputs(fx.order_export, fx.existing_orders, fx.existing_contacts, ("l_orderkey", "line_no")),
                                    f"{out}/imp").values())
     compared = spark.read.parquet(f"{out}/of/order_comparison")
     assert compared.count() > 0 and compared.filter("comparison_date is null").isEmpty()
