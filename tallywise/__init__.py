@@ -3,12 +3,11 @@
 Subpackages
 -----------
 functions  column-level helpers (text, numbers, dates, pairs, arrays)
-sources    table loading, landing-file readers, fixture views, sinks
-operators  reusable DataFrame operators (null-safe compare join, prefix join,
-           first-per-group, last-wins, skew-aware semi join)
+sources    table loading, landing-file readers, rejects, fixture views, sinks, versions
+operators  reusable DataFrame operators (joins with hot keys, null-safe compare join,
+           prefix join, first-per-group, last-wins, semi join)
 plans      the four user tasks (orders, stock, pull sheet, import candidates,
            storefront inventory) built from the operators
-streaming  intentionally empty: the reconciled workflows are batch re-pulls
 """
 
 from tallywise.session import get_session, checkpoint_dir

@@ -7,12 +7,12 @@ from tallywise.operators.grouping import (
 )
 from tallywise.operators.prefix import prefix_equi_join, hyphen_prefixes
 from tallywise.operators.semi import exists_other_value
-from tallywise.operators.frames import reindex, rename_require, keep_available, drop_quietly, duplicate_keys
+from tallywise.operators.frames import reindex, rename_require, keep_available, duplicate_keys
 
 __all__ = [
     "broadcast_if_small", "estimated_bytes", "null_safe_full_outer", "first_non_null", "dense_index",
     "first_row_per_group", "flag_first_in_group", "last_wins", "number_within_group",
     "prefix_equi_join", "hyphen_prefixes", "exists_other_value", "reindex", "rename_require",
-    "keep_available", "drop_quietly", "duplicate_keys",
+    "keep_available", "duplicate_keys", "HEAVY_ROWS", "heavy_keys", "skew_join",
 ]
 from tallywise.operators.skew import HEAVY_ROWS, heavy_keys, skew_join  # noqa: F401

@@ -1,4 +1,4 @@
-"""Column-set handling: reindex, rename-and-require, intersect, quiet drop."""
+"""Column-set handling: reindex, rename-and-require, intersect."""
 
 from __future__ import annotations
 
@@ -28,10 +28,6 @@ def keep_available(df: DataFrame, wanted) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in wanted if c in have])
 
 
-def drop_quietly(df: DataFrame, *cols) -> DataFrame:
-    return df.drop(*cols)
-
-
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Keys that occur more than once (with their count): a check for
     dimensions whose duplicates would fan out joins or double sums."""

@@ -15,6 +15,10 @@ INVENTORY_COLS = ["sku", "title", "handle", "option_value"] + QTY_COLS
 from tallywise.constants import CSV_RENAME, DEFAULT_PRODUCT_STATUS, LEVEL_NAMES, NOT_STOCKED
 
 
+#: The grouped table is read in the order of its key.
+INVENTORY_ORDER = ["sku"]
+
+
 def inventory_by_sku(csv_rows: DataFrame, order: str = "row_idx") -> DataFrame:
     """Per SKU: quantities summed over locations (bad numbers count 0), first
     non-null text fields in file order; ``not stocked`` rows and rows without
@@ -88,9 +92,8 @@ def classify_records(lines: DataFrame) -> DataFrame:
     fails the load, as in the source. A key present with a null value counts
     as present, as in the source."""
     said = F.raise_error(F.concat(F.lit("not a JSON object: "), F.substring("value", 1, 200)))
-    parsed = lines.filter(F.trim("value") != "").select(
-        "line_no", F.from_json("value", BULK_SCHEMA).alias("r"),
-        F.coalesce(F.json_object_keys("value"), said.cast("array<string>")).alias("k"))
+    parsed = lines.select("line_no", F.from_json("value", BULK_SCHEMA).alias("r"),
+                          F.when(F.trim("value") != "", F.coalesce(F.json_object_keys("value"), said.cast("array<string>"))).alias("k"))
     has = lambda key: F.coalesce(F.array_contains(F.col("k"), key), F.lit(False))
     parent = F.col("r.__parentId")
     truthy_parent = F.coalesce(parent != "", F.lit(False))

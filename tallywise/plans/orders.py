@@ -15,7 +15,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallywise.functions import (
-    date_parts, iso_utc, order_number, parse_offset_ts, plant_name, to_number, within,
+    date_parts, iso_utc, null_concat, order_number, parse_offset_ts, plant_name, same_or_both_null, to_number, within,
 )
 from tallywise.operators import broadcast_if_small, null_safe_full_outer
 
@@ -67,7 +67,7 @@ def compare_orders(storefront: DataFrame, erp: DataFrame, as_of: str | None = No
     )
     in_s = F.col("shopify_order_number").isNotNull()
     in_o = F.col("odoo_shopify_order_number").isNotNull()
-    qty_ok = F.col("shopify_quantity").eqNullSafe(F.col("odoo_quantity"))
+    qty_ok = same_or_both_null("shopify_quantity", "odoo_quantity")
     price_ok = (within("shopify_price", "odoo_price", PRICE_TOLERANCE)
                 | (F.col("shopify_price").isNull() & F.col("odoo_price").isNull()))
     status = (F.when(~in_s, F.lit(SYNC_STATUSES[0]))
@@ -139,7 +139,7 @@ def map_legacy_skus(lines: DataFrame, legacy: DataFrame, suffix: str = LEGACY_SK
     maps it to a non-null base; duplicates in the lookup fan out. Adds the paid date's parts and the plant's name."""
     lk = broadcast_if_small(legacy.select("legacy_sku", "base_sku"))
     j = lines.join(lk, lines["sku"] == lk["legacy_sku"], "left")
-    sku = F.when(F.col("base_sku").isNull(), F.col("sku")).otherwise(F.concat(F.col("base_sku"), F.lit(suffix)))
+    sku = F.when(F.col("base_sku").isNull(), F.col("sku")).otherwise(null_concat("base_sku", F.lit(suffix)))
     return j.select("order_name", sku.alias("sku"), "email", "financial_status", "fulfillment_status", "paid_at", "quantity",
                     "product_name", "price", "billing_name", "tags",
                     *date_parts(_instant(lines, "paid_at"), null_year="0"), plant_name("product_name").alias("plantname"))

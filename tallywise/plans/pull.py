@@ -2,18 +2,19 @@
 
 Inputs (canonical columns)
   picking   order_text, item, location, quantity, on_hand  (after rename_picking)
-  quants    product_label, location_label, l_partkey, quantity
+  quants    product (the ERP's pair: struct<id, label>), location_label, quantity
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.functions import (
     like_pattern, order_before_slash, pair_label, strip_brackets, strip_text, to_number_or_zero,
 )
 from tallywise.operators import exists_other_value, rename_require
+from tallywise.sources.files import read_csv
 
 from tallywise.constants import PICKING_RENAME, PULL_LOCATION_PATTERN, STOCK_PREFIX
 
@@ -25,6 +26,14 @@ def rename_picking(raw: DataFrame) -> DataFrame:
     return rename_require(raw, PICKING_RENAME, PICKING_REQUIRED)
 
 
+def read_picking(spark: SparkSession, path: str) -> DataFrame:
+    """A transfer sheet landed as a header CSV; a sheet that lacks one of the columns is refused."""
+    header = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path).columns
+    kinds = {"quantity": "double", "on_hand": "double"}
+    schema = ", ".join(f"`{h}` {kinds.get(c, 'string')}" for h, c in PICKING_RENAME.items() if h in header)
+    return rename_picking(read_csv(spark, path, schema))
+
+
 def pullsheet(picking: DataFrame) -> DataFrame:
     """Lines to pick (positive quantity) with order number, clean item name
     and short location. Sorting (location, item, order) is done by the writer."""
@@ -38,6 +47,8 @@ def pullsheet(picking: DataFrame) -> DataFrame:
 
 
 PULLSHEET_ORDER = ["location", "item", "ord"]
+TARGETS_ORDER = ["ord"]
+ALT_STOCK_ORDER = ["product_id", "location_id"]
 
 
 def order_targets(picking: DataFrame) -> DataFrame:
@@ -50,9 +61,8 @@ def order_targets(picking: DataFrame) -> DataFrame:
 
 def stock_levels(quants: DataFrame, location_pattern: str = PULL_LOCATION_PATTERN) -> DataFrame:
     """ERP stock for the pull sheet: case-sensitive location test only."""
-    product = F.struct(F.col("l_partkey").alias("id"), F.col("product_label").alias("label"))
     return quants.filter(like_pattern("location_label", location_pattern)).select(
-        pair_label(product).alias("product_id"),
+        pair_label("product").alias("product_id"),
         F.col("location_label").cast("string").alias("location_id"),
         to_number_or_zero("quantity").alias("quantity"))
 

@@ -8,6 +8,7 @@ from tallywise.plans.registry import query
 from tallywise.sources.fixtures import FAMILY, SIZE_CASE, fixtures, with_clause
 from tallywise.sources.nested import bulk_export_lines, catalog_pages
 from tallywise.sources.rejects import read_documents
+from tallywise.sources.sinks import ranked
 
 _SKU = f"{FAMILY.format(k='p_partkey')} || '-' || {SIZE_CASE.format(k='p_partkey')}"
 _SIZE = SIZE_CASE.format(k="p_partkey")
@@ -68,6 +69,20 @@ def q_inventory_csv_import(spark, sf_dir):
     return V.inventory_from_csv(read_csv(spark, path, schema, position="line_no"), "line_no")
 
 
+@query("report_inventory", with_clause("inventory_csv") + """
+, inv AS (
+select sku, arg_min(title, row_idx) filter (where title is not null) as title, cast(null as varchar) as handle,
+       arg_min(option_value, row_idx) filter (where option_value is not null) as option_value,
+       sum(coalesce(try_cast(incoming as double), 0)) as incoming, sum(coalesce(try_cast(unavailable as double), 0)) as unavailable,
+       sum(coalesce(try_cast(committed as double), 0)) as committed, sum(coalesce(try_cast(available as double), 0)) as available,
+       sum(coalesce(try_cast(on_hand as double), 0)) as on_hand
+from inventory_csv where (available is null or available <> 'not stocked') and sku is not null group by sku)
+select *, row_number() over (order by sku) as rank from inv""")
+def q_report_inventory(spark, sf_dir):
+    """The imported inventory in the order of its SKUs."""
+    return ranked(V.inventory_by_sku(fixtures(spark, sf_dir).inventory_csv), V.INVENTORY_ORDER)
+
+
 @query("inventory_totals", with_clause("storefront_inventory") + """
 select sum(available) as total_available, sum(committed) as total_committed,
        sum(incoming) as total_incoming, sum(unavailable) as total_unavailable

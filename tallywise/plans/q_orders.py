@@ -6,6 +6,7 @@ from __future__ import annotations
 from tallywise.plans import orders as O
 from tallywise.plans.registry import query
 from tallywise.sources.fixtures import fixtures, with_clause
+from tallywise.sources.sinks import ranked
 
 COMPARED_AS_OF = "2026-01-01T00:00:00"
 
@@ -131,6 +132,15 @@ def q_order_flow_report(spark, sf_dir):
     return _report(spark, sf_dir)
 
 
+@query("report_order_flow", _REPORT + """
+select *, row_number() over (order by name desc nulls last, name, customer nulls first, sku nulls first, item nulls first,
+  paid_date nulls first, qty nulls first, payment nulls first, shipment nulls first, delivery_status nulls first,
+  tags nulls first) as rank from report""")
+def q_report_order_flow(spark, sf_dir):
+    """The report with its places: order name descending, as text."""
+    return ranked(_report(spark, sf_dir), O.report_order())
+
+
 LOOKBACK_AS_OF = "1998-08-02 00:00:00"
 LOOKBACK_DAYS = 90  # the default look-back (constants.DEFAULT_LOOKBACK_DAYS)
 
@@ -144,6 +154,20 @@ def q_lookback_filter(spark, sf_dir):
     return fx.table("orders").filter(lookback("o_orderdate", LOOKBACK_AS_OF, LOOKBACK_DAYS))
 
 
+@query("lookback_partitioned", f"""
+select *, cast(date_trunc('month', o_orderdate) as date) as landed_day from orders
+where o_orderdate >= timestamp '{LOOKBACK_AS_OF}' - interval {LOOKBACK_DAYS} day""")
+def q_lookback_partitioned(spark, sf_dir):
+    """Orders landed in time, by month here (the fixture has few orders a day); the window's folders alone are read."""
+    import uuid
+
+    from tallywise.session import scratch_path
+    from tallywise.sources.landing import land_by_day, read_window
+    path = scratch_path(spark, f"tallywise/landed_orders/{uuid.uuid4().hex}")
+    land_by_day(fixtures(spark, sf_dir).table("orders"), "o_orderdate", path, grain="month")
+    return read_window(spark, path, "o_orderdate", LOOKBACK_AS_OF, LOOKBACK_DAYS, grain="month")
+
+
 @query("latest_order", with_clause("storefront_lines") + r"""
 select created_at,
        coalesce(try_cast(regexp_extract(substr(order_name, 2), '^\s*([+-]?\d+)', 1) as bigint), 0) as order_num

@@ -1,7 +1,7 @@
 """Stock cross-reference: ERP quants vs storefront products and inventory.
 
 Inputs (canonical columns)
-  quants          product_label, location_label, l_partkey, quantity,
+  quants          product (the ERP's pair: struct<id, label>), location_label, quantity,
                   available_quantity, tracking, category
   sizes           name, container_capacity
   products        sku, title, option1, inventory_quantity, old_inventory_quantity, status
@@ -10,12 +10,14 @@ Inputs (canonical columns)
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.functions import bracket_code, like_pattern, pair_label, sku_prefix, sku_suffix
 from tallywise.operators import HEAVY_ROWS, broadcast_if_small, prefix_equi_join, skew_join
 
+from tallywise.sources.files import first_usable
+
 from tallywise.constants import (
     ACTIVE_STATUS, MISMATCH_THRESHOLD, SIZE_BAND, SIZE_MISMATCH_NOTE, STOCK_CATEGORY, STOCK_LOCATION_PATTERN,
     STOCK_TRACKING,
@@ -32,10 +34,10 @@ def clean_odoo_stock(quants: DataFrame, location_pattern: str = STOCK_LOCATION_P
         cond = cond & (F.col("tracking") == F.lit(tracking))
     if category is not None:
         cond = cond & (F.col("category") == F.lit(category))
-    product = F.struct(F.col("l_partkey").alias("id"), F.col("product_label").alias("label"))
-    code = bracket_code("product_label")
+    label = pair_label("product")
+    code = bracket_code(label)
     return quants.filter(cond).select(
-        pair_label(product).alias("product_id"),
+        label.alias("product_id"),
         F.col("location_label").alias("location_id"),
         "quantity", "available_quantity",
         code.alias("default_code"),
@@ -50,6 +52,17 @@ def sku_parts(quants: DataFrame) -> DataFrame:
                          sku_prefix(code).alias("plant_prefix"), sku_suffix(code).alias("size_suffix"))
 
 
+SIZE_SCHEMA = "name string, container_capacity double"
+
+
+def size_dimension(*readers) -> DataFrame:
+    """The size dimension from the first usable source: the ERP's table, else the shared CSV copy, else the
+    table of an earlier run (each a function that reads it). A source that is missing, empty or lacks a column
+    is passed over; any other error is raised. Without any the capacities stay empty."""
+    found = first_usable(*[lambda read=read: read().select("name", "container_capacity") for read in readers])
+    return found if found is not None else SparkSession.active().createDataFrame([], SIZE_SCHEMA)
+
+
 def total_by_location(stock: DataFrame, sizes: DataFrame) -> DataFrame:
     """Quantities per product, location and size, with container capacity.
 
@@ -68,6 +81,10 @@ def location_counts(totals: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("loc_count")))
 
 
+def loc_count_order():
+    return [F.col("loc_count").desc()]
+
+
 def combined_storefront(products: DataFrame, inventory: DataFrame) -> DataFrame:
     """Per product SKU: inventory figures, falling back to product figures.
 
@@ -140,28 +157,22 @@ def stock_cross_reference(totals: DataFrame, combined: DataFrame, loc_count: Dat
                           mismatches: DataFrame) -> DataFrame:
     """Per product and location: ERP totals vs storefront figures, location
     count and any size-mismatch suggestion (these fan out)."""
-    a = totals.filter(F.col("odoo_qty") != 0).alias("a")
-    cs = combined.alias("cs")
-    c = loc_count.alias("c")
-    psm = mismatches.alias("psm")
-    j = (a.join(cs, F.col("a.default_code") == F.col("cs.sku"), "left")
-         .filter((F.col("cs.status") == ACTIVE_STATUS) | F.col("cs.status").isNull())
-         .join(psm, F.col("a.default_code") == F.col("psm.odoo_sku"), "left")
-         .join(c, F.col("a.product_id") == F.col("c.product_id"), "left"))
-    return j.select(
-        F.col("a.product_id").alias("product_id"), F.col("a.location_id").alias("location_id"),
-        F.col("c.loc_count").alias("loc_count"),
-        F.col("a.odoo_qty").alias("odoo_onhand_qty"), F.col("a.odoo_available_qty").alias("odoo_available_qty"),
-        F.col("cs.on_hand").alias("shopify_onhand_qty"), F.col("cs.available").alias("shopify_available_qty"),
-        F.col("cs.committed").alias("shopify_committed_qty"),
-        F.col("cs.unavailable").alias("shopify_unavailable_qty"),
-        (F.col("a.odoo_qty") - F.col("cs.on_hand")).alias("diff_onhand"),
-        (F.col("a.odoo_available_qty") - F.col("cs.available")).alias("diff_available"),
-        F.col("cs.title").alias("title"), F.col("cs.status").alias("status"),
-        F.col("psm.correct_shopify_sku").alias("potential_correct_sku"),
-        F.col("psm.correct_size").alias("potential_correct_size"),
-        F.col("psm.mismatch_note").alias("size_mismatch_note"),
-    )
+    held = totals.filter(F.col("odoo_qty") != 0).select("product_id", "location_id", "default_code",
+                                                        F.col("odoo_qty").alias("odoo_onhand_qty"), "odoo_available_qty")
+    offered = combined.select(F.col("sku").alias("default_code"), "title", "status",
+                              *[F.col(c).alias(f"shopify_{out}_qty") for c, out in (
+                                  ("on_hand", "onhand"), ("available", "available"), ("committed", "committed"),
+                                  ("unavailable", "unavailable"))])
+    hints = mismatches.select(F.col("odoo_sku").alias("default_code"), F.col("correct_shopify_sku").alias("potential_correct_sku"),
+                              F.col("correct_size").alias("potential_correct_size"), F.col("mismatch_note").alias("size_mismatch_note"))
+    joined = (held.join(offered, "default_code", "left").filter((F.col("status") == ACTIVE_STATUS) | F.col("status").isNull())
+              .join(hints, "default_code", "left").join(loc_count, "product_id", "left"))
+    return joined.select(
+        "product_id", "location_id", "loc_count", "odoo_onhand_qty", "odoo_available_qty",
+        "shopify_onhand_qty", "shopify_available_qty", "shopify_committed_qty", "shopify_unavailable_qty",
+        (F.col("odoo_onhand_qty") - F.col("shopify_onhand_qty")).alias("diff_onhand"),
+        (F.col("odoo_available_qty") - F.col("shopify_available_qty")).alias("diff_available"),
+        "title", "status", "potential_correct_sku", "potential_correct_size", "size_mismatch_note")
 
 
 def xref_order():
@@ -180,22 +191,16 @@ def xref_order():
 def cross_reference_extended(stock: DataFrame, inventory: DataFrame) -> DataFrame:
     """Every quant with the storefront inventory of its SKU, where either
     side holds stock. Sorting is left to the report writer."""
-    o = stock.alias("o")
-    si = inventory.alias("si")
-    j = o.join(si, F.col("o.default_code") == F.col("si.sku"), "left") \
-        .filter((F.col("o.quantity") > 0) | (F.col("si.on_hand") > 0))
-    return j.select(
-        F.col("o.product_id").alias("product_id"), F.col("o.location_id").alias("location_id"),
-        F.col("o.default_code").alias("odoo_sku"), F.col("o.quantity").alias("odoo_quantity"),
-        F.col("o.quantity").alias("odoo_available"),
-        F.col("si.sku").alias("shopify_sku"), F.col("si.title").alias("shopify_title"),
-        F.col("si.option_value").alias("shopify_option"), F.col("si.on_hand").alias("shopify_on_hand"),
-        F.col("si.available").alias("shopify_available"), F.col("si.committed").alias("shopify_committed"),
-        F.col("si.unavailable").alias("shopify_unavailable"), F.col("si.incoming").alias("shopify_incoming"),
-        F.when(F.col("si.on_hand").isNotNull(), F.col("o.quantity") - F.col("si.on_hand"))
-         .otherwise(F.col("o.quantity")).alias("quantity_diff"),
-        F.when(F.col("si.available").isNotNull(), F.col("o.quantity") - F.col("si.available"))
-         .otherwise(F.col("o.quantity")).alias("available_diff"),
+    shop = inventory.select(F.col("sku").alias("shopify_sku"), F.col("title").alias("shopify_title"),
+                            F.col("option_value").alias("shopify_option"),
+                            *[F.col(c).alias(f"shopify_{c}") for c in ("on_hand", "available", "committed", "unavailable", "incoming")])
+    joined = (stock.join(shop, stock["default_code"] == shop["shopify_sku"], "left")
+              .filter((F.col("quantity") > 0) | (F.col("shopify_on_hand") > 0)))
+    return joined.select(
+        "product_id", "location_id", F.col("default_code").alias("odoo_sku"), F.col("quantity").alias("odoo_quantity"),
+        F.col("quantity").alias("odoo_available"), *shop.columns,
+        (F.col("quantity") - F.coalesce("shopify_on_hand", F.lit(0.0))).alias("quantity_diff"),
+        (F.col("quantity") - F.coalesce("shopify_available", F.lit(0.0))).alias("available_diff"),
     )
 
 
@@ -204,6 +209,12 @@ def extended_order():
                    F.abs(F.col("odoo_quantity") - F.col("shopify_on_hand")))
             .otherwise(F.col("odoo_quantity")).desc()]
 
+
+def mismatch_order():
+    """The mismatch report's sort: largest difference first."""
+    return [F.abs(F.col("shopify_on_hand") - F.col("odoo_quantity")).desc()]
+
+
 def significant_mismatches(extended: DataFrame, threshold: float = MISMATCH_THRESHOLD) -> DataFrame:
     return extended.filter(F.col("shopify_sku").isNotNull() & (F.col("odoo_quantity") > 0)
                            & (F.col("shopify_on_hand") != F.col("odoo_quantity"))
@@ -218,21 +229,20 @@ def sku_size_swaps(stock: DataFrame, inventory: DataFrame, heavy_rows: int = HEA
     reduced sides meet in the prefix self-join.
     """
     inv = inventory.select("sku", "on_hand", "option_value", "title")
-    left = (stock.filter(F.col("quantity") > 0).alias("o1")
-            .join(inv.filter(F.col("on_hand") == 0).alias("si1"), F.col("o1.default_code") == F.col("si1.sku")))
-    right = (stock.filter(F.col("quantity") == 0).alias("o2")
-             .join(inv.filter(F.col("on_hand") > 0).alias("si2"), F.col("o2.default_code") == F.col("si2.sku")))
-    l2 = left.select(F.col("o1.default_code").alias("odoo_sku1"), F.col("o1.quantity").alias("odoo_qty1"),
-                     F.col("o1.size_suffix").alias("odoo_size1"), F.col("o1.plant_prefix").alias("__p1"),
-                     F.col("si1.sku").alias("shopify_sku1"), F.col("si1.on_hand").alias("shopify_qty1"),
-                     F.col("si1.option_value").alias("shopify_size1"), F.col("si1.title").alias("title"))
-    r2 = right.select(F.col("o2.default_code").alias("odoo_sku2"), F.col("o2.quantity").alias("odoo_qty2"),
-                      F.col("o2.size_suffix").alias("odoo_size2"), F.col("o2.plant_prefix").alias("__p2"),
-                      F.col("si2.sku").alias("shopify_sku2"), F.col("si2.on_hand").alias("shopify_qty2"),
-                      F.col("si2.option_value").alias("shopify_size2"))
+
+    def side(rows: DataFrame, offered: DataFrame, n: int) -> DataFrame:
+        """Stock rows with the inventory row of their SKU, columns numbered."""
+        both = rows.join(offered, rows["default_code"] == offered["sku"])
+        return both.select(F.col("plant_prefix").alias(f"__p{n}"), F.col("default_code").alias(f"odoo_sku{n}"),
+                           F.col("quantity").alias(f"odoo_qty{n}"), F.col("size_suffix").alias(f"odoo_size{n}"),
+                           F.col("sku").alias(f"shopify_sku{n}"), F.col("on_hand").alias(f"shopify_qty{n}"),
+                           F.col("option_value").alias(f"shopify_size{n}"), F.col("title").alias(f"title{n}"))
+
+    l2 = side(stock.filter(F.col("quantity") > 0), inv.filter(F.col("on_hand") == 0), 1)
+    r2 = side(stock.filter(F.col("quantity") == 0), inv.filter(F.col("on_hand") > 0), 2)
     # A plant that holds much of the stock is dealt into slices on both sides.
     j = (skew_join(l2, r2, ["__p1"], ["__p2"], heavy_rows=heavy_rows)
          .filter(F.col("odoo_size1") != F.col("odoo_size2")))
     return j.select("odoo_sku1", "odoo_qty1", "odoo_size1", "odoo_sku2", "odoo_qty2", "odoo_size2",
                     "shopify_sku1", "shopify_qty1", "shopify_size1", "shopify_sku2", "shopify_qty2",
-                    "shopify_size2", "title")
+                    "shopify_size2", F.col("title1").alias("title"))

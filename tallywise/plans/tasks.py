@@ -63,7 +63,7 @@ def stock_cross_reference(inp: StockInputs, out_dir: str) -> dict[str, bool]:
         "stock_cross_reference_extended": write_report(extended, f"{out_dir}/stock_cross_reference_extended",
                                                        order=S.extended_order()),
         "loc_count": write_report(S.location_counts(totals), f"{out_dir}/loc_count",
-                                  order=[F.col("loc_count").desc()]),
+                                  order=S.loc_count_order()),
         "sku_mismatches": write_report(S.sku_size_swaps(stock, inp.inventory), f"{out_dir}/sku_mismatches"),
     }
 
@@ -80,10 +80,9 @@ def pull_sheet(inp: PullInputs, out_dir: str) -> dict[str, bool]:
         "pullsheet": write_report(P.pullsheet(inp.picking), f"{out_dir}/03_pullsheet",
                                   order=P.PULLSHEET_ORDER, skip_empty=True),
         "order_targets": write_report(P.order_targets(inp.picking), f"{out_dir}/04_order_targets",
-                                      order=["ord"], skip_empty=True),
+                                      order=P.TARGETS_ORDER, skip_empty=True),
         "alt_stock": write_report(P.alternative_stock(P.stock_levels(inp.quants), inp.picking),
-                                  f"{out_dir}/05_alt_inventory", order=["product_id", "location_id"],
-                                  skip_empty=True),
+                                  f"{out_dir}/05_alt_inventory", order=P.ALT_STOCK_ORDER, skip_empty=True),
     }
 
 
@@ -149,3 +148,50 @@ def import_bulk_inventory(lines: DataFrame, out_dir: str, as_of: str) -> dict[st
     replace_tables({"shopify_inventory": stamp(inventory, as_of), "shopifyproducts": products,
                     "last_update": last_update_table(lines.sparkSession, as_of)}, out_dir)
     return {"shopify_inventory": True, "shopifyproducts": True, "last_update": True}
+
+
+def import_inventory_csv(exports: str, stock: DataFrame, out_dir: str, as_of: str) -> dict[str, bool]:
+    """Inventory CSV import: the newest export matching ``exports`` (a glob) grouped by SKU, stamped and
+    replaced as a table in the order of its SKUs; the extended cross-reference with the ERP's cleaned
+    ``stock``, and the report of its significant mismatches, largest first. An empty report is not written."""
+    from tallywise.constants import CSV_RENAME
+    from tallywise.plans.inventory import INVENTORY_ORDER, inventory_from_csv
+    from tallywise.sources.files import newest_file, read_csv
+    from tallywise.sources.sinks import ranked, stamp
+    from tallywise.sources.versions import read_table, replace_tables
+
+    spark = stock.sparkSession
+    newest = newest_file(spark, exports)
+    schema = ", ".join(f"`{h}` string" for h in CSV_RENAME)
+    inventory = inventory_from_csv(read_csv(spark, newest, schema, position="line_no"), "line_no")
+    replace_tables({"shopify_inventory": stamp(ranked(inventory, INVENTORY_ORDER, "row_id"), as_of)}, out_dir)
+    extended = S.cross_reference_extended(stock, read_table(spark, out_dir, "shopify_inventory"))
+    return {
+        "shopify_inventory": True,
+        "stock_cross_reference_extended": write_report(extended, f"{out_dir}/reports/stock_cross_reference_extended",
+                                                       order=S.extended_order(), skip_empty=True),
+        "mismatches": write_report(S.significant_mismatches(extended), f"{out_dir}/reports/mismatches",
+                                   order=S.mismatch_order(), skip_empty=True),
+    }
+
+
+def import_catalog(pages_path: str, spark, out_dir: str, as_of: str, overrides: DataFrame | None = None,
+                   keep_broken: bool = False) -> dict[str, bool]:
+    """Catalogue import: landed pages flattened to the inventory and product tables, replaced together with the
+    load stamp. ``overrides`` are the listed SKUs' own figures. Broken pages fail the
+    import, or with ``keep_broken`` become the table ``rejects`` of the same commit."""
+    from tallywise.plans.inventory import PAGE_SCHEMA, apply_overrides, catalog_flatten_parsed, catalog_tables
+    from tallywise.session import stage_rows
+    from tallywise.sources.rejects import read_documents
+    from tallywise.sources.sinks import last_update_table, stamp
+    from tallywise.sources.versions import replace_tables
+
+    pages = read_documents(spark, pages_path, PAGE_SCHEMA, keep_broken)
+    inventory, products = catalog_tables(stage_rows(catalog_flatten_parsed(pages.rows), "catalogue"))
+    if overrides is not None:
+        inventory = apply_overrides(inventory, overrides)
+    tables = {"shopify_inventory": stamp(inventory, as_of), "shopifyproducts": products, "last_update": last_update_table(spark, as_of)}
+    if keep_broken:
+        tables["rejects"] = pages.rejects
+    replace_tables(tables, out_dir)
+    return {name: True for name in tables}

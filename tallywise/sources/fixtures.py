@@ -9,6 +9,7 @@ in Spark from the flat views by the functions at the end of this module.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywise.sources.tables import register_tables
 
@@ -194,6 +195,11 @@ from customer where c_custkey % 4 = 0
 """)
 
 
+def paired_quants(quants: DataFrame) -> DataFrame:
+    """The stock read as the ERP gives it: the product as a pair of id and label."""
+    return quants.withColumn("product", F.struct(F.col("l_partkey").alias("id"), F.col("product_label").alias("label")))
+
+
 def _closure(names) -> list[str]:
     """Views needed for ``names``, dependencies first."""
     out: list[str] = []

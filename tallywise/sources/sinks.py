@@ -148,6 +148,15 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     return spark.catalog.tableExists(name_or_path)
 
 
+def ranked(df: DataFrame, order, rank: str = "rank") -> DataFrame:
+    """A report's rows with their place in its order (from 1), which a file set or table keeps.
+
+    All columns follow the asked order as tie-breaks. Places are partition offsets plus
+    positions, so no task sees the whole report."""
+    by = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
+    return dense_index(df, [*by, *[F.col(f"`{c}`").asc_nulls_first() for c in df.columns]], rank)
+
+
 def write_report(df: DataFrame, path: str, order=None, skip_empty: bool = False, fmt: str = "csv") -> bool:
     """Write a report (header CSV or parquet), globally sorted if asked.
     With ``skip_empty`` an empty result writes nothing. True when written.

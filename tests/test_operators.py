@@ -57,6 +57,15 @@ def test_prefix_equi_join_equals_like(spark):
     assert got == brute
 
 
+def test_wildcard_keys_are_linear_in_the_text(spark):
+    from tallywise.operators.prefix import _candidate_keys
+    texts = spark.createDataFrame([("ab" * n,) for n in (1, 5, 20, 100)], "t string")
+    for r in texts.select(F.length("t").alias("n"), F.size(_candidate_keys(F.col("t"))).alias("k")).collect():
+        assert r.k <= 4 * r.n + 2
+    distinct = spark.createDataFrame([("".join(chr(97 + i % 26) + chr(65 + i // 26) for i in range(60)),)], "t string")
+    assert distinct.select(F.size(_candidate_keys(F.col("t")))).first()[0] <= 4 * 120 + 2
+
+
 def test_exists_other_value_equals_semi_join(spark):
     lv = spark.createDataFrame([("i1", "L1", 1.0), ("i1", "L2", 2.0), ("i2", "L1", 3.0), ("i3", None, 4.0)],
                                "product_id string, location_id string, q double")
