@@ -6,8 +6,10 @@ with the ids that they encode to, into a minimal acyclic automaton: words
 share prefixes and suffixes, and numbers summed along a word's path give its
 place in the table of id outputs. Its arrays are one block of bytes, which
 each worker maps into memory from an unnamed file. A batch's distinct words walk it
-together, a byte at a time, in numpy. Words it lacks are merged exactly, by
-rank with a heap, so that a word of any length costs n log n.
+together, a byte at a time, in numpy. Words it lacks are merged exactly: short ones
+together in numpy, a round for each word's pair of lowest rank, long ones by
+rank with a heap, so that a word of any length costs n log n. What a counting task
+holds is bounded in bytes, whatever the words' lengths; an encoding task holds a slice of texts.
 
 Decoding turns ids back into bytes through the vocabulary and reads them as
 UTF-8 with replacement marks for broken sequences.
@@ -39,9 +41,10 @@ from tallywise.llm.common import fresh, pipeline_stage, stage, with_arrow_column
 
 LEXICON = 65_536       # words in the automaton, at most
 WORD_BYTES = 64        # longer words are always merged
-FLUSH = 400_000        # distinct words that a counting task holds
-MEMO = 300_000         # units whose ids a worker remembers
-SLICE = 1 << 23        # bytes of texts encoded together
+HELD_BYTES = 48 << 20  # what a counting task holds, in bytes
+ENTRY_BYTES = 120      # what an entry costs beside its characters
+SLICE = 1 << 22        # bytes of texts encoded together
+BATCH_WORD_BYTES = 48  # words up to this length are merged together
 
 # Fixed value: the byte-level pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -74,6 +77,12 @@ class Vocabulary:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             a, b = (bytes(letters[c] for c in x) for x in (a, b))
             self.merges[known[a], known[b]] = (rank, known[a + b])
+        pairs = sorted((a << 32 | b, rank, made) for (a, b), (rank, made) in self.merges.items())
+        self.pair_keys, self.pair_ranks, self.pair_made = (np.array(x, np.int64) for x in (zip(*pairs) if pairs else ((), (), ())))
+        self.byte_ids = np.array(self.byte_id, np.int64)
+        size = max(self.decoded) + 1
+        self.raw = pa.array([self.decoded.get(i, b"") for i in range(size)], pa.large_binary())
+        self.decimal = pa.array([b"%d," % i for i in range(size)], pa.large_binary())
         self.split = regex.compile(PATTERN).findall
         names = sorted(self.special, key=len, reverse=True)
         self.special_split = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
@@ -111,6 +120,75 @@ class Vocabulary:
                 heapq.heappush(heap, (m[0], i, m[1], ids[i], made))
         return [i for i in ids if i >= 0]
 
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and result of each pair; rank NO_RANK where it never merges."""
+        if not len(self.pair_keys):
+            return np.full(len(left), NO_RANK), np.zeros(len(left), np.int64)
+        key = left << 32 | right
+        at = np.searchsorted(self.pair_keys, key)
+        at[at == len(self.pair_keys)] = 0
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NO_RANK), self.pair_made[at]
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """The ids of non-empty pre-tokens as 32-bit integers. Each round merges, in every word, all places of its pair of
+        lowest rank, from the left; a pair with the merged piece has a higher rank, so this is the order of ``merge``."""
+        out: list[bytes] = [b""] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for k in np.flatnonzero(lengths > BATCH_WORD_BYTES).tolist():
+            out[k] = np.array(self.merge(words[k]), np.int32).tobytes()
+        live = np.flatnonzero((lengths > 0) & (lengths <= BATCH_WORD_BYTES))
+        if not len(live):
+            return out
+        ids = self.byte_ids[np.frombuffer(b"".join([words[k] for k in live.tolist()]), np.uint8)]
+        sizes = lengths[live]
+        first = np.cumsum(sizes) - sizes
+
+        def pairs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return self._ranked(ids[at], ids[np.minimum(at + 1, len(ids) - 1)])
+
+        rank, made = pairs(np.arange(len(ids)))
+        rank[first + sizes - 1] = NO_RANK  # no pair over a word's end
+        while True:
+            least = np.minimum.reduceat(rank, first)
+            done = least == NO_RANK
+            if done.any():
+                ended = np.repeat(done, sizes)
+                raw, at = ids[ended].astype(np.int32).tobytes(), 0
+                for k, n in zip(live[done].tolist(), sizes[done].tolist()):
+                    out[k] = raw[at:at + 4 * n]
+                    at += 4 * n
+                live, sizes, least = live[~done], sizes[~done], least[~done]
+                if not len(live):
+                    return out
+                ids, rank, made = ids[~ended], rank[~ended], made[~ended]
+                first = np.cumsum(sizes) - sizes
+            hit = rank == np.repeat(least, sizes)
+            at = np.flatnonzero(hit)
+            begins = np.flatnonzero(np.diff(at, prepend=-2) != 1)  # of runs such as "aaa": every second place merges
+            at = at[(np.arange(len(at)) - np.repeat(begins, np.diff(begins, append=len(at)))) % 2 == 0]
+            ids[at] = made[at]
+            gone = np.zeros(len(ids), bool)
+            gone[at + 1] = True
+            sizes = sizes - np.add.reduceat(gone, first)
+            place = np.cumsum(~gone) - 1
+            ids, rank, made = ids[~gone], rank[~gone], made[~gone]
+            first = np.cumsum(sizes) - sizes
+            ends = np.zeros(len(ids), bool)
+            ends[first + sizes - 1] = True
+            begin = np.zeros(len(ids), bool)
+            begin[first] = True
+            now = place[at]
+            anew = np.zeros(len(ids), bool)
+            anew[now] = True
+            anew[now[~begin[now]] - 1] = True
+            anew = np.flatnonzero(anew & ~ends)
+            rank[anew], made[anew] = pairs(anew)
+            rank[first + sizes - 1] = NO_RANK
+
+
+#: The rank of a pair that never merges.
+NO_RANK = np.iinfo(np.int64).max
+
 
 # ---------------------------------------------------------------- the automaton
 
@@ -274,7 +352,7 @@ def slices(texts: pa.Array):
 def count_words(docs: DataFrame, text: str, vocabulary) -> DataFrame:
     """Every pre-token of the corpus with its number, summed in each task before it moves."""
     def run(batches):
-        vocab, seen = vocabulary(), Counter()
+        vocab, seen, held = vocabulary(), Counter(), 0
 
         def out():
             own = Counter()
@@ -291,8 +369,11 @@ def count_words(docs: DataFrame, text: str, vocabulary) -> DataFrame:
                 often = np.bincount(cut.codes, minlength=len(cut.units)).tolist()
                 for u, n in zip(cut.units, often):
                     if n:
+                        if u not in seen:
+                            held += len(u) + ENTRY_BYTES
                         seen[u] += n
-                if len(seen) > FLUSH:
+                if held > HELD_BYTES:
+                    held = 0
                     yield out()
         yield out()
 
@@ -324,52 +405,58 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary, lexicon: Lexicon):
         self.vocab, self.lexicon = vocab, lexicon
-        self.memo: dict[str, list[int]] = {}
-
-    def words(self, words: list[str]) -> list[list[int]]:
-        """Ids of distinct pre-tokens: from the lexicon, merged where it has none."""
-        raw = [w.encode() for w in words]
-        places, out = self.lexicon.places(raw), []
-        starts, ids = self.lexicon.starts, self.lexicon.ids
-        known = np.flatnonzero(places >= 0)
-        bounds = dict(zip(known.tolist(), zip(starts[places[known]].tolist(), starts[places[known] + 1].tolist())))
-        merge = self.vocab.merge
-        for k, raw_word in enumerate(raw):
-            if (b := bounds.get(k)) is not None:
-                out.append(ids[b[0]:b[1]].tolist())
-            else:
-                out.append(merge(raw_word))
-        return out
-
-    def encode(self, texts: pa.Array) -> tuple[Cut, list[list[int]]]:
-        """The texts' units and the ids of each distinct unit."""
-        cut, known = Cut(texts, self.vocab), self.memo
-        if len(known) > MEMO:
-            known.clear()
-        split, special = self.vocab.split, self.vocab.special
-        words: dict[str, int] = {}
-        parts = [(u, None if u in special else [words.setdefault(w, len(words)) for w in split(u)])
-                 for u in cut.units if u not in known]
-        ids = self.words(list(words))
-        for u, p in parts:
-            known[u] = [special[u]] if p is None else ids[p[0]] if len(p) == 1 else [i for w in p for i in ids[w]]
-        return cut, [known[u] for u in cut.units]
+        self.outputs = pa.ListArray.from_arrays(pa.array(lexicon.starts, pa.int32()), pa.array(lexicon.ids, pa.int32()))
+
+    def words(self, words: list[str]) -> pa.ListArray:
+        """Ids of distinct pre-tokens: from the lexicon, merged where it has none. A special token's string is its id."""
+        raw, special = [w.encode() for w in words], self.vocab.special
+        places = self.lexicon.places(raw)
+        known, lacked = np.flatnonzero(places >= 0), np.flatnonzero(places < 0)
+        made = self.vocab.merge_all([raw[k] for k in lacked.tolist()])
+        for n, k in enumerate(lacked.tolist() if special else ()):
+            if words[k] in special:
+                made[n] = np.int32(special[words[k]]).tobytes()
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, made), np.int64, len(made)) // 4)])
+        merged = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(made), np.int32)))
+        order = np.empty(len(words), np.int64)
+        order[np.concatenate([known, lacked])] = np.arange(len(words))
+        return pa.concat_arrays([self.outputs.take(pa.array(places[known])), merged]).take(pa.array(order))
+
+    def encode(self, texts: pa.Array) -> tuple[Cut, np.ndarray, np.ndarray]:
+        """The texts' units, the ids of all distinct units in a row, and where each unit's begin and end."""
+        cut, split, special = Cut(texts, self.vocab), self.vocab.split, self.vocab.special
+        # Units that begin with a blank and a non-blank are cut into pre-tokens in one go: none reaches over their ends.
+        whole = [k for k, u in enumerate(cut.units) if u[:1] == " " and u[1:2] and not u[1].isspace()]
+        found = split("".join([cut.units[k] for k in whole]))
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        unit_ends = np.cumsum(np.fromiter((len(cut.units[k]) for k in whole), np.int64, len(whole)))
+        number = np.zeros(len(cut.units), np.int64)
+        number[whole] = np.diff(np.searchsorted(ends, unit_ends, side="right"), prepend=0)
+        rest = np.setdiff1d(np.arange(len(cut.units)), whole, assume_unique=True).tolist()
+        for k in rest:
+            own = [cut.units[k]] if cut.units[k] in special else split(cut.units[k])
+            number[k] = len(own)
+            found += own
+        coded = pa.array(found, pa.string()).dictionary_encode()
+        ids = self.words(coded.dictionary.to_pylist()).take(coded.indices)
+        # units in the order in which their pre-tokens were found, then back
+        order = np.array(whole + rest, np.int64)
+        bounds = ids.offsets.to_numpy()[np.concatenate([[0], np.cumsum(number[order])])]
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        made = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), ids.values).take(pa.array(back))
+        return cut, made.values.to_numpy(zero_copy_only=False), made.offsets.to_numpy().astype(np.int64)
 
     def ids(self, texts: pa.Array) -> pa.Array:
         """The ids of each text."""
         out = []
         for part in slices(texts):
-            cut, ids = self.encode(part)
-            made = pa.array(ids, pa.list_(pa.int32())).take(pa.array(cut.codes))
+            cut, flat, starts = self.encode(part)
+            made = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat, pa.int32())).take(pa.array(cut.codes))
             ends = made.offsets.to_numpy()[cut.offsets]
             out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made.values))
         return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.int32()))
 
-    def decoded(self, ids: list[list[int]]) -> list[bytes]:
-        """The bytes of each unit's ids."""
-        known = self.vocab.decoded
-        return [b"".join([known[i] for i in u]) for u in ids]
-
     def decode(self, ids) -> str:
         known = self.vocab.decoded
         return b"".join([known[i] for i in ids]).decode("utf-8", "replace")
@@ -386,7 +473,7 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 
 def load_encoder(path: str, digest: str, block) -> Encoder:
-    """The worker's encoder for a lexicon; tasks of the same lexicon share its memo."""
+    """The worker's encoder for a lexicon, which tasks of the same lexicon share."""
     if _LOADED.get("digest") != (path, digest):
         _LOADED["encoder"] = Encoder(load_vocabulary(path), Lexicon(block()))
         _LOADED["digest"] = (path, digest)
@@ -412,11 +499,17 @@ def with_ids(df: DataFrame, text: str, path: str, name: str = "ids") -> DataFram
     return with_arrow_columns(df, text, [(fresh(df, name), T.ArrayType(T.IntegerType()))], lambda texts: [encoder().ids(texts)])
 
 
-def _joined(parts: list[bytes], cut: Cut) -> tuple[memoryview, np.ndarray]:
-    """All texts' units' bytes in a row, and where each text's begin and end."""
-    made = pa.array(parts, pa.large_binary()).take(pa.array(cut.codes))
-    offsets = np.frombuffer(made.buffers()[1], np.int64)[made.offset:made.offset + len(made) + 1]
-    return memoryview(made.buffers()[2] or b""), offsets[cut.offsets]
+def _offsets(binary: pa.Array) -> np.ndarray:
+    return np.frombuffer(binary.buffers()[1], np.int64)[binary.offset:binary.offset + len(binary) + 1]
+
+
+def _joined(table: pa.Array, flat: np.ndarray, starts: np.ndarray, cut: Cut) -> tuple[memoryview, np.ndarray]:
+    """What ``table`` has for the ids of all texts in a row, and where each text's begins and ends."""
+    shown = table.take(pa.array(flat))
+    data = shown.buffers()[2] or pa.py_buffer(b"")
+    units = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(_offsets(shown)[starts].tobytes()), data])
+    made = units.take(pa.array(cut.codes))
+    return memoryview(made.buffers()[2] or b""), _offsets(made)[cut.offsets]
 
 
 def with_round_trip(df: DataFrame, text: str, path: str) -> DataFrame:
@@ -427,17 +520,17 @@ def with_round_trip(df: DataFrame, text: str, path: str) -> DataFrame:
         enc = encoder()
         counts, ids_sha, text_sha = [], [], []
         for part in slices(texts):
-            cut, ids = enc.encode(part)
-            total = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))[cut.codes])])[cut.offsets]
+            cut, flat, starts = enc.encode(part)
+            total = np.concatenate([[0], np.cumsum(np.diff(starts)[cut.codes])])[cut.offsets]
             counts += np.diff(total).tolist()
-            shown, at = _joined([("".join([f"{i}," for i in u])).encode() for u in ids], cut)
+            shown, at = _joined(enc.vocab.decimal, flat, starts, cut)
             ids_sha += [hashlib.sha256(shown[a:max(a, b - 1)]).hexdigest() for a, b in zip(at, at[1:])]
-            raw, at = _joined(enc.decoded(ids), cut)
+            raw, at = _joined(enc.vocab.raw, flat, starts, cut)
             text_sha += [hashlib.sha256(bytes(raw[a:b]).decode("utf-8", "replace").encode()).hexdigest() for a, b in zip(at, at[1:])]
         return [counts, ids_sha, text_sha]
 
-    return with_arrow_columns(df, text, [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()),
-                                        ("decoded_sha256", T.StringType())], run)
+    return with_arrow_columns(df, text, [(fresh(df, "n_tokens"), T.LongType()), (fresh(df, "ids_sha256"), T.StringType()),
+                                        (fresh(df, "decoded_sha256"), T.StringType())], run)
 
 
 def vocabulary_path() -> str:

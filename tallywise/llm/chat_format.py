@@ -71,9 +71,30 @@ def rank_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+# Fixed value: Unicode white space, as the tokenizer's pattern sees it.
+_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{2,}")
+#: Longer runs of white space are cut out before the tokenizer's pattern sees them: its matcher recurses on them.
+LONG_RUN = 1 << 14
+
+
+def encode_text(enc, text: str) -> list[int]:
+    """The ids of a whole text. A run of white space is one pre-token but for its last character, which goes
+    with what follows; a long run is encoded as that pre-token, and the rest on either side of it as ever."""
+    if len(text) < LONG_RUN:
+        return enc.encode_ordinary(text)
+    ids, at = [], 0
+    for m in _WHITE.finditer(text):
+        if m.end() - m.start() >= LONG_RUN:
+            end = m.end() - (m.end() < len(text))
+            ids += enc.encode_ordinary(text[at:m.start()])
+            ids += enc._encode_single_piece(text[m.start():end].encode())
+            at = end
+    return ids + enc.encode_ordinary(text[at:])
+
+
 def assemble(enc, role: str, text: str) -> tuple[list[int], list[int]]:
     """A turn's ids, and where its loss begins and ends (no places: no loss)."""
-    who, what = enc.encode_ordinary(escape(role)), enc.encode_ordinary(escape(text))
+    who, what = encode_text(enc, escape(role)), encode_text(enc, escape(text))
     ids = [TURN, *who, SPEAKS, *what, DONE]
     return ids, [len(who) + 2, len(who) + 2 + len(what)] if role == LOSS_ROLE else []
 

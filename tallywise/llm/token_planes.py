@@ -13,7 +13,7 @@ compressed chunk index (ids and four plane lengths per chunk), and the planes.
 
 The library's normalizers and pre-tokenizer never join what ASCII white space
 parts, so texts are cut there and the library encodes each distinct piece
-once; a worker remembers the pieces it has used last, up to two generations of ``MEMO``.
+once; a worker remembers two generations of pieces, each bounded in bytes.
 
 Files are written under the shared folder under a name of their own and then
 renamed, and only files listed in the written manifest are read, so a task
@@ -31,6 +31,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -45,39 +46,95 @@ BLOCK = 1 << 16
 FILE_IDS = 1 << 21     # a file is closed once it has so many ids
 END_ID = 1
 LEVEL = 3
-MEMO = 500_000        # pieces to a generation; a worker holds two
-PIECES = 20_000        # pieces encoded in one library call
+MEMO_BYTES = 48 << 20  # a generation of remembered pieces, in bytes; a worker holds two
+ENTRY_BYTES = 180      # what an entry costs beside its characters and ids
+PIECES = 20_000        # pieces in one library call
+# Latin letters that stay letters when lowered and normalized (U+0130 does not), then ASCII signs but for the apostrophe.
+SIGNED = "^(?P<letters>[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)(?P<signs>[!-&(-/:-@\\[-`{-~]+)$"
+SLICE = 1 << 21        # characters of texts encoded together
 
 _LOADED: dict = {}
 
 
-def tokenizer(path: str):
-    if path not in _LOADED:
+class PieceEncoder:
+    """The library's encoding of pieces without ASCII white space; one per worker process.
+
+    A piece of letters and then ASCII signs is two pieces to the library, whose pre-tokenizer cuts there, and ASCII
+    letters are lower-cased by its normalizer; so signs are cut off and letters lowered first, which leaves
+    it fewer pieces to encode. Pieces that could hold a special token's string are sent as they are.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
-        made = Tokenizer.from_file(path)
-        made.no_truncation()
-        made.no_padding()
-        _LOADED[path] = [made, {}, {}]
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.memo: dict[str, bytes] = {}
+        self.past: dict[str, bytes] = {}
+        self.held = 0
+
+    def known(self, pieces: list[str]) -> pa.Array:
+        """The ids of distinct pieces as bytes, remembered or encoded now."""
+        memo, past = self.memo, self.past
+        new = [p for p in pieces if p not in memo]
+        fresh = []
+        for p in new:
+            ids = past.get(p)
+            if ids is None:
+                fresh.append(p)
+            else:
+                memo[p] = ids
+                self.held += len(p) + len(ids) + ENTRY_BYTES
+        for at in range(0, len(fresh), PIECES):
+            part = fresh[at:at + PIECES]
+            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
+                ids = memo[p] = np.array(e.ids, "<u4").tobytes()
+                self.held += len(p) + len(ids) + ENTRY_BYTES
+        made = pa.array([memo[p] for p in pieces], pa.large_binary())
+        if self.held > MEMO_BYTES:  # pieces in use come back from the generation before, the rest go
+            self.past, self.memo, self.held = memo, {}, 0
+        return made
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers, without an end id."""
+        cut = [t.encode().split() for t in texts]
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        coded = pa.array([p for own in cut for p in own], pa.binary()).dictionary_encode()
+        names = coded.dictionary.cast(pa.string())
+        lowered = pc.if_else(pc.match_substring(names, "<|"), names, pc.ascii_lower(names))
+        parts = pc.extract_regex(lowered, SIGNED)
+        stems = pc.coalesce(pc.struct_field(parts, "letters"), lowered).dictionary_encode()
+        signs = pc.struct_field(parts, "signs").dictionary_encode()
+        ids = self.known(stems.dictionary.to_pylist()).take(stems.indices)
+        after = self.known(signs.dictionary.to_pylist()).take(signs.indices)
+        whole = pc.binary_join_element_wise(ids, pc.fill_null(after, b""), pa.scalar(b"", pa.large_binary()))
+        made = whole.take(coded.indices)
+        raw = memoryview(made.buffers()[2] or b"")
+        ends = np.frombuffer(made.buffers()[1], np.int64)[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
+
+
+def tokenizer(path: str) -> PieceEncoder:
+    if path not in _LOADED:
+        _LOADED[path] = PieceEncoder(path)
     return _LOADED[path]
 
 
+def slices(texts: list[str]) -> list[tuple[int, int]]:
+    """Runs of texts of about ``SLICE`` characters."""
+    out, at, size = [], 0, 0
+    for k, t in enumerate(texts):
+        if k > at and size + len(t) > SLICE:
+            out.append((at, k))
+            at, size = k, 0
+        size += len(t)
+    return [*out, (at, len(texts))] if texts else out
+
+
 def encode(texts: list[str], path: str) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit integers, without an end id."""
-    held = tokenizer(path)
-    made, memo, past = held
-    cut = [t.encode().split() for t in texts]
-    if len(memo) > MEMO:  # pieces in use come back from the generation before, the rest go
-        past, memo = memo, {}
-        held[1:] = memo, past
-    new = list(set().union(*cut) - memo.keys()) if cut else []
-    memo.update((p, past[p]) for p in new if p in past)
-    new = [p for p in new if p not in past]
-    for at in range(0, len(new), PIECES):
-        part = new[at:at + PIECES]
-        got = made.encode_batch_fast([p.decode() for p in part], add_special_tokens=False)
-        memo.update((p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(part, got))
-    return [b"".join([memo[p] for p in own]) for own in cut]
+    made = tokenizer(path)
+    return [ids for a, b in slices(texts) for ids in made.encode(texts[a:b])]
 
 
 # ---------------------------------------------------------------- the file format
@@ -168,9 +225,9 @@ def write_planes(docs: DataFrame, path: str, folder: str, doc_id: str = "doc_id"
         for batch in batches:
             out = []
             texts, keys = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), 500):
-                made = encode([t or "" for t in texts[at:at + 500]], path)
-                for key, own in zip(keys[at:at + 500], made):
+            texts = [t or "" for t in texts]
+            for at, stop in slices(texts):
+                for key, own in zip(keys[at:stop], tokenizer(path).encode(texts[at:stop])):
                     state["docs"].append(key)
                     state["ids"].append(own + end)
                     state["n"] += len(own) // 4 + 1
