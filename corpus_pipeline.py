@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallywise.llm.bpe_lexicon import bpe_stage
-from tallywise.llm.common import stage, table
+from tallywise.llm.common import drop_folder, staged, table
 from tallywise.llm.mixing_tree import mixing_stage
 from tallywise.llm.quality_mcd import quality_stage
 from tallywise.llm.secrets_crf import secrets_stage
@@ -25,7 +25,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages one after the other; what a stage wrote goes when the next one has been written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        docs, folder = staged(step(spark, docs, sf_dir), name)
+        if before:
+            drop_folder(spark, before)
+        before = folder
     return docs
