@@ -28,6 +28,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ ENTRY_BYTES = 180      # what an entry costs beside its characters and ids
 PIECES = 20_000        # pieces in one library call
 # Latin letters that stay letters when lowered and normalized (U+0130 does not), then ASCII signs but for the apostrophe.
 SIGNED = "^(?P<letters>[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+)(?P<signs>[!-&(-/:-@\\[-`{-~]+)$"
-SLICE = 1 << 21        # characters of texts encoded together
+SLICE = 1 << 22        # characters of texts encoded together
 
 _LOADED: dict = {}
 
@@ -77,21 +78,22 @@ class PieceEncoder:
     def known(self, pieces: list[str]) -> pa.Array:
         """The ids of distinct pieces as bytes, remembered or encoded now."""
         memo, past = self.memo, self.past
-        new = [p for p in pieces if p not in memo]
+        found = list(map(memo.get, pieces))
         fresh = []
-        for p in new:
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            p = pieces[k]
             ids = past.get(p)
             if ids is None:
-                fresh.append(p)
+                fresh.append(k)
             else:
-                memo[p] = ids
+                memo[p] = found[k] = ids
                 self.held += len(p) + len(ids) + ENTRY_BYTES
         for at in range(0, len(fresh), PIECES):
             part = fresh[at:at + PIECES]
-            for p, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                ids = memo[p] = np.array(e.ids, "<u4").tobytes()
-                self.held += len(p) + len(ids) + ENTRY_BYTES
-        made = pa.array([memo[p] for p in pieces], pa.large_binary())
+            for k, e in zip(part, self.library.encode_batch_fast([pieces[k] for k in part], add_special_tokens=False)):
+                ids = memo[pieces[k]] = found[k] = array("I", e.ids).tobytes()
+                self.held += len(pieces[k]) + len(ids) + ENTRY_BYTES
+        made = pa.array(found, pa.large_binary())
         if self.held > MEMO_BYTES:  # pieces in use come back from the generation before, the rest go
             self.past, self.memo, self.held = memo, {}, 0
         return made
