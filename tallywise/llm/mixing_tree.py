@@ -16,9 +16,10 @@ row per source (its words and documents), and the tree holds one number per
 source and shard. Blocks have about ``BLOCK`` documents at every size.
 
 Defined cases: null texts have size 0; a null source is a source of its own,
-the last; null ids are hashed by text size alone; repeated rows are documents
-of their own (which of several equal rows is taken is not defined); sources without words give nothing; empty input gives an empty
-mix. Reruns give equal rows: all draws are hashes or seeded.
+the last; null ids are hashed by text and size alone; repeated rows are documents
+of their own, numbered so that they fall into different blocks (which of several equal rows gets which
+number is not defined); sources without words give nothing; empty input gives an empty
+mix. Sources are few: one row each reaches the driver. Reruns give equal rows: all draws are hashes or seeded.
 """
 
 from __future__ import annotations
@@ -88,7 +89,7 @@ def split_quotas(quotas: list[int], shards: int, seed: int = SEED) -> np.ndarray
     return out
 
 
-def plan_mix(rows: DataFrame, doc_id: str, source: str, size: str, shards: int = SHARDS, seed: int = SEED,
+def plan_mix(rows: DataFrame, draws_on: list[str], source: str, size: str, shards: int = SHARDS, seed: int = SEED,
              share: float = SHARE) -> tuple[DataFrame, DataFrame]:
     """The sources (source, rank, source_size, target, n_blocks) and the plan: one row per source
     and pass with its last block, what is left for it, and where its blocks go."""
@@ -105,7 +106,7 @@ def plan_mix(rows: DataFrame, doc_id: str, source: str, size: str, shards: int =
     want = F.greatest(F.lit(0.0), F.least(F.col("source_size").cast("double"), F.col("target") - F.col("pass") * F.col("source_size")))
     passes = (sources.withColumn("pass", F.explode(F.array(*[F.lit(p) for p in range(PASSES)])))
               .withColumn("want", want).where("want > 0"))
-    dealt = deal(rows.select(doc_id, source, size), passes, doc_id, source, size, seed)
+    dealt = deal(rows.select(*draws_on, source, size), passes, draws_on, source, seed)
     blocks = dealt.groupBy("rank", "pass", "block").agg(F.sum(size).alias("words"), F.first("want").alias("want"))
     # 1 row for BLOCK documents; blocks are drawn by hash, so their order is the permutation
     order = W.partitionBy("rank", "pass").orderBy("block")
@@ -127,26 +128,26 @@ def plan_mix(rows: DataFrame, doc_id: str, source: str, size: str, shards: int =
                                       (F.col("words") <= F.col("left")).alias("all"), "offset", "ends"), "plan")
 
 
-def deal(rows: DataFrame, passes: DataFrame, doc_id: str, source: str, size: str, seed: int = SEED) -> DataFrame:
-    """``rows`` once for each of its source's passes, with draw and block. A row's draws follow from its id and size."""
-    draw = F.xxhash64(F.lit(seed), F.col("rank"), F.col("pass"), F.col(doc_id), F.col(size))
+def deal(rows: DataFrame, passes: DataFrame, draws_on: list[str], source: str, seed: int = SEED) -> DataFrame:
+    """``rows`` once for each of its source's passes, with draw and block. A row's draws follow from the columns ``draws_on``."""
+    draw = F.xxhash64(F.lit(seed), F.col("rank"), F.col("pass"), *[F.col(c) for c in draws_on])
     return (rows.join(passes, rows[source].eqNullSafe(passes["s_source"])).withColumn("draw", draw)
             .withColumn("block", F.pmod(F.xxhash64("draw", F.lit(seed)), F.col("n_blocks")).cast("int")))
 
 
-def mix(rows: DataFrame, doc_id: str, source: str, size: str, key: str, shards: int = SHARDS,
+def mix(rows: DataFrame, draws_on: list[str], source: str, size: str, key: str, shards: int = SHARDS,
         seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """The rows that the mix takes, once for each time, and the sources.
 
-    ``rows`` must be staged (it is read several times, equal each time), ``key``
+    ``rows`` must read equal each time (they are read several times), ``key``
     unique. Returned rows have the new columns mix_shard and mix_place."""
-    sources, plan = plan_mix(rows, doc_id, source, size, shards, seed)
+    sources, plan = plan_mix(rows, draws_on, source, size, shards, seed)
     clash = {c: f"mix__{c}" for c in rows.columns}  # rows may have columns named like the plan's
     back = {v: k for k, v in clash.items()}
     own = rows.withColumnsRenamed(clash)
-    c_id, c_source, c_size, c_key = (clash[c] for c in (doc_id, source, size, key))
+    c_source, c_size, c_key = (clash[c] for c in (source, size, key))
     shard = F.size(F.filter("ends", lambda e: e <= F.col("offset") + F.col("block")))
-    taken = (deal(own, plan, c_id, c_source, c_size, seed).where(F.col("block") <= F.col("last"))
+    taken = (deal(own, plan, [clash[c] for c in draws_on], c_source, seed).where(F.col("block") <= F.col("last"))
              .withColumn("mix_shard", shard).withColumn("mix_place", F.col("draw")))
     whole = F.col("all") | (F.col("block") < F.col("last"))
     # one block per source and pass at most; its documents stream past a running count
@@ -185,27 +186,55 @@ def _fit(batches):
     yield out(close())
 
 
-def keyed_sizes(docs: DataFrame, columns: list[str], text: str = "text") -> tuple[DataFrame, str, str]:
-    """``columns`` of the documents with a word count and a row number, fixed by being written."""
-    size, key = fresh(docs, "size"), fresh(docs, "row")
-    counted = docs.select(*columns, word_count(F.col(text)).alias(size))
-    return stage(counted.withColumn(key, F.monotonically_increasing_id()), "sized"), size, key
-
-
-def mix_sizes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, source_size, target and taken for every document."""
-    rows, size, key = keyed_sizes(docs, ["doc_id", "source"])
-    taken, sources = mix(rows, "doc_id", "source", size, key, shards)
-    often = taken.groupBy(F.col(key).alias("often_key")).agg(F.count(F.lit(1)).alias("often"))
-    return (rows.join(often, rows[key] == often["often_key"], "left")
+def twins(rows: DataFrame, draws_on: list[str], key: str, part: str) -> DataFrame:
+    """Numbers from 1 for the second and further ones of rows that are equal in ``draws_on``: twin_key, twin.
+
+    A group's rows are numbered in each part of the written rows and the parts' counts added up before,
+    so no task sees a whole group."""
+    group = F.xxhash64(*draws_on)
+    own = rows.select(F.col(key).alias("twin_key"), F.col(part).alias("part"), group.alias("twins"))
+    counts = own.groupBy("twins", "part").agg(F.count("*").alias("n"))
+    among = W.partitionBy("twins")
+    offsets = (counts.withColumn("all", F.sum("n").over(among)).where(F.col("all") > 1)
+               .withColumn("before", F.sum("n").over(among.orderBy("part")) - F.col("n")).select("twins", "part", "before"))
+    many = own.join(offsets, ["twins", "part"])
+    place = F.row_number().over(W.partitionBy("twins", "part").orderBy("twin_key"))
+    return (many.select("twin_key", (F.col("before") + place - 1).cast("long").alias("twin")).where("twin > 0"))
+
+
+def keyed_sizes(docs: DataFrame, columns: list[str], doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str, str, list[str]]:
+    """``columns`` of the documents with a word count and a row number, fixed by being written, and the columns on
+    which a row's draws depend: its id, size, the text's hash and its number among equal rows."""
+    size, key, mark, part, twin = (fresh(docs, c) for c in ("size", "row", "mark", "part", "twin"))
+    counted = docs.select(*columns, word_count(F.col(text)).alias(size), F.xxhash64(text).alias(mark))
+    rows = stage(counted.withColumn(key, F.monotonically_increasing_id()).withColumn(part, F.spark_partition_id()), "sized")
+    numbers = stage(twins(rows, [doc_id, size, mark], key, part), "twins")
+    if numbers.isEmpty():
+        return rows.drop(part).withColumn(twin, F.lit(0).cast("long")), size, key, [doc_id, size, mark, twin]
+    numbers = numbers.withColumnsRenamed({"twin_key": f"{key}_of_twin", "twin": twin})
+    numbered = (rows.drop(part).join(numbers, F.col(key) == F.col(f"{key}_of_twin"), "left").drop(f"{key}_of_twin")
+                .withColumn(twin, F.coalesce(twin, F.lit(0).cast("long"))))
+    return numbered, size, key, [doc_id, size, mark, twin]
+
+
+def mix_sizes(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """doc_id, size, source_size, target and taken for every document, and the output shards that took it:
+    ``shards`` and the places in them, by shard, joined by commas. A document is taken as often as shards drew it."""
+    rows, size, key, draws_on = keyed_sizes(docs, ["doc_id", "source"])
+    taken, sources = mix(rows, draws_on, "source", size, key, shards, seed)
+    drawn = (taken.groupBy(F.col(key).alias("drawn_key"))
+             .agg(F.sort_array(F.collect_list(F.struct("mix_shard", "mix_place"))).alias("drawn")))  # PASSES entries at most
+    return (rows.join(drawn, rows[key] == drawn["drawn_key"], "left")
             .join(sources, rows["source"].eqNullSafe(sources["s_source"]))
             .select("doc_id", F.col(size).alias("size"), "source_size", "target",
-                    (F.col(size) * F.coalesce("often", F.lit(0))).cast("long").alias("taken")))
+                    (F.col(size) * F.coalesce(F.size("drawn"), F.lit(0))).cast("long").alias("taken"),
+                    F.coalesce(F.array_join(F.col("drawn.mix_shard").cast("array<string>"), ","), F.lit("")).alias("shards"),
+                    F.coalesce(F.array_join(F.col("drawn.mix_place").cast("array<string>"), ","), F.lit("")).alias("places")))
 
 
 @pipeline_stage
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the mix itself, a row for each time a document is taken, shard by shard."""
-    rows, size, key = keyed_sizes(docs, docs.columns)
-    taken, _ = mix(rows, "doc_id", "source", size, key)
+    rows, size, key, draws_on = keyed_sizes(docs, docs.columns)
+    taken, _ = mix(rows, draws_on, "source", size, key)
     return (taken.repartition(SHARDS, "mix_shard").sortWithinPartitions("mix_shard", "mix_place", key).select(*docs.columns))

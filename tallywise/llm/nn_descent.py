@@ -48,7 +48,6 @@ SENT = 16             # candidates that a pool sends to a member
 BEAM = 256            # to begin with
 PROBES = 128
 RECALL = 0.95         # of the probes' true neighbours that must be found
-EXPANSIONS = 14       # rounds of a search, at most
 QUERIES = 4096
 RERANK = 24
 HUB = 4096            # members from which a pool is dealt to several tasks
@@ -316,7 +315,7 @@ def search(graph: DataFrame, edges: DataFrame, vectors: DataFrame, block: DataFr
     near = F.broadcast(block.select(F.col("query").alias("b_query"), "q_packed"))  # at most QUERIES rows
     beams = stage(block.select("query", F.array("node").alias("ids"), F.array(F.lit(1.0).cast("float")).alias("sims"),
                                F.array(F.lit(False)).alias("done")), "beam")
-    for _ in range(EXPANSIONS):
+    while True:  # a beam only improves, so at last it has nothing left to expand
         least = F.when(F.size("sims") >= beam, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
         # at most QUERIES x BEAM (or PROBES x beam) rows of three numbers
         front = (beams.select("query", least.alias("least"), F.explode(F.arrays_zip("ids", "done")).alias("x"))
