@@ -4,7 +4,7 @@ Each source's documents are dealt into blocks by hash, anew for each pass over
 the source (a source may be taken twice, never more). The wanted words fix how
 many blocks, in permuted order, each source gives: all blocks of its full
 passes, then blocks of the next pass up to the one in which the target falls;
-of that one, documents are taken in permuted order while they fit. The block
+of that one, documents are taken in permuted order while they fit (see ``fitting``). The block
 quotas of all sources are then split among the output shards down a binary
 tree, each node drawing its left half's share from a multivariate
 hypergeometric distribution; a shard gets the next blocks of each source's
@@ -150,7 +150,7 @@ def mix(rows: DataFrame, draws_on: list[str], source: str, size: str, key: str,
     taken = (deal(own, plan, [clash[c] for c in draws_on], c_source, seed).where(F.col("block") <= F.col("last"))
              .withColumn("mix_shard", shard).withColumn("mix_place", F.col("draw")))
     whole = F.col("all") | (F.col("block") < F.col("last"))
-    # one block per source and pass at most; its documents stream past a running count
+    # one block per source and pass at most
     fits = (taken.where(~whole).select("rank", F.col(c_key).alias("key"), "pass", "draw", F.col(c_size).alias("size"), "left")
             .repartition("rank").sortWithinPartitions("rank", "draw", "key")
             .mapInArrow(_fit, "fit_key long, fit_pass int"))
@@ -159,29 +159,46 @@ def mix(rows: DataFrame, draws_on: list[str], source: str, size: str, key: str,
     return taken.where(whole).select(*cols).unionByName(part.select(*cols)).withColumnsRenamed(back), sources
 
 
-def _fit(batches):
-    """Of each source's last block, the documents that fit into what is left, in permuted order;
-    then the smallest that did not, if the mix is nearer its target with it."""
-    rank, left, spare = None, 0.0, None
+def fitting(sizes: list[int], room: float) -> list[int]:
+    """Places of the documents of a source's last block that the mix takes.
+
+    In permuted order those that fit into what is left; then the one change that brings the mix nearest to its
+    target, if any does: one more document, or one left out taken for one that was in (the first of equals)."""
+    into, out = [], []
+    for k, n in enumerate(sizes):
+        if n <= room:
+            into.append(k)
+            room -= n
+        else:
+            out.append(k)
+    if not out or room <= 0:
+        return into
+    without = np.array([0, *(sizes[k] for k in into)], float)
+    off = np.abs(room - (np.array([sizes[k] for k in out], float)[:, None] - without))
+    u, t = np.unravel_index(off.argmin(), off.shape)
+    if off[u, t] < room:
+        into = [k for k in into if not t or k != into[t - 1]] + [out[u]]
+    return into
 
-    def close():
-        return [spare[1]] if spare and spare[0] - left < left else []
+
+def _fit(batches):
+    """The documents taken of each source's last block, which is about ``BLOCK`` documents."""
+    rank, left, held = None, 0.0, []
 
     def out(rows):
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32())], ["fit_key", "fit_pass"])
 
+    def close():
+        return [held[k][1] for k in fitting([n for n, _ in held], left)]
+
     for batch in batches:
         keep = []
         for r, size, room, *row in zip(*(batch.column(c).to_pylist() for c in ("rank", "size", "left", "key", "pass"))):
             if r != rank:
                 keep += close()
-                rank, left, spare = r, room, None
-            if size <= left:
-                keep.append(row)
-                left -= size
-            elif spare is None or size < spare[0]:
-                spare = (size, row)
+                rank, left, held = r, room, []
+            held.append((size, row))
         yield out(keep)
     yield out(close())
 

@@ -57,15 +57,8 @@ def replay(rows, shards, seed):
             if sum(rows[k][2] for _, k in dealt[last]) <= room:
                 take += [(d, k, last) for d, k in dealt[last]]
             else:
-                spare = None
-                for d, k in sorted(dealt[last]):
-                    if rows[k][2] <= room:
-                        take.append((d, k, last))
-                        room -= rows[k][2]
-                    elif spare is None or rows[k][2] < rows[spare[1]][2]:
-                        spare = (d, k)
-                if spare and rows[spare[1]][2] - room < room:
-                    take.append((*spare, last))
+                block = sorted(dealt[last])
+                take += [(*block[j], last) for j in M.fitting([rows[k][2] for _, k in block], room)]
             offset[rank, turn] = quotas.get(rank, 0)
             quotas[rank] = quotas.get(rank, 0) + last + 1
             blocks[rank, turn] = take
@@ -106,3 +99,18 @@ def test_equal_rows_fall_into_many_blocks(spark):
     got = M.mix_sizes(docs)
     taken = got.agg(F.sum("taken")).first()[0]
     assert abs(taken - 180_000) <= 1
+
+
+def test_the_last_block_comes_near_what_is_left():
+    assert M.fitting([], 5.0) == [] and M.fitting([5, 5], 10.0) == [0, 1]
+    assert M.fitting([7, 4, 6], 10.0) == [0, 1] and M.fitting([6, 5, 9], 10.0) == [0, 1]  # one over is nearer than three under
+    assert M.fitting([20], 9.0) == [] and M.fitting([20], 11.0) == [0]
+    draw = np.random.default_rng(3)
+    for _ in range(200):
+        sizes, room = draw.integers(0, 50, draw.integers(1, 9)).tolist(), float(draw.integers(1, 120))
+        got = M.fitting(sizes, room)
+        greedy, left = 0, room
+        for n in sizes:
+            if n <= left:
+                greedy, left = greedy + n, left - n
+        assert len(set(got)) == len(got) and abs(room - sum(sizes[k] for k in got)) <= abs(room - greedy)
