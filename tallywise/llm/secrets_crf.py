@@ -8,17 +8,21 @@ touch no base span are added as kind ``crf``.
 The field is trained here, by gradient ascent on the conditional likelihood,
 on at most ``SAMPLE`` windows of each of three sorts (around base spans, around
 digits or long tokens, plain text), taken by smallest hash over all documents.
-Base spans are its weak labels. Each positive window also appears with its
-secret and its wording replaced, and plain windows with a keyword put in, so
-that shape and wording are learned apart from each other.
+Base spans are its weak labels: of a span's value the first token is B, all others are I. Each
+positive window also appears with its secret and its wording replaced, by values of one and of several
+tokens, and plain windows with a keyword or something harmless with digits put in, so that shape and wording are
+learned apart from each other.
+A window keeps the file feature of the text that it comes from.
 
 The label space is part of the model: a token without digits, of under ``LONG``
-characters and away from any keyword can only be O. Such tokens cut a text into
+characters, away from any keyword and no sign between two tokens that may be secrets can only be O. Such tokens cut a text into
 short runs whose best paths are independent, so only the runs are decoded, and
 the joined paths are the exact Viterbi path of the whole text.
 
 Defined cases: null and empty texts have no spans; ties between paths go to O;
-repeated rows get equal spans; a corpus without base spans trains no field and
+repeated rows get equal spans; very long texts are tagged whole, in memory and time
+in proportion to their length; columns of the input keep their names, added ones get a leading underscore where they
+clash (``scan_digest`` reads doc_id and text alone); a corpus without base spans trains no field and
 adds none; empty input gives empty output.
 """
 
@@ -56,6 +60,8 @@ RATE = 0.5
 DECAY = 2e-5
 LONG = 20             # characters from which a token without digits may be a secret
 NEAR = 4              # tokens after a keyword whose context features mention it
+JOINTS = frozenset("=:~%&$#!*|")  # signs that may stand inside a secret
+COMMON = 5            # a neighbouring word is a feature from so many times in the sample
 
 TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s]")
 ACTIVE = re.compile(r"[0-9]|[\w+/.\-]{%d,}" % LONG)
@@ -119,6 +125,11 @@ def is_active(token: str) -> bool:
     return len(token) >= LONG or not DIGITS.isdisjoint(token)
 
 
+def is_joint(tokens: list[str], k: int) -> bool:
+    """A sign between two tokens that may be secrets."""
+    return tokens[k] in JOINTS and 0 < k < len(tokens) - 1 and is_active(tokens[k - 1]) and is_active(tokens[k + 1])
+
+
 def file_feature(text: str) -> str:
     """One feature of the whole text: how dense its digits are."""
     digits = sum(text.count(d) for d in "0123456789")
@@ -140,24 +151,34 @@ class Features:
             got = self.shapes[token] = shape_features(token)
         return got
 
+    def beside(self, side: str, token: str) -> list[str]:
+        """Features of a neighbour: its shape, and the word itself."""
+        out = [f"{side}:{token}" if token in "=:\"'@()<>,|" else f"{side}:{self.shape(token)[0]}"]
+        if token.isalpha() and len(token) <= 14:
+            out.append(f"{side}-word:{token.lower()}")
+        return out
+
     def of(self, tokens: list[str], file: str) -> list[list[str]]:
         out, keyword = [], -99
         n = len(tokens)
         for k, token in enumerate(tokens):
             active, near = is_active(token), k - keyword <= NEAR
-            own = [*self.shape(token)] if active or near else ["keyword"] if KEYWORD.fullmatch(token) else []
+            joint = is_joint(tokens, k)
+            own = [*self.shape(token)] if active or near or joint else ["keyword"] if KEYWORD.fullmatch(token) else []
             if near:
                 own += ["after-keyword", f"after-keyword/{k - keyword}"]
                 if tokens[k - 1] in "=:\"'":
                     own.append("after-keyword-sign")
+            if joint:
+                own.append("joint")
             if active:
-                before, then = (tokens[k - 1] if k else "<"), (tokens[k + 1] if k + 1 < n else ">")
                 own.append(file)
-                own.append("before:" + (before if before in "=:\"'@(" else "word"))
-                own.append("then:" + (then if then in "\"'@)," else "word"))
+            if active or joint:
+                own += self.beside("before", tokens[k - 1]) if k else ["before:<"]
+                own += self.beside("then", tokens[k + 1]) if k + 1 < n else ["then:>"]
             if "keyword" in own:
                 keyword = k
-            out.append(own if active or near else [])
+            out.append(own if active or near or joint else [])
         return out
 
 
@@ -206,7 +227,7 @@ class Field:
 def fit(sequences: list[tuple[list[list[str]], list[int]]], rounds: int = ROUNDS) -> Field:
     """Maximise the conditional log-likelihood by Adagrad on the whole sample."""
     count = Counter(f for feats, _ in sequences for own in feats for f in own)
-    names = {f: k for k, f in enumerate(sorted(count))}
+    names = {f: k for k, f in enumerate(sorted(f for f, c in count.items() if c >= COMMON or "-word:" not in f))}
     n, length = len(sequences), max(len(f) for f, _ in sequences)
     # tokens with equal features share a row, so a round costs no more than the sample has rows
     sets: dict[tuple[int, ...], int] = {}
@@ -215,14 +236,14 @@ def fit(sequences: list[tuple[list[list[str]], list[int]]], rounds: int = ROUNDS
     live = np.zeros((n, length), bool)
     for a, (feats, labels) in enumerate(sequences):
         for k, own in enumerate(feats):
-            ids[a, k] = sets.setdefault(tuple(names[f] for f in own), len(sets))
+            ids[a, k] = sets.setdefault((bool(own), *(names[f] for f in own if f in names)), len(sets))
         gold[a, :len(labels)] = labels
         live[a, :len(labels)] = True
     has = np.zeros((len(sets), len(names)))
     for own, k in sets.items():
-        has[k, list(own)] = 1.0
+        has[k, list(own[1:])] = 1.0
     only_o = np.zeros((len(sets), 3))
-    only_o[[k for own, k in sets.items() if not own], 1:] = NEVER
+    only_o[[k for own, k in sets.items() if not own[0]], 1:] = NEVER
     unary, steps = np.zeros((len(names), 3)), np.zeros((3, 3))
     seen_u, seen_s = np.full_like(unary, 1e-8), np.full_like(steps, 1e-8)
     true = np.eye(3)[gold] * live[:, :, None]
@@ -266,8 +287,8 @@ def _cut(text: str, a: int, b: int) -> tuple[int, int]:
     return lo, hi
 
 
-def windows(text: str) -> list[tuple[str, str, list[int]]]:
-    """At most one window of each sort: (sort, window, base spans within it as start, end, ...)."""
+def windows(text: str) -> list[tuple[str, str, list[int], str]]:
+    """At most one window of each sort: (sort, window, base spans within it as start, end, ..., the text's file feature)."""
     signals = Signals(text)
     out, spans = [], base_spans(text, signals)
     if spans:
@@ -284,7 +305,8 @@ def windows(text: str) -> list[tuple[str, str, list[int]]]:
         mid = len(text) // 2
         lo, hi = _cut(text, mid, mid)
         out.append(("plain", text[lo:hi], []))
-    return out
+    file = file_feature(text)
+    return [(*w, file) for w in out]
 
 
 def training_windows(docs: DataFrame, doc_id: str, text: str, sample: int = SAMPLE) -> list:
@@ -296,12 +318,13 @@ def training_windows(docs: DataFrame, doc_id: str, text: str, sample: int = SAMP
             made = [w for t in batch.column(0).to_pylist() if t for w in windows(t)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w[0] for w in made], pa.string()), pa.array([w[1] for w in made], pa.string()),
-                 pa.array([w[2] for w in made], pa.list_(pa.int32()))], ["sort", "part", "spans"])
+                 pa.array([w[2] for w in made], pa.list_(pa.int32())), pa.array([w[3] for w in made], pa.string())],
+                ["sort", "part", "spans", "file"])
 
-    made = rows.mapInArrow(run, "sort string, part string, spans array<int>").withColumn("group", F.spark_partition_id() % GROUPS)
+    made = rows.mapInArrow(run, "sort string, part string, spans array<int>, file string").withColumn("group", F.spark_partition_id() % GROUPS)
 
     def first(frame: DataFrame, *keys: str) -> DataFrame:
-        order = W.partitionBy(*keys).orderBy(F.xxhash64("part"), "part")
+        order = W.partitionBy(*keys).orderBy(F.xxhash64("part"), "part", "file")
         return frame.withColumn("k", F.row_number().over(order)).where(F.col("k") <= sample)
 
     # each task keeps its first rows of a sort before anything moves; tasks meet by groups,
@@ -315,43 +338,71 @@ _ALPHABETS = ("0123456789abcdef", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxy
               "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/")
 
 
+def labels_of(text: str, spots: list, spans: list[tuple[int, int]]) -> list[int]:
+    """A label for each token. Of a span the keyword and signs before the value stay O; the value's first
+    token is B, every further one I, up to one that can only be O."""
+    tokens = [m[0] for m in spots]
+    live = {k for lo, hi in live_runs(tokens) for k in range(lo, hi)}
+    labels = [O] * len(spots)
+    for a, b in spans:
+        began = False
+        for k in range(bisect_left(spots, a, key=lambda m: m.start()), len(spots)):
+            if spots[k].end() > b or began and k not in live:
+                break
+            if began:
+                labels[k] = I
+            elif is_active(tokens[k]) and len(tokens[k]) > 5:
+                labels[k], began = B, True
+    return labels
+
+
 def _labelled(text: str, spans: list[tuple[int, int]], feats: Features, file: str):
-    """Features and labels of each run; of a span, the keyword and signs before the value stay O."""
+    """Features and labels of each run."""
     spots = list(TOKEN.finditer(text))
     tokens = [m[0] for m in spots]
-    labels, inside = [], False
-    for m in spots:
-        hit = any(a <= m.start() and m.end() <= b for a, b in spans) and is_active(m[0]) and len(m[0]) > 5
-        labels.append(I if hit and inside else B if hit else O)
-        inside = hit
-    own = feats.of(tokens, file)
+    labels, own = labels_of(text, spots, spans), feats.of(tokens, file)
     for lo, hi in live_runs(tokens):
         a, b = max(0, lo - 1), min(len(tokens), hi + 1)
         yield own[a:b], labels[a:b]
 
 
+def _value(rng: random.Random) -> str:
+    """A made-up secret, of one token or of several with a sign between them."""
+    parts = 1 if rng.random() < 0.6 else rng.randrange(2, 4)
+    alphabet, sign = rng.choice(_ALPHABETS), rng.choice("=:~%$")
+    while True:
+        made = ["".join(rng.choices(alphabet, k=rng.randrange(14, 44) if parts == 1 else rng.randrange(6, 16))) for _ in range(parts)]
+        if parts == 1 or all(is_active(p) and TOKEN.fullmatch(p) for p in made):
+            return sign.join(made)
+
+
+def _harmless(rng: random.Random) -> str:
+    """Something with digits that is no secret: an address, a name with a number, a version."""
+    word = lambda: "".join(rng.choices("abcdefghilmnoprstu", k=rng.randrange(3, 9)))
+    n = rng.randrange(10 ** rng.randrange(1, 5))
+    return rng.choice((f"{word()}{n}@{word()}.{word()[:3]}", f"{word()}.{n}@{word()}{n % 10}.{word()[:3]}", f"{word()}{n}", f"{word()}-{n}", f"v{n % 10}.{n % 7}"))
+
+
 def training_sequences(rows: list, seed: int = 7) -> list:
     rng, feats, out = random.Random(seed), Features(), []
     for r in rows:
-        part, spans = r["part"], list(zip(r["spans"][::2], r["spans"][1::2]))
+        part, spans, file = r["part"], list(zip(r["spans"][::2], r["spans"][1::2])), r["file"]
         if not TOKEN.search(part):
             continue
-        file = file_feature(part) if not spans else f"file:{rng.randrange(4)}"
-        if r["sort"] != "secret":
-            file = f"file:{rng.randrange(4)}"
         out.extend(_labelled(part, spans, feats, file))
         if spans:
             a, b = spans[0]
             for _ in range(VARIANTS):
-                value = "".join(rng.choices(rng.choice(_ALPHABETS), k=rng.randrange(14, 44)))
+                value = _value(rng)
                 wording = rng.choice(_WORDS) + rng.choice(_SIGNS)
                 at = a + len(wording.split("{}")[0])
                 text = part[:a] + wording.format(value) + part[b:]
-                out.extend(_labelled(text, [(at, at + len(value))], feats, f"file:{rng.randrange(4)}"))
+                out.extend(_labelled(text, [(at, at + len(value))], feats, file))
         elif r["sort"] == "plain":
             cut = part.find(" ", len(part) // 2)
             if cut > 0:
                 out.extend(_labelled(part[:cut] + " " + rng.choice(_WORDS) + rng.choice(("", ":", " =")) + part[cut:], [], feats, file))
+                out.extend(_labelled(part[:cut] + " " + _harmless(rng) + part[cut:], [], feats, file))
     return [s for s in out if s[0]]
 
 
@@ -393,7 +444,7 @@ def live_runs(tokens: list[str]) -> list[tuple[int, int]]:
     """Runs of tokens that may be other than O, as first and past-last positions."""
     runs, keyword = [], -99
     for k, t in enumerate(tokens):
-        if is_active(t) or k - keyword <= NEAR:
+        if is_active(t) or k - keyword <= NEAR or is_joint(tokens, k):
             if runs and runs[-1][1] == k:
                 runs[-1][1] = k + 1
             else:
