@@ -124,7 +124,9 @@ def test_no_cartesian_or_nested_loop_when_broadcast_is_off(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_comparison_splits_null_keys_from_one_full_outer_join(spark):
-    """One full outer join for whole keys; null keys in the skew-splittable form."""
+def test_comparison_is_one_full_outer_join_over_sliced_keys(spark):
+    """One full outer join; keys with many rows, whole or null, are dealt into slices by a broadcast list."""
     plan = _plan(library()["order_compare"](spark, SMALL))
-    assert plan.count("FullOuter") == 1 and "LeftAnti" in plan
+    assert plan.count("FullOuter") == 1 and "CartesianProduct" not in plan
+    join = next(line for line in plan.splitlines() if "FullOuter" in line)
+    assert "__li" in join and "__rj" in join and "TakeOrderedAndProject" in plan
