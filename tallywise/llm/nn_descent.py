@@ -4,9 +4,10 @@ Equal vectors are one node. The neighbour graph starts from exact comparison
 within blocks of vectors that share a random-hyperplane code (``TABLES``
 codes), and is improved by rounds of NN-descent: each node's pool holds itself, its
 neighbours and the nodes that have it as a neighbour, gathered by Spark joins;
-within a pool everything is compared with everything (neighbours of
-neighbours), and what beats a member's worst neighbour is sent to that member.
-Rounds go on until less than ``CHANGED`` of all neighbours are new.
+within a pool members are compared with each other (neighbours of
+neighbours) where one of the two came in by an edge that is new since the round before, and
+what beats a member's worst neighbour is sent to that member. Pools without a new edge are
+left out. Rounds go on until less than ``CHANGED`` of all neighbours are new.
 Pools and blocks are compared in pieces of ``PIECE`` members, and those of hubs
 are dealt to several tasks, so a hot vector's pool is no unit of work.
 
@@ -14,9 +15,11 @@ A query (a row of the table, or any vector) searches greedily: a beam of the
 nearest nodes found; all nodes of the beam not yet expanded are
 expanded (their neighbours, either way), until none is left. The beam has
 ``BEAM`` nodes at first. ``PROBES`` queries are also compared with every node, and
-while they find less than ``RECALL`` of their true neighbours, the beam is doubled.
-Queries go in blocks of ``QUERIES``, fewer as the beam grows; what is broadcast is
-bounded by ``QUERIES`` x ``BEAM``, and ``PROBES`` x the beam.
+while they find less than ``RECALL`` of their true neighbours, the beam is doubled; what
+they found is logged. Rows with equal vectors share one search.
+All queries of a block take a step together, by shuffle joins with the edges and the vectors.
+A block has ``QUERIES`` queries or a ``PART``-th of the nodes, so the number of
+blocks, each reading the graph once a step, does not grow with the table; blocks are smaller as the beam grows.
 The ``RERANK`` best of each beam are scored again in double precision on the original
 vectors, copies are put back, and the nearest are returned.
 
@@ -26,11 +29,14 @@ The index is fitted on every row.
 Defined cases: vectors that are null, of another length than most, zero, or hold null or
 non-finite components take no part, as queries or candidates; fewer candidates
 than asked for are all returned; ties go to the smaller id; rows with equal ids
-and vectors count once; an empty table gives an empty result.
+and vectors count once; rows with equal ids and other vectors are rows of their own, each a query with its own ranks
+and a candidate of the other; further columns are not read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -48,11 +54,14 @@ SENT = 16             # candidates that a pool sends to a member
 BEAM = 256            # to begin with
 PROBES = 128
 RECALL = 0.95         # of the probes' true neighbours that must be found
-QUERIES = 4096
+QUERIES = 2048        # of a block, at least
+PART = 1024           # or this part of the nodes
 RERANK = 24
 HUB = 4096            # members from which a pool is dealt to several tasks
 SEED = 11
 
+log = logging.getLogger(__name__)
+
 
 def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
     """vec_id and vec (array<double>) of the rows that take part."""
@@ -107,32 +116,37 @@ def codes(packed: DataFrame, bits: int) -> DataFrame:
                 planes = np.random.default_rng([SEED, t]).standard_normal((vec.shape[1], max(bits, 1)))
                 code = ((vec @ planes > 0) @ (1 << np.arange(max(bits, 1)))) if bits else np.zeros(len(vec), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64) * TABLES + t, pa.int64()), b.column("id"),
-                                                  b.column("packed"), pa.array(np.full(len(vec), -9.0, np.float32))],
-                                                 ["pool", "id", "packed", "least"])
+                                                  b.column("packed"), pa.array(np.full(len(vec), -9.0, np.float32)),
+                                                  pa.array(np.ones(len(vec), bool))],
+                                                 ["pool", "id", "packed", "least", "new"])
 
-    return packed.mapInArrow(run, "pool long, id long, packed binary, least float")
+    return packed.mapInArrow(run, "pool long, id long, packed binary, least float, new boolean")
 
 
-def compare_pools(pools: DataFrame, keep: int) -> DataFrame:
+def compare_pools(members: DataFrame, sizes: DataFrame, keep: int) -> DataFrame:
     """id, cands, sims: what each pool sends to its members.
 
-    ``pools`` has pool, id, packed, least. Hot pools are dealt by a salt."""
-    counts = pools.groupBy("pool").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HUB)
-    hubs = counts.select(F.col("pool").alias("h_pool"), F.ceil(F.col("n") / HUB).cast("int").alias("salts"))
-    salted = (pools.join(hubs, F.col("pool") == F.col("h_pool"), "left")
+    ``members`` has pool, id, packed, least and new, ``sizes`` the members (n) of each pool. Hot pools are dealt by a salt."""
+    hubs = sizes.where(F.col("n") > HUB).select(F.col("pool").alias("h_pool"), F.ceil(F.col("n") / HUB).cast("int").alias("salts"))
+    salted = (members.join(hubs, F.col("pool") == F.col("h_pool"), "left")
               .withColumn("salt", F.pmod(F.xxhash64("id", F.lit(SEED)), F.coalesce("salts", F.lit(1))).cast("int")))
-    ordered = (salted.select("pool", "salt", "id", "packed", "least").repartition("pool", "salt")
+    ordered = (salted.select("pool", "salt", "id", "packed", "least", "new").repartition("pool", "salt")
                .sortWithinPartitions("pool", "salt"))
     return ordered.mapInArrow(lambda b: _compare(b, keep), "id long, cands array<long>, sims array<float>")
 
 
-def _send(ids: np.ndarray, vec: np.ndarray, least: np.ndarray, keep: int):
-    """Per member its best others in the piece that beat its worst neighbour."""
-    ids, first = np.unique(ids, return_index=True)
-    vec, least = vec[first], least[first]
-    if len(ids) < 2:
+def _send(ids: np.ndarray, vec: np.ndarray, least: np.ndarray, new: np.ndarray, keep: int):
+    """Per member its best others in the piece that beat its worst neighbour; one of each pair is new."""
+    order = np.lexsort((~new, ids))  # who is in twice, over either edge, is new if one edge is
+    ids, first = np.unique(ids[order], return_index=True)
+    first = order[first]
+    vec, least, new = vec[first], least[first], new[first]
+    if len(ids) < 2 or not new.any():
         return
     sims = vec @ vec.T
+    if not new.all():
+        old = np.flatnonzero(~new)
+        sims[np.ix_(old, old)] = -9.0
     np.fill_diagonal(sims, -9.0)
     k = min(keep, len(ids) - 1)
     best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
@@ -143,14 +157,14 @@ def _send(ids: np.ndarray, vec: np.ndarray, least: np.ndarray, keep: int):
 
 
 def _compare(batches, keep: int):
-    held: list = []   # parts of one pool: (ids, vec, least)
+    held: list = []   # parts of one pool: (ids, vec, least, new)
     size, last = 0, None
 
     def flush():
         nonlocal held, size
         if not held:
             return
-        parts = [np.concatenate([h[k] for h in held]) for k in range(3)]
+        parts = [np.concatenate([h[k] for h in held]) for k in range(4)]
         held, size = [], 0
         for at in range(0, len(parts[0]), PIECE):
             yield from _send(*(p[at:at + PIECE] for p in parts), keep)
@@ -164,25 +178,26 @@ def _compare(batches, keep: int):
             continue
         pool, salt = b.column("pool").to_numpy(), b.column("salt").to_numpy()
         ids, vec, least = b.column("id").to_numpy(), unpack(b.column("packed")), b.column("least").to_numpy()
+        new = b.column("new").to_numpy(zero_copy_only=False).astype(bool)
         cuts = np.flatnonzero((np.diff(pool) != 0) | (np.diff(salt) != 0)) + 1
         out = []
         for a, z in zip(np.r_[0, cuts], np.r_[cuts, len(pool)]):
             if (pool[a], salt[a]) != last or size >= PIECE:
                 out += flush()
                 last = (pool[a], salt[a])
-            held.append((ids[a:z].copy(), vec[a:z].copy(), least[a:z].copy()))
+            held.append((ids[a:z].copy(), vec[a:z].copy(), least[a:z].copy(), new[a:z].copy()))
             size += z - a
         yield batch_of(out)
     yield batch_of(list(flush()))
 
 
 def merge(graph: DataFrame, sent: DataFrame) -> DataFrame:
-    """The graph (id, packed, nbrs, sims) with each node's best of old and sent neighbours, and how many are new."""
+    """The graph (id, packed, nbrs, sims) with each node's best of old and sent neighbours, which are new, and how many."""
     none = F.lit(None).cast("binary")
     rows = (graph.select("id", "packed", "nbrs", "sims")
             .unionByName(sent.select("id", none.alias("packed"), F.col("cands").alias("nbrs"), "sims"))
             .repartition("id").sortWithinPartitions("id"))
-    return rows.mapInArrow(_merge, "id long, packed binary, nbrs array<long>, sims array<float>, changed int")
+    return rows.mapInArrow(_merge, "id long, packed binary, nbrs array<long>, sims array<float>, new array<boolean>, changed int")
 
 
 def _best(nbrs: list, sims: list) -> tuple[np.ndarray, np.ndarray]:
@@ -199,14 +214,15 @@ def _merge(batches):
 
     def whole():
         n, s = _best(nbrs, sims)
-        return node, packed, n, s, len(n) - len(np.intersect1d(n, old, assume_unique=True))
+        new = ~np.isin(n, old)
+        return node, packed, n, s, new, int(new.sum())
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
              pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.float32())),
-             pa.array([r[4] for r in rows], pa.int32())],
-            ["id", "packed", "nbrs", "sims", "changed"])
+             pa.array([r[4] for r in rows], pa.list_(pa.bool_())), pa.array([r[5] for r in rows], pa.int32())],
+            ["id", "packed", "nbrs", "sims", "new", "changed"])
 
     for b in batches:
         out = []
@@ -232,107 +248,102 @@ def _merge(batches):
 
 
 def descend(graph: DataFrame) -> DataFrame:
-    """One round: pools of neighbours of either direction, compared and merged."""
+    """One round: pools of neighbours of either direction that hold a new edge, compared and merged."""
     full = F.when(F.size("sims") >= NEIGHBOURS, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
-    members = graph.select("id", "packed", full.alias("least"), "nbrs")
-    own = members.select(F.col("id").alias("pool"), "id", "packed", "least")
-    back = members.select(F.explode("nbrs").alias("pool"), "id", "packed", "least")
-    edges = graph.select(F.col("id").alias("pool"), F.explode("nbrs").alias("to"))
-    ahead = edges.join(members.select("id", "packed", "least"), F.col("to") == F.col("id")).select("pool", "id", "packed", "least")
-    return stage(merge(graph, compare_pools(own.unionByName(back).unionByName(ahead), SENT)), "graph")
+    edges = graph.select("id", F.explode(F.arrays_zip("nbrs", "new")).alias("x")).select("id", F.col("x.nbrs").alias("to"), F.col("x.new").alias("new"))
+    ahead = edges.select(F.col("id").alias("pool"), F.col("to").alias("id"), "new")
+    back = edges.select(F.col("to").alias("pool"), "id", "new")
+    own = graph.select(F.col("id").alias("pool"), "id", F.lit(False).alias("new"))
+    roster = own.unionByName(ahead).unionByName(back)
+    sizes = stage(roster.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("any_new")).where("any_new").drop("any_new"), "pools")
+    members = (roster.join(sizes.select("pool"), "pool", "left_semi")
+               .join(graph.select("id", "packed", full.alias("least")), "id"))
+    return stage(merge(graph, compare_pools(members, sizes, SENT)), "graph")
+
+
+def forget(df: DataFrame) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps that are written: it works when the JVM collects garbage."""
+    df.sparkSession.sparkContext._jvm.System.gc()
 
 
 def build_graph(nodes: DataFrame) -> DataFrame:
-    """id, packed, nbrs, sims of every node."""
+    """id, packed, nbrs, sims of every node, and which neighbours the last round found."""
     packed = stage(packed_nodes(nodes), "packed")
     bits = max(0, int(np.floor(np.log2(max(1, packed.count() / BLOCK)))))
     empty = packed.select("id", "packed", F.array().cast("array<bigint>").alias("nbrs"), F.array().cast("array<float>").alias("sims"))
-    graph = stage(merge(empty, compare_pools(codes(packed, bits), NEIGHBOURS)), "graph")
+    blocks = codes(packed, bits)
+    graph = stage(merge(empty, compare_pools(blocks, blocks.groupBy("pool").agg(F.count(F.lit(1)).alias("n")), NEIGHBOURS)), "graph")
     while True:  # ends: each node's neighbours only ever become nearer
         graph = descend(graph)
         changed, held = graph.agg(F.sum("changed"), F.sum(F.size("nbrs"))).first()
-        # lets Spark's cleaner remove the shuffle files of rounds that are written
-        graph.sparkSession.sparkContext._jvm.System.gc()
+        forget(graph)
         if not held or changed < CHANGED * held:
             return graph
 
 
 # ---------------------------------------------------------------- search
 
+BEAMS = "query long, q_packed binary, ids array<long>, sims array<float>, done array<boolean>"
+
+
 def _beam(batches, beam: int):
-    """Per query: the ``beam`` nearest of its beam and the newly scored, and which are expanded."""
-    names = ["query", "ids", "sims", "done"]
-    now, parts = None, []
+    """Per query the ``beam`` nearest of its beam (its first row) and the candidates (the others), and which are expanded."""
+    query, packed, asked, least, parts = None, None, None, -9.0, []
 
     def best():
         ids, sims, done = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        order = np.lexsort((~done, ids, -sims))
-        order = order[np.argsort(ids[order], kind="stable")]
+        order = np.lexsort((~done, ids))
         ids, sims, done = ids[order], sims[order], done[order]
-        first = np.r_[True, np.diff(ids) != 0] if len(ids) else np.zeros(0, bool)
-        flags = np.logical_or.reduceat(done, np.flatnonzero(first)) if len(ids) else done
-        ids, sims = ids[first], sims[first]
+        first = np.r_[True, np.diff(ids) != 0]  # who is in the beam already keeps its place there
+        ids, sims, done = ids[first], sims[first], done[first]
         top = np.lexsort((ids, -sims))[:beam]
-        return ids[top], sims[top], flags[top]
+        return query, packed, ids[top], sims[top], done[top]
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-             pa.array([r[2] for r in rows], pa.list_(pa.float32())), pa.array([r[3] for r in rows], pa.list_(pa.bool_()))], names)
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
+             pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.float32())),
+             pa.array([r[4] for r in rows], pa.list_(pa.bool_()))], ["query", "q_packed", "ids", "sims", "done"])
 
     for b in batches:
+        if not len(b):
+            continue
         out = []
-        queries = b.column("query").to_pylist()
-        cols = [b.column(c) for c in names[1:]]
-        at = cols[0].offsets.to_numpy()
-        ids, sims = cols[0].values.to_numpy(), cols[1].values.to_numpy()
-        done = cols[2].values.to_numpy(zero_copy_only=False)
-        for k, q in enumerate(queries):
-            if q != now:
+        queries, packs = b.column("query").to_numpy(), b.column("q_packed")
+        cuts = np.flatnonzero(np.diff(queries)) + 1
+        for a, z in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(queries)].tolist()):
+            if packs[a].is_valid:
                 if parts:
-                    out.append((now, *best()))
-                now, parts = q, []
-            parts.append((ids[at[k]:at[k + 1]], sims[at[k]:at[k + 1]], done[at[k]:at[k + 1]].astype(bool)))
+                    out.append(best())
+                query, packed, asked = int(queries[a]), packs[a].as_py(), unpack(packs.slice(a, 1))[0]
+                held = [np.array(b.column(c)[a].as_py(), t) for c, t in (("ids", np.int64), ("sims", np.float32), ("done", bool))]
+                least, parts = (held[1].min() if len(held[0]) >= beam else -9.0), [held]
+                a += 1
+            if a < z:
+                sims = np.einsum("ij,j->i", unpack(b.column("packed").slice(a, z - a)), asked).astype(np.float32)
+                good = sims > least  # only what may enter the beam
+                parts.append((b.column("cand").slice(a, z - a).to_numpy()[good], sims[good], np.zeros(good.sum(), bool)))
         yield batch_of(out)
     if parts:
-        yield batch_of([(now, *best())])
-
-
-def _score(batches):
-    """Similarity of each query and candidate; only what may enter the beam goes on."""
-    for b in batches:
-        if not len(b):
-            continue
-        sims = np.einsum("ij,ij->i", unpack(b.column("packed")), unpack(b.column("q_packed")))
-        good = np.flatnonzero(sims > b.column("least").to_numpy())
-        yield pa.RecordBatch.from_arrays([b.column("query").take(pa.array(good)), b.column("cand").take(pa.array(good)),
-                                          pa.array(sims[good].astype(np.float32))], ["query", "cand", "sim"])
+        yield batch_of([best()])
 
 
 def search(graph: DataFrame, edges: DataFrame, vectors: DataFrame, block: DataFrame, beam: int = BEAM) -> DataFrame:
     """Beams (query, ids, sims) for a block of queries (query, node, q_packed): ``node`` is where each starts."""
-    block = stage(block, "queries")
-    near = F.broadcast(block.select(F.col("query").alias("b_query"), "q_packed"))  # at most QUERIES rows
-    beams = stage(block.select("query", F.array("node").alias("ids"), F.array(F.lit(1.0).cast("float")).alias("sims"),
+    beams = stage(block.select("query", "q_packed", F.array("node").alias("ids"), F.array(F.lit(1.0).cast("float")).alias("sims"),
                                F.array(F.lit(False)).alias("done")), "beam")
     while True:  # a beam only improves, so at last it has nothing left to expand
-        least = F.when(F.size("sims") >= beam, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
-        # at most QUERIES x BEAM (or PROBES x beam) rows of three numbers
-        front = (beams.select("query", least.alias("least"), F.explode(F.arrays_zip("ids", "done")).alias("x"))
-                 .where("not x.done").select("query", "least", F.col("x.ids").alias("at")))
-        front = stage(front, "front")
+        front = (beams.select("query", F.explode(F.arrays_zip("ids", "done")).alias("x"))
+                 .where("not x.done").select("query", F.col("x.ids").alias("at")))
         if front.isEmpty():
-            break
-        pairs = edges.join(F.broadcast(front), F.col("from") == F.col("at")).select("query", "least", F.col("to").alias("cand"))
-        scored = (pairs.join(vectors, F.col("cand") == F.col("id")).join(near, F.col("query") == F.col("b_query"))
-                  .select("query", "least", "cand", "packed", "q_packed")
-                  .mapInArrow(_score, "query long, cand long, sim float"))
-        new = scored.groupBy("query", "cand").agg(F.max("sim").alias("sim"))
-        new = new.select("query", F.array("cand").alias("ids"), F.array("sim").alias("sims"), F.array(F.lit(False)).alias("done"))
-        old = beams.select("query", "ids", "sims", F.transform("ids", lambda i: F.lit(True)).alias("done"))
-        beams = stage(old.unionByName(new).repartition("query").sortWithinPartitions("query")
-                      .mapInArrow(lambda b: _beam(b, beam), "query long, ids array<long>, sims array<float>, done array<boolean>"), "beam")
-    return beams
+            return beams
+        near = front.join(edges, F.col("at") == F.col("from")).select("query", F.col("to").alias("cand")).distinct()
+        found = near.join(vectors, F.col("cand") == F.col("id")).select("query", "cand", "packed")
+        old = beams.withColumn("done", F.transform("ids", lambda i: F.lit(True)))
+        rows = (old.unionByName(found, allowMissingColumns=True)
+                .repartition("query").sortWithinPartitions("query", F.col("q_packed").isNull()))
+        beams = stage(rows.mapInArrow(lambda b: _beam(b, beam), BEAMS), "beam")
+        forget(beams)
 
 
 def true_neighbours(nodes: DataFrame, probes: DataFrame, k: int) -> dict[int, set[int]]:
@@ -400,8 +411,8 @@ def cosine(batches):
                 score = (a * c).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((c * c).sum(axis=1)))
         else:
             score = np.empty(0)
-        yield pa.RecordBatch.from_arrays([b.column("query_id"), b.column("node"), pa.array(score, pa.float64())],
-                                         ["query_id", "node", "score"])
+        yield pa.RecordBatch.from_arrays([b.column("query"), b.column("node"), pa.array(score, pa.float64())],
+                                         ["query", "node", "score"])
 
 
 def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5) -> DataFrame:
@@ -409,37 +420,44 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding
     rows = stage(usable(vectors, vec_id, vector).distinct(), "vectors")
     # the copies that a result can hold: the k + 1 smallest ids of each vector, pre-selected in every task
     copies = stage(rows.withColumn("copy", F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))).where(F.col("copy") <= k + 1), "copies")
-    nodes = stage(copies.where("copy = 1").select(F.col("vec_id").alias("id"), "vec"), "nodes")
+    nodes = stage(copies.where("copy = 1").select(F.monotonically_increasing_id().alias("id"), "vec"), "nodes")
+    by_vector = nodes.select(F.col("id").alias("node"), F.col("vec").alias("n_vec"))
     graph = build_graph(nodes)
     forward = graph.select(F.col("id").alias("from"), F.explode("nbrs").alias("to"))
     edges = stage(forward.union(forward.select("to", "from")).distinct(), "edges")
     packed = graph.select("id", "packed")
-    asked = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query"), "vec")
-    asked = (asked.join(nodes.withColumnRenamed("vec", "n_vec"), F.col("vec") == F.col("n_vec"))
-             .select("query", F.col("id").alias("node")))
-    asked = stage(asked.join(packed, F.col("node") == F.col("id")).select("query", "node", F.col("packed").alias("q_packed")), "asked")
-    number = asked.count()
+    query_rows = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "vec")
+    query_rows = stage(query_rows.join(by_vector, F.col("vec") == F.col("n_vec")).select("query_id", "node"), "query_rows")
+    asked = query_rows.select("node").distinct().join(packed, F.col("node") == F.col("id"))
+    asked = stage(asked.select(F.col("node").alias("query"), "node", F.col("packed").alias("q_packed")), "asked")
+    number, total = asked.count(), graph.count()
 
     def part(n: int, blocks: int) -> DataFrame:
         return asked.where(F.pmod(F.xxhash64("query", F.lit(SEED)), F.lit(blocks)) == n)
 
-    blocks = max(1, -(-number // (QUERIES // 2)))  # hashed, so a block stays below QUERIES
+    blocks = max(1, -(-number // max(QUERIES, total // PART)))
     probes = stage(part(0, blocks).orderBy(F.xxhash64("query", F.lit(SEED + 1)), "query").limit(PROBES), "probes")
     truth = true_neighbours(nodes, probes.join(nodes.withColumnRenamed("vec", "q_vec"), F.col("node") == F.col("id")), k)
     found = search(graph, edges, packed, part(0, blocks), BEAM)  # holds the probes
-    beam = fitted_beam(graph.count(), probe_recall(found, truth), lambda size: probe_recall(search(graph, edges, packed, probes, size), truth))
+    recall = probe_recall(found, truth)
+    log.info("%d nodes, beam %d: probe recall %.4f", total, BEAM, recall)
+    beam = fitted_beam(total, recall, lambda size: probe_recall(search(graph, edges, packed, probes, size), truth))
     if beam > BEAM:
-        blocks, found = max(1, -(-number * beam // (QUERIES // 2 * BEAM))), None
+        log.info("beam %d", beam)
+        blocks, found = max(1, -(-number * beam // (max(QUERIES, total // PART) * BEAM))), None
     for n in range(0 if found is None else 1, blocks):
         more = search(graph, edges, packed, part(n, blocks), beam)
         found = more if found is None else found.unionByName(more)
     top = found.select("query", F.explode(F.slice("ids", 1, RERANK)).alias("node"))
-    q = rows.select(F.col("vec_id").alias("query"), F.col("vec").alias("q_vec"))
-    pairs = (top.join(q, "query").join(nodes, F.col("node") == F.col("id"))
-             .select(F.col("query").alias("query_id"), "node", "q_vec", "vec"))
-    scored = pairs.mapInArrow(cosine, "query_id long, node long, score double")
-    each = copies.select("vec_id", "vec").join(nodes.withColumnRenamed("vec", "n_vec"), F.col("vec") == F.col("n_vec")).select("vec_id", "id")
-    ranked = (scored.join(each, F.col("node") == F.col("id")).where(F.col("vec_id") != F.col("query_id"))
-              .withColumn("rank", F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
-              .where(F.col("rank") <= k))
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    pairs = (top.join(nodes.select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec")), F.col("query") == F.col("q_id"))
+             .join(nodes, F.col("node") == F.col("id")).select("query", "node", "q_vec", "vec"))
+    scored = pairs.mapInArrow(cosine, "query long, node long, score double")
+    each = copies.select("vec_id", "vec").join(by_vector, F.col("vec") == F.col("n_vec")).select("vec_id", F.col("node").alias("of"))
+    # one more than asked for, since a query's own row is among them
+    order = W.partitionBy("query").orderBy(F.desc("score"), "vec_id", "node")
+    best = (scored.join(each, F.col("node") == F.col("of")).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k + 1)
+            .groupBy("query").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "node", "score"))).alias("best")))
+    others = F.filter("best", lambda x: (x["vec_id"] != F.col("query_id")) | (x["node"] != F.col("node")))
+    ranked = (query_rows.join(best, F.col("node") == F.col("query"))
+              .select("query_id", F.posexplode(F.slice(others, 1, k)).alias("at", "x")))
+    return ranked.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score"))

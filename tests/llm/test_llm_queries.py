@@ -720,6 +720,28 @@ def test_nearest_edge(spark):
     assert nn_descent.nearest(frame.limit(0)).count() == 0
 
 
+def test_nearest_repeated_ids(spark):
+    """Rows with one id and other vectors are queries of their own and candidates of each other; further columns are not read."""
+    data = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0]), (50, [1.0, 0.0])]
+    frame = spark.createDataFrame([(*d, "x", 1) for d in data], "vec_id long, embedding array<double>, query string, node int")
+    got = defaultdict(list)
+    for r in nn_descent.nearest(frame).collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], round(r["score"], 9)))
+    far, near = round(0.1 / math.sqrt(1.01), 9), round(1 / math.sqrt(1.01), 9)
+    assert sorted(got[0]) == sorted([(1, 50, 1.0), (2, 1, near), (3, 2, far), (4, 0, 0.0),
+                                     (1, 2, near), (2, 1, far), (3, 0, 0.0), (4, 50, 0.0)])
+    assert sorted(got[50]) == [(1, 0, 1.0), (2, 1, near), (3, 2, far), (4, 0, 0.0)]
+
+
+def test_graph_compares_only_pairs_with_a_new_member():
+    vec = np.eye(3, dtype=np.float32)[[0, 0, 0]] + np.array([[0, 0, 0], [0, .1, 0], [0, 0, .1]], np.float32)
+    sent = lambda new: {i: set(c.tolist()) for i, c, _ in
+                        nn_descent._send(np.array([7, 8, 9]), vec, np.full(3, -9.0, np.float32), np.array(new), 16)}
+    assert sent([True, True, True]) == {7: {8, 9}, 8: {7, 9}, 9: {7, 8}}
+    assert sent([False, False, True]) == {7: {9}, 8: {9}, 9: {7, 8}}
+    assert sent([False, False, False]) == {}
+
+
 # ------------------------------------------------------------- pipeline
 
 def test_pipeline(spark, rows):
