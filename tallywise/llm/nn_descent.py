@@ -283,12 +283,23 @@ def build_graph(nodes: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- search
 
-BEAMS = "query long, q_packed binary, ids array<long>, sims array<float>, done array<boolean>"
+def _score(batches):
+    """Similarity of each query and candidate; only what may enter the beam goes on."""
+    for b in batches:
+        if not len(b):
+            continue
+        sims = np.einsum("ij,ij->i", unpack(b.column("packed")), unpack(b.column("q_packed")))
+        good = np.flatnonzero(sims > b.column("least").to_numpy())
+        yield pa.RecordBatch.from_arrays([b.column("query").take(pa.array(good)), b.column("cand").take(pa.array(good)),
+                                          pa.array(sims[good].astype(np.float32))], ["query", "cand", "sim"])
+
+
+BEAMS = "query long, ids array<long>, sims array<float>, done array<boolean>"
 
 
 def _beam(batches, beam: int):
-    """Per query the ``beam`` nearest of its beam (its first row) and the candidates (the others), and which are expanded."""
-    query, packed, asked, least, parts = None, None, None, -9.0, []
+    """Per query the ``beam`` nearest of its beam (its first row) and the scored (the others), and which are expanded."""
+    query, parts = None, []
 
     def best():
         ids, sims, done = (np.concatenate([p[k] for p in parts]) for k in range(3))
@@ -297,32 +308,29 @@ def _beam(batches, beam: int):
         first = np.r_[True, np.diff(ids) != 0]  # who is in the beam already keeps its place there
         ids, sims, done = ids[first], sims[first], done[first]
         top = np.lexsort((ids, -sims))[:beam]
-        return query, packed, ids[top], sims[top], done[top]
+        return query, ids[top], sims[top], done[top]
 
     def batch_of(rows):
         return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-             pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.float32())),
-             pa.array([r[4] for r in rows], pa.list_(pa.bool_()))], ["query", "q_packed", "ids", "sims", "done"])
+            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
+             pa.array([r[2] for r in rows], pa.list_(pa.float32())), pa.array([r[3] for r in rows], pa.list_(pa.bool_()))],
+            ["query", "ids", "sims", "done"])
 
     for b in batches:
         if not len(b):
             continue
         out = []
-        queries, packs = b.column("query").to_numpy(), b.column("q_packed")
+        queries = b.column("query").to_numpy()
         cuts = np.flatnonzero(np.diff(queries)) + 1
         for a, z in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(queries)].tolist()):
-            if packs[a].is_valid:
+            if not b.column("cand")[a].is_valid:
                 if parts:
                     out.append(best())
-                query, packed, asked = int(queries[a]), packs[a].as_py(), unpack(packs.slice(a, 1))[0]
-                held = [np.array(b.column(c)[a].as_py(), t) for c, t in (("ids", np.int64), ("sims", np.float32), ("done", bool))]
-                least, parts = (held[1].min() if len(held[0]) >= beam else -9.0), [held]
+                query = int(queries[a])
+                parts = [[np.array(b.column(c)[a].as_py(), t) for c, t in (("ids", np.int64), ("sims", np.float32), ("done", bool))]]
                 a += 1
             if a < z:
-                sims = np.einsum("ij,j->i", unpack(b.column("packed").slice(a, z - a)), asked).astype(np.float32)
-                good = sims > least  # only what may enter the beam
-                parts.append((b.column("cand").slice(a, z - a).to_numpy()[good], sims[good], np.zeros(good.sum(), bool)))
+                parts.append((b.column("cand").slice(a, z - a).to_numpy(), b.column("sim").slice(a, z - a).to_numpy(), np.zeros(z - a, bool)))
         yield batch_of(out)
     if parts:
         yield batch_of([best()])
@@ -330,18 +338,24 @@ def _beam(batches, beam: int):
 
 def search(graph: DataFrame, edges: DataFrame, vectors: DataFrame, block: DataFrame, beam: int = BEAM) -> DataFrame:
     """Beams (query, ids, sims) for a block of queries (query, node, q_packed): ``node`` is where each starts."""
-    beams = stage(block.select("query", "q_packed", F.array("node").alias("ids"), F.array(F.lit(1.0).cast("float")).alias("sims"),
+    block = stage(block, "queries")
+    asked = block.select(F.col("query").alias("b_query"), "q_packed")
+    beams = stage(block.select("query", F.array("node").alias("ids"), F.array(F.lit(1.0).cast("float")).alias("sims"),
                                F.array(F.lit(False)).alias("done")), "beam")
     while True:  # a beam only improves, so at last it has nothing left to expand
-        front = (beams.select("query", F.explode(F.arrays_zip("ids", "done")).alias("x"))
-                 .where("not x.done").select("query", F.col("x.ids").alias("at")))
+        least = F.when(F.size("sims") >= beam, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
+        front = (beams.select("query", least.alias("least"), F.explode(F.arrays_zip("ids", "done")).alias("x"))
+                 .where("not x.done").select("query", "least", F.col("x.ids").alias("at")))
         if front.isEmpty():
             return beams
-        near = front.join(edges, F.col("at") == F.col("from")).select("query", F.col("to").alias("cand")).distinct()
-        found = near.join(vectors, F.col("cand") == F.col("id")).select("query", "cand", "packed")
+        near = front.join(edges, F.col("at") == F.col("from")).select("query", "least", F.col("to").alias("cand")).distinct()
+        # ids of vectors are unique, so a hash table of a partition of them is no larger than others; Spark broadcasts
+        # the queries where they are few
+        scored = (near.join(vectors.hint("shuffle_hash"), F.col("cand") == F.col("id")).join(asked, F.col("query") == F.col("b_query"))
+                  .select("query", "least", "cand", "packed", "q_packed").mapInArrow(_score, "query long, cand long, sim float"))
         old = beams.withColumn("done", F.transform("ids", lambda i: F.lit(True)))
-        rows = (old.unionByName(found, allowMissingColumns=True)
-                .repartition("query").sortWithinPartitions("query", F.col("q_packed").isNull()))
+        rows = (old.unionByName(scored, allowMissingColumns=True)
+                .repartition("query").sortWithinPartitions("query", F.col("cand").isNotNull()))
         beams = stage(rows.mapInArrow(lambda b: _beam(b, beam), BEAMS), "beam")
         forget(beams)
 
