@@ -136,13 +136,15 @@ def compare_pools(members: DataFrame, sizes: DataFrame, keep: int) -> DataFrame:
 
 
 def _send(ids: np.ndarray, vec: np.ndarray, least: np.ndarray, new: np.ndarray, keep: int):
-    """Per member its best others in the piece that beat its worst neighbour; one of each pair is new."""
+    """Per member its best others in the piece that beat its worst neighbour; one of each pair is new.
+
+    Returned are members, how many others each gets, and all these others and similarities in order."""
     order = np.lexsort((~new, ids))  # who is in twice, over either edge, is new if one edge is
     ids, first = np.unique(ids[order], return_index=True)
     first = order[first]
     vec, least, new = vec[first], least[first], new[first]
     if len(ids) < 2 or not new.any():
-        return
+        return ids[:0], ids[:0], ids[:0], least[:0]
     sims = vec @ vec.T
     if not new.all():
         old = np.flatnonzero(~new)
@@ -152,8 +154,8 @@ def _send(ids: np.ndarray, vec: np.ndarray, least: np.ndarray, new: np.ndarray,
     best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
     got = np.take_along_axis(sims, best, 1)
     good = got > least[:, None]
-    for i in np.flatnonzero(good.any(axis=1)):
-        yield int(ids[i]), ids[best[i][good[i]]], got[i][good[i]]
+    counts = good.sum(axis=1)
+    return ids[counts > 0], counts[counts > 0], ids[best[good]], got[good]
 
 
 def _compare(batches, keep: int):
@@ -167,11 +169,14 @@ def _compare(batches, keep: int):
         parts = [np.concatenate([h[k] for h in held]) for k in range(4)]
         held, size = [], 0
         for at in range(0, len(parts[0]), PIECE):
-            yield from _send(*(p[at:at + PIECE] for p in parts), keep)
-
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                                           pa.array([r[2] for r in rows], pa.list_(pa.float32()))], ["id", "cands", "sims"])
+            yield _send(*(p[at:at + PIECE] for p in parts), keep)
+
+    def batch_of(sent):
+        ids, counts, cands = (np.concatenate([np.empty(0, np.int64), *(x[k] for x in sent)]) for k in range(3))
+        sims = np.concatenate([np.empty(0, np.float32), *(x[3] for x in sent)])
+        ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(ends, pa.array(cands)),
+                                           pa.ListArray.from_arrays(ends, pa.array(sims))], ["id", "cands", "sims"])
 
     for b in batches:
         if not len(b):

@@ -735,8 +735,11 @@ def test_nearest_repeated_ids(spark):
 
 def test_graph_compares_only_pairs_with_a_new_member():
     vec = np.eye(3, dtype=np.float32)[[0, 0, 0]] + np.array([[0, 0, 0], [0, .1, 0], [0, 0, .1]], np.float32)
-    sent = lambda new: {i: set(c.tolist()) for i, c, _ in
-                        nn_descent._send(np.array([7, 8, 9]), vec, np.full(3, -9.0, np.float32), np.array(new), 16)}
+
+    def sent(new):
+        ids, counts, cands, _ = nn_descent._send(np.array([7, 8, 9]), vec, np.full(3, -9.0, np.float32), np.array(new), 16)
+        return {int(i): set(c.tolist()) for i, c in zip(ids, np.split(cands, np.cumsum(counts)[:-1]))}
+
     assert sent([True, True, True]) == {7: {8, 9}, 8: {7, 9}, 9: {7, 8}}
     assert sent([False, False, True]) == {7: {9}, 8: {9}, 9: {7, 8}}
     assert sent([False, False, False]) == {}
