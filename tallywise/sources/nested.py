@@ -44,7 +44,7 @@ select value, line_no from (
          p_partkey * 10 + 5 as line_no
   from part where p_partkey % 9 = 0 and p_partkey % 13 <> 0
   union all
-  select to_json(named_struct('__parentId', {_VARIANT_GID}, 'location', named_struct('name', 'Main'),
+  select /*+ merge(s) */ to_json(named_struct('__parentId', {_VARIANT_GID}, 'location', named_struct('name', 'Main'),
                               'quantities', array(named_struct('name', 'available', 'quantity', s.available),
                                                   named_struct('name', 'on_hand', 'quantity', s.on_hand),
                                                   named_struct('name', 'committed', 'quantity', s.committed),

@@ -169,3 +169,28 @@ def test_broadcast_if_small_respects_the_bound(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
     assert not hinted(broadcast_if_small(big))
     assert hinted(broadcast_if_small(small))
+
+
+def test_prefix_join_shuffles_both_sides(spark):
+    """Exploded rows are many more than the planner expects: neither branch broadcasts them."""
+    texts = spark.createDataFrame([("FAM-1-01G", 3.0)], "t string, q double")
+    for p in ("FAM-1", "F%-1"):
+        prefixes = spark.createDataFrame([(p, 2.0)], "p string, w double")
+        plan = prefix_equi_join(texts, "t", prefixes, "p", text_keys=F.array(F.floor("q")), prefix_key=F.floor("w") + 1
+                                )._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_wildcard_prefix_is_found_by_its_literal_ends(spark):
+    from tallywise.operators.prefix import _candidate_keys, _end_keys, _pattern_keys
+    q = spark.range(0, 2000).select(F.concat(F.lit("FAM-"), F.col("id").cast("string")).alias("q"))
+    pat = spark.createDataFrame([("F%-1234",), ("F_M-1234",), ("%-1234",), ("FAM-123_",), ("%2%4",)], "p string")
+    held = q.select("q", F.explode(F.concat(_candidate_keys(F.col("q")), _end_keys(F.col("q")))).alias("k")).groupBy("k").count()
+    best = pat.select("p", F.explode(_pattern_keys(F.col("p"))).alias("k")).join(held, "k").groupBy("p").agg(F.min("count").alias("n"))
+    n = {r.p: r.n for r in best.collect()}
+    # one prefix ends so; pieces of three characters are shared by some twenty
+    assert n["F%-1234"] == n["F_M-1234"] == n["%-1234"] == 1 and n["FAM-123_"] <= 11 and len(n) == 5
+    texts = q.select(F.concat("q", F.lit("-01G")).alias("t"))
+    pat = pat.unionByName(spark.createDataFrame([("%",), ("F%",), ("___",), ("f_m-1_",), ("%M-7_",)], "p string"))
+    got = rows(prefix_equi_join(texts, "t", pat, "p").select("t", "p"))
+    assert got == rows(texts.crossJoin(pat).filter(F.expr("t ilike p || '-%'")).select("t", "p"))

@@ -130,3 +130,11 @@ def test_comparison_is_one_full_outer_join_over_sliced_keys(spark):
     assert plan.count("FullOuter") == 1 and "CartesianProduct" not in plan
     join = next(line for line in plan.splitlines() if "FullOuter" in line)
     assert "__li" in join and "__rj" in join and "TakeOrderedAndProject" in plan
+
+
+def test_sides_built_from_part_are_not_broadcast(spark):
+    """Their size is underestimated, so at size they would not fit the driver or a task."""
+    for key in ("size_mismatch", "inventory_csv_by_sku", "storefront_combined", "stock_xref_extended"):
+        plan = _plan(library()[key](spark, SMALL)).split("Initial Plan")[-1]
+        joins = [ln for ln in plan.splitlines() if "BroadcastHashJoin" in ln and ("sku" in ln or "default_code" in ln)]
+        assert not joins and "SortMergeJoin" in plan, (key, joins)
