@@ -78,7 +78,7 @@ def q_flatten_orders_file(spark, sf_dir):
     from tallywise.session import scratch_path
     from tallywise.sources.schemas import read_orders_json
     path = scratch_path(spark, f"tallywise/order_pages/{uuid.uuid4().hex}")
-    order_documents(spark, sf_dir).write.json(path)
+    order_documents(spark, sf_dir).write.option("compression", "gzip").json(path)
     return FL.flatten_orders(read_orders_json(spark, path))
 
 
@@ -97,7 +97,7 @@ def q_flatten_orders_rejects(spark, sf_dir):
     path = scratch_path(spark, f"tallywise/order_pages/{uuid.uuid4().hex}")
     docs = order_documents(spark, sf_dir)
     text = F.to_json(F.struct("name", *[c for c in docs.columns if c != "name"]))
-    docs.select(F.when(F.col("id") % 50 == 7, F.substring(text, 1, 60)).otherwise(text).alias("value")).write.text(path)
+    docs.select(F.when(F.col("id") % 50 == 7, F.substring(text, 1, 60)).otherwise(text).alias("value")).write.option("compression", "gzip").text(path)
     found = read_documents(spark, path, ORDER, keep_broken=True)
     lines = FL.flatten_orders(found.rows).groupBy("name").agg(F.count("*").alias("n_lines"))
     cut = found.rejects.select(F.lit("reject").alias("kind"), F.regexp_extract("value", '"name":"([^"]*)"', 1).alias("name"),

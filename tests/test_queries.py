@@ -138,3 +138,15 @@ def test_sides_built_from_part_are_not_broadcast(spark):
         plan = _plan(library()[key](spark, SMALL)).split("Initial Plan")[-1]
         joins = [ln for ln in plan.splitlines() if "BroadcastHashJoin" in ln and ("sku" in ln or "default_code" in ln)]
         assert not joins and "SortMergeJoin" in plan, (key, joins)
+
+
+def test_landed_order_documents_are_compressed(spark):
+    """The documents of the file variants are some ten times the tables; they land compressed."""
+    import glob
+    from tallywise.session import scratch_path
+    folder = scratch_path(spark, "tallywise/order_pages").removeprefix("file:")
+    for key in ("flatten_orders_file", "flatten_orders_rejects"):
+        before = set(glob.glob(f"{folder}/*"))
+        library()[key](spark, SMALL)
+        files = [f for d in set(glob.glob(f"{folder}/*")) - before for f in glob.glob(f"{d}/part-*")]
+        assert files and all(f.endswith(".gz") for f in files), key
