@@ -68,11 +68,13 @@ def flatten_orders(docs: DataFrame) -> DataFrame:
     All fields of the source's order lines, but for its always empty ``Id``
     (the table's surrogate key has that name) and the paid date's parts,
     which the refresh task adds."""
-    x = docs.select("*", F.posexplode_outer("line_items").alias("__pos", "__li"))
+    heads = docs.select(*_order_fields(), "line_items")  # once per order, not per line
+    fields = heads.columns[:-1]
+    x = heads.select(*fields, F.posexplode_outer("line_items").alias("__pos", "__li"))
     li = F.col("__li")
     has_line = li.isNotNull()
     return x.select(
-        *_order_fields(),
+        *fields,
         *[li.getField(f).alias(f"lineitem_{f}") for f in
           ("quantity", "name", "price", "sku", "requires_shipping", "taxable", "fulfillment_status")],
         li.getField("variant").getField("compare_at_price").alias("lineitem_compare_at_price"),

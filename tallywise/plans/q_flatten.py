@@ -64,9 +64,10 @@ from bought left join sold using (k)"""
 def q_flatten_orders(spark, sf_dir):
     from pyspark.sql import functions as F
     from tallywise.sources.schemas import parse_orders
-    # The documents travel as JSON text and are parsed with the declared schema.
+    # The documents travel as JSON text and are parsed with the declared schema. The text passes as a
+    # one-element array: merged into the parse, the expressions that build it would be interpreted, not compiled.
     docs = order_documents(spark, sf_dir)
-    return FL.flatten_orders(parse_orders(docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))))
+    return FL.flatten_orders(parse_orders(docs.select(F.explode(F.array(F.to_json(F.struct(*docs.columns)))).alias("value"))))
 
 
 @query("flatten_orders_file", _FLATTEN_SQL)

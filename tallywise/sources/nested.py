@@ -104,12 +104,14 @@ def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(CATALOG_PAGES_SQL)
 
 # Storefront order documents: one nested record per order, lines sorted by
-# position; orders without lines carry a null line array.
+# position; orders without lines carry a null line array. The lines are gathered by a window, which
+# keeps the order of the line numbers' sort; an aggregate that collects sorts the finished lines again, twice.
 ORDER_DOCS_SQL = """
 with li as (
-  select b.l_orderkey,
-         array_sort(collect_list(named_struct(
-             'line_no', b.line_no, 'sku', b.sku, 'name', p.p_name || ' - ' || b.size_code,
+  select l_orderkey, array_sort(items) as line_items
+  from (select l_orderkey, nth, collect_list(item) over (partition by l_orderkey) as items
+  from (select b.l_orderkey, b.nth, named_struct(
+             'line_no', b.line_no, 'sku', b.sku, 'name', b.p_name || ' - ' || b.size_code,
              'quantity', b.l_quantity, 'price', cast(b.l_extendedprice as string),
              'vendor', case when b.m % 4 <> 0 then 'V' || cast(b.m as string) end,
              'requires_shipping', b.m % 2 = 0, 'taxable', b.m % 3 <> 0,
@@ -120,9 +122,10 @@ with li as (
              'tax_lines', case b.m % 3 when 0 then null
                  when 1 then array(named_struct('title', 'VAT', 'price', cast(b.m as string) || '.75'))
                  else array(named_struct('title', 'VAT', 'price', '0.75'), named_struct('title', 'Levy', 'price', '1.50')) end
-             ))) as line_items
-  from base_lines b join part p on p.p_partkey = b.l_partkey
-  group by b.l_orderkey)
+             ) as item
+  from (select l.*, p.p_name, row_number() over (partition by l.l_orderkey order by l.line_no) as nth
+        from base_lines l join part p on p.p_partkey = l.l_partkey) b))
+  where nth = 1)
 select o.o_orderkey as id,
        '#' || cast(o.o_orderkey as string) as name,
        case when o.o_orderkey % 4 = 0 then null

@@ -150,3 +150,8 @@ def test_landed_order_documents_are_compressed(spark):
         library()[key](spark, SMALL)
         files = [f for d in set(glob.glob(f"{folder}/*")) - before for f in glob.glob(f"{d}/part-*")]
         assert files and all(f.endswith(".gz") for f in files), key
+
+
+def test_order_documents_gather_lines_without_a_collecting_aggregate(spark):
+    plan = _plan(library()["flatten_orders"](spark, SMALL))
+    assert "ObjectHashAggregate" not in plan and "collect_list" in plan
