@@ -19,12 +19,6 @@ def null_safe_full_outer(left: DataFrame, right: DataFrame, left_keys, right_key
     into slices (see ``skew_join``): a sort-merge full outer join cannot be split
     by AQE when one key is hot.
     """
-    lk = [f"__lk{i}" for i in range(len(left_keys))]
-    rk = [f"__rk{i}" for i in range(len(right_keys))]
-    l2 = left.select("*", *[k.alias(n) for k, n in zip(left_keys, lk)])
-    r2 = right.select("*", *[k.alias(n) for k, n in zip(right_keys, rk)])
     if skew_safe:
-        joined = skew_join(l2, r2, lk, rk, "full_outer", null_safe=True, heavy_rows=heavy_rows)
-    else:
-        joined = l2.join(r2, reduce(lambda x, y: x & y, [l2[a].eqNullSafe(r2[b]) for a, b in zip(lk, rk)]), "full_outer")
-    return joined.drop(*lk, *rk)
+        return skew_join(left, right, left_keys, right_keys, "full_outer", null_safe=True, heavy_rows=heavy_rows)
+    return left.join(right, reduce(lambda x, y: x & y, [a.eqNullSafe(b) for a, b in zip(left_keys, right_keys)]), "full_outer")

@@ -155,3 +155,26 @@ def test_landed_order_documents_are_compressed(spark):
 def test_order_documents_gather_lines_without_a_collecting_aggregate(spark):
     plan = _plan(library()["flatten_orders"](spark, SMALL))
     assert "ObjectHashAggregate" not in plan and "collect_list" in plan
+
+
+def test_storefront_lines_in_spark_are_the_view(spark):
+    from tallywise.sources.fixtures import SPARK_TEXT, VIEWS, fixtures
+    fixtures(spark, SMALL)
+    shared, own = spark.sql(VIEWS["storefront_lines"]), spark.sql(SPARK_TEXT["storefront_lines"])
+    assert own.schema == shared.schema and own.count() == shared.count() > 0
+    assert own.exceptAll(shared).count() == 0
+
+
+def test_storefront_texts_are_not_shuffled_to_the_joins(spark):
+    """Lines meet their orders with their columns as they are, and orders their customers before that."""
+    from tallywise.sources.fixtures import fixtures
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = fixtures(spark, SMALL).storefront_lines.select("order_name", "sku", "product_name", "email")
+        plan = lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [i for i, ln in enumerate(plan) if "Join Inner" in ln]
+    assert len(joins) == 3 and not any("FAM-" in ln for ln in plan[joins[0]:])
+    assert "c_custkey" in plan[joins[-1]]

@@ -79,3 +79,26 @@ def test_hot_plant_in_size_swaps(spark):
            .select("sku", F.pmod(F.xxhash64("sku"), F.lit(2)).cast("double").alias("on_hand"), F.lit("s").alias("option_value"), F.lit("t").alias("title")))
     whole = sku_size_swaps(stock, inv)
     assert bag(whole) == bag(sku_size_swaps(stock, inv, heavy_rows=10)) and whole.count() > 1000
+
+
+def test_keys_are_counted_in_full_buckets_only(spark, monkeypatch):
+    """Rows are counted by bucket before any key is shuffled; heavy keys are found whatever the buckets."""
+    from tallywise.operators import skew
+    a = spark.createDataFrame([(None,)] * 5 + [("x",)] * 3 + [("y",)] * 2, "k string")
+    b = spark.createDataFrame([("x",)] * 9 + [("z",)], "k2 string")
+    plan = heavy_keys(a, b, ["k"], ["k2"], 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__full" in plan and "xxhash64" in plan
+    found = []
+    for buckets in (1, 2, skew.COUNT_BUCKETS):
+        monkeypatch.setattr(skew, "COUNT_BUCKETS", buckets)
+        found.append(bag(heavy_keys(a, b, ["k"], ["k2"], 2)))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 2
+
+
+def test_rows_carry_one_place_and_no_copy_of_their_keys(spark):
+    a = spark.createDataFrame([("#A", "s", 1)], "o string, s string, v int")
+    b = spark.createDataFrame([("#a", "S", 2)], "o2 string, s2 string, w int")
+    met = null_safe_full_outer(a, b, [F.lower(a.o), F.lower(a.s)], [F.lower(b.o2), F.lower(b.s2)])
+    assert [tuple(r) for r in met.collect()] == [("#A", "s", 1, "#a", "S", 2)]
+    names = {c.split("#")[0] for c in met._jdf.queryExecution().optimizedPlan().toString().replace("[", " ").replace(",", " ").split() if "__" in c}
+    assert "__li" in names and "__rj" in names and not names & {"__lk0", "__rk0", "__lj", "__ri", "__lboth"}
