@@ -12,7 +12,6 @@ from tallywise.functions import (
 from tallywise.operators import broadcast_if_small, number_within_group
 
 from tallywise.constants import DEFAULT_FULFILLMENT, DEFAULT_RISK
-from tallywise.session import stage_rows
 
 
 # Parts of an address and the output names they get.
@@ -109,13 +108,42 @@ PARTNER_PARTS = {"name": "name", "street": "street", "street2": "street2", "city
                  "zip": "zip", "country": "country_name", "phone": "phone"}
 
 
+# Roles a partner has in an order header, and the header's column with its id.
+PARTNER_ROLES = {"cust": "partner_id", "inv": "partner_invoice_id", "ship": "partner_shipping_id"}
+
+
+def with_partners(orders: DataFrame, partners: DataFrame) -> DataFrame:
+    """Order headers with their partners in all roles, one struct column per role, and a meeting key ``__k``.
+
+    The partners that headers ask for travel as (key, partner id) pairs: only these go to the
+    partners and come back, so a wide header moves once instead of once per role, and is then
+    distributed by ``__k`` as the lines are by order id. ``__k`` is the order id, or a hash where that
+    is null; a header picks its partners by their ids, so it does not matter who else meets there.
+    Partner rows with one id are all kept: each gives a header row of its own, as in a join.
+    """
+    keys = list(PARTNER_ROLES.values())
+    heads = orders.withColumn("__k", F.coalesce("id", F.xxhash64(*keys).cast(orders.schema["id"].dataType)))
+    asked = (heads.select("__k", F.explode(F.array_distinct(F.array(*keys))).alias("__pid"))
+             .filter(F.col("__pid").isNotNull()))
+    rows = (partners.groupBy(F.col("id").alias("__id"))
+            .agg(F.array_sort(F.collect_list(F.struct(*[c for c in partners.columns if c != "id"]))).alias("rows")))
+    found = (asked.join(rows, asked["__pid"] == rows["__id"]).groupBy("__k")
+             .agg(F.collect_set(F.struct(F.col("__pid").alias("id"), "rows")).alias("__found"))
+             .withColumnRenamed("__k", "__fk"))
+    h = heads.join(found, heads["__k"] == found["__fk"], "left")
+    for role, key in PARTNER_ROLES.items():
+        own = F.filter("__found", lambda x: x.getField("id") == F.col(key))
+        h = h.select("*", F.explode_outer(F.try_element_at(own, F.lit(1)).getField("rows")).alias(role))
+    return h.drop("__found", "__fk")
+
+
 def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, partners: DataFrame,
                     states: DataFrame, countries: DataFrame) -> DataFrame:
     """ERP sale orders flattened to line rows.
 
     Partners are resolved once into a dimension with state and country names
-    (the tiny state/country tables are broadcast), then joined to the order
-    headers in three roles and staged before the (larger) lines are attached. Lines are
+    (the tiny state/country tables are broadcast), then given to the order
+    headers in three roles (``with_partners``) before the (larger) lines are attached. Lines are
     numbered per order by (sequence, id); orders without lines keep one row.
     The source never fills the shipping and discount amounts; its load stamps
     (created and updated) are added by the refresh task.
@@ -125,15 +153,8 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
     pdim = (partners.join(st, partners["state_id"] == st["__sid"], "left")
             .join(co, partners["country_id"] == co["__cid"], "left")
             .select("id", "name", "email", "phone", "street", "street2", "city", "zip", "state_name", "country_name"))
-
-    def partner_role(prefix: str) -> DataFrame:
-        return pdim.select(*[F.col(c).alias(f"{prefix}_{c}") for c in pdim.columns])
-
-    h = orders
-    for pfx, key in (("cust", "partner_id"), ("inv", "partner_invoice_id"), ("ship", "partner_shipping_id")):
-        r = partner_role(pfx)
-        h = h.join(r, h[key] == r[f"{pfx}_id"], "left")
-    h = stage_rows(h, "erp-headers")  # read by both branches below
+    h = with_partners(orders.filter(F.col("id").isNotNull()), pdim)
+    no_id = with_partners(orders.filter(F.col("id").isNull()), pdim)  # apart: these meet no line
 
     ln = number_within_group(lines, "order_id", ["sequence", "id"], out="line_number").select(
         F.col("id").alias("line_id"), "order_id", "product_id", "product_uom_qty", "product_uom", "price_unit", "price_subtotal",
@@ -145,16 +166,17 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
     # orders LEFT JOIN lines, written so that a huge order stays splittable:
     # lines x headers is an inner join (AQE may split either side), and the
     # lineless headers come from an anti join against distinct order ids.
-    with_lines = ln.join(h, ln["order_id"] == h["id"]).drop("line_id")
+    # Both read the same distributed headers.
+    with_lines = ln.join(h, ln["order_id"] == h["__k"]).drop("line_id")
     has_lines = lines.select(F.col("order_id").alias("__oid")).distinct()
-    lineless = h.join(has_lines, h["id"] == has_lines["__oid"], "left_anti")
-    j = with_lines.unionByName(lineless, allowMissingColumns=True)
+    lineless = h.join(has_lines, h["__k"] == has_lines["__oid"], "left_anti")
+    j = with_lines.unionByName(lineless, allowMissingColumns=True).unionByName(no_id, allowMissingColumns=True)
 
     day = F.try_to_date(F.substring_index(F.col("date_order"), " ", 1), "yyyy-MM-dd")
     return j.select(
         F.col("id").alias("odoo_id"), F.col("name").alias("odoo_name"),
         F.col("client_order_ref").alias("shopify_order_number"),
-        F.col("cust_name").alias("customer_name"), F.col("cust_email").alias("customer_email"),
+        F.col("cust.name").alias("customer_name"), F.col("cust.email").alias("customer_email"),
         F.col("date_order").alias("order_date"), F.col("state").alias("order_status"),
         F.col("invoice_status").alias("payment_status"), "delivery_status", "currency",
         F.col("amount_untaxed").alias("subtotal"), F.col("amount_tax").alias("tax_amount"),
@@ -165,7 +187,7 @@ def erp_order_lines(orders: DataFrame, lines: DataFrame, products: DataFrame, pa
         F.col("product_uom_qty").alias("product_quantity"), "product_uom",
         F.col("price_unit").alias("product_unit_price"), F.col("price_subtotal").alias("product_subtotal"),
         F.col("price_tax").alias("product_tax"), F.col("price_total").alias("product_total"),
-        *[F.col(f"{p}_{f}").alias(f"{role}_{n}") for p, role in (("ship", "shipping"), ("inv", "billing"))
+        *[F.col(f"{p}.{f}").alias(f"{role}_{n}") for p, role in (("ship", "shipping"), ("inv", "billing"))
           for n, f in PARTNER_PARTS.items()],
         F.col("note").alias("notes"),
         F.coalesce(F.date_format(day, "dd"), F.lit("00")).alias("day_ordered"),

@@ -178,3 +178,48 @@ def test_storefront_texts_are_not_shuffled_to_the_joins(spark):
     joins = [i for i, ln in enumerate(plan) if "Join Inner" in ln]
     assert len(joins) == 3 and not any("FAM-" in ln for ln in plan[joins[0]:])
     assert "c_custkey" in plan[joins[-1]]
+
+
+def test_partners_reach_headers_as_by_three_joins(spark):
+    """Ids, headers and partners that repeat or are null: the rows of a left join per role."""
+    from collections import Counter
+    from pyspark.sql import functions as F
+    from tallywise.plans.flatten import PARTNER_ROLES, with_partners
+    orders = spark.createDataFrame(
+        [(1, 10, 10, 11, "a"), (1, 10, 12, None, "b"), (1, 10, 12, None, "b"), (2, 11, 99, 10, "c"), (3, None, None, None, "d"),
+         (None, 10, 11, 12, "e"), (None, 10, 11, 12, "e"), (None, None, 10, 99, "f")],
+        "id bigint, partner_id bigint, partner_invoice_id bigint, partner_shipping_id bigint, note string")
+    partners = spark.createDataFrame([(10, "P"), (11, "Q"), (11, "Q"), (11, None), (12, "R"), (None, "N")], "id bigint, name string")
+    plain = orders
+    for role, key in PARTNER_ROLES.items():
+        p = partners.select(F.col("id").alias(f"{role}_id"), F.col("name").alias(f"{role}_name"))
+        plain = plain.join(p, F.col(key) == F.col(f"{role}_id"), "left").drop(f"{role}_id")
+    got = with_partners(orders, partners).select(*orders.columns, *[F.col(f"{r}.name").alias(f"{r}_name") for r in PARTNER_ROLES])
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
+
+
+def test_erp_headers_are_neither_staged_nor_shuffled_per_role(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(library()["erp_orders_assemble"](spark, SMALL)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not any("erp-headers" in ln for ln in plan)
+    wide = [i for i, ln in enumerate(plan) if "FileScan" in ln and "o_totalprice" in ln]
+    above = [next(ln for ln in reversed(plan[:i]) if "Exchange hashpartitioning" in ln) for i in wide]
+    assert above and all("__k" in ln for ln in above), above
+
+
+def test_erp_lines_of_orders_with_null_and_repeated_ids(spark):
+    from pyspark.sql import Window, functions as F
+    from tallywise.plans.flatten import erp_order_lines
+    from tallywise.sources.nested import erp_landing
+    t = erp_landing(spark, SMALL)
+    heads = t["erp_orders"].limit(4).withColumn("n", F.row_number().over(Window.orderBy("id")))
+    heads = heads.withColumn("id", F.when(F.col("n") == 1, None).when(F.col("n") == 2, 7).when(F.col("n") == 3, 7).otherwise(8).cast("bigint")).drop("n")
+    lines = t["erp_order_lines"].limit(4).withColumn("n", F.row_number().over(Window.orderBy("id")))
+    lines = lines.withColumn("order_id", F.when(F.col("n") == 1, None).when(F.col("n") < 4, 7).otherwise(9).cast("bigint")).drop("n")
+    got = erp_order_lines(heads, lines, t["erp_products"], t["erp_partners"], t["erp_states"], t["erp_countries"])
+    rows = sorted(((r["odoo_id"] or 0, r["line_number"], r["product_unit_price"] is None) for r in got.collect()))
+    assert rows == [(0, 1, True), (7, 1, False), (7, 1, False), (7, 2, False), (7, 2, False), (8, 1, True)]
