@@ -3,13 +3,16 @@
 Equal vectors are one node. The neighbour graph starts from exact comparison
 within blocks of vectors that share a random-hyperplane code (``TABLES``
 codes), and is improved by rounds of NN-descent: each node's pool holds itself, its
-neighbours and the nodes that have it as a neighbour, gathered by Spark joins;
+neighbours and the nodes that have it as a neighbour;
 within a pool members are compared with each other (neighbours of
 neighbours) where one of the two came in by an edge that is new since the round before, and
 what beats a member's worst neighbour is sent to that member. Pools without a new edge are
-left out. Rounds go on until less than ``CHANGED`` of all neighbours are new.
+not compared. Rounds go on until less than ``CHANGED`` of all neighbours are new.
 Pools and blocks are compared in pieces of ``PIECE`` members, and those of hubs
 are dealt to several tasks, so a hot vector's pool is no unit of work.
+Nodes are dealt to parts of some ``NODES``. What goes from part to part in a round (edges, members of
+pools, candidates) travels as arrays in binary columns, a row for each pair of parts, since
+an edge, of which a node has some 50, would cost far more as a row.
 
 A query (a row of the table, or any vector) searches greedily: a beam of the
 nearest nodes found; all nodes of the beam not yet expanded are
@@ -17,7 +20,8 @@ expanded (their neighbours, either way), until none is left. The beam has
 ``BEAM`` nodes at first. ``PROBES`` queries are also compared with every node, and
 while they find less than ``RECALL`` of their true neighbours, the beam is doubled; what
 they found is logged. Rows with equal vectors share one search.
-All queries of a block take a step together, by shuffle joins with the edges and the vectors.
+For the search each node has the vectors of its neighbours in its row. These rows are kept by key on the executors' disks;
+all queries of a block take a step together, in which only the nodes to expand and what enters a beam move.
 A block has ``QUERIES`` queries or a ``PART``-th of the nodes, so the number of
 blocks, each reading the graph once a step, does not grow with the table; blocks are smaller as the beam grows.
 The ``RERANK`` best of each beam are scored again in double precision on the original
@@ -36,9 +40,12 @@ and a candidate of the other; further columns are not read; an empty table gives
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -55,9 +62,15 @@ BEAM = 256            # to begin with
 PROBES = 128
 RECALL = 0.95         # of the probes' true neighbours that must be found
 QUERIES = 2048        # of a block, at least
-PART = 1024           # or this part of the nodes
+PART = 48             # or this part of the nodes
 RERANK = 24
 HUB = 4096            # members from which a pool is dealt to several tasks
+SALT_BITS = 20        # of a pool's key, for the task
+NODES = 16384         # of a part, whose nodes and pools a task holds
+LINKS = 64            # neighbours in a row of the search's graph
+CELLS = 1 << 19       # similarities or components that are held at once
+SEND_ROWS = 1 << 20   # candidates that leave in one go
+MANY = 1024           # of them for one node, from which its best are sorted out first
 SEED = 11
 
 log = logging.getLogger(__name__)
@@ -92,7 +105,7 @@ def unpack(column: pa.Array) -> np.ndarray:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.array(column.to_pylist(), np.float64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
 def packed_nodes(nodes: DataFrame) -> DataFrame:
@@ -105,165 +118,344 @@ def packed_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", "vec").mapInArrow(run, "id long, packed binary")
 
 
-def codes(packed: DataFrame, bits: int) -> DataFrame:
-    """Each node once per table with its hyperplane code as pool; salted where a code is hot."""
+# ---------------------------------------------------------------- packets
+
+#: What travels between parts of the nodes: whole numpy arrays as bytes, so an edge is no row.
+PACKET = "home int, kind int, a binary, b binary, c binary, d binary, e binary, f binary"
+
+
+def parts_of(graph: DataFrame) -> int:
+    """How many parts the nodes are dealt into by ``_home``."""
+    nodes = graph.count()
+    return max(min(2 * graph.sparkSession.sparkContext.defaultParallelism, nodes // 1024 + 1), nodes // NODES + 1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.uint64)
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+def _home(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (_mixed(keys) % np.uint64(parts)).astype(np.int32)
+
+
+def _pool_keys(pools: np.ndarray, ids: np.ndarray, hubs: dict[int, int]) -> np.ndarray:
+    """The pool and, in a hub's, the piece (salt) that a member goes to, as one number."""
+    keys = pools << SALT_BITS
+    if hubs:
+        hub = np.array(sorted(hubs), np.int64)
+        at = np.minimum(np.searchsorted(hub, pools), len(hub) - 1)
+        hot = np.flatnonzero(hub[at] == pools)
+        salts = np.array([hubs[h] for h in hub.tolist()], np.uint64)[at[hot]]
+        keys[hot] += (_mixed(ids[hot] + SEED) % salts).astype(np.int64)
+    return keys
+
+
+def _dealt(homes: np.ndarray):
+    """Each home with the places of its entries."""
+    order = np.argsort(homes.astype(np.uint16) if len(homes) and homes.max() < 1 << 16 else homes, kind="stable")
+    cuts = np.flatnonzero(np.diff(homes[order])) + 1
+    for at in np.split(order, cuts) if len(order) else []:
+        yield int(homes[at[0]]), at
+
+
+def _packets(rows: list[tuple]) -> pa.RecordBatch:
+    """``rows`` have home, kind and up to six arrays."""
+    held = [[r[2 + k].tobytes() if len(r) > 2 + k else None for r in rows] for k in range(6)]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()),
+                                       *(pa.array(h, pa.binary()) for h in held)], ["home", "kind", *"abcdef"])
+
+
+def _by_home(batches):
+    """Each home with what came for it: by kind a list of rows of bytes."""
+    home, got = None, {}
+    for b in batches:
+        homes, kinds = b.column("home").to_pylist(), b.column("kind").to_pylist()
+        for k, at in enumerate(homes):
+            if at != home:
+                if home is not None:
+                    yield home, got
+                home, got = at, {}
+            got.setdefault(kinds[k], []).append([b.column(c)[k].as_py() for c in "abcdef"])
+    if home is not None:
+        yield home, got
+
+
+def _joined(rows: list, k: int, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(r[k] for r in rows), kind)
+
+
+def to_homes(packets: DataFrame, parts: int) -> DataFrame:
+    return packets.repartition(parts, "home").sortWithinPartitions("home")
+
+
+def _binary(raw: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column of values of ``sizes`` bytes that follow each other in ``raw``."""
+    ends = np.r_[0, np.cumsum(sizes)].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column without nulls, and the size of each value."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return raw[ends[0]:ends[-1]], np.diff(ends)
+
+
+# ---------------------------------------------------------------- graph
+
+def coded(packed: DataFrame, bits: int, parts: int, hubs: dict[int, int]) -> DataFrame:
+    """Packets that bring each node once per table to the pool of its hyperplane code."""
     def run(batches):
         for b in batches:
-            vec = unpack(b.column("packed"))
+            vec, ids = unpack(b.column("packed")), b.column("id").to_numpy()
             if not len(vec):
                 continue
+            raw = _bytes(b.column("packed"))[0].reshape(len(ids), -1)
+            out = []
             for t in range(TABLES):
                 planes = np.random.default_rng([SEED, t]).standard_normal((vec.shape[1], max(bits, 1)))
                 code = ((vec @ planes > 0) @ (1 << np.arange(max(bits, 1)))) if bits else np.zeros(len(vec), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(code.astype(np.int64) * TABLES + t, pa.int64()), b.column("id"),
-                                                  b.column("packed"), pa.array(np.full(len(vec), -9.0, np.float32)),
-                                                  pa.array(np.ones(len(vec), bool))],
-                                                 ["pool", "id", "packed", "least", "new"])
-
-    return packed.mapInArrow(run, "pool long, id long, packed binary, least float, new boolean")
+                keys = _pool_keys(code.astype(np.int64) * TABLES + t, ids, hubs)
+                for home, at in _dealt(_home(keys, parts)):
+                    out.append((home, 0, keys[at], np.arange(len(at), dtype=np.int32), np.ones(len(at), bool), ids[at],
+                                np.full(len(at), -9.0, np.float32), raw[at]))
+            yield _packets(out)
 
+    return packed.mapInArrow(run, PACKET)
 
-def compare_pools(members: DataFrame, sizes: DataFrame, keep: int) -> DataFrame:
-    """id, cands, sims: what each pool sends to its members.
 
-    ``members`` has pool, id, packed, least and new, ``sizes`` the members (n) of each pool. Hot pools are dealt by a salt."""
-    hubs = sizes.where(F.col("n") > HUB).select(F.col("pool").alias("h_pool"), F.ceil(F.col("n") / HUB).cast("int").alias("salts"))
-    salted = (members.join(hubs, F.col("pool") == F.col("h_pool"), "left")
-              .withColumn("salt", F.pmod(F.xxhash64("id", F.lit(SEED)), F.coalesce("salts", F.lit(1))).cast("int")))
-    ordered = (salted.select("pool", "salt", "id", "packed", "least", "new").repartition("pool", "salt")
-               .sortWithinPartitions("pool", "salt"))
-    return ordered.mapInArrow(lambda b: _compare(b, keep), "id long, cands array<long>, sims array<float>")
+def _rolled(batches, parts: int):
+    """Of each node its vector, worst neighbour and neighbours (kind 0), and each edge at the end that it leads to (kind 1)."""
+    for b in batches:
+        if not len(b):
+            continue
+        ids, raw = b.column("id").to_numpy(), _bytes(b.column("packed"))[0].reshape(len(b), -1)
+        nbrs, sims = b.column("nbrs").flatten().to_numpy(), b.column("sims").flatten().to_numpy()
+        new = b.column("new").flatten().to_numpy(zero_copy_only=False).astype(bool)
+        counts = pc.list_value_length(b.column("nbrs")).to_numpy().astype(np.int32)
+        starts = np.cumsum(counts) - counts
+        least = np.full(len(ids), -9.0, np.float32)
+        full = counts >= NEIGHBOURS
+        least[full] = sims[(starts + counts - 1)[full]]  # the neighbours are in order
+        out = []
+        for home, at in _dealt(_home(ids, parts)):
+            own = np.repeat(starts[at] - (np.cumsum(counts[at]) - counts[at]), counts[at]) + np.arange(counts[at].sum())
+            out.append((home, 0, ids[at], raw[at], least[at], counts[at], nbrs[own], new[own]))
+        back = np.repeat(ids, counts)
+        out += [(home, 1, nbrs[at], back[at], new[at]) for home, at in _dealt(_home(nbrs, parts))]
+        yield _packets(out)
 
 
-def _send(ids: np.ndarray, vec: np.ndarray, least: np.ndarray, new: np.ndarray, keep: int):
-    """Per member its best others in the piece that beat its worst neighbour; one of each pair is new.
+def _roster(batches, parts: int, hubs: dict[int, int]):
+    """Packets that bring each node to the pools that it is in: its own, its neighbours' and those of the nodes that have it as a neighbour.
 
+    A vector goes to a home once, whatever the number of its pools there."""
+    for _, got in _by_home(batches):
+        if 0 not in got:
+            continue
+        ids, least, counts = _joined(got[0], 0, np.int64), _joined(got[0], 2, np.float32), _joined(got[0], 3, np.int32)
+        raw = _joined(got[0], 1, np.uint8).reshape(len(ids), -1)
+        back = got.get(1, [])
+        to, from_ = _joined(back, 0, np.int64), _joined(back, 1, np.int64)
+        order = np.argsort(ids)
+        at_back = order[np.searchsorted(ids, to, sorter=order)]
+        at = np.concatenate([np.arange(len(ids)), np.repeat(np.arange(len(ids)), counts), at_back]).astype(np.int32)
+        pools = np.concatenate([ids, _joined(got[0], 4, np.int64), from_])
+        new = np.concatenate([np.zeros(len(ids), bool), _joined(got[0], 5, bool), _joined(back, 2, bool)])
+        keys = _pool_keys(pools, ids[at], hubs)
+        for home, k in _dealt(_home(keys, parts)):
+            seen, place = np.unique(at[k], return_inverse=True)
+            yield _packets([(home, 0, keys[k], place.astype(np.int32), new[k], ids[seen], least[seen], raw[seen])])
+
+
+def _pools(rows: list):
+    """Members in order of their pools, who is in twice once and new if one edge is: pool keys, places, new; ids, least and bytes by place."""
+    keys, new = _joined(rows, 0, np.int64), _joined(rows, 2, bool)
+    first = np.cumsum([0] + [len(r[3]) // 8 for r in rows])[:-1]
+    place = _joined(rows, 1, np.int32) + np.repeat(first, [len(r[1]) // 4 for r in rows])
+    ids, least = _joined(rows, 3, np.int64), _joined(rows, 4, np.float32)
+    _, rank = np.unique(keys, return_inverse=True)
+    both = (rank.astype(np.int64) << 32) | place
+    order = np.argsort(both)
+    starts = np.flatnonzero(np.r_[True, np.diff(both[order]) != 0])
+    at = order[starts]
+    return keys[at], place[at], np.logical_or.reduceat(new[order], starts), ids, least, _joined(rows, 5, np.uint8).reshape(len(ids), -1)
+
+
+def _floats(raw: np.ndarray) -> np.ndarray:
+    """Packed vectors, a row of bytes each, as 32-bit floats."""
+    return raw[..., 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(raw[..., :4]).view(np.float32)
+
+
+def _send(ids: np.ndarray, vec: np.ndarray, least: np.ndarray, new: np.ndarray, keep: int, sizes: np.ndarray | None = None):
+    """Per member its best others in its pool that beat its worst neighbour; one of each pair is new.
+
+    The pools have ``sizes`` members, one after the other; without it all are one pool.
     Returned are members, how many others each gets, and all these others and similarities in order."""
-    order = np.lexsort((~new, ids))  # who is in twice, over either edge, is new if one edge is
-    ids, first = np.unique(ids[order], return_index=True)
-    first = order[first]
-    vec, least, new = vec[first], least[first], new[first]
-    if len(ids) < 2 or not new.any():
-        return ids[:0], ids[:0], ids[:0], least[:0]
-    sims = vec @ vec.T
-    if not new.all():
-        old = np.flatnonzero(~new)
-        sims[np.ix_(old, old)] = -9.0
-    np.fill_diagonal(sims, -9.0)
-    k = min(keep, len(ids) - 1)
-    best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-    got = np.take_along_axis(sims, best, 1)
-    good = got > least[:, None]
-    counts = good.sum(axis=1)
-    return ids[counts > 0], counts[counts > 0], ids[best[good]], got[good]
-
-
-def _compare(batches, keep: int):
-    held: list = []   # parts of one pool: (ids, vec, least, new)
-    size, last = 0, None
-
-    def flush():
-        nonlocal held, size
-        if not held:
-            return
-        parts = [np.concatenate([h[k] for h in held]) for k in range(4)]
-        held, size = [], 0
-        for at in range(0, len(parts[0]), PIECE):
-            yield _send(*(p[at:at + PIECE] for p in parts), keep)
-
-    def batch_of(sent):
-        ids, counts, cands = (np.concatenate([np.empty(0, np.int64), *(x[k] for x in sent)]) for k in range(3))
-        sims = np.concatenate([np.empty(0, np.float32), *(x[3] for x in sent)])
-        ends = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.ListArray.from_arrays(ends, pa.array(cands)),
-                                           pa.ListArray.from_arrays(ends, pa.array(sims))], ["id", "cands", "sims"])
-
+    sizes = np.array([len(ids)]) if sizes is None else sizes
+    m = int(sizes.max())
+    held = np.arange(m) < sizes[:, None]
+    slot = np.where(held, (np.cumsum(sizes) - sizes)[:, None] + np.arange(m), 0)
+    x = vec[slot]
+    sims = x @ x.transpose(0, 2, 1)
+    fresh = new[slot] & held
+    good = sims > np.where(held, least[slot], np.float32(9.0))[:, :, None]
+    good &= (fresh[:, :, None] | fresh[:, None, :]) & held[:, None, :]
+    good[:, np.arange(m), np.arange(m)] = False
+    counts = good.sum(axis=2)
+    over = counts > keep
+    if over.any():
+        rows = np.where(good[over], sims[over], np.float32(-9.0))
+        best = np.argpartition(-rows, keep - 1, axis=1)[:, :keep]
+        kept = np.zeros(rows.shape, bool)
+        np.put_along_axis(kept, best, True, 1)
+        good[over] = kept
+        counts[over] = keep
+    pool, _, other = np.nonzero(good)
+    some = counts > 0
+    return ids[slot[some]], counts[some], ids[slot[pool, other]], sims[good]
+
+
+def _compared(batches, parts: int, keep: int):
+    """What each pool sends to its members (kind 1): members, others, similarities."""
+    for _, got in _by_home(batches):
+        keys, place, new, ids, least, raw = _pools(got.pop(0))
+        starts = np.flatnonzero(np.r_[True, np.diff(keys) != 0])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        pieces = -(-sizes // PIECE)
+        first = np.repeat(starts, pieces) + PIECE * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        sizes = np.minimum(PIECE, np.repeat(starts + sizes, pieces) - first)
+        useful = (sizes > 1) & np.logical_or.reduceat(new, first)
+        # pools of about one size are compared together, the largest first, so that no later one is larger than the first of its group
+        order = np.flatnonzero(useful)[np.argsort(-sizes[useful], kind="stable")]
+        sent, held, a = [], 0, 0
+        while a < len(order):
+            m = int(sizes[order[a]])
+            z = a + max(1, CELLS // (m * max(m, 64)))
+            own = order[a:z]
+            rows = np.repeat(first[own] - (np.cumsum(sizes[own]) - sizes[own]), sizes[own]) + np.arange(sizes[own].sum())
+            at = place[rows]
+            members, counts, others, sims = _send(at, _floats(raw[at]), least[at], new[rows], keep, sizes[own])
+            sent.append((np.repeat(members, counts), others, sims))
+            held, a = held + len(others), z
+            if held >= SEND_ROWS or a >= len(order):
+                members, others, sims = (np.concatenate([x[k] for x in sent]) for k in range(3))
+                sent, held = [], 0
+                many = np.bincount(members)[members] > MANY if len(members) else np.zeros(0, bool)
+                if many.any():  # a hub is sent many; only its best matter
+                    few, hot = np.flatnonzero(~many), np.flatnonzero(many)
+                    hot = hot[_nearest(members[hot], ids[others[hot]], sims[hot], np.ones(len(hot), bool))]
+                    members, others, sims = (x[np.r_[few, hot]] for x in (members, others, sims))
+                members, others = ids[members], ids[others]
+                yield _packets([(home, 1, members[k], others[k], sims[k]) for home, k in _dealt(_home(members, parts))])
+
+
+GRAPH = "id long, packed binary, nbrs array<long>, sims array<float>, new array<boolean>, changed int"
+
+
+def _owned(batches, parts: int):
+    """Each node with its vector, neighbours and similarities (kind 0), for ``_merged``."""
     for b in batches:
         if not len(b):
             continue
-        pool, salt = b.column("pool").to_numpy(), b.column("salt").to_numpy()
-        ids, vec, least = b.column("id").to_numpy(), unpack(b.column("packed")), b.column("least").to_numpy()
-        new = b.column("new").to_numpy(zero_copy_only=False).astype(bool)
-        cuts = np.flatnonzero((np.diff(pool) != 0) | (np.diff(salt) != 0)) + 1
+        ids, raw = b.column("id").to_numpy(), _bytes(b.column("packed"))[0].reshape(len(b), -1)
+        nbrs, sims = b.column("nbrs").flatten().to_numpy(), b.column("sims").flatten().to_numpy()
+        counts = pc.list_value_length(b.column("nbrs")).to_numpy().astype(np.int32)
+        starts = np.cumsum(counts) - counts
         out = []
-        for a, z in zip(np.r_[0, cuts], np.r_[cuts, len(pool)]):
-            if (pool[a], salt[a]) != last or size >= PIECE:
-                out += flush()
-                last = (pool[a], salt[a])
-            held.append((ids[a:z].copy(), vec[a:z].copy(), least[a:z].copy(), new[a:z].copy()))
-            size += z - a
-        yield batch_of(out)
-    yield batch_of(list(flush()))
-
-
-def merge(graph: DataFrame, sent: DataFrame) -> DataFrame:
-    """The graph (id, packed, nbrs, sims) with each node's best of old and sent neighbours, which are new, and how many."""
-    none = F.lit(None).cast("binary")
-    rows = (graph.select("id", "packed", "nbrs", "sims")
-            .unionByName(sent.select("id", none.alias("packed"), F.col("cands").alias("nbrs"), "sims"))
-            .repartition("id").sortWithinPartitions("id"))
-    return rows.mapInArrow(_merge, "id long, packed binary, nbrs array<long>, sims array<float>, new array<boolean>, changed int")
+        for home, at in _dealt(_home(ids, parts)):
+            own = np.repeat(starts[at] - (np.cumsum(counts[at]) - counts[at]), counts[at]) + np.arange(counts[at].sum())
+            out.append((home, 0, ids[at], raw[at], counts[at], nbrs[own], sims[own]))
+        yield _packets(out)
+
+
+def _nearest(row: np.ndarray, cand: np.ndarray, sims: np.ndarray, late: np.ndarray) -> np.ndarray:
+    """Places of the NEIGHBOURS best of each row, row by row and nearest first, ties to the smaller id.
+
+    A candidate counts once in its row, by an entry that isn't ``late`` if there is one."""
+    rows = row.astype(np.uint64)
+    key = (rows << np.uint64(41)) | (cand.astype(np.uint64) << np.uint64(1)) | late.astype(np.uint64)
+    by = np.argsort(key)
+    by = by[np.r_[True, np.diff(key[by] >> np.uint64(1)) != 0][:len(by)]]
+    far = ((2.0 - sims[by].astype(np.float64)) * (1 << 30)).astype(np.uint64)
+    by = by[np.argsort((rows[by] << np.uint64(32)) | far, kind="stable")]
+    held = np.bincount(row[by])
+    return by[np.arange(len(by)) - np.repeat(np.cumsum(held) - held, held) < NEIGHBOURS]
+
+
+def _merged(batches):
+    """Rows of the graph: each node's best of its neighbours and what was sent to it, which is new, and how many."""
+    for _, got in _by_home(batches):
+        own, sent = got[0], got.get(1, [])
+        ids, counts = _joined(own, 0, np.int64), _joined(own, 2, np.int32)
+        raw = _joined(own, 1, np.uint8).reshape(len(ids), -1)
+        order = np.argsort(ids)
+        row = np.concatenate([np.repeat(np.arange(len(ids)), counts),
+                              order[np.searchsorted(ids, _joined(sent, 0, np.int64), sorter=order)]])
+        cand = np.concatenate([_joined(own, 3, np.int64), _joined(sent, 1, np.int64)])
+        sims = np.concatenate([_joined(own, 4, np.float32), _joined(sent, 2, np.float32)])
+        late = np.arange(len(cand)) >= int(counts.sum())
+        by = _nearest(row, cand, sims, late)
+        held = np.bincount(row[by], minlength=len(ids))
+        changed = np.bincount(row[by], weights=late[by], minlength=len(ids)).astype(np.int32)
+        ends = np.r_[0, np.cumsum(held)]
+        for a in range(0, len(ids), 4096):
+            z = min(len(ids), a + 4096)
+            k, cut = by[ends[a]:ends[z]], pa.array((ends[a:z + 1] - ends[a]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[a:z]), _binary(raw[a:z], np.full(z - a, raw.shape[1])), pa.ListArray.from_arrays(cut, pa.array(cand[k])),
+                 pa.ListArray.from_arrays(cut, pa.array(sims[k])), pa.ListArray.from_arrays(cut, pa.array(late[k])), pa.array(changed[a:z])],
+                ["id", "packed", "nbrs", "sims", "new", "changed"])
+
+
+def compare_and_merge(graph: DataFrame, roster: DataFrame, parts: int, keep: int) -> DataFrame:
+    """The graph with what the pools of ``roster`` send to their members."""
+    sent = to_homes(roster, parts).mapInArrow(lambda b: _compared(b, parts, keep), PACKET)
+    own = graph.select("id", "packed", "nbrs", "sims").mapInArrow(lambda b: _owned(b, parts), PACKET)
+    return stage(to_homes(own.unionByName(sent), parts).mapInArrow(_merged, GRAPH), "graph")
+
+
+def crowded(pools: DataFrame, parts: int) -> dict[int, int]:
+    """The pools of more than HUB members, and how many tasks share each; ``pools`` (home, a) has a pool for each member."""
+    def run(batches):
+        home, held = None, []
 
+        def found():
+            ids, n = np.unique(np.frombuffer(b"".join(held), np.int64), return_counts=True)
+            big = n > HUB - NEIGHBOURS - 1
+            return pa.RecordBatch.from_arrays([pa.array(ids[big]), pa.array(n[big].astype(np.int64))], ["pool", "n"])
 
-def _best(nbrs: list, sims: list) -> tuple[np.ndarray, np.ndarray]:
-    n, s = np.concatenate(nbrs), np.concatenate(sims)
-    order = np.lexsort((n, -s))
-    n, s = n[order], s[order]
-    _, first = np.unique(n, return_index=True)
-    first = np.sort(first)[:NEIGHBOURS]
-    return n[first], s[first]
+        for b in batches:
+            for at, ids in zip(b.column("home").to_pylist(), b.column("a").to_pylist()):
+                if at != home and held:
+                    yield found()
+                    held = []
+                home = at
+                held.append(ids)
+        yield found()
 
+    rows = to_homes(pools, parts).mapInArrow(run, "pool long, n long").collect()  # a 170th of the nodes at most
+    return {r["pool"]: -(-r["n"] // HUB) + 1 for r in rows}
 
-def _merge(batches):
-    node, packed, nbrs, sims, held, old = None, None, [], [], 0, ()
 
-    def whole():
-        n, s = _best(nbrs, sims)
-        new = ~np.isin(n, old)
-        return node, packed, n, s, new, int(new.sum())
+def edge_ends(graph: DataFrame, parts: int) -> DataFrame:
+    return graph.select("id", "packed", "nbrs", "sims", "new").mapInArrow(lambda b: _rolled(b, parts), PACKET)
 
-    def batch_of(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-             pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(pa.float32())),
-             pa.array([r[4] for r in rows], pa.list_(pa.bool_())), pa.array([r[5] for r in rows], pa.int32())],
-            ["id", "packed", "nbrs", "sims", "new", "changed"])
 
-    for b in batches:
-        out = []
-        ids, packs = b.column("id").to_pylist(), b.column("packed").to_pylist()
-        n, s = b.column("nbrs"), b.column("sims")
-        n_at, n_all, s_all = n.offsets.to_numpy(), n.values.to_numpy(), s.values.to_numpy()
-        for k, i in enumerate(ids):
-            if i != node:
-                if node is not None:
-                    out.append(whole())
-                node, packed, nbrs, sims, held, old = i, None, [], [], 0, ()
-            if packs[k]:
-                packed, old = packs[k], n_all[n_at[k]:n_at[k + 1]]
-            nbrs.append(n_all[n_at[k]:n_at[k + 1]])
-            sims.append(s_all[n_at[k]:n_at[k + 1]])
-            held += len(nbrs[-1])
-            if held > 4096:  # a hub is sent many; only its best matter
-                nbrs, sims = ([x] for x in _best(nbrs, sims))
-                held = len(nbrs[0])
-        yield batch_of(out)
-    if node is not None:
-        yield batch_of([whole()])
+def roster_of(graph: DataFrame, parts: int) -> tuple[DataFrame, dict[int, int]]:
+    """Packets with the members of every node's pool, and the hubs."""
+    ends = edge_ends(graph, parts)
+    hubs = crowded(ends.where("kind = 1").select("home", "a"), parts)
+    return to_homes(ends, parts).mapInArrow(lambda b: _roster(b, parts, hubs), PACKET), hubs
 
 
 def descend(graph: DataFrame) -> DataFrame:
     """One round: pools of neighbours of either direction that hold a new edge, compared and merged."""
-    full = F.when(F.size("sims") >= NEIGHBOURS, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
-    edges = graph.select("id", F.explode(F.arrays_zip("nbrs", "new")).alias("x")).select("id", F.col("x.nbrs").alias("to"), F.col("x.new").alias("new"))
-    ahead = edges.select(F.col("id").alias("pool"), F.col("to").alias("id"), "new")
-    back = edges.select(F.col("to").alias("pool"), "id", "new")
-    own = graph.select(F.col("id").alias("pool"), "id", F.lit(False).alias("new"))
-    roster = own.unionByName(ahead).unionByName(back)
-    sizes = stage(roster.groupBy("pool").agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("any_new")).where("any_new").drop("any_new"), "pools")
-    members = (roster.join(sizes.select("pool"), "pool", "left_semi")
-               .join(graph.select("id", "packed", full.alias("least")), "id"))
-    return stage(merge(graph, compare_pools(members, sizes, SENT)), "graph")
+    parts = parts_of(graph)
+    return compare_and_merge(graph, roster_of(graph, parts)[0], parts, SENT)
 
 
 def forget(df: DataFrame) -> None:
@@ -274,10 +466,10 @@ def forget(df: DataFrame) -> None:
 def build_graph(nodes: DataFrame) -> DataFrame:
     """id, packed, nbrs, sims of every node, and which neighbours the last round found."""
     packed = stage(packed_nodes(nodes), "packed")
-    bits = max(0, int(np.floor(np.log2(max(1, packed.count() / BLOCK)))))
+    bits, parts = max(0, int(np.floor(np.log2(max(1, packed.count() / BLOCK))))), parts_of(packed)
     empty = packed.select("id", "packed", F.array().cast("array<bigint>").alias("nbrs"), F.array().cast("array<float>").alias("sims"))
-    blocks = codes(packed, bits)
-    graph = stage(merge(empty, compare_pools(blocks, blocks.groupBy("pool").agg(F.count(F.lit(1)).alias("n")), NEIGHBOURS)), "graph")
+    hubs = {k >> SALT_BITS: n for k, n in crowded(coded(packed, bits, parts, {}).select("home", "a"), parts).items()}
+    graph = compare_and_merge(empty, coded(packed, bits, parts, hubs), parts, NEIGHBOURS)
     while True:  # ends: each node's neighbours only ever become nearer
         graph = descend(graph)
         changed, held = graph.agg(F.sum("changed"), F.sum(F.size("nbrs"))).first()
@@ -288,81 +480,129 @@ def build_graph(nodes: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- search
 
+def _linked(batches):
+    """key (node, and a hub's salt), ids and vecs: the nodes at the other ends of its edges and their packed vectors, LINKS at a time."""
+    for _, got in _by_home(batches):
+        keys, place, _, ids, _, raw = _pools(got.pop(0))
+        other = ids[place] != keys >> SALT_BITS
+        keys, place = keys[other], place[other]
+        if not len(keys):
+            continue
+        starts = np.flatnonzero(np.r_[True, np.diff(keys) != 0])
+        sizes = np.diff(np.r_[starts, len(keys)])
+        pieces = -(-sizes // LINKS)
+        first = np.repeat(starts, pieces) + LINKS * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        sizes = np.minimum(LINKS, np.repeat(starts + sizes, pieces) - first)
+        for a in range(0, len(first), 1024):
+            z = min(len(first), a + 1024)
+            at = place[first[a]:first[z - 1] + sizes[z - 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[first[a:z]]), _binary(ids[at], sizes[a:z] * 8),
+                                              _binary(raw[at], sizes[a:z] * raw.shape[1])], ["key", "ids", "vecs"])
+
+
+def links_of(graph: DataFrame, parts: int) -> tuple[DataFrame, dict[int, int]]:
+    """The graph for the search (``_linked``), kept by key on the executors' disks so that no step moves it; the hubs."""
+    roster, hubs = roster_of(graph, parts)
+    links = stage(to_homes(roster, parts).mapInArrow(_linked, "key long, ids binary, vecs binary"), "links")
+    return links.repartition(parts, "key").persist(StorageLevel.DISK_ONLY), hubs
+
+
+def _front(batches, beam: int, hubs: dict[int, int]):
+    """A row for each node to expand, and for each salt of a hub; ``least`` is what a node must beat to enter the beam."""
+    for b in batches:
+        out = []
+        for q, packed, ids, sims, done in zip(*(b.column(c).to_pylist() for c in ("query", "q_packed", "ids", "sims", "done"))):
+            ids, sims = np.frombuffer(ids, np.int64), np.frombuffer(sims, np.float32)
+            keys = ids[~np.frombuffer(done, bool)] << SALT_BITS
+            if hubs:
+                keys = np.concatenate([keys, *(k + np.arange(1, hubs[k >> SALT_BITS]) for k in keys.tolist() if k >> SALT_BITS in hubs)])
+            if len(keys):
+                out.append((q, packed, sims[-1] if len(ids) >= beam else -9.0, keys))
+        counts = np.array([len(x[3]) for x in out], np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.array([x[0] for x in out], np.int64), counts)),
+             pa.array([x[1] for x in out], pa.binary()).take(pa.array(np.repeat(np.arange(len(out)), counts))),
+             pa.array(np.repeat(np.array([x[2] for x in out], np.float32), counts)),
+             pa.array(np.concatenate([np.empty(0, np.int64), *(x[3] for x in out)]))], ["query", "q_packed", "least", "at"])
+
+
 def _score(batches):
-    """Similarity of each query and candidate; only what may enter the beam goes on."""
+    """Similarity of each query and the nodes linked to one that it expands; only what may enter the beam goes on."""
     for b in batches:
-        if not len(b):
-            continue
-        sims = np.einsum("ij,ij->i", unpack(b.column("packed")), unpack(b.column("q_packed")))
-        good = np.flatnonzero(sims > b.column("least").to_numpy())
-        yield pa.RecordBatch.from_arrays([b.column("query").take(pa.array(good)), b.column("cand").take(pa.array(good)),
-                                          pa.array(sims[good].astype(np.float32))], ["query", "cand", "sim"])
+        for a in range(0, len(b), 512):
+            part = b.slice(a, 512)
+            q, least = unpack(part.column("q_packed")), part.column("least").to_numpy()
+            ids, sizes = _bytes(part.column("ids"))
+            counts = sizes // 8
+            row = np.repeat(np.arange(len(part)), counts)
+            vec = _floats(_bytes(part.column("vecs"))[0].reshape(len(row), -1))
+            sims = np.einsum("ij,ij->i", vec, q[row])
+            good = np.flatnonzero(sims > least[row])
+            got = np.bincount(row[good], minlength=len(part))
+            some = np.flatnonzero(got)
+            yield pa.RecordBatch.from_arrays([part.column("query").take(pa.array(some)), _binary(ids.view(np.int64)[good], got[some] * 8),
+                                              _binary(sims[good].astype(np.float32), got[some] * 4)], ["query", "ids", "sims"])
 
 
-BEAMS = "query long, ids array<long>, sims array<float>, done array<boolean>"
+BEAMS = "query long, q_packed binary, ids binary, sims binary, done binary, left int"
 
 
 def _beam(batches, beam: int):
-    """Per query the ``beam`` nearest of its beam (its first row) and the scored (the others), and which are expanded."""
-    query, parts = None, []
+    """Per query the ``beam`` nearest of its beam (its first row), all expanded, and the scored (the others), and how many are to be expanded."""
+    query, packed, parts, known = None, None, [], 0
 
     def best():
-        ids, sims, done = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        order = np.lexsort((~done, ids))
-        ids, sims, done = ids[order], sims[order], done[order]
-        first = np.r_[True, np.diff(ids) != 0]  # who is in the beam already keeps its place there
-        ids, sims, done = ids[first], sims[first], done[first]
+        ids, sims = (_joined(parts, k, t) for k, t in ((0, np.int64), (1, np.float32)))
+        ids, first = np.unique(ids, return_index=True)  # who is in the beam already comes first and keeps its place there
+        sims = sims[first]
         top = np.lexsort((ids, -sims))[:beam]
-        return query, ids[top], sims[top], done[top]
+        done = first[top] < known
+        return query, packed, ids[top].tobytes(), sims[top].tobytes(), done.tobytes(), int((~done).sum())
 
     def batch_of(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-             pa.array([r[2] for r in rows], pa.list_(pa.float32())), pa.array([r[3] for r in rows], pa.list_(pa.bool_()))],
-            ["query", "ids", "sims", "done"])
+        kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                                          ["query", "q_packed", "ids", "sims", "done", "left"])
 
     for b in batches:
-        if not len(b):
-            continue
         out = []
-        queries = b.column("query").to_numpy()
-        cuts = np.flatnonzero(np.diff(queries)) + 1
-        for a, z in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(queries)].tolist()):
-            if not b.column("cand")[a].is_valid:
+        for q, own, ids, sims in zip(*(b.column(c).to_pylist() for c in ("query", "q_packed", "ids", "sims"))):
+            if own is not None:
                 if parts:
                     out.append(best())
-                query = int(queries[a])
-                parts = [[np.array(b.column(c)[a].as_py(), t) for c, t in (("ids", np.int64), ("sims", np.float32), ("done", bool))]]
-                a += 1
-            if a < z:
-                parts.append((b.column("cand").slice(a, z - a).to_numpy(), b.column("sim").slice(a, z - a).to_numpy(), np.zeros(z - a, bool)))
+                query, packed, parts, known = q, own, [], len(ids) // 8
+            parts.append((ids, sims))
         yield batch_of(out)
     if parts:
         yield batch_of([best()])
 
 
-def search(graph: DataFrame, edges: DataFrame, vectors: DataFrame, block: DataFrame, beam: int = BEAM) -> DataFrame:
-    """Beams (query, ids, sims) for a block of queries (query, node, q_packed): ``node`` is where each starts."""
-    block = stage(block, "queries")
-    asked = block.select(F.col("query").alias("b_query"), "q_packed")
-    beams = stage(block.select("query", F.array("node").alias("ids"), F.array(F.lit(1.0).cast("float")).alias("sims"),
-                               F.array(F.lit(False)).alias("done")), "beam")
-    while True:  # a beam only improves, so at last it has nothing left to expand
-        least = F.when(F.size("sims") >= beam, F.array_min("sims")).otherwise(F.lit(-9.0)).cast("float")
-        front = (beams.select("query", least.alias("least"), F.explode(F.arrays_zip("ids", "done")).alias("x"))
-                 .where("not x.done").select("query", "least", F.col("x.ids").alias("at")))
-        if front.isEmpty():
-            return beams
-        near = front.join(edges, F.col("at") == F.col("from")).select("query", "least", F.col("to").alias("cand")).distinct()
-        # ids of vectors are unique, so a hash table of a partition of them is no larger than others; Spark broadcasts
-        # the queries where they are few
-        scored = (near.join(vectors.hint("shuffle_hash"), F.col("cand") == F.col("id")).join(asked, F.col("query") == F.col("b_query"))
-                  .select("query", "least", "cand", "packed", "q_packed").mapInArrow(_score, "query long, cand long, sim float"))
-        old = beams.withColumn("done", F.transform("ids", lambda i: F.lit(True)))
-        rows = (old.unionByName(scored, allowMissingColumns=True)
-                .repartition("query").sortWithinPartitions("query", F.col("cand").isNotNull()))
+def search(links: DataFrame, hubs: dict[int, int], parts: int, block: DataFrame, beam: int = BEAM) -> DataFrame:
+    """The RERANK nearest found (query, ids) for a block of queries (query, node, q_packed): ``node`` is where each starts."""
+    def begun(batches):
+        for b in batches:
+            n = len(b)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("query"), b.column("q_packed"), _binary(b.column("node").to_numpy(), np.full(n, 8)), _binary(np.ones(n, np.float32), np.full(n, 4)),
+                 _binary(np.zeros(n, bool), np.ones(n, int)), pa.array(np.ones(n, np.int32))], ["query", "q_packed", "ids", "sims", "done", "left"])
+
+    def ended(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column("query"), pa.array([np.frombuffer(x, np.int64)[:RERANK] for x in b.column("ids").to_pylist()],
+                                                                          pa.list_(pa.int64()))], ["query", "ids"])
+
+    beams = stage(block.select("query", "q_packed", "node").mapInArrow(begun, BEAMS), "beam")
+    while beams.agg(F.sum("left")).first()[0]:  # a beam only improves, so at last it has nothing left to expand
+        front = (beams.where("left > 0").mapInArrow(lambda b: _front(b, beam, hubs), "query long, q_packed binary, least float, at long")
+                 .repartition(parts, "at"))
+        # of the two the front is the smaller in every partition; the links stay where they are
+        near = links.join(front.hint("shuffle_hash"), F.col("key") == F.col("at")).select("query", "q_packed", "least", "ids", "vecs")
+        scored = near.mapInArrow(_score, "query long, ids binary, sims binary")
+        rows = (beams.select("query", "q_packed", "ids", "sims").unionByName(scored, allowMissingColumns=True)
+                .repartition("query").sortWithinPartitions("query", F.col("q_packed").isNull()))
         beams = stage(rows.mapInArrow(lambda b: _beam(b, beam), BEAMS), "beam")
         forget(beams)
+    return beams.mapInArrow(ended, "query long, ids array<long>")
 
 
 def true_neighbours(nodes: DataFrame, probes: DataFrame, k: int) -> dict[int, set[int]]:
@@ -404,7 +644,7 @@ def true_neighbours(nodes: DataFrame, probes: DataFrame, k: int) -> dict[int, se
 
 def probe_recall(beams: DataFrame, truth: dict[int, set[int]]) -> float:
     """The share of the probes' true neighbours among the RERANK best of their beams."""
-    got = beams.where(F.col("query").isin([int(q) for q in truth])).select("query", F.slice("ids", 1, RERANK).alias("ids")).collect()
+    got = beams.where(F.col("query").isin([int(q) for q in truth])).select("query", "ids").collect()
     hit = sum(len(truth[r["query"]] & set(r["ids"])) for r in got)
     return hit / max(1, sum(map(len, truth.values())))
 
@@ -434,40 +674,46 @@ def cosine(batches):
                                          ["query", "node", "score"])
 
 
+def numbered(nodes: DataFrame) -> DataFrame:
+    """``id`` from 0 without gaps; before it holds a file's number and the place there."""
+    file, place = F.shiftright("id", 33), F.col("id").bitwiseAND((1 << 33) - 1)
+    sizes = nodes.groupBy(file.alias("file")).count().orderBy("file").collect()  # a row for each file
+    firsts = np.cumsum([0] + [r["count"] for r in sizes]).tolist()
+    first = nodes.sparkSession.createDataFrame([(r["file"], n) for r, n in zip(sizes, firsts)], "file long, first long")
+    return nodes.join(F.broadcast(first), file == F.col("file")).select((place + F.col("first")).alias("id"), "vec")
+
+
 def nearest(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", every: int = 50, k: int = 5) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row whose id is divisible by ``every``."""
     rows = stage(usable(vectors, vec_id, vector).distinct(), "vectors")
     # the copies that a result can hold: the k + 1 smallest ids of each vector, pre-selected in every task
     copies = stage(rows.withColumn("copy", F.row_number().over(W.partitionBy("vec").orderBy("vec_id"))).where(F.col("copy") <= k + 1), "copies")
-    nodes = stage(copies.where("copy = 1").select(F.monotonically_increasing_id().alias("id"), "vec"), "nodes")
+    nodes = numbered(stage(copies.where("copy = 1").select(F.monotonically_increasing_id().alias("id"), "vec"), "nodes"))
     by_vector = nodes.select(F.col("id").alias("node"), F.col("vec").alias("n_vec"))
     graph = build_graph(nodes)
-    forward = graph.select(F.col("id").alias("from"), F.explode("nbrs").alias("to"))
-    edges = stage(forward.union(forward.select("to", "from")).distinct(), "edges")
-    packed = graph.select("id", "packed")
+    parts = parts_of(graph)
     query_rows = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "vec")
     query_rows = stage(query_rows.join(by_vector, F.col("vec") == F.col("n_vec")).select("query_id", "node"), "query_rows")
-    asked = query_rows.select("node").distinct().join(packed, F.col("node") == F.col("id"))
+    asked = query_rows.select("node").distinct().join(graph.select("id", "packed"), F.col("node") == F.col("id"))
     asked = stage(asked.select(F.col("node").alias("query"), "node", F.col("packed").alias("q_packed")), "asked")
     number, total = asked.count(), graph.count()
+    links, hubs = links_of(graph, parts)
 
-    def part(n: int, blocks: int) -> DataFrame:
-        return asked.where(F.pmod(F.xxhash64("query", F.lit(SEED)), F.lit(blocks)) == n)
-
-    blocks = max(1, -(-number // max(QUERIES, total // PART)))
-    probes = stage(part(0, blocks).orderBy(F.xxhash64("query", F.lit(SEED + 1)), "query").limit(PROBES), "probes")
+    probes = stage(asked.orderBy(F.xxhash64("query", F.lit(SEED + 1)), "query").limit(PROBES), "probes")
     truth = true_neighbours(nodes, probes.join(nodes.withColumnRenamed("vec", "q_vec"), F.col("node") == F.col("id")), k)
-    found = search(graph, edges, packed, part(0, blocks), BEAM)  # holds the probes
+    few = number <= QUERIES  # then all are searched at once, else the probes first
+    found = search(links, hubs, parts, asked if few else probes, BEAM)
     recall = probe_recall(found, truth)
     log.info("%d nodes, beam %d: probe recall %.4f", total, BEAM, recall)
-    beam = fitted_beam(total, recall, lambda size: probe_recall(search(graph, edges, packed, probes, size), truth))
+    beam = fitted_beam(total, recall, lambda size: probe_recall(search(links, hubs, parts, probes, size), truth))
     if beam > BEAM:
         log.info("beam %d", beam)
-        blocks, found = max(1, -(-number * beam // (max(QUERIES, total // PART) * BEAM))), None
-    for n in range(0 if found is None else 1, blocks):
-        more = search(graph, edges, packed, part(n, blocks), beam)
-        found = more if found is None else found.unionByName(more)
-    top = found.select("query", F.explode(F.slice("ids", 1, RERANK)).alias("node"))
+    if not few or beam > BEAM:
+        blocks = max(1, -(-number * beam // (max(QUERIES, total // PART) * BEAM)))
+        of = F.pmod(F.xxhash64("query", F.lit(SEED)), F.lit(blocks))
+        found = reduce(DataFrame.unionByName, [search(links, hubs, parts, asked.where(of == n), beam) for n in range(blocks)])
+    links.unpersist()
+    top = found.select("query", F.explode("ids").alias("node"))
     pairs = (top.join(nodes.select(F.col("id").alias("q_id"), F.col("vec").alias("q_vec")), F.col("query") == F.col("q_id"))
              .join(nodes, F.col("node") == F.col("id")).select("query", "node", "q_vec", "vec"))
     scored = pairs.mapInArrow(cosine, "query long, node long, score double")

@@ -745,6 +745,73 @@ def test_graph_compares_only_pairs_with_a_new_member():
     assert sent([False, False, False]) == {}
 
 
+def shuffled_rows(df):
+    """Rows that the exchanges of ``df`` wrote when it ran."""
+    def walk(node):
+        for inner in ("plan", "executedPlan"):
+            if "QueryStage" in node.nodeName() and inner == "plan" or node.nodeName().startswith("AdaptiveSparkPlan") and inner == "executedPlan":
+                return walk(getattr(node, inner)())
+        own = node.metrics().get("shuffleRecordsWritten")
+        below = node.children()
+        return (own.get().value() if own.isDefined() else 0) + sum(walk(below.apply(k)) for k in range(below.size()))
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def near_graph(spark, n):
+    x = np.random.default_rng(9).standard_normal((n, 16))
+    rows = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "id long, vec array<double>")
+    return nn_descent.build_graph(rows)
+
+
+def test_graph_edges_are_no_rows(spark, monkeypatch):
+    """A round and a step of the search shuffle fewer rows than there are nodes, whatever the number of edges and scored pairs."""
+    graph, moved, stage = near_graph(spark, 3000), [], nn_descent.stage
+
+    def counted(df, name):
+        if name in ("graph", "pools"):
+            moved.append(shuffled_rows(df))
+        return stage(df, name)
+
+    monkeypatch.setattr(nn_descent, "stage", counted)
+    nn_descent.descend(graph)
+    assert moved and sum(moved) < 3000, moved
+
+
+def test_nearest_hubs(spark, monkeypatch):
+    """Pools and links of nodes with many neighbours are dealt to several tasks, and the results stay right."""
+    monkeypatch.setattr(nn_descent, "HUB", 64)
+    rng = np.random.default_rng(6)
+    x = np.vstack([np.ones((1, 16)), np.ones((1500, 16)) + rng.standard_normal((1500, 16)), rng.standard_normal((1500, 16))])
+    hubs, links_of = [], nn_descent.links_of
+
+    def held(graph, parts):
+        links, own = links_of(graph, parts)
+        hubs.append(own)
+        keys = {r["key"] for r in links.select("key").collect()}
+        assert all((h << nn_descent.SALT_BITS) + s in keys for h, n in own.items() for s in range(n))
+        return links, own
+
+    monkeypatch.setattr(nn_descent, "links_of", held)
+    frame = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = nn_descent.nearest(frame).collect()
+    assert hubs[0] and max(hubs[0].values()) > 2
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = {q: set(np.argsort(-(unit @ unit[q]))[1:6].tolist()) for q in range(0, 3001, 50)}
+    assert sum(r["vec_id"] in near[r["query_id"]] for r in got) >= 0.95 * 5 * len(near)
+
+
+def test_candidates_of_hubs():
+    """The nearest of each row, a candidate once, as the neighbour that it is already; ties to the smaller id."""
+    row, cand = np.array([1, 0, 0, 0, 1, 0]), np.array([5, 9, 3, 9, 4, 8])
+    sims, late = np.array([.5, .7, .7, .7, .6, -1.01], np.float32), np.array([True, True, True, False, True, True])
+    assert nn_descent._nearest(row, cand, sims, late).tolist() == [2, 3, 5, 4, 0]
+    many = np.random.default_rng(1).permutation(100)
+    got = nn_descent._nearest(np.zeros(100, int), many, -many.astype(np.float32) / 100, np.ones(100, bool))
+    assert many[got].tolist() == list(range(nn_descent.NEIGHBOURS))
+
+
 # ------------------------------------------------------------- pipeline
 
 def test_pipeline(spark, rows):
